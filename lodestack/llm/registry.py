@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import line_dedup, sharding
+from lodestack.llm import html_text, line_dedup, quality, sharding, simhash
 from lodestack.session import table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("main_text")
+    return html_text.extract(pages).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.drop_repeated_lines(docs)
@@ -35,7 +41,27 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_line_dedup": op4_line_dedup, "op5_sharding": op5_sharding}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = simhash.near_groups(docs, size=4)
+    return groups.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality.quality(docs).select(F.col("id").alias("doc_id"), *names, *quality.FIGURES)
+
+
+QUERIES = {
+    "op2_html_extraction": op2_html_extraction,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_sharding": op5_sharding,
+    "op6_simhash": op6_simhash,
+    "op8_quality_rules": op8_quality_rules,
+}
 
 _KEY = (
     "translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),"
