@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import html_text, line_dedup, quality, sharding, simhash
+from lodestack.llm import decontaminate, html_text, line_dedup, quality, sharding, simhash
 from lodestack.session import table
 
 
@@ -55,12 +55,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs).select(F.col("id").alias("doc_id"), *names, *quality.FIGURES)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word")
+
+
 QUERIES = {
     "op2_html_extraction": op2_html_extraction,
     "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
     "op8_quality_rules": op8_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 _KEY = (
