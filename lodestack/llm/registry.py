@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import decontaminate, html_text, line_dedup, quality, sharding, simhash
+from lodestack.llm import decontaminate, html_text, line_dedup, quality, secrets, sharding, simhash, toxicity
 from lodestack.session import table
 
 
@@ -15,6 +15,19 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.is_held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "passages",
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.drop_repeated_lines(docs)
@@ -49,6 +62,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"),
+        secrets.digest(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -62,9 +88,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_html_extraction": op2_html_extraction,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
+    "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op10_decontamination": op10_decontamination,
 }

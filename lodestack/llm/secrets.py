@@ -1,0 +1,198 @@
+"""Secret scans in SQL functions only: fixed patterns plus a randomness test battery.
+
+Base spans come from three patterns. Their places follow from what lies between
+matches: ``split`` gives the gaps and ``regexp_extract_all`` the matches of the
+same leftmost, non-overlapping search, so running lengths are start offsets.
+
+The method adds runs of encoding characters that look like keys. A run's
+encoding is inferred from its characters (hexadecimal, base 32 or base 64), its
+characters become numbers below the alphabet's size, and three tests ask whether
+they are uniform noise: a chi-squared test of eight equal parts of the alphabet,
+a runs test around the alphabet's middle and a lag-one serial correlation. Their
+p-values are combined by Fisher's method. A run is discarded as structured text
+when noise is rejected under Benjamini-Hochberg control of the false-discovery
+rate; it is done by classes of length and encoding, because short runs can
+reject little and would otherwise borrow from long ones. So at most ``RATE`` of
+what is discarded is expected to be noise; the rest is reported as ``random``.
+
+The control needs ranks over the whole corpus. They come from counts of p-values
+in log-spaced cells, at most 8 classes x 200 cells, never from the p-values
+themselves; a cell counts as its upper edge, which errs to the side of reporting.
+
+Defined cases: a null text is an empty one and has no spans; repeated rows get
+equal spans; lengths and offsets are code points; added spans never overlap base
+spans; a table without runs adds none. Extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lodestack.session import cut
+
+#: Kinds in listed order with their patterns.
+ASSIGN = r"(?=[pPsStTaA])((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+HEX_LONG = r"[0-9a-f]{16,}"
+KINDS = ("assign", "access", "hex", "random")
+RUN = r"[A-Za-z0-9+/_-]{24,512}"
+#: Alphabets in their encodings' order; - and _ stand for + and /.
+ALPHABETS = {
+    "hex": "0123456789ABCDEF",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+PARTS = 8
+RATE = 0.05
+CELLS = 200
+CELL_WIDTH = 0.25  # in -ln p
+
+
+def placed(text: Column, pattern: str, kind: int, keep) -> Column:
+    """array<struct<start, kind, end>> of the matches that ``keep`` accepts."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"))
+    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+
+    def step(state: Column, x: Column) -> Column:
+        start = state["at"] + F.length(x["gap"])
+        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
+        kept = F.when(x["hit"].isNotNull() & keep(x["hit"]), F.concat(state["out"], span)).otherwise(state["out"])
+        return F.struct(end.alias("at"), kept.alias("out"))
+
+    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    # Texts without any match, nearly all, are not split.
+    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(both, first, step, lambda s: s["out"])).otherwise(empty)
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    return {
+        "assign": placed(text, ASSIGN, 0, lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= 12),
+        "access": placed(text, ACCESS, 1, lambda hit: F.length(hit) >= 18),
+        # A run of 16 or more is one match of either pattern; asking for 16 at once skips short runs.
+        "hex": placed(text, HEX_LONG, 2, lambda hit: F.length(hit) >= 16),
+    }
+
+
+def normal_tail(z: Column) -> Column:
+    """P(Z > z) of a standard normal, by a logistic approximation (absolute error below 2e-4)."""
+    return 1 / (1 + F.exp(F.least(F.lit(700.0), 1.5976 * z + 0.070566 * z * z * z)))
+
+
+def chi_tail(x: Column, df: float) -> Column:
+    """P(chi-squared > x) by the Wilson-Hilferty cube root."""
+    c = 2.0 / (9.0 * df)
+    return normal_tail((F.pow(x / df, 1 / 3) - (1 - c)) / c**0.5)
+
+
+def encoding(run: Column) -> Column:
+    mixed = run.rlike("[0-9]") & run.rlike("[A-Z]") & run.rlike("[a-z]")
+    return (
+        F.when(run.rlike("^([0-9A-F]+|[0-9a-f]+)$"), F.when(run.rlike("[A-Fa-f]") & run.rlike("[0-9]"), "hex"))
+        .when(run.rlike("^[A-Z2-7]+$") & run.rlike("[2-7]") & run.rlike("[A-Z]"), "base32")
+        .when(mixed, "base64")
+    )
+
+
+def battery(run: Column, kind: Column) -> Column:
+    """Fisher's combined p-value that the run is uniform noise of its encoding."""
+    size = F.when(kind == "hex", 16).when(kind == "base32", 32).otherwise(64)
+    letters = F.when(kind == "hex", ALPHABETS["hex"]).when(kind == "base32", ALPHABETS["base32"]).otherwise(ALPHABETS["base64"])
+    plain = F.when(kind == "hex", F.upper(run)).otherwise(F.translate(run, "-_", "+/"))
+    values = F.transform(F.split(plain, ""), lambda c: F.instr(letters, c) - 1)
+    values = F.filter(values, lambda v: v >= 0)
+    n = F.size(values).cast("double")
+    cells = F.transform(
+        F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.size(F.filter(values, lambda v: F.floor(v * PARTS / size) == p))
+    )
+    chi = F.aggregate(cells, F.lit(0.0), lambda s, c: s + (c - n / PARTS) * (c - n / PARTS) * PARTS / n)
+    high = F.transform(values, lambda v: (v * 2 >= size).cast("int"))
+    pairs = F.sequence(F.lit(1), F.size(values) - 1)
+    runs = 1 + F.aggregate(
+        pairs, F.lit(0), lambda s, k: s + (F.get(high, k) != F.get(high, k - 1)).cast("int")
+    ).cast("double")
+    runs_z = F.abs(runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
+    middle = (size - 1) / 2.0
+    spread = (size * size - 1) / 12.0
+    serial = F.aggregate(pairs, F.lit(0.0), lambda s, k: s + (F.get(values, k) - middle) * (F.get(values, k - 1) - middle))
+    serial_z = F.abs(serial) / (spread * F.sqrt(n - 1))
+    floor = F.lit(1e-300)
+    logs = [F.log(F.greatest(floor, p)) for p in (chi_tail(chi, PARTS - 1.0), 2 * normal_tail(runs_z), 2 * normal_tail(serial_z))]
+    return chi_tail(-2 * (logs[0] + logs[1] + logs[2]), 6.0)
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, base, added): arrays of spans struct<start int, kind int, end int>, base sorted by start and kind."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    spans = base_spans(F.col("text"))
+    runs = F.regexp_extract_all("text", F.lit(RUN), F.lit(0))
+    rows = rows.select(
+        "id",
+        F.array_sort(F.concat(*spans.values())).alias("base"),
+        placed(F.col("text"), RUN, 3, lambda hit: F.lit(True)).alias("places"),
+        runs.alias("runs"),
+    )
+    overlap = lambda x: F.exists("base", lambda b: (b["start"] < x["start_end"][1]) & (b["end"] > x["start_end"][0]))
+    candidates = F.transform(
+        F.arrays_zip(F.col("places").alias("place"), F.col("runs").alias("run")),
+        lambda x: F.struct(
+            F.array(x["place"]["start"], x["place"]["end"]).alias("start_end"), x["run"].alias("run"), encoding(x["run"]).alias("enc")
+        ),
+    )
+    candidates = F.filter(candidates, lambda x: x["enc"].isNotNull() & ~overlap(x))
+    tested = F.transform(
+        candidates,
+        lambda x: F.struct(
+            x["start_end"][0].alias("start"),
+            x["start_end"][1].alias("end"),
+            stratum(x["enc"], F.length(x["run"])).alias("stratum"),
+            F.least(F.lit(CELLS - 1), F.floor(-F.log(F.greatest(F.lit(1e-300), battery(x["run"], x["enc"]))) / CELL_WIDTH))
+            .cast("int")
+            .alias("cell"),
+        ),
+    )
+    seen = cut(rows.select("id", "base", tested.alias("tested")))
+    return seen.select(
+        "id",
+        "base",
+        F.transform(
+            F.filter("tested", lambda x: x["cell"] < F.get(rejection_cells(seen), x["stratum"])),
+            lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")),
+        ).alias("added"),
+    )
+
+
+def stratum(enc: Column, n: Column) -> Column:
+    """Class of encoding (base 64 or another) and length (below 32, 48, 80, or longer)."""
+    length = F.when(n < 32, 0).when(n < 48, 1).when(n < 80, 2).otherwise(3)
+    return length + F.when(enc == "base64", 4).otherwise(0)
+
+
+def rejection_cells(seen: DataFrame) -> Column:
+    """Per class the first cell that Benjamini-Hochberg rejects; cells count from p = 1 downwards."""
+    counts = [[0] * CELLS for _ in range(8)]
+    of = seen.select(F.explode("tested").alias("x")).groupBy("x.stratum", "x.cell").count()
+    for r in of.collect():  # at most 8 x CELLS counts
+        counts[r["stratum"]][r["cell"]] = r["count"]
+    first = []
+    for cells in counts:
+        total, rank, at = sum(cells), 0, CELLS
+        for cell in range(CELLS - 1, -1, -1):
+            rank += cells[cell]
+            edge = 2.718281828459045 ** (-CELL_WIDTH * cell)
+            if cells[cell] and edge * total <= RATE * rank:
+                at = cell
+        first.append(at)
+    return F.array(*[F.lit(x) for x in first])
+
+
+def digest(spans: Column) -> Column:
+    """kind:start:end of every span, comma-joined."""
+    names = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
