@@ -1 +1,8 @@
 """Catalog analytics and corpus preparation as Spark DataFrame jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel by value, so workers need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
