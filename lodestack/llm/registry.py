@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import decontaminate, html_text, line_dedup, quality, secrets, sharding, simhash, toxicity
+from lodestack.llm import decontaminate, html_text, line_dedup, pieces, quality, secrets, sharding, simhash, toxicity
 from lodestack.session import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = pieces.decode(pieces.encode(docs).withColumn("ids", F.col("tokens")))
+    # U+2581 is the vocabulary's own mark for a space.
+    return back.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.col("ids").alias("tokens"),
+        F.octet_length("decoded").cast("long").alias("n_bytes"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.xxhash64("decoded") == F.col("th")).alias("round_trip"),
+    )
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     text = F.col("main_text")
@@ -87,6 +101,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_html_extraction": op2_html_extraction,
     "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
