@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import decontaminate, html_text, line_dedup, pieces, quality, secrets, sharding, simhash, toxicity
+from lodestack.llm import decontaminate, html_text, line_dedup, pieces, quality, secret_scan, sharding, simhash, toxicity
 from lodestack.session import table
 
 
@@ -77,15 +77,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         F.col("id").alias("doc_id"),
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
-        F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"),
-        secrets.digest(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.sha2(secret_scan.digest(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.digest(F.array_sort(F.concat("base", "added"))).alias("spans"),
     )
 
 
