@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import decontaminate, html_text, line_dedup, pieces, quality, secret_scan, sharding, simhash, toxicity
+from lodestack.llm import decontaminate, html_text, line_dedup, pieces, quality, repeats, secret_scan, sharding, simhash, toxicity
 from lodestack.session import table
 
 
@@ -95,6 +95,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs).select(F.col("id").alias("doc_id"), *names, *quality.FIGURES)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "first_word")
@@ -109,6 +114,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
 }
 
