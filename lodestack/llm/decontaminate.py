@@ -187,6 +187,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return out
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    found = leaks(docs, benchmark, id_col, text_col).select("doc_id", "text_hash").distinct()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).alias("r")
+    same = [F.col("r.row")[id_col].eqNullSafe(F.col("f.doc_id")), F.xxhash64(F.col("r.row")[text_col]) == F.col("f.text_hash")]
+    return rows.join(found.alias("f"), same, "left_anti").select("row.*")
+
+
 def _pass(docs: DataFrame, rows: list[tuple[int | None, str]], id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows)

@@ -36,6 +36,7 @@ MIN_WORDS = 50
 BAND = 5.0
 LEAST = {"chars_per_token": 0.06, "byte_share": 0.05, "entropy_share": 0.25}
 MIN_BAND_DOCS = 100
+MOST_BROADCAST = 10_000
 KNOWN_WORDS = 400_000
 LONGEST_KNOWN = 64
 
@@ -178,7 +179,10 @@ def verdicts(stats: DataFrame) -> DataFrame:
         .groupBy("band")
         .agg(*[F.percentile_approx(off[n] * F.sqrt("n_tokens"), 0.5, 10_000).alias(f"mad_{n}") for n in FIGURES])
     )
-    rows = named(stats).join(middle.join(spread, "band"), "band", "left")
+    bands = cut(middle.join(spread, "band"))
+    # One row per language; a corpus with more languages than fit a broadcast joins by shuffle.
+    bands = F.broadcast(bands) if bands.count() <= MOST_BROADCAST else bands
+    rows = named(stats).join(bands, "band", "left")
     inside = F.lit(True)
     for n in FIGURES:
         wide = BAND * F.col(f"mad_{n}") / 0.6745 / F.sqrt("n_tokens")
@@ -186,6 +190,14 @@ def verdicts(stats: DataFrame) -> DataFrame:
     return rows.withColumn("kept", ~F.col("base_failed") & inside).select(*stats.columns, "kept")
 
 
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose verdict is kept, with all their columns."""
+    bad = quality(docs, id_col, text_col, lang_col).filter(~F.col("kept")).select("id", "th").distinct()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).alias("r")
+    same = [F.col("r.row")[id_col].eqNullSafe(F.col("b.id")), F.xxhash64(F.col("r.row")[text_col]) == F.col("b.th")]
+    return rows.join(bad.alias("b"), same, "left_anti").select("row.*")
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: id, a text hash that tells repeated ids apart, figures and verdict."""
     rows = docs.select(

@@ -32,8 +32,10 @@ from lodestack.llm.text import words_of
 from lodestack.session import cut, shuffle_partitions
 
 RADIUS = 4
-#: First bit and width of each segment; every width leaves at most one difference somewhere.
+#: First bit and width of each segment. Differences of less than twice their number leave one at most somewhere.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
+FOUR_SEGMENTS = ((0, 16), (16, 16), (32, 16), (48, 16))
+Segments = tuple[tuple[int, int], ...]
 BLOCK = 4096
 SMALL = 48
 STEP = 1 << 15
@@ -60,21 +62,21 @@ def fingerprint(words: list[bytes], size: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(id, fp) of every row."""
+    """(id, th, fp) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(words_of(t.as_py()), size) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
+            fps = [fingerprint(words_of(t.as_py()), size) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps, pa.int64())], names=["id", "th", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "id long, th long, fp long")
 
 
-def _first_shared(x: np.ndarray) -> np.ndarray:
+def _first_shared(x: np.ndarray, segments: Segments) -> np.ndarray:
     """For differences x within the radius: the variant that reports the pair."""
     out = np.full(len(x), 99, dtype=np.int64)
-    for start, width in reversed(SEGMENTS):
+    for start, width in reversed(segments):
         part = (x >> np.uint64(start)) & np.uint64((1 << width) - 1)
         one = np.bitwise_count(part) == 1
         bit = np.where(one, np.bitwise_count(part - np.uint64(1)), 0)
@@ -82,7 +84,9 @@ def _first_shared(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pairs_small(fp: np.ndarray, group: np.ndarray, bit: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_small(
+    fp: np.ndarray, group: np.ndarray, bit: np.ndarray, radius: int, segments: Segments
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Verified pairs within runs of equal group, by shifts of the sorted rows."""
     at = np.arange(len(fp) - 1)
     shift = 1
@@ -92,12 +96,12 @@ def _pairs_small(fp: np.ndarray, group: np.ndarray, bit: np.ndarray, radius: int
         x = fp[at] ^ fp[at + shift]
         near = (x != 0) & (np.bitwise_count(x) <= radius)
         hit = at[near]
-        hit = hit[_first_shared(x[near]) == bit[hit]]
+        hit = hit[_first_shared(x[near], segments) == bit[hit]]
         yield fp[hit], fp[hit + shift]
         shift += 1
 
 
-def _spanning_large(fp: np.ndarray, bit: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _spanning_large(fp: np.ndarray, bit: int, radius: int, segments: Segments) -> tuple[np.ndarray, np.ndarray]:
     """Links of a search forest over one large bucket: at most one per fingerprint."""
     left, a, b = np.unique(fp), [], []
     while len(left):
@@ -106,7 +110,7 @@ def _spanning_large(fp: np.ndarray, bit: int, radius: int) -> tuple[np.ndarray,
             u = queue.pop()
             x = left ^ u
             near = np.bitwise_count(x) <= radius
-            near[near] = _first_shared(x[near]) == bit
+            near[near] = _first_shared(x[near], segments) == bit
             found = left[near]
             a.append(np.full(len(found), u, dtype=np.uint64))
             b.append(found)
@@ -116,7 +120,7 @@ def _spanning_large(fp: np.ndarray, bit: int, radius: int) -> tuple[np.ndarray,
     return np.concatenate(a or [empty]), np.concatenate(b or [empty])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], radius: int, segments: Segments) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, i, j); a group may run over several batches."""
     rest: list[np.ndarray] = []
 
@@ -126,10 +130,10 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
         fp, bit = np.ascontiguousarray(rows[:, 3]).view(np.uint64), rows[:, 0] >> 22
         sizes = np.bincount(group)
         small = (sizes <= SMALL)[group]
-        found = list(_pairs_small(fp[small], group[small], bit[small], radius))
+        found = list(_pairs_small(fp[small], group[small], bit[small], radius, segments))
         for g in np.flatnonzero(sizes > SMALL):
             lo, hi = np.searchsorted(group, [g, g + 1])
-            found.append(_spanning_large(fp[lo:hi], int(bit[lo]), radius))
+            found.append(_spanning_large(fp[lo:hi], int(bit[lo]), radius, segments))
         a, b = (np.concatenate([x[k] for x in found] or [fp[:0]]).view(np.int64) for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -149,11 +153,12 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
         yield work(np.concatenate(rest))
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = RADIUS, segments: Segments = SEGMENTS, block: int = BLOCK) -> DataFrame:
     """fps(fp), distinct -> links (a, b) that connect every pair within the radius, through a chain at least."""
-    bit = F.col("bit")
-    start = F.when(bit < 21, 0).when(bit < 42, 21).otherwise(42)
-    width = F.when(bit < 42, 21).otherwise(22)
+    if radius >= 2 * len(segments):
+        raise ValueError("more differences than segments can leave one at most on")
+    start = F.element_at(F.array(*[F.lit(a) for a, n in segments for _ in range(n)]), F.col("bit") + 1)
+    width = F.element_at(F.array(*[F.lit(n) for _, n in segments for _ in range(n)]), F.col("bit") + 1)
     segment = F.expr("shiftrightunsigned(fp, start) & (shiftleft(1L, width) - 1)")
     keys = (
         fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
@@ -175,17 +180,95 @@ def near_links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Data
     return (
         spread.repartition(shuffle_partitions(fps.sparkSession), "key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(lambda it: _compare(it, radius), "a long, b long")
+        .mapInArrow(lambda it: _compare(it, radius, segments), "a long, b long")
     )
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(id, fp, component_id) of every row; component_id is the smallest id reachable over links."""
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = RADIUS, segments: Segments = SEGMENTS
+) -> DataFrame:
+    """(id, th, fp, component_id) of every row; component_id is the smallest id reachable over links, th hashes the text."""
     rows = cut(fingerprints(docs, id_col, text_col, size))
     least = rows.groupBy("fp").agg(F.min("id").alias("id"))
-    roots = connected_components(near_links(least.select("fp")))
+    roots = connected_components(near_links(least.select("fp"), radius, segments))
     named = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "id", F.coalesce("root", "fp").alias("root")
     )
     component = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(named.join(component, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+    return rows.join(named.join(component, "root").select("fp", "component_id"), "fp").select("id", "th", "fp", "component_id")
+
+
+def jaccard(a: set[bytes], b: set[bytes]) -> float:
+    both = len(a & b)
+    return both / max(1, len(a) + len(b) - both)
+
+
+def shingle_set(words: list[bytes], size: int) -> set[bytes]:
+    if not words:
+        return set()
+    return {b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def _verify(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(id, th, text, kept text) -> (id, th) of rows that do not resemble the kept text of their group."""
+    last, shingles = None, set()
+    for batch in batches:
+        other = []
+        for k, (text, kept) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            if kept != last:
+                last, shingles = kept, shingle_set(words_of(kept), size)
+            mine = shingle_set(words_of(text), size)
+            if (mine or shingles) and jaccard(mine, shingles) < similarity:
+                other.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(other, pa.int64())) for c in (0, 1)], names=["id", "th"])
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
+    radius: int = 7, segments: Segments = FOUR_SEGMENTS, max_rounds: int = 20,
+) -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near duplicates keeps its row of the smallest id.
+
+    Groups are components of links within the radius. A row leaves only if it
+    equals the kept row's text or its shingles' Jaccard similarity to it reaches
+    ``similarity``; the others of the group choose again among themselves, round
+    by round. Rows left undecided after ``max_rounds`` stay. Null ids come last.
+    """
+    groups = cut(near_groups(docs, id_col, text_col, size, radius, segments))
+    # One row per group and text; null ids (kept apart by a flag) sort last.
+    rank = F.struct(F.col("id").isNull().alias("none"), "id")
+    texts = groups.groupBy(F.col("fp").alias("any_fp"), "th").agg(F.min(rank).alias("rank"), F.first("component_id").alias("c"))
+    texts = cut(texts.select(F.coalesce("c", "any_fp").alias("c"), F.col("c").isNull().alias("loose"), "th", "rank"))
+    group = ["c", "loose"]
+    several = texts.groupBy(*group).count().filter("count > 1").select(*group)
+    alone = texts.join(several, group, "left_anti").select("rank.id", "th")
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    unsure = texts.join(several, group).select(*group, "th", "rank", "rank.id")
+    own = own.alias("d").join(unsure.alias("u"), [F.col("d.id").eqNullSafe(F.col("u.id")), F.col("d.th") == F.col("u.th")])
+    one = own.select("u.*", "d.text").withColumn("k", F.expr("row_number() OVER (PARTITION BY id, th ORDER BY rank)")).filter("k = 1")
+    pending = cut(one.select(*group, "id", "th", F.struct("rank", "th").alias("rank"), "text"))
+    chosen = alone
+    for _ in range(max_rounds):
+        best = pending.groupBy(*group).agg(F.min("rank").alias("best"))
+        ranked = pending.join(best, group)
+        kept = ranked.filter(F.col("rank") == F.col("best"))
+        chosen = chosen.union(kept.select("id", "th"))
+        against = ranked.filter(F.col("rank") != F.col("best")).drop("best").join(
+            kept.select(*group, F.col("text").alias("kept")), group
+        )
+        other = against.select("id", "th", "text", "kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long")
+        other = cut(other)
+        if other.isEmpty():
+            break
+        pending = cut(
+            pending.alias("p")
+            .join(other.alias("o"), [F.col("p.id").eqNullSafe(F.col("o.id")), F.col("p.th") == F.col("o.th")], "left_semi")
+            .select("p.*")
+        )
+    else:
+        chosen = chosen.union(pending.select("id", "th"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row")[id_col].cast("long").alias("id"), F.xxhash64(F.col("row")[text_col]).alias("th"))
+    kept = rows.alias("r").join(chosen.alias("c"), [F.col("r.id").eqNullSafe(F.col("c.id")), F.col("r.th") == F.col("c.th")], "left_semi")
+    first = kept.selectExpr("r.*", "row_number() OVER (PARTITION BY r.id, r.th ORDER BY r.th) AS k").filter("k = 1")
+    return first.select("row.*")
