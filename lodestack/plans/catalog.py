@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from lodestack.plans import acquisition
+from lodestack.plans import acquisition, aggregates, joins, ranking, records
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _registry in (aggregates.R, joins.R, ranking.R, records.R):
+    QUERIES |= _registry.queries
+    ORACLES |= _registry.oracles
 for _module in (acquisition,):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
