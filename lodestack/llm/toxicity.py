@@ -158,7 +158,7 @@ def log_odds(counts: list[tuple[str, int, int]], other: int, toxic: int) -> dict
         while up and up not in rate:
             up = up[:-1]
         prior = rate.get(up, base)
-        rate[key] = (n1 + PRIOR * prior) / (n0 + n1 + PRIOR)
+        rate[key] = min(1 - 1e-6, max(1e-6, (n1 + PRIOR * prior) / (n0 + n1 + PRIOR)))
         score = max(-CAP, min(CAP, logit(rate[key]) - logit(base)))
         if not up or abs(score - max(-CAP, min(CAP, logit(prior) - logit(base)))) > 0.05:
             out[key] = score
