@@ -50,6 +50,7 @@ DEAD = -(1 << 61)
 KNOWN_WORDS = 400_000
 LONGEST_KNOWN = 64
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+BORDER = re.compile(f"(?<=[^{MARK}]){MARK}")
 
 
 class Vocabulary:
@@ -87,6 +88,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.known: dict[str, bytes] = {}
+        self.sums: dict[str, int] = {}
         self.reach: dict[str, int] = {}
         for p in vocabulary.scores:
             self.reach[p[:2]] = max(self.reach.get(p[:2], 0), len(p))
@@ -126,8 +128,64 @@ class Encoder:
             parts.append(self.ids(s, at, k))
         return [k for part in reversed(parts) for k in part]
 
+    def best(self, s: str) -> int:
+        """Sum of the best path over a text that starts and ends between words."""
+        total = 0
+        for w in WORD.findall(s):
+            got = self.sums.get(w)
+            if got is None:
+                got = self.forward(w, len(w), 1)[0]
+                if len(w) <= LONGEST_KNOWN:
+                    if len(self.sums) > KNOWN_WORDS:
+                        self.sums.clear()
+                    self.sums[w] = got
+            total += got
+        return total
+
+    def forward(self, s: str, n: int, states: int) -> list[int]:
+        """Best sums from node 0 to the nodes n, n + 1, ..., for pieces that start before n."""
+        best = [0] + [NONE] * (n + states)
+        for i in range(n):
+            here = best[i]
+            if here > DEAD:
+                for m, score, _ in self.edges(s, i):
+                    if i + m < n + states and here + score > best[i + m]:
+                        best[i + m] = here + score
+        return best[n : n + states]
+
+    def backward(self, s: str) -> list[int]:
+        """Best sums from every node to the end of s."""
+        n = len(s)
+        best = [NONE] * n + [0]
+        for i in range(n - 1, -1, -1):
+            for m, score, _ in self.edges(s, i):
+                if best[i + m] > DEAD and best[i + m] + score > best[i]:
+                    best[i] = best[i + m] + score
+        return best
+
+    @staticmethod
+    def borders(chunk: str, ahead: str) -> tuple[int, int] | None:
+        """First and last place within the chunk or at its end where every path passes, between words."""
+        found = [m.start() for m in BORDER.finditer(chunk + ahead[:1])]
+        return (found[0], found[-1]) if found else None
+
     def ends(self, chunk: str, ahead: str, entry: list[int]) -> tuple[list[int], list[int], list[list[int]]]:
         """Shared ids, and for each state at the end the state at the start and the ids after the shared ones."""
+        if (at := self.borders(chunk, ahead)) is None:
+            return self.ends_within(chunk, ahead, entry)
+        first, last = at
+        back, node, parts = self.solve(chunk[:first], first, entry[: first + 1]), first, []
+        while back[node][0] >= 0:
+            node, k = back[node]
+            parts.append(self.ids(chunk, node, k))
+        common = [k for part in reversed(parts) for k in part] + self.words(chunk[first:last]).tolist()
+        _, comes, tails = self.ends_within(chunk[last:], ahead, [0] + [NONE] * (len(entry) - 1), shared=False)
+        return common, [node if c >= 0 else -1 for c in comes], tails
+
+    def ends_within(
+        self, chunk: str, ahead: str, entry: list[int], shared: bool = True
+    ) -> tuple[list[int], list[int], list[list[int]]]:
+        """The same without regard to words."""
         s, n = chunk + ahead, len(chunk)
         back = self.solve(s, n, entry)
         routes = []
@@ -139,12 +197,12 @@ class Encoder:
             real = at < len(entry) and at < len(back) and entry[at] > DEAD
             routes.append(nodes[::-1] if real else [])
         real = [x for x in routes if x]
-        shared = 0
-        if real and all(x[0] == real[0][0] for x in real):
-            shared = next((k for k, x in enumerate(zip(*real)) if len(set(x)) > 1), min(map(len, real))) - 1
+        same = 0
+        if shared and real and all(x[0] == real[0][0] for x in real):
+            same = next((k for k, x in enumerate(zip(*real)) if len(set(x)) > 1), min(map(len, real))) - 1
         spell = lambda nodes: [k for node in nodes for k in self.ids(s, *back[node])]
-        common = spell(real[0][1 : shared + 1]) if real else []
-        return common, [x[0] if x else -1 for x in routes], [spell(x[shared + 1 :]) if x else [] for x in routes]
+        common = spell(real[0][1 : same + 1]) if real else []
+        return common, [x[0] if x else -1 for x in routes], [spell(x[same + 1 :]) if x else [] for x in routes]
 
     def words(self, s: str) -> np.ndarray:
         """Ids of a marked text that starts and ends between words."""
@@ -171,6 +229,15 @@ class Encoder:
 
     def transfer(self, chunk: str, ahead: str, states: int) -> np.ndarray:
         """Max-plus matrix from the states at the chunk's start to those at its end; pieces start inside the chunk."""
+        if (at := self.borders(chunk, ahead)) is not None:
+            # All paths pass the borders, so the matrix is an outer sum of what lies before and after.
+            first, last = at
+            head = np.full(states, NONE, dtype=np.int64)
+            before = self.backward(chunk[:first])[:states]
+            head[: len(before)] = before
+            tail = np.array(self.forward(chunk[last:] + ahead, len(chunk) - last, states), dtype=np.int64)
+            out = head[:, None] + (tail + self.best(chunk[first:last]))[None, :]
+            return np.where((head <= DEAD)[:, None] | (tail <= DEAD)[None, :], NONE, out)
         s, n = chunk + ahead, len(chunk)
         best = np.full((n + states, states), NONE, dtype=np.int64)
         for r in range(min(states, n + len(ahead) + 1)):
