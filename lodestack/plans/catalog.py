@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from lodestack.plans import acquisition, aggregates, joins, ranking, records
+from lodestack.plans import acquisition, aggregates, history, joins, ranking, records, scalars
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _registry in (aggregates.R, joins.R, ranking.R, records.R):
+for _registry in (aggregates.R, joins.R, ranking.R, records.R, history.R, scalars.R):
     QUERIES |= _registry.queries
     ORACLES |= _registry.oracles
 for _module in (acquisition,):
