@@ -58,3 +58,31 @@ def ledger(prior: DataFrame, current: DataFrame, snapshot: int) -> DataFrame:
 def latest(rows: DataFrame, key: str, order: list) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*order)
     return rows.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
+
+
+def parent_child(
+    old_parents: DataFrame, new_parents: DataFrame, old: DataFrame, new: DataFrame, parent_levels: list[list[str]], levels: list[list[str]]
+) -> DataFrame:
+    """Children are matched only inside parents that were matched first; children carry old_parent and new_parent."""
+    parents = reconcile(old_parents, new_parents, parent_levels).select(F.col("old_id").alias("old_parent"), F.col("new_id").alias("parent"))
+    inside = old.join(parents, "old_parent").drop("old_parent")
+    return reconcile(inside, new.withColumnRenamed("new_parent", "parent"), [["parent", *names] for names in levels])
+
+
+def replay(captures: list[DataFrame], names: list[str]) -> DataFrame:
+    """Captures (id, names...) in order -> (key, names..., seen): a row takes the key of the prior row that it matches
+    uniquely on both sides, else a new key; prior rows without a match stay with the capture that saw them last."""
+    state = None
+    for k, capture in enumerate(captures, 1):
+        fresh = capture.withColumn("fresh", F.concat(F.lit(f"{k}-"), F.col("id")))
+        if state is None:
+            state = cut(fresh.select(F.col("fresh").alias("key"), *names, F.lit(k).alias("seen")))
+            continue
+        pairs = unique_pairs(state.select(F.col("key").alias("old_id"), *names), capture.select(F.col("id").alias("new_id"), *names), names)
+        pairs = cut(pairs)
+        current = fresh.join(pairs, fresh["id"] == pairs["new_id"], "left").select(
+            F.coalesce("old_id", "fresh").alias("key"), *names, F.lit(k).alias("seen")
+        )
+        absent = state.join(pairs.select(F.col("old_id").alias("key")), "key", "left_anti").select("key", *names, "seen")
+        state = cut(current.union(absent))
+    return state

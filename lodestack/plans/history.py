@@ -356,3 +356,46 @@ def diff_degrade(t: Tables) -> DataFrame:
     """Detail falls back where the older state or its models were pruned."""
     state, models = F.col("o_orderkey") % 6 != 0, F.col("o_orderkey") % 4 != 0
     return t.orders.filter("o_orderkey < 2000").select(F.col("o_orderkey").alias("key"), F.when(~state, "initial entry").when(~models, "no field detail").otherwise("full").alias("detail"))
+
+
+_NAMES = "p_name, p_brand, p_type, p_size"
+
+
+def _replayed(steps: int) -> str:
+    out = []
+    for k in range(1, steps + 1):
+        c = f"(SELECT p_partkey AS id, {_NAMES} FROM part WHERE p_partkey % {k + 1} = 0)"
+        if k == 1:
+            out.append(f"s1 AS (SELECT '1-' || id AS key, {_NAMES}, 1 AS seen FROM {c})")
+            continue
+        out.append(
+            f"m{k} AS (SELECT old_id, new_id FROM (SELECT {_NAMES}, min(key) AS old_id FROM s{k - 1} GROUP BY ALL HAVING count(*) = 1) JOIN (SELECT {_NAMES}, min(id) AS new_id FROM {c} GROUP BY ALL HAVING count(*) = 1) USING ({_NAMES}))"
+        )
+        out.append(
+            f"s{k} AS (SELECT coalesce(old_id, '{k}-' || id) AS key, {_NAMES}, {k} AS seen FROM {c} LEFT JOIN m{k} ON new_id = id UNION ALL SELECT key, {_NAMES}, seen FROM s{k - 1} WHERE key NOT IN (SELECT old_id FROM m{k}))"
+        )
+    return "WITH " + ",\n".join(out) + f" SELECT key, p_name, p_size, seen FROM s{steps}"
+
+
+@R.query(_replayed(3))
+def replay_history(t: Tables) -> DataFrame:
+    """Three captures in order, each matched with the state before it."""
+    parts = [t.part.filter(f"p_partkey % {k} = 0").select(F.col("p_partkey").alias("id"), *_ANCHOR) for k in (2, 3, 4)]
+    return resolve.replay(parts, _ANCHOR).select("key", "p_name", "p_size", "seen")
+
+
+@R.query(
+    """WITH o0 AS (SELECT p_brand, p_name, p_size, p_partkey AS old_id FROM part WHERE p_partkey % 2 = 0 AND p_brand < 'Brand#40'),
+n0 AS (SELECT p_brand, p_name, p_size, p_partkey AS new_id FROM part WHERE p_partkey % 3 = 0),
+m AS (SELECT old_id, new_id, 2 AS level FROM (SELECT p_brand, p_name, p_size, min(old_id) AS old_id FROM o0 GROUP BY ALL HAVING count(*) = 1) JOIN (SELECT p_brand, p_name, p_size, min(new_id) AS new_id FROM n0 GROUP BY ALL HAVING count(*) = 1) USING (p_brand, p_name, p_size)),
+b AS (SELECT DISTINCT p_brand, p_name, p_size FROM o0 JOIN n0 USING (p_brand, p_name, p_size)),
+o1 AS (SELECT * FROM o0 ANTI JOIN b USING (p_brand, p_name, p_size)), n1 AS (SELECT * FROM n0 ANTI JOIN b USING (p_brand, p_name, p_size))
+SELECT new_id, old_id, level FROM m UNION ALL SELECT new_id, old_id, 1 FROM (SELECT p_brand, p_name, min(old_id) AS old_id FROM o1 GROUP BY ALL HAVING count(*) = 1) JOIN (SELECT p_brand, p_name, min(new_id) AS new_id FROM n1 WHERE p_brand < 'Brand#40' GROUP BY ALL HAVING count(*) = 1) USING (p_brand, p_name)"""
+)
+def reconcile_parent_child(t: Tables) -> DataFrame:
+    """Brands are the parents and are matched first; parts are matched inside matched brands only."""
+    side = lambda rows, key: rows.select(F.col("p_brand").alias(key), F.col("p_brand").alias("anchor")).distinct()
+    a, b = t.part.filter("p_partkey % 2 = 0 AND p_brand < 'Brand#40'"), t.part.filter("p_partkey % 3 = 0")
+    old = a.select(F.col("p_partkey").alias("old_id"), F.col("p_brand").alias("old_parent"), "p_name", "p_size")
+    new = b.select(F.col("p_partkey").alias("new_id"), F.col("p_brand").alias("new_parent"), "p_name", "p_size")
+    return resolve.parent_child(side(a, "old_id"), side(b, "new_id"), old, new, [["anchor"]], [["p_name", "p_size"], ["p_name"]])
