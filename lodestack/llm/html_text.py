@@ -51,7 +51,7 @@ OTHER = frozenset(
 )
 KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[A-Za-z][^<]*\Z|<\Z", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?(?:[A-Za-z][^<]*)?\Z", re.S
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 NAME_PART = re.compile(r"[a-z]+")

@@ -71,8 +71,8 @@ def drop_repeated_lines(
     )
     lines = F.split(text, "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
-    return joined.select(
-        "row.*",
+    out = joined.select(
+        "row",
         F.struct(
             F.when(F.col("drop").isNull(), text)
             .otherwise(F.concat_ws("\n", F.transform(kept, lambda i: F.get(lines, i))))
@@ -81,3 +81,4 @@ def drop_repeated_lines(
             F.coalesce(F.size(F.col("drop")), F.lit(0)).cast("long").alias("n_dropped"),
         ).alias("line_dedup"),
     )
+    return out.select("row.*", "line_dedup")

@@ -6,9 +6,9 @@ covers costs the lowest ordinary score minus ten and becomes its UTF-8 bytes.
 Of equal sums the one with the longer last piece wins, at every place from the
 end on; scores are integers, so this is exact and does not depend on chunks.
 
-No piece has a word mark after another character, so best paths of words
-are independent; words are solved once per worker and remembered in a bounded
-table. Texts of at most ``GIANT`` characters are one map.
+No piece has a word mark after another character, so best paths of words are
+independent; they are solved many at a time over a trie of the pieces, once per
+worker, and remembered in a bounded table. Texts of at most ``GIANT`` characters are one map.
 
 Longer texts are scanned in parallel. They are split into chunks; at a chunk's
 border the state is how far the piece that crosses it reaches into the next
@@ -30,6 +30,7 @@ driver; tasks get its pieces and scores with the job.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,9 +48,9 @@ MARK = "▁"
 SENTINEL = -(10**6)
 NONE = -(1 << 62)
 DEAD = -(1 << 61)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 LONGEST_KNOWN = 64
-WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+LETTERS = 127
 BORDER = re.compile(f"(?<=[^{MARK}]){MARK}")
 
 
@@ -79,7 +80,15 @@ class Vocabulary:
                     lowest = min(lowest, score)
             self.out.append(text)
         self.unknown = round(lowest) - 10
+        # A character of byte pieces costs once, at its first byte.
+        self.sums = np.zeros(len(self.out), dtype=np.int64)
+        for score, k in self.scores.values():
+            self.sums[k] = score
+        for byte, k in enumerate(self.bytes):
+            self.sums[k] = 0 if 0x80 <= byte < 0xC0 else self.unknown
         self.longest = max(map(len, self.scores))
+        if len(self.out) > 1 << 16:
+            raise ValueError("ids are kept as 16-bit numbers")
         if any(MARK in p.lstrip(MARK) for p in self.scores):
             raise ValueError("a piece crosses words; words cannot be solved apart")
 
@@ -88,11 +97,43 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.known: dict[str, bytes] = {}
-        self.sums: dict[str, int] = {}
+        self._trie()
+        # A line break that no piece holds stands alone, so words at line ends are known words.
+        alone = "".join(c for c in "\n\r\t" if not any(c in p for p in vocabulary.scores))
+        self.word = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|[{alone}]" if alone else ""))
         self.reach: dict[str, int] = {}
         for p in vocabulary.scores:
             self.reach[p[:2]] = max(self.reach.get(p[:2], 0), len(p))
 
+    def _trie(self) -> None:
+        """A dense trie of the pieces that are spelled with the vocabulary's most frequent letters."""
+        count = Counter(c for p in self.v.scores for c in set(p))
+        letters = [c for c, _ in sorted(count.items(), key=lambda x: (-x[1], x[0])) if c in self.v.scores and ord(c) < 0x3000][:LETTERS]
+        self.common = frozenset(letters)
+        self.letter = np.zeros(0x3001, dtype=np.int64)  # 0 leads nowhere
+        for k, c in enumerate(letters, 1):
+            self.letter[ord(c)] = k
+        steps: list[dict[int, int]] = [{}, {}]
+        score, ids = [NONE, NONE], [0, 0]
+        for piece, (s, k) in self.v.scores.items():
+            if not self.common.issuperset(piece):
+                continue
+            node = 1
+            for c in piece:
+                to = steps[node].get(int(self.letter[ord(c)]))
+                if to is None:
+                    to = steps[node][int(self.letter[ord(c)])] = len(steps)
+                    steps.append({})
+                    score.append(NONE)
+                    ids.append(0)
+                node = to
+            score[node], ids[node] = s, k
+        self.step = np.zeros((len(steps), len(letters) + 1), dtype=np.int32)
+        for node, to in enumerate(steps):
+            for c, k in to.items():
+                self.step[node, c] = k
+        self.node_score, self.node_id = np.array(score, dtype=np.int64), np.array(ids, dtype=np.uint16)
+
     def edges(self, s: str, i: int) -> Iterator[tuple[int, int, int]]:
         """(length, score, id) of the pieces that start at i; id -1 is a character of byte pieces."""
         scores, found = self.v.scores, False
@@ -122,25 +163,35 @@ class Encoder:
         return [k] if k >= 0 else [self.v.bytes[b] for b in s[i].encode("utf-8", "replace")]
 
     def path(self, s: str) -> list[int]:
-        back, at, parts = self.solve(s, len(s), [0]), len(s), []
-        while at > 0:
-            at, k = back[at]
-            parts.append(self.ids(s, at, k))
-        return [k for part in reversed(parts) for k in part]
+        """Ids of the best path over a whole text; this is the inner loop, so it spells out what solve() does."""
+        n, scores, reach = len(s), self.v.scores, self.reach
+        best, back, ids = [0] + [NONE] * n, [0] * (n + 1), [0] * (n + 1)
+        for i in range(n):
+            here = best[i]
+            if here == NONE:
+                continue
+            alone = False
+            for j in range(i + 1, min(n, i + reach.get(s[i : i + 2], 1)) + 1):
+                hit = scores.get(s[i:j])
+                if hit is not None:
+                    alone |= j == i + 1
+                    total = here + hit[0]
+                    if total > best[j]:
+                        best[j], back[j], ids[j] = total, i, hit[1]
+            if not alone and here + self.v.unknown > best[i + 1]:
+                best[i + 1], back[i + 1], ids[i + 1] = here + self.v.unknown, i, -1
+        out, j = [], n
+        while j:
+            out.append(j)
+            j = back[j]
+        found: list[int] = []
+        for j in reversed(out):
+            found += self.ids(s, back[j], ids[j])
+        return found
 
     def best(self, s: str) -> int:
         """Sum of the best path over a text that starts and ends between words."""
-        total = 0
-        for w in WORD.findall(s):
-            got = self.sums.get(w)
-            if got is None:
-                got = self.forward(w, len(w), 1)[0]
-                if len(w) <= LONGEST_KNOWN:
-                    if len(self.sums) > KNOWN_WORDS:
-                        self.sums.clear()
-                    self.sums[w] = got
-            total += got
-        return total
+        return int(self.v.sums[self.words(s)].sum())
 
     def forward(self, s: str, n: int, states: int) -> list[int]:
         """Best sums from node 0 to the nodes n, n + 1, ..., for pieces that start before n."""
@@ -204,28 +255,86 @@ class Encoder:
         common = spell(real[0][1 : same + 1]) if real else []
         return common, [x[0] if x else -1 for x in routes], [spell(x[same + 1 :]) if x else [] for x in routes]
 
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Make these words known; long ones are handed back instead of remembered."""
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known.clear()
+        plain = [w for w in words if len(w) <= LONGEST_KNOWN]
+        self.known.update(zip(plain, self.many(plain)))
+        return {w: np.array(self.path(w), dtype="<u2").tobytes() for w in words if len(w) > LONGEST_KNOWN}
+
     def words(self, s: str) -> np.ndarray:
         """Ids of a marked text that starts and ends between words."""
-        known, words = self.known, WORD.findall(s)
-        try:
-            return np.frombuffer(b"".join([known[w] for w in words]), dtype="<i4")
-        except KeyError:
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-            own = known
-            if any(len(w) > LONGEST_KNOWN for w in words):
-                own = dict.fromkeys(())  # long words are not remembered
-            out = []
-            for w in words:
-                got = known.get(w) or own.get(w)
-                if got is None:
-                    got = np.array(self.path(w), dtype="<i4").tobytes()
-                    (known if len(w) <= LONGEST_KNOWN else own)[w] = got
-                out.append(got)
-            return np.frombuffer(b"".join(out), dtype="<i4")
+        return self.texts([s])[0]
+
+    def texts(self, marked: list[str]) -> list[np.ndarray]:
+        """Ids of several such texts; words that are new to any of them are solved together."""
+        lists = [self.word.findall(s) for s in marked]
+        known = self.known
+        new = {w for words in lists for w in set(words) if w not in known}
+        long_ = {}
+        if new:
+            if len(known) + len(new) > KNOWN_WORDS:
+                new = {w for words in lists for w in words}
+            long_ = self.learn(new)
+        if long_:
+            return [np.frombuffer(b"".join([long_.get(w) or known[w] for w in words]), dtype="<u2") for words in lists]
+        return [np.frombuffer(b"".join([known[w] for w in words]), dtype="<u2") for words in lists]
+
+    def many(self, words: list[str]) -> list[bytes]:
+        """Best paths of many short words at once: one trie step or one update for all of them at a time."""
+        plain = [k for k, w in enumerate(words) if self.common.issuperset(w)]
+        out: list[bytes] = [b""] * len(words)
+        if len(plain) < 64:
+            plain = []
+        done = set(plain)
+        for k, w in enumerate(words):
+            if k not in done:
+                out[k] = np.array(self.path(w), dtype="<u2").tobytes()
+        for at in range(0, len(plain), 20_000):
+            part = plain[at : at + 20_000]
+            for k, ids in zip(part, self._together([words[k] for k in part])):
+                out[k] = ids
+        return out
+
+    def _together(self, words: list[str]) -> Iterator[bytes]:
+        size = np.array([len(w) for w in words])
+        n, width = len(words), int(size.max())
+        raw = np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le"), dtype="<u4").reshape(n, width)
+        letter = self.letter[np.minimum(raw, len(self.letter) - 1)]
+        best = np.full((n, width + 1), NONE, dtype=np.int64)
+        best[:, 0] = 0
+        back = np.zeros((n, width + 1), dtype=np.int16)
+        ids = np.zeros((n, width + 1), dtype=np.uint16)
+        for i in range(width):
+            rows = np.flatnonzero((size > i) & (best[:, i] > NONE))
+            state = np.ones(len(rows), dtype=np.int64)
+            for j in range(i + 1, min(width, i + self.v.longest) + 1):
+                state = self.step[state, letter[rows, j - 1]]
+                alive = state > 0
+                rows, state = rows[alive], state[alive]
+                if not len(rows):
+                    break
+                total = best[rows, i] + self.node_score[state]
+                better = total > best[rows, j]
+                to = rows[better]
+                best[to, j], back[to, j], ids[to, j] = total[better], i, self.node_id[state[better]]
+        spelled = np.zeros((n, width), dtype="<u2")
+        at, col = size.copy(), np.full(n, width)
+        rows = np.arange(n)
+        while len(rows):
+            col[rows] -= 1
+            spelled[rows, col[rows]] = ids[rows, at[rows]]
+            at[rows] = back[rows, at[rows]]
+            rows = rows[at[rows] > 0]
+        for k in range(n):
+            yield spelled[k, col[k] :].tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
-        return self.words(MARK + text.replace(" ", MARK)) if text else np.zeros(0, dtype="<i4")
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        return self.texts([MARK + t.replace(" ", MARK) if t else "" for t in texts])
 
     def transfer(self, chunk: str, ahead: str, states: int) -> np.ndarray:
         """Max-plus matrix from the states at the chunk's start to those at its end; pieces start inside the chunk."""
@@ -253,6 +362,12 @@ class Encoder:
         return best[n : n + states].T.copy()
 
 
+def sliced(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what a task makes at a time stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def maxplus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Product in max-plus algebra, with its greatest entry moved to zero so that sums stay small."""
     out = (a[:, :, None] + np.where(b > DEAD, b, NONE)[None, :, :]).max(axis=1)
@@ -275,6 +390,18 @@ def _matrix(x) -> np.ndarray:
     return np.maximum(flat.reshape(side, side), DEAD)
 
 
+def shared_encoder(v: Vocabulary) -> Encoder:
+    """One encoder per Python worker, so that known words outlive a task."""
+    import builtins
+
+    store = builtins.__dict__.setdefault("_lodestack_encoders", {})
+    key = (len(v.scores), v.unknown, hash(frozenset(v.scores.items())))
+    if key not in store:
+        store.clear()
+        store[key] = Encoder(v)
+    return store[key]
+
+
 KEY = ["id", "th"]
 
 
@@ -293,7 +420,7 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
     )
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
+        encoder = shared_encoder(v)
         for batch in batches:
             made = [
                 encoder.transfer(a.as_py(), b.as_py(), states).astype("<i8").tobytes() for a, b in zip(batch.column(3), batch.column(4))
@@ -340,7 +467,7 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
     )
 
     def backtrace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
+        encoder = shared_encoder(v)
         for batch in batches:
             own, ahead, entry = (batch.column(k).to_pylist() for k in (3, 4, 5))
             made = [encoder.ends(a, b, np.frombuffer(e, dtype="<i8").tolist()) for a, b, e in zip(own, ahead, entry)]
@@ -371,13 +498,14 @@ def encode(
     is_giant = F.coalesce(F.length("text") > giant, F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
+        encoder = shared_encoder(v)
         for batch in batches:
-            made = [encoder.encode(t.as_py()) for t in batch.column(2)]
-            ends = np.cumsum([0, *map(len, made)], dtype=np.int32)
-            values = pa.array(np.concatenate(made) if made else np.zeros(0, "<i4"), pa.int32())
-            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], tokens], names=[*KEY, "tokens"])
+            for part in sliced(batch):
+                made = encoder.encode_many(part.column(2).to_pylist())
+                ends = np.cumsum([0, *map(len, made)], dtype=np.int32)
+                values = pa.array(np.concatenate(made).astype(np.int32))
+                tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], tokens], names=[*KEY, "tokens"])
 
     plain = rows.filter(~is_giant).mapInArrow(run, "id long, th long, tokens array<int>")
     giants = rows.filter(is_giant)
@@ -399,10 +527,11 @@ def decode(rows: DataFrame, tokens_col: str = "tokens", vocabulary: str = VOCABU
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for t in batch.column(len(keep)):
-                ids = t.values.to_numpy(zero_copy_only=False).tolist() if t.is_valid and len(t) else []
-                texts.append(b"".join([out[k] for k in ids])[1:].decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, "decoded"])
+            for part in sliced(batch):
+                texts = []
+                for t in part.column(len(keep)):
+                    ids = t.values.to_numpy(zero_copy_only=False).tolist() if t.is_valid and len(t) else []
+                    texts.append(b"".join([out[k] for k in ids])[1:].decode("utf-8", "replace"))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return rows.select(*keep, tokens_col).mapInArrow(run, schema)

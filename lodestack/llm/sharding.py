@@ -94,5 +94,6 @@ def shard(
     return (
         placed.withColumn("at", F.row_number().over(within) - 1)
         .join(offsets, ["shard", "block"])
-        .select("row.*", F.struct("shard", (F.col("before") + F.col("at")).cast("long").alias("slot")).alias("shard_place"))
+        .select("row", F.struct("shard", (F.col("before") + F.col("at")).cast("long").alias("slot")).alias("shard_place"))
+        .select("row.*", "shard_place")
     )
