@@ -19,7 +19,7 @@ def fingerprint(names: list[str]):
 
 def unique_pairs(old: DataFrame, new: DataFrame, names: list[str]) -> DataFrame:
     """(old_id, new_id) for tuples that occur once on either side; counted before the join, so repeated tuples cost nothing."""
-    one = lambda df, key: df.groupBy(*names).agg(F.count("*").alias("n"), F.min(key).alias(key)).filter("n = 1").drop("n")
+    one = lambda df, key: df.groupBy(*names).agg(F.count("*").alias("_times"), F.min(key).alias(key)).filter("_times = 1").drop("_times")
     return one(old, "old_id").join(one(new, "new_id"), names).select("old_id", "new_id")
 
 
