@@ -45,7 +45,7 @@ PARAGRAPHS = frozenset("p pre td blockquote li dd".split())
 OTHER = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar sidenav aside widget footer header masthead topbar banner cookie "
     "cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup promo promotion sponsor "
-    "sponsored advert adverts advertisement advertising ad ads adsense adbox comment comments disqus reply replies respond "
+    "sponsored advert adverts advertisement advertising ad ads adsense adbox comment comments commentlist disqus reply replies respond "
     "discussion social share sharing related recommended recommendations pagination pager login search searchbox form toolbar "
     "complementary contentinfo skip print hidden paywall".split()
 )

@@ -35,7 +35,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic"))
     return toxicity.score(docs, model).select(
         "doc_id",
-        held_out.alias("held_out"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         "passages",
