@@ -198,41 +198,66 @@ def near_groups(
     return rows.join(named.join(component, "root").select("fp", "component_id"), "fp").select("id", "th", "fp", "component_id")
 
 
-def jaccard(a: set[bytes], b: set[bytes]) -> float:
-    both = len(a & b)
-    return both / max(1, len(a) + len(b) - both)
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """Distinct 64-bit hashes of a text's word shingles, sorted."""
+    words = words_of(text)
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[k : k + size])) for k in range(len(words) and max(1, len(words) - size + 1))], dtype=np.uint64))
 
 
-def shingle_set(words: list[bytes], size: int) -> set[bytes]:
-    if not words:
-        return set()
-    return {b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted sets; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
 def _verify(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """(id, th, text, kept text) -> (id, th) of rows that do not resemble the kept text of their group."""
-    last, shingles = None, set()
+    last, shingles = None, shingle_hashes(None, size)
     for batch in batches:
         other = []
-        for k, (text, kept) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+        for k, (text, kept) in enumerate(zip(batch.column(2), batch.column(3))):
+            kept = kept.as_py()
             if kept != last:
-                last, shingles = kept, shingle_set(words_of(kept), size)
-            mine = shingle_set(words_of(text), size)
-            if (mine or shingles) and jaccard(mine, shingles) < similarity:
+                last, shingles = kept, shingle_hashes(kept, size)
+            if jaccard(shingle_hashes(text.as_py(), size), shingles) < similarity:
                 other.append(k)
         yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(other, pa.int64())) for c in (0, 1)], names=["id", "th"])
 
 
+def _greedy(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(id, th, text, group...) sorted by group and rank -> (id, th) of rows unlike every row kept before in their group."""
+    group, kept = None, []
+    for batch in batches:
+        stay = []
+        keys = list(zip(*(batch.column(k).to_pylist() for k in range(3, batch.num_columns))))
+        for k, key in enumerate(keys):
+            if key != group:
+                group, kept = key, []
+            mine = shingle_hashes(batch.column(2)[k].as_py(), size)
+            if all(jaccard(mine, x) < similarity for x in kept):
+                kept.append(mine)
+                stay.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(stay, pa.int64())) for c in (0, 1)], names=["id", "th"])
+
+
+#: Groups of at most so many texts are settled by one task each.
+SMALL_GROUP = 256
+
+
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
-    radius: int = 7, segments: Segments = FOUR_SEGMENTS, max_rounds: int = 20,
+    radius: int = 7, segments: Segments = FOUR_SEGMENTS, max_rounds: int = 50,
 ) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near duplicates keeps its row of the smallest id.
 
-    Groups are components of links within the radius. A row leaves only if it
-    equals the kept row's text or its shingles' Jaccard similarity to it reaches
-    ``similarity``; the others of the group choose again among themselves, round
-    by round. Rows left undecided after ``max_rounds`` stay. Null ids come last.
+    Groups are components of links within the radius. In the order of ids, a row
+    stays if its shingles' Jaccard similarity to every row that stays before it
+    in its group is below ``similarity``; equal texts are similar. Groups of up
+    to ``SMALL_GROUP`` texts are settled in one pass over sorted rows. In larger
+    ones the first row stays and all others are compared with it, spread over
+    tasks, until what is left of the group is small; rows undecided after
+    ``max_rounds`` such rounds stay. Null ids come last.
     """
     groups = cut(near_groups(docs, id_col, text_col, size, radius, segments))
     # One row per group and text; null ids (kept apart by a flag) sort last.
@@ -247,26 +272,27 @@ def keep_one(
     own = own.alias("d").join(unsure.alias("u"), [F.col("d.id").eqNullSafe(F.col("u.id")), F.col("d.th") == F.col("u.th")])
     one = own.select("u.*", "d.text").withColumn("k", F.expr("row_number() OVER (PARTITION BY id, th ORDER BY rank)")).filter("k = 1")
     pending = cut(one.select(*group, "id", "th", F.struct("rank", "th").alias("rank"), "text"))
-    chosen = alone
-    for _ in range(max_rounds):
-        best = pending.groupBy(*group).agg(F.min("rank").alias("best"))
-        ranked = pending.join(best, group)
-        kept = ranked.filter(F.col("rank") == F.col("best"))
-        chosen = chosen.union(kept.select("id", "th"))
-        against = ranked.filter(F.col("rank") != F.col("best")).drop("best").join(
-            kept.select(*group, F.col("text").alias("kept")), group
-        )
-        other = against.select("id", "th", "text", "kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long")
-        other = cut(other)
-        if other.isEmpty():
+    chosen, parts = alone, shuffle_partitions(docs.sparkSession)
+    for k in range(max_rounds + 1):
+        sizes = pending.groupBy(*group).count()
+        small = pending.join(sizes.filter(F.col("count") <= SMALL_GROUP).select(*group), group, "left_semi")
+        order = small.repartition(parts, *group).sortWithinPartitions(*group, "rank")
+        settled = order.select("id", "th", "text", *group).mapInArrow(lambda it: _greedy(it, size, similarity), "id long, th long")
+        chosen = chosen.union(cut(settled))
+        large = cut(pending.join(sizes.filter(F.col("count") > SMALL_GROUP).select(*group), group, "left_semi"))
+        if large.isEmpty():
             break
-        pending = cut(
-            pending.alias("p")
-            .join(other.alias("o"), [F.col("p.id").eqNullSafe(F.col("o.id")), F.col("p.th") == F.col("o.th")], "left_semi")
-            .select("p.*")
-        )
-    else:
-        chosen = chosen.union(pending.select("id", "th"))
+        if k == max_rounds:
+            chosen = chosen.union(large.select("id", "th"))
+            break
+        best = large.groupBy(*group).agg(F.min("rank").alias("best"))
+        ranked = large.join(best, group)
+        kept = cut(ranked.filter(F.col("rank") == F.col("best")).select(*group, "id", "th", F.col("text").alias("kept")))
+        chosen = chosen.union(kept.select("id", "th"))
+        against = ranked.filter(F.col("rank") != F.col("best")).drop("best").join(kept.select(*group, "kept"), group)
+        other = cut(against.select("id", "th", "text", "kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long"))
+        same = [F.col("p.id").eqNullSafe(F.col("o.id")), F.col("p.th") == F.col("o.th")]
+        pending = cut(large.alias("p").join(other.alias("o"), same, "left_semi").select("p.*"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.col("row")[id_col].cast("long").alias("id"), F.xxhash64(F.col("row")[text_col]).alias("th"))
     kept = rows.alias("r").join(chosen.alias("c"), [F.col("r.id").eqNullSafe(F.col("c.id")), F.col("r.th") == F.col("c.th")], "left_semi")

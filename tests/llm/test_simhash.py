@@ -93,3 +93,31 @@ def test_keep_one_wants_similarity(spark):
     kept = {r.doc_id for r in simhash.keep_one(df).collect()}
     assert len(kept & set(range(10))) == 1 and kept >= set(range(50, 60))
     assert df.select(F.max("doc_id")).first()[0] in kept
+
+
+def greedy(rows, size, similarity):
+    kept = []
+    for key, text in sorted(rows):
+        mine = simhash.shingle_hashes(text, size)
+        if all(simhash.jaccard(mine, x) < similarity for _, x in kept):
+            kept.append((key, mine))
+    return {k for k, _ in kept}
+
+
+def test_large_groups_are_settled_alike(spark, monkeypatch):
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            words[rng.randrange(300)] = f"v{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # all in one group, whatever their fingerprints
+    monkeypatch.setattr(simhash, "near_groups", lambda docs, *a, **k: docs.selectExpr("doc_id AS id", "xxhash64(text) AS th", "doc_id AS fp", "0L AS component_id"))
+    want = greedy(rows, 5, 0.8)
+    for most in (256, 10):
+        monkeypatch.setattr(simhash, "SMALL_GROUP", most)
+        assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
+    assert 1 < len(want) < 60
