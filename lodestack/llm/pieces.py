@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -48,7 +48,9 @@ MARK = "▁"
 SENTINEL = -(10**6)
 NONE = -(1 << 62)
 DEAD = -(1 << 61)
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 120_000
+#: Rows of an Arrow batch; a row of tokens is longer than the row counts that Spark's default is made for.
+BATCH_ROWS = 1000
 LONGEST_KNOWN = 64
 LETTERS = 127
 BORDER = re.compile(f"(?<=[^{MARK}]){MARK}")
@@ -128,7 +130,7 @@ class Encoder:
                     ids.append(0)
                 node = to
             score[node], ids[node] = s, k
-        self.step = np.zeros((len(steps), len(letters) + 1), dtype=np.int32)
+        self.step = np.zeros((len(steps), len(letters) + 1), dtype=np.uint16 if len(steps) < 1 << 16 else np.int32)
         for node, to in enumerate(steps):
             for c, k in to.items():
                 self.step[node, c] = k
@@ -362,6 +364,13 @@ class Encoder:
         return best[n : n + states].T.copy()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker is sent at a time, for this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def sliced(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what a task makes at a time stays small."""
     for at in range(0, batch.num_rows, rows):
@@ -494,6 +503,7 @@ def encode(
 ) -> DataFrame:
     """(id, th, tokens array<int>) of every row; th is a hash of the text that tells repeated ids apart."""
     v = Vocabulary(vocabulary)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     is_giant = F.coalesce(F.length("text") > giant, F.lit(False))
 
@@ -522,6 +532,7 @@ def encode(
 def decode(rows: DataFrame, tokens_col: str = "tokens", vocabulary: str = VOCABULARY) -> DataFrame:
     """All columns of ``rows`` but the tokens, plus ``decoded`` string."""
     out = Vocabulary(vocabulary).out
+    small_batches(rows.sparkSession)
     keep = [c for c in rows.columns if c != tokens_col]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep] + ["decoded string"])
 
