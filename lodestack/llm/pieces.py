@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestack.session import cut
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 32_768
 CHUNK = 16_384
@@ -437,7 +439,8 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=[*KEY, "k", "m"])
 
     key = "id long, th long"
-    transfer = chunks.mapInArrow(matrices, f"{key}, k int, m binary").withColumn("b", F.floor(F.col("k") / block).cast("int"))
+    # A matrix is small and dear, and two plans below read it: it is written once.
+    transfer = cut(chunks.mapInArrow(matrices, f"{key}, k int, m binary").withColumn("b", F.floor(F.col("k") / block).cast("int")))
 
     def product(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("k")
