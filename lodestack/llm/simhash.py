@@ -19,12 +19,13 @@ their group; repeated rows are copies of each other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestack.llm.components import connected_components
@@ -211,54 +212,76 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
+def prefix(shingles: np.ndarray, similarity: float) -> np.ndarray:
+    """The least hashes of a set; two sets of that similarity or more share one of them. Empty sets share zero."""
+    n = len(shingles)
+    return shingles[: n - math.ceil(similarity * n - 1e-9) + 1] if n else np.zeros(1, dtype=np.uint64)
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(text, keys...) -> (h, keys...) for every hash of the text's prefix."""
+    for batch in batches:
+        found = [prefix(shingle_hashes(t.as_py(), size), similarity) for t in batch.column(0)]
+        take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        h = np.concatenate(found or [np.zeros(0, dtype=np.uint64)]).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h), *(c.take(take) for c in batch.columns[1:])], names=["h", *batch.schema.names[1:]]
+        )
+
+
 def _verify(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """(id, th, text, kept text) -> (id, th) of rows that do not resemble the kept text of their group."""
+    """(id, th, text, kept text) -> (id, th) of rows that resemble the kept text."""
     last, shingles = None, shingle_hashes(None, size)
     for batch in batches:
-        other = []
+        alike = []
         for k, (text, kept) in enumerate(zip(batch.column(2), batch.column(3))):
             kept = kept.as_py()
             if kept != last:
                 last, shingles = kept, shingle_hashes(kept, size)
-            if jaccard(shingle_hashes(text.as_py(), size), shingles) < similarity:
-                other.append(k)
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(other, pa.int64())) for c in (0, 1)], names=["id", "th"])
+            if jaccard(shingle_hashes(text.as_py(), size), shingles) >= similarity:
+                alike.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alike, pa.int64())) for c in (0, 1)], names=["id", "th"])
 
 
 def _greedy(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """(id, th, text, group...) sorted by group and rank -> (id, th) of rows unlike every row kept before in their group."""
-    group, kept = None, []
+    group, kept, index = None, [], {}
     for batch in batches:
         stay = []
         keys = list(zip(*(batch.column(k).to_pylist() for k in range(3, batch.num_columns))))
         for k, key in enumerate(keys):
             if key != group:
-                group, kept = key, []
+                group, kept, index = key, [], {}
             mine = shingle_hashes(batch.column(2)[k].as_py(), size)
-            if all(jaccard(mine, x) < similarity for x in kept):
+            first = prefix(mine, similarity).tolist()
+            if all(jaccard(mine, kept[x]) < similarity for x in {x for h in first for x in index.get(h, ())}):
+                for h in first:
+                    index.setdefault(h, []).append(len(kept))
                 kept.append(mine)
                 stay.append(k)
         yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(stay, pa.int64())) for c in (0, 1)], names=["id", "th"])
 
 
 #: Groups of at most so many texts are settled by one task each.
-SMALL_GROUP = 256
+SMALL_GROUP = 512
 
 
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8,
-    radius: int = 7, segments: Segments = FOUR_SEGMENTS, max_rounds: int = 50,
+    radius: int = 7, segments: Segments = FOUR_SEGMENTS, small_group: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near duplicates keeps its row of the smallest id.
 
     Groups are components of links within the radius. In the order of ids, a row
     stays if its shingles' Jaccard similarity to every row that stays before it
     in its group is below ``similarity``; equal texts are similar. Groups of up
-    to ``SMALL_GROUP`` texts are settled in one pass over sorted rows. In larger
-    ones the first row stays and all others are compared with it, spread over
-    tasks, until what is left of the group is small; rows undecided after
-    ``max_rounds`` such rounds stay. Null ids come last.
+    to ``small_group`` texts are settled in one pass over sorted rows. Of larger
+    ones the first ``small_group`` rows are settled so; the others meet the rows
+    that stay by an equality join on the prefixes of their shingle hashes, go if
+    one is similar, and the next round has what is left, until groups are small.
+    Null ids come last.
     """
+    small_group = small_group or SMALL_GROUP
     groups = cut(near_groups(docs, id_col, text_col, size, radius, segments))
     # One row per group and text; null ids (kept apart by a flag) sort last.
     rank = F.struct(F.col("id").isNull().alias("none"), "id")
@@ -273,26 +296,40 @@ def keep_one(
     one = own.select("u.*", "d.text").withColumn("k", F.expr("row_number() OVER (PARTITION BY id, th ORDER BY rank)")).filter("k = 1")
     pending = cut(one.select(*group, "id", "th", F.struct("rank", "th").alias("rank"), "text"))
     chosen, parts = alone, shuffle_partitions(docs.sparkSession)
-    for k in range(max_rounds + 1):
+    same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in ("id", "th")]
+
+    def settled(rows: DataFrame) -> DataFrame:
+        order = rows.repartition(parts, *group).sortWithinPartitions(*group, "rank")
+        return cut(order.select("id", "th", "text", *group).mapInArrow(lambda it: _greedy(it, size, similarity), "id long, th long"))
+
+    def prefixes(rows: DataFrame) -> DataFrame:
+        wide = rows.select("text", *group, "id", "th")
+        return wide.mapInArrow(lambda it: _prefixes(it, size, similarity), "h long, c long, loose boolean, id long, th long")
+
+    while True:
         sizes = pending.groupBy(*group).count()
-        small = pending.join(sizes.filter(F.col("count") <= SMALL_GROUP).select(*group), group, "left_semi")
-        order = small.repartition(parts, *group).sortWithinPartitions(*group, "rank")
-        settled = order.select("id", "th", "text", *group).mapInArrow(lambda it: _greedy(it, size, similarity), "id long, th long")
-        chosen = chosen.union(cut(settled))
-        large = cut(pending.join(sizes.filter(F.col("count") > SMALL_GROUP).select(*group), group, "left_semi"))
+        small = pending.join(sizes.filter(F.col("count") <= small_group).select(*group), group, "left_semi")
+        chosen = chosen.union(settled(small))
+        large = cut(pending.join(sizes.filter(F.col("count") > small_group).select(*group), group, "left_semi"))
         if large.isEmpty():
             break
-        if k == max_rounds:
-            chosen = chosen.union(large.select("id", "th"))
-            break
-        best = large.groupBy(*group).agg(F.min("rank").alias("best"))
-        ranked = large.join(best, group)
-        kept = cut(ranked.filter(F.col("rank") == F.col("best")).select(*group, "id", "th", F.col("text").alias("kept")))
-        chosen = chosen.union(kept.select("id", "th"))
-        against = ranked.filter(F.col("rank") != F.col("best")).drop("best").join(kept.select(*group, "kept"), group)
-        other = cut(against.select("id", "th", "text", "kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long"))
-        same = [F.col("p.id").eqNullSafe(F.col("o.id")), F.col("p.th") == F.col("o.th")]
-        pending = cut(large.alias("p").join(other.alias("o"), same, "left_semi").select("p.*"))
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("rank"))
+        head = cut(large.withColumn("place", place).filter(F.col("place") <= small_group).drop("place"))
+        stay = settled(head)
+        chosen = chosen.union(stay)
+        kept = head.alias("a").join(stay.alias("b"), same("a", "b"), "left_semi").select("a.*")
+        last = head.groupBy(*group).agg(F.max("rank").alias("last"))
+        tail = large.join(last, group).filter(F.col("rank") > F.col("last")).drop("last")
+        other = prefixes(kept).withColumnsRenamed({"id": "kept_id", "th": "kept_th"})
+        pairs = prefixes(tail).join(other, ["h", *group]).select("id", "th", "kept_id", "kept_th").distinct()
+        texts = pairs.alias("p").join(tail.alias("t"), same("p", "t")).select("p.*", "t.text")
+        both = texts.alias("x").join(
+            kept.select("id", "th", F.col("text").alias("kept")).alias("k"),
+            F.col("x.kept_id").eqNullSafe(F.col("k.id")) & (F.col("x.kept_th") == F.col("k.th")),
+        )
+        alike = both.select("x.id", "x.th", "x.text", "k.kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long")
+        gone = cut(alike.distinct())
+        pending = cut(tail.alias("t").join(gone.alias("g"), same("t", "g"), "left_anti").select("t.*"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.col("row")[id_col].cast("long").alias("id"), F.xxhash64(F.col("row")[text_col]).alias("th"))
     kept = rows.alias("r").join(chosen.alias("c"), [F.col("r.id").eqNullSafe(F.col("c.id")), F.col("r.th") == F.col("c.th")], "left_semi")

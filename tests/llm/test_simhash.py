@@ -117,7 +117,7 @@ def test_large_groups_are_settled_alike(spark, monkeypatch):
     # all in one group, whatever their fingerprints
     monkeypatch.setattr(simhash, "near_groups", lambda docs, *a, **k: docs.selectExpr("doc_id AS id", "xxhash64(text) AS th", "doc_id AS fp", "0L AS component_id"))
     want = greedy(rows, 5, 0.8)
-    for most in (256, 10):
+    for most in (256, 10, 3):
         monkeypatch.setattr(simhash, "SMALL_GROUP", most)
         assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
     assert 1 < len(want) < 60
