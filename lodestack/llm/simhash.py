@@ -219,28 +219,42 @@ def prefix(shingles: np.ndarray, similarity: float) -> np.ndarray:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """(text, keys...) -> (h, keys...) for every hash of the text's prefix."""
+    """(text, keys...) -> (h, n, keys...) for every hash of the text's prefix; n counts all of its hashes."""
     for batch in batches:
-        found = [prefix(shingle_hashes(t.as_py(), size), similarity) for t in batch.column(0)]
-        take = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        sets = [shingle_hashes(t.as_py(), size) for t in batch.column(0)]
+        found = [prefix(x, similarity) for x in sets]
+        take = np.repeat(np.arange(len(found)), [len(x) for x in found])
         h = np.concatenate(found or [np.zeros(0, dtype=np.uint64)]).view(np.int64)
+        n = np.array([len(x) for x in sets], dtype=np.int32)[take]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(h), *(c.take(take) for c in batch.columns[1:])], names=["h", *batch.schema.names[1:]]
+            [pa.array(h), pa.array(n), *(c.take(pa.array(take)) for c in batch.columns[1:])], names=["h", "n", *batch.schema.names[1:]]
         )
 
 
+#: Hashes that a task remembers at most of texts it has compared.
+REMEMBERED = 1 << 22
+
+
 def _verify(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """(id, th, text, kept text) -> (id, th) of rows that resemble the kept text."""
-    last, shingles = None, shingle_hashes(None, size)
+    """(id, th, text, th of kept, kept text) -> (id, th) of rows that resemble the kept text."""
+    known: dict[int, np.ndarray] = {}
+    total = 0
+
+    def shingles(th, text) -> np.ndarray:
+        nonlocal total
+        key = th.as_py()
+        if key not in known:
+            if total > REMEMBERED:
+                known.clear()
+                total = 0
+            known[key] = shingle_hashes(text.as_py(), size)
+            total += len(known[key])
+        return known[key]
+
     for batch in batches:
-        alike = []
-        for k, (text, kept) in enumerate(zip(batch.column(2), batch.column(3))):
-            kept = kept.as_py()
-            if kept != last:
-                last, shingles = kept, shingle_hashes(kept, size)
-            if jaccard(shingle_hashes(text.as_py(), size), shingles) >= similarity:
-                alike.append(k)
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alike, pa.int64())) for c in (0, 1)], names=["id", "th"])
+        _, th, text, kept_th, kept = batch.columns
+        near = [jaccard(shingles(a, x), shingles(b, y)) >= similarity for a, x, b, y in zip(th, text, kept_th, kept)]
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near, pa.bool_())) for c in (0, 1)], names=["id", "th"])
 
 
 def _greedy(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
@@ -304,7 +318,7 @@ def keep_one(
 
     def prefixes(rows: DataFrame) -> DataFrame:
         wide = rows.select("text", *group, "id", "th")
-        return wide.mapInArrow(lambda it: _prefixes(it, size, similarity), "h long, c long, loose boolean, id long, th long")
+        return wide.mapInArrow(lambda it: _prefixes(it, size, similarity), "h long, n int, c long, loose boolean, id long, th long")
 
     while True:
         sizes = pending.groupBy(*group).count()
@@ -320,14 +334,16 @@ def keep_one(
         kept = head.alias("a").join(stay.alias("b"), same("a", "b"), "left_semi").select("a.*")
         last = head.groupBy(*group).agg(F.max("rank").alias("last"))
         tail = large.join(last, group).filter(F.col("rank") > F.col("last")).drop("last")
-        other = prefixes(kept).withColumnsRenamed({"id": "kept_id", "th": "kept_th"})
-        pairs = prefixes(tail).join(other, ["h", *group]).select("id", "th", "kept_id", "kept_th").distinct()
+        other = prefixes(kept).withColumnsRenamed({"id": "kept_id", "th": "kept_th", "n": "kept_n"})
+        # Similar sets are of similar size.
+        sized = F.least("n", "kept_n") >= F.greatest("n", "kept_n") * similarity - 1e-6
+        pairs = prefixes(tail).join(other, ["h", *group]).filter(sized).select("id", "th", "kept_id", "kept_th").distinct()
         texts = pairs.alias("p").join(tail.alias("t"), same("p", "t")).select("p.*", "t.text")
         both = texts.alias("x").join(
             kept.select("id", "th", F.col("text").alias("kept")).alias("k"),
             F.col("x.kept_id").eqNullSafe(F.col("k.id")) & (F.col("x.kept_th") == F.col("k.th")),
         )
-        alike = both.select("x.id", "x.th", "x.text", "k.kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long")
+        alike = both.select("x.id", "x.th", "x.text", "x.kept_th", "k.kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long")
         gone = cut(alike.distinct())
         pending = cut(tail.alias("t").join(gone.alias("g"), same("t", "g"), "left_anti").select("t.*"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
