@@ -40,38 +40,74 @@ Segments = tuple[tuple[int, int], ...]
 BLOCK = 4096
 SMALL = 48
 STEP = 1 << 15
+#: Bands of min-hashes: a pair of similarity 0.8 shares none with probability (1 - 0.8 ** 4) ** 32, less than 5 in 10^8.
+BANDS, WIDTH = 32, 4
+SPREAD = np.array([xxhash.xxh64_intdigest(b"spread %d" % k) | 1 for k in range(BANDS * WIDTH)], dtype=np.uint64)
+MIX = np.array([xxhash.xxh64_intdigest(b"mix %d" % k) | 1 for k in range(BANDS * WIDTH)], dtype=np.uint64).reshape(BANDS, WIDTH)
+#: Hashes that a task remembers at most of texts it has met.
+REMEMBERED = 1 << 22
 
 
-def fingerprint(words: list[bytes], size: int, seed: int = 42) -> int:
-    """Signed 64-bit SimHash of the word shingles of that size, repeats included."""
-    n = len(words) - size + 1
+def _digests(words: list[bytes], size: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles of that size, repeats included, some at a time; of all words where there are fewer."""
     if not words:
-        return 0
+        return
+    n = max(1, len(words) - size + 1)
     line = b" ".join(words)
-    if n <= 1:
-        return int(np.uint64(xxhash.xxh64_intdigest(line, seed)).astype(np.int64))
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))[:n].tolist()
-    ends = (ends[size - 1 :] - 1).tolist()
+    ends = (ends[size - 1 :] - 1).tolist() if n > 1 else [len(line)]
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, STEP):
-        got = [digest(line[a:b], seed) for a, b in zip(starts[at : at + STEP], ends[at : at + STEP])]
-        bits = np.unpackbits(np.array(got, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1)
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n).view("<i8")[0])
+        yield np.array([digest(line[a:b], seed) for a, b in zip(starts[at : at + STEP], ends[at : at + STEP])], dtype="<u8")
+
 
+def _majority(digests: list[np.ndarray]) -> int:
+    ones = np.zeros(64, dtype=np.int64)
+    for got in digests:
+        ones += np.unpackbits(got.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > sum(map(len, digests))).view("<i8")[0])
+
+
+def fingerprint(words: list[bytes], size: int, seed: int = 42) -> int:
+    """Signed 64-bit SimHash of the word shingles of that size, repeats included."""
+    return _majority(list(_digests(words, size, seed)))
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(id, th, fp) of every row."""
+
+def marks(digests: list[np.ndarray]) -> np.ndarray:
+    """One number per band; two sets of Jaccard similarity s agree on a band with probability s ** WIDTH."""
+    least = np.full(BANDS * WIDTH, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for got in digests:
+        for at in range(0, len(got), 256):
+            np.minimum(least, (got[at : at + 256, None] * SPREAD).min(axis=0), out=least)
+    return (least.reshape(BANDS, WIDTH) * MIX).sum(axis=1, dtype=np.uint64) if digests else np.zeros(0, dtype=np.uint64)
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, marked: bool = False) -> DataFrame:
+    """(id, th, fp) of every row; if marked, also the marks of each text where a task meets it first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            fps = [fingerprint(words_of(t.as_py()), size) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps, pa.int64())], names=["id", "th", "fp"])
+            fps, found = [], []
+            for th, t in zip(batch.column(1).to_pylist(), batch.column(2)):
+                digests = list(_digests(words_of(t.as_py()), size))
+                fps.append(_majority(digests))
+                if marked:
+                    found.append([] if th in seen else marks(digests).view(np.int64))
+                    if len(seen) < REMEMBERED:
+                        seen.add(th)
+            columns = [*batch.columns[:2], pa.array(fps, pa.int64())] + ([pa.array(found, pa.list_(pa.int64()))] if marked else [])
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "th", "fp", "marks"][: len(columns)])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, th long, fp long")
+    return rows.mapInArrow(run, "id long, th long, fp long" + (", marks array<long>" if marked else ""))
+
+
+def marked_links(rows: DataFrame) -> DataFrame:
+    """rows(fp, marks) -> links (a, b) from each fingerprint to the least one that shares a mark with it."""
+    met = rows.select(F.explode("marks").alias("mark"), "fp").selectExpr("fp AS b", "min(fp) OVER (PARTITION BY mark) AS a")
+    return met.filter("a != b").select("a", "b").distinct()
 
 
 def _first_shared(x: np.ndarray, segments: Segments) -> np.ndarray:
@@ -186,12 +222,17 @@ def near_links(fps: DataFrame, radius: int = RADIUS, segments: Segments = SEGMEN
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = RADIUS, segments: Segments = SEGMENTS
-) -> DataFrame:
-    """(id, th, fp, component_id) of every row; component_id is the smallest id reachable over links, th hashes the text."""
-    rows = cut(fingerprints(docs, id_col, text_col, size))
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, radius: int = RADIUS, segments: Segments = SEGMENTS,
+    marked: bool = False,
+) -> DataFrame:
+    """(id, th, fp, component_id) of every row; component_id is the smallest id reachable over links, th hashes the text.
+
+    If marked, texts that share a band of min-hashes are linked too, however far their fingerprints lie apart.
+    """
+    rows = cut(fingerprints(docs, id_col, text_col, size, marked))
     least = rows.groupBy("fp").agg(F.min("id").alias("id"))
-    roots = connected_components(near_links(least.select("fp"), radius, segments))
+    links = near_links(least.select("fp"), radius, segments)
+    roots = connected_components(links.union(marked_links(rows)) if marked else links)
     named = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "id", F.coalesce("root", "fp").alias("root")
     )
@@ -218,43 +259,24 @@ def prefix(shingles: np.ndarray, similarity: float) -> np.ndarray:
     return shingles[: n - math.ceil(similarity * n - 1e-9) + 1] if n else np.zeros(1, dtype=np.uint64)
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """(text, keys...) -> (h, n, keys...) for every hash of the text's prefix; n counts all of its hashes."""
-    for batch in batches:
-        sets = [shingle_hashes(t.as_py(), size) for t in batch.column(0)]
-        found = [prefix(x, similarity) for x in sets]
-        take = np.repeat(np.arange(len(found)), [len(x) for x in found])
-        h = np.concatenate(found or [np.zeros(0, dtype=np.uint64)]).view(np.int64)
-        n = np.array([len(x) for x in sets], dtype=np.int32)[take]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h), pa.array(n), *(c.take(pa.array(take)) for c in batch.columns[1:])], names=["h", "n", *batch.schema.names[1:]]
-        )
-
-
-#: Hashes that a task remembers at most of texts it has compared.
-REMEMBERED = 1 << 22
-
-
-def _verify(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """(id, th, text, th of kept, kept text) -> (id, th) of rows that resemble the kept text."""
-    known: dict[int, np.ndarray] = {}
-    total = 0
-
-    def shingles(th, text) -> np.ndarray:
-        nonlocal total
-        key = th.as_py()
-        if key not in known:
-            if total > REMEMBERED:
-                known.clear()
-                total = 0
-            known[key] = shingle_hashes(text.as_py(), size)
-            total += len(known[key])
-        return known[key]
-
+def _resembling(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(id, th, text, asked, group...) sorted by group and asked -> (id, th) of rows asked about that resemble one not asked about."""
+    group, kept, index = None, [], {}
     for batch in batches:
-        _, th, text, kept_th, kept = batch.columns
-        near = [jaccard(shingles(a, x), shingles(b, y)) >= similarity for a, x, b, y in zip(th, text, kept_th, kept)]
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near, pa.bool_())) for c in (0, 1)], names=["id", "th"])
+        near = []
+        asked = batch.column(3).to_pylist()
+        for k, key in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4, batch.num_columns)))):
+            if key != group:
+                group, kept, index = key, [], {}
+            mine = shingle_hashes(batch.column(2)[k].as_py(), size)
+            first = prefix(mine, similarity).tolist()
+            if not asked[k]:
+                for h in first:
+                    index.setdefault(h, []).append(len(kept))
+                kept.append(mine)
+            elif any(jaccard(mine, kept[x]) >= similarity for x in {x for h in first for x in index.get(h, ())}):
+                near.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(near, pa.int64())) for c in (0, 1)], names=["id", "th"])
 
 
 def _greedy(batches: Iterator[pa.RecordBatch], size: int, similarity: float) -> Iterator[pa.RecordBatch]:
@@ -286,17 +308,20 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs`` that stay when each group of near duplicates keeps its row of the smallest id.
 
-    Groups are components of links within the radius. In the order of ids, a row
+    Groups are components of links within the radius and of links between texts
+    that share a band of min-hashes; the latter miss a pair of that similarity
+    with a probability below 5 in 10^8 at 0.8 and less above, so settling groups
+    is settling all rows. In the order of ids, a row
     stays if its shingles' Jaccard similarity to every row that stays before it
     in its group is below ``similarity``; equal texts are similar. Groups of up
     to ``small_group`` texts are settled in one pass over sorted rows. Of larger
-    ones the first ``small_group`` rows are settled so; the others meet the rows
-    that stay by an equality join on the prefixes of their shingle hashes, go if
-    one is similar, and the next round has what is left, until groups are small.
+    ones the first ``small_group`` rows are settled so; the others are dealt into
+    parts that each meet a copy of the rows that stay, go if one is similar, and
+    the next round has what is left, until groups are small.
     Null ids come last.
     """
     small_group = small_group or SMALL_GROUP
-    groups = cut(near_groups(docs, id_col, text_col, size, radius, segments))
+    groups = cut(near_groups(docs, id_col, text_col, size, radius, segments, marked=True))
     # One row per group and text; null ids (kept apart by a flag) sort last.
     rank = F.struct(F.col("id").isNull().alias("none"), "id")
     texts = groups.groupBy(F.col("fp").alias("any_fp"), "th").agg(F.min(rank).alias("rank"), F.first("component_id").alias("c"))
@@ -316,10 +341,6 @@ def keep_one(
         order = rows.repartition(parts, *group).sortWithinPartitions(*group, "rank")
         return cut(order.select("id", "th", "text", *group).mapInArrow(lambda it: _greedy(it, size, similarity), "id long, th long"))
 
-    def prefixes(rows: DataFrame) -> DataFrame:
-        wide = rows.select("text", *group, "id", "th")
-        return wide.mapInArrow(lambda it: _prefixes(it, size, similarity), "h long, n int, c long, loose boolean, id long, th long")
-
     while True:
         sizes = pending.groupBy(*group).count()
         small = pending.join(sizes.filter(F.col("count") <= small_group).select(*group), group, "left_semi")
@@ -334,17 +355,14 @@ def keep_one(
         kept = head.alias("a").join(stay.alias("b"), same("a", "b"), "left_semi").select("a.*")
         last = head.groupBy(*group).agg(F.max("rank").alias("last"))
         tail = large.join(last, group).filter(F.col("rank") > F.col("last")).drop("last")
-        other = prefixes(kept).withColumnsRenamed({"id": "kept_id", "th": "kept_th", "n": "kept_n"})
-        # Similar sets are of similar size.
-        sized = F.least("n", "kept_n") >= F.greatest("n", "kept_n") * similarity - 1e-6
-        pairs = prefixes(tail).join(other, ["h", *group]).filter(sized).select("id", "th", "kept_id", "kept_th").distinct()
-        texts = pairs.alias("p").join(tail.alias("t"), same("p", "t")).select("p.*", "t.text")
-        both = texts.alias("x").join(
-            kept.select("id", "th", F.col("text").alias("kept")).alias("k"),
-            F.col("x.kept_id").eqNullSafe(F.col("k.id")) & (F.col("x.kept_th") == F.col("k.th")),
-        )
-        alike = both.select("x.id", "x.th", "x.text", "x.kept_th", "k.kept").mapInArrow(lambda it: _verify(it, size, similarity), "id long, th long")
-        gone = cut(alike.distinct())
+        # The rest of a group is dealt into parts of about small_group rows, each with a copy of the rows that stay.
+        parts_of = sizes.select(*group, F.ceil(F.col("count") / small_group).cast("int").alias("of"))
+        part = F.pmod(F.xxhash64("id", "th"), F.col("of")).cast("int")
+        asked = tail.join(parts_of, group).select("id", "th", "text", F.lit(True).alias("asked"), *group, part.alias("part"))
+        copies = F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part")
+        known = kept.join(parts_of, group).select("id", "th", "text", F.lit(False).alias("asked"), *group, copies)
+        dealt = asked.union(known).repartition(parts, *group, "part").sortWithinPartitions(*group, "part", "asked")
+        gone = cut(dealt.mapInArrow(lambda it: _resembling(it, size, similarity), "id long, th long"))
         pending = cut(tail.alias("t").join(gone.alias("g"), same("t", "g"), "left_anti").select("t.*"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.col("row")[id_col].cast("long").alias("id"), F.xxhash64(F.col("row")[text_col]).alias("th"))

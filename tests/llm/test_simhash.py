@@ -121,3 +121,23 @@ def test_large_groups_are_settled_alike(spark, monkeypatch):
         monkeypatch.setattr(simhash, "SMALL_GROUP", most)
         assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
     assert 1 < len(want) < 60
+
+
+def test_scattered_edits_are_found(spark):
+    """Pairs at similarity 0.8 and little more, each a group of its own, found through the stage's own candidates."""
+    rng = random.Random(11)
+    rows, pairs = [], 0
+    for k in range(200):
+        n = rng.randrange(60, 500)
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        near = list(base)
+        mine, other = (simhash.shingle_hashes(" ".join(x), 5) for x in (base, near))
+        while simhash.jaccard(mine, other) >= 0.83:
+            near[rng.randrange(n)] = f"v{rng.randrange(10**6)}"
+            other = simhash.shingle_hashes(" ".join(near), 5)
+        pairs += simhash.jaccard(mine, other) >= 0.8
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = greedy(rows, 5, 0.8)
+    assert pairs > 100 and len(want) == len(rows) - pairs
+    assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
