@@ -5,7 +5,9 @@ forms, page headers and footers, and blocks whose class, id or role says
 sidebar, notice, advert or comments) are cut. Every paragraph then passes points
 for its length and commas to its parent, half of them to its grandparent and
 less further up; a container's points are discounted by its link density. The
-best container is kept with those siblings that read like its continuation.
+best container is kept with all of the declared article around it that is not
+cut. Without one, all of ``main`` or else of its parent stays if links are few in
+the rest; otherwise lists of links go and what reads like a continuation stays.
 
 Spark maps pages to rows in Arrow batches; a page needs only itself, so there is
 no shuffle, and a task's memory is one batch. Defined cases: a null or empty
@@ -49,6 +51,8 @@ OTHER = frozenset(
     "discussion social share sharing related recommended recommendations pagination pager login search searchbox form toolbar "
     "complementary contentinfo skip print hidden paywall".split()
 )
+#: Siblings of the best container that stay, whatever their points, if links are few.
+BLOCKS = frozenset("p h3 h4 h5 h6 ul ol dl blockquote pre table figure".split())
 KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?(?:[A-Za-z][^<]*)?\Z", re.S
@@ -217,19 +221,59 @@ def main_text(page: str | None) -> str:
         return text_of(root)
     while best.up is not None and best.tag in PARAGRAPHS | INLINE:
         best = best.up
-    holder, keep = best.up, [best]
-    if holder is not None and best.tag not in KEPT_WHOLE:
-        least = 0.2 * best.points
-        keep = [x for x in holder.inside if isinstance(x, Node) and not x.cut and (x is best or _continues(x, best, least))]
+    keep = [best] if best.tag in KEPT_WHOLE else _around(best)
     return " ".join(t for t in map(text_of, keep) if t)
 
 
+def _around(best: Node) -> list[Node]:
+    """The declared article around the best container; else the container that continues it, or siblings that do."""
+    above, up = [], best.up
+    while up is not None:
+        above.append(up)
+        up = up.up
+    for x in above:
+        if x.tag == "article":
+            return [x]
+    holder = above[0] if above else None
+    whole = next((x for x in above if x.tag == "main"), holder)
+    if whole is None:
+        return [best]
+    rest = whole.size - best.size
+    if whole.tag not in ("html", "body", "#page") and whole.linked - best.linked < 0.25 * rest:
+        return [whole]
+    if whole.tag == "main":
+        # Lists of links beside the article go; everything else that main declares stays.
+        return _text_blocks(whole, best)
+    least = 0.2 * best.points
+    return [x for x in holder.inside if isinstance(x, Node) and not x.cut and (x is best or _continues(x, best, least))]
+
+
+def _text_blocks(whole: Node, best: Node) -> list[Node]:
+    line = {best}
+    while (up := best.up) is not whole:
+        line.add(best := up)
+    shell = Node("div", None)
+
+    def fill(node: Node, copy: Node) -> None:
+        for x in node.inside:
+            if isinstance(x, str) or x.tag in INLINE:
+                copy.inside.append(x)
+            elif x in line and x.inside and any(y in line for y in x.inside if isinstance(y, Node)):
+                copy.inside.append(part := Node(x.tag, copy))
+                fill(x, part)
+            elif not x.cut and (x in line or _density(x) < 0.33):
+                copy.inside.append(x)
+
+    fill(whole, shell)
+    return [shell]
+
+
 def _continues(x: Node, best: Node, least: float) -> bool:
     if x.tag in ("h1", "h2"):
         return True
     if x.points >= max(least, 3.0) and _density(x) < 0.33:
         return True
-    return x.tag == "p" and x.size > 0 and _density(x) < 0.25
+    return x.tag in BLOCKS and x.size > 0 and _density(x) < 0.25
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -17,6 +17,25 @@ def test_declared_article():
     assert main_text(page) == "H S."
 
 
+LONG = "".join(f"<p>Long, paragraph, number, {k}, of, the, section.</p>" for k in range(10))
+SHORT = """<h3>More</h3><ul><li>one</li></ul><blockquote>said</blockquote><pre>code</pre><table><tr><td>cell</td></tr></table>
+<section><h4>End</h4><p>Bye.</p></section>"""
+BESIDE = "More one said code cell End Bye."
+
+
+def test_one_long_section_and_short_ones():
+    links = "".join(f'<li><a href="/{k}">Another story of today</a></li>' for k in range(30))
+    long = main_text(LONG)
+    assert long.count("Long,") == 10
+    for holder in ("article", "main", "div"):
+        page = f"<nav><a>x</a></nav><{holder}><p>Intro.</p><section>{LONG}</section>{SHORT}</{holder}><footer>f</footer>"
+        assert main_text(page) == f"Intro. {long} {BESIDE}"
+    page = f"<main><div><p>Intro.</p><section>{LONG}</section>{SHORT}</div><div><ul>{links}</ul></div></main>"
+    assert main_text(page) == f"Intro. {long} {BESIDE}"
+    page = f"<main><article><div><section>{LONG}</section></div>{SHORT}</article><div><ul>{links}</ul></div></main>"
+    assert main_text(page) == f"{long} {BESIDE}"
+
+
 def test_cut_off_and_odd_markup():
     assert main_text("<p>open and cut <b>here</") == "open and cut here"
     assert main_text("plain 1 < 2 & more") == "plain 1 < 2 & more"
