@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestack.session import cut
+from lodestack.session import cut, shuffle_partitions
 
 
 def prefix_packs(rows: DataFrame, limit: int, most_depth: int = 12) -> DataFrame:
@@ -60,29 +62,110 @@ def batch_chunks(rows: DataFrame, group: str, most_rows: int, most_bytes: int) -
     return ordered.mapInPandas(fold, schema)
 
 
+def ffd_runs(sizes: list[int], counts: list[int], budget: int) -> list[tuple[int, int, int, int, int]]:
+    """First fit of so many items of each size, sizes descending -> (size, rank, items, bin, each).
+
+    From that rank among its size on, so many items go into bins from that one
+    on, that many each. Bins with the same past are one run, so the work depends
+    on the number of sizes, not on that of items.
+    """
+    start, many, free = (np.zeros(0, dtype=np.int64) for _ in range(3))
+    out, bins = [], 0
+    for size, count in zip(sizes, counts):
+        rank = 0
+        split: dict[int, list[tuple[int, int, int]]] = {}
+        for r in np.flatnonzero(free >= size):
+            if rank == count:
+                break
+            first, n, room = int(start[r]), int(many[r]), int(free[r])
+            each = room // size if size else count
+            take = min(count - rank, n * each)
+            out.append((size, rank, take, first, each))
+            rank += take
+            full, over = divmod(take, each)
+            parts = [(first, full, room - each * size), (first + full, min(1, over), room - over * size), (first + full + (over > 0), n - full - (over > 0), room)]
+            split[int(r)] = [x for x in parts if x[1]]
+        if rank < count:
+            each = max(1, budget // size) if size else count
+            left = count - rank
+            out.append((size, rank, left, bins, each))
+            full, over = divmod(left, each)
+            new = [(bins, full, max(0, budget - each * size)), (bins + full, min(1, over), max(0, budget - over * size))]
+            split[len(start)] = [x for x in new if x[1]]
+            bins += full + (over > 0)
+        runs = []
+        at = 0
+        for r in sorted(split):
+            runs += [np.stack([start[at:r], many[at:r], free[at:r]], axis=1), np.array(split[r], dtype=np.int64).reshape(-1, 3)]
+            at = r + 1
+        runs.append(np.stack([start[at:], many[at:], free[at:]], axis=1))
+        start, many, free = np.concatenate(runs).T.copy()
+    return out
+
+
 def bin_pack_ffd(items: DataFrame, budget: int) -> DataFrame:
     """items(topic, key, size) -> (topic, key, size, bin): first fit decreasing inside each topic; too large items stand alone.
 
-    Bins are compared by free space; a topic's items are its placement objects,
-    metadata of files, and are planned in one task per topic.
+    A topic is planned from its sizes and their counts alone, at most budget + 2
+    of them; items find their bins by their rank among those of their size. Ranks
+    come from sorted ranges and the counts of the ranges before, so no task holds
+    a topic. A null size is planned as zero.
     """
+    kinds = dict(items.dtypes)
+    planned = F.least(F.greatest(F.coalesce("size", F.lit(0)), F.lit(0)), F.lit(budget + 1)).cast("long")
+    rows = items.select("topic", "key", "size", planned.alias("plan"))
+    order = [F.col("plan").desc(), F.col("size").desc(), "key"]
+    parts = shuffle_partitions(items.sparkSession)
+    ranged = cut(rows.repartitionByRange(parts, "topic", *order).withColumn("range", F.spark_partition_id()))
+    sums = ranged.groupBy("topic", "plan", "range").count()
+    before = Window.partitionBy("topic", "plan").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("topic", "plan", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    local = F.row_number().over(Window.partitionBy("topic", "plan", "range").orderBy(F.col("size").desc(), "key")) - 1
+    ranks = ranged.withColumn("local", local).alias("r").join(
+        offsets.alias("o"), [F.col("r.topic").eqNullSafe(F.col("o.topic")), *(F.col(f"r.{c}") == F.col(f"o.{c}") for c in ("plan", "range"))]
+    ).select("r.*", (F.col("before") + F.col("local")).alias("rank"))
 
     def plan(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["size", "key"], ascending=[False, True])
-        free: list[int] = []
-        at = []
-        for size in frame["size"]:
-            k = next((i for i, f in enumerate(free) if f >= size), None)
-            if k is None:
-                free.append(max(0, budget - int(size)))
-                k = len(free) - 1
-            else:
-                free[k] -= int(size)
-            at.append(k)
-        return frame.assign(bin=at)[["topic", "key", "size", "bin"]]
+        frame = frame.sort_values("plan", ascending=False)
+        runs = ffd_runs(frame["plan"].tolist(), frame["n"].tolist(), budget)
+        out = pd.DataFrame(runs, columns=["plan", "first", "items", "bin", "each"])
+        return out.groupby("plan", sort=False).agg(list).reset_index().assign(topic=frame["topic"].iloc[0])[["topic", "plan", "first", "bin", "each"]]
 
-    kinds = dict(items.dtypes)
-    return items.groupBy("topic").applyInPandas(plan, f"topic {kinds['topic']}, key {kinds['key']}, size {kinds['size']}, bin long")
+    classes = ranged.groupBy("topic", "plan").agg(F.count("*").alias("n"))
+    lists = "first array<long>, bin array<long>, each array<long>"
+    plans = classes.groupBy("topic").applyInPandas(plan, f"topic {kinds['topic']}, plan long, {lists}")
+    found = ranks.alias("r").join(plans.alias("p"), [F.col("r.topic").eqNullSafe(F.col("p.topic")), F.col("r.plan") == F.col("p.plan")])
+    run = F.size(F.filter("first", lambda x: x <= F.col("rank"))) - 1
+    placed = F.get("bin", run) + F.floor((F.col("rank") - F.get("first", run)) / F.get("each", run))
+    return found.select("r.topic", "key", "size", placed.cast("long").alias("bin"))
+
+
+def running_digest(rows: DataFrame, group: str, key: str, algorithm: str) -> DataFrame:
+    """rows(group, key, h) -> (group, digest): the digest of a group's h in the order of keys, nulls left out.
+
+    The digest is sequential; it runs as a stream of sorted rows, so a group is
+    never held in one row or in memory.
+    """
+    kind = dict(rows.dtypes)[group]
+
+    def fold(batches):
+        now, digest, begun = None, None, False
+        for frame in batches:
+            out = []
+            for g, h in zip(frame[group].astype(object), frame["h"]):
+                g = None if pd.isna(g) else g
+                if not begun or g != now:
+                    if begun:
+                        out.append((now, digest.hexdigest()))
+                    now, digest, begun = g, hashlib.new(algorithm), True
+                if h is not None:
+                    digest.update(h.encode())
+            yield pd.DataFrame(out, columns=[group, "digest"])
+        if begun:
+            yield pd.DataFrame([(now, digest.hexdigest())], columns=[group, "digest"])
+
+    ordered = rows.select(group, key, "h").repartition(shuffle_partitions(rows.sparkSession), group).sortWithinPartitions(group, key, "h")
+    return ordered.mapInPandas(fold, f"{group} {kind}, digest string")
 
 
 def memoized(spark: SparkSession, inputs: DataFrame, version: str, root: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:

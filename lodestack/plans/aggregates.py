@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestack.operators import packing
 from lodestack.plans.base import Registry, Tables
 
 R = Registry()
@@ -193,8 +194,7 @@ def dataset_fingerprint(t: Tables) -> DataFrame:
     rows = t.orders.filter("o_orderkey <= 5000").select(
         "o_orderpriority", "o_orderkey", F.md5(F.concat_ws(":", "o_orderkey", "o_orderstatus")).alias("h")
     )
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "h"))), lambda x: x["h"])
-    return rows.groupBy("o_orderpriority").agg(F.sha2(F.array_join(ordered, ""), 256).alias("fingerprint"))
+    return packing.running_digest(rows, "o_orderpriority", "o_orderkey", "sha256").withColumnRenamed("digest", "fingerprint")
 
 
 @R.query(

@@ -333,8 +333,9 @@ def memo_reuse(t: Tables) -> DataFrame:
 def incremental_signature(t: Tables) -> DataFrame:
     """Only groups whose signature moved are computed anew."""
     rows = t.documents.select("source", "doc_id", F.md5("text").alias("h"))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "h"))), lambda x: x["h"])
-    return rows.groupBy("source").agg(F.md5(F.array_join(parts, "")).alias("signature"), (F.count_if(F.col("doc_id") % 10 == 0) > 0).alias("changed"))
+    signed = packing.running_digest(rows, "source", "doc_id", "md5").withColumnRenamed("digest", "signature").alias("s")
+    moved = rows.groupBy("source").agg((F.count_if(F.col("doc_id") % 10 == 0) > 0).alias("changed")).alias("m")
+    return signed.join(moved, F.col("s.source").eqNullSafe(F.col("m.source"))).select("s.source", "signature", "changed")
 
 
 @R.query("SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN 0 WHEN o_orderstatus = 'F' THEN 1 WHEN o_totalprice > 200000 THEN 2 ELSE 3 END AS group_rank FROM orders WHERE o_orderkey < 4000")

@@ -1,10 +1,13 @@
 """Golden rows and invariants of single operators."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from lodestack.functions import text as X
 from lodestack.operators import contracts, diff, fixpoint, links, packing, pointers, resolve
+from lodestack.plans import catalog
 from lodestack.sources import files
 
 
@@ -92,6 +95,35 @@ def test_bins_hold_their_budget(spark):
     assert rows(got) == rows(packing.bin_pack_ffd(items.repartition(5), 100))
 
 
+def test_bins_of_a_large_topic(spark):
+    """Bins equal plain first fit, and a topic of very many bins is planned by its sizes alone."""
+    data = [(f"t{k % 2}", k, (k * 37) % 53) for k in range(900)] + [("t0", 1000, 130), ("t0", 1001, 101), (None, 1, 5)]
+    got = {(r.topic, r.key): r.bin for r in packing.bin_pack_ffd(spark.createDataFrame(data, "topic string, key long, size long"), 100).collect()}
+    free = {}
+    for topic, key, size in sorted(data, key=lambda x: (-x[2], x[1])):
+        mine = free.setdefault(topic, [])
+        k = next((i for i, f in enumerate(mine) if f >= size), len(mine))
+        if k == len(mine):
+            mine.append(max(0, 100 - size))
+        else:
+            mine[k] -= size
+        assert got[topic, key] == k
+    assert len(got) == len(data)
+    n = 400_000
+    large = packing.bin_pack_ffd(spark.range(n).selectExpr("'t' AS topic", "id AS key", "60L AS size"), 100)
+    assert large.filter("bin = key").count() == n
+    assert packing.ffd_runs([60], [n], 100) == [(60, 0, n, 0, 1)]
+
+
+def test_signatures_gather_no_group(spark):
+    for name in ("incremental_signature", "dataset_fingerprint"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "collect_list" not in plan
+    data = [("a", 2, "y"), ("a", 1, "x"), (None, 1, "z"), ("b", 1, None), ("a", 3, None)]
+    got = packing.running_digest(spark.createDataFrame(data, "g string, k long, h string"), "g", "k", "md5").collect()
+    assert {r.g: r.digest for r in got} == {g: hashlib.md5(x).hexdigest() for g, x in (("a", b"xy"), (None, b"z"), ("b", b""))}
+
+
 def test_packs_are_stable_under_insert(spark):
     data = [(f"{(k * 2654435761) % 2**32:08x}", 10) for k in range(200)]
     a = packing.prefix_packs(spark.createDataFrame(data, "key string, size long"), 100)
