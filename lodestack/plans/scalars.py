@@ -182,5 +182,5 @@ def jargon_spans(t: Tables) -> DataFrame:
 
 @R.query()
 def normalized_titles(t: Tables) -> DataFrame:
-    """Titles in compatibility form, folded and with marks stripped, for joins and search."""
-    return t.documents.select("doc_id", X.fold(F.substring("text", 1, 80)).alias("folded"))
+    """Whole texts in compatibility form, folded and with marks stripped, for joins and search."""
+    return t.documents.select("doc_id", X.fold("text").alias("folded"))

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +149,10 @@ def test_json_lines_fail_on_bad_input(spark, tmp_path):
 def test_folding(spark):
     df = spark.createDataFrame([("Straße_Ünïcode  Ⅳ",), (None,)], "t string")
     assert [r.f for r in df.select(X.fold("t").alias("f")).collect()] == ["strasse unicode iv", None]
+
+
+def test_whole_texts_are_folded(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = {r.doc_id: r.folded for r in catalog.QUERIES["normalized_titles"](spark, "/root/testdata/sf0.001").collect()}
+    assert any(len(x or "") > 200 for x in got.values())
+    assert all(got[k].split()[-1:] == X.fold.func(pd.Series([t]))[0].split()[-1:] for k, t in docs.items() if t is not None)
