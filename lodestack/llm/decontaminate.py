@@ -148,6 +148,14 @@ class Items:
                 for length in of[at[p]]:
                     starts.setdefault(length, []).append(p)
             for length, places in starts.items():
+                if length > len(words):
+                    # A document shorter than the item is one window.
+                    for _, k in self.candidates(simhashes(mine, len(mine))):
+                        if self.size[k] == length:
+                            s = overlap(words, self.words[k], size)
+                            if s >= SIMILARITY and s > best.get(k, (0.0, 0))[0]:
+                                best[k] = s, 0
+                    continue
                 width = length - size + 1
                 for lo, hi in _zones(places, width, len(mine)):
                     fps = simhashes(mine[lo:hi], width)

@@ -63,3 +63,12 @@ def test_blocks_of_items(spark, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = spark.createDataFrame([(k, "before " + t + " after") for k, t in items], "doc_id long, text string")
     assert {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()} == {(k, k) for k in range(10)}
+
+
+def test_item_without_its_last_word():
+    item = " ".join(f"w{k}" for k in range(37))
+    items = D.Items([(1, item)])
+    short = item.rsplit(" ", 1)[0]
+    (k, (similarity, at)), = items.matches(short).items()
+    assert k == 0 and at == 0 and 0.95 < similarity < 1
+    assert not items.matches(" ".join(item.split()[:12]))
