@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_PARTITION = 1_000_000
 MIN_PARTITIONS = 256
+#: numpy draws hypergeometric margins of fewer than 10^9 good or bad rows.
+URN = 1_000_000_000
 
 
 def communication_matrix(rows: np.ndarray, shards: int, seed: int) -> np.ndarray:
@@ -46,9 +48,16 @@ def communication_matrix(rows: np.ndarray, shards: int, seed: int) -> np.ndarray
 
 
 def draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One multivariate hypergeometric row, by marginals; each margin stays within what numpy can draw."""
+    """One multivariate hypergeometric row, by marginals; of urns too large for numpy's margins, n different rows are drawn."""
     got = np.zeros(len(left), dtype=np.int64)
     rest = int(left.sum())
+    if rest >= URN and n > rest // 2:
+        return left - draw(rng, left, rest - n)
+    if rest >= URN:
+        picked = np.zeros(0, dtype=np.int64)
+        while len(picked) < n:
+            picked = np.union1d(picked, rng.integers(rest, size=n - len(picked)))
+        return np.bincount(np.searchsorted(np.cumsum(left), picked, side="right"), minlength=len(left))
     for s, have in enumerate(left):
         rest -= int(have)
         got[s] = n if rest == 0 else rng.hypergeometric(int(have), rest, n) if n and have else 0

@@ -49,3 +49,12 @@ def test_odd_rows(odd, empty):
     got = sharding.shard(odd, shards=3)
     assert got.columns == [*odd.columns, "shard_place"] and got.count() == odd.count()
     assert sharding.shard(empty, shards=3).count() == 0
+
+
+def test_margins_of_large_urns():
+    left = np.array([250_000_000] * 7 + [750_000_000], dtype=np.int64)
+    rng = np.random.default_rng(3)
+    got = np.stack([sharding.draw(rng, left, 10_000) for _ in range(50)])
+    assert (got.sum(axis=1) == 10_000).all()
+    assert np.allclose(got.mean(axis=0), 10_000 * left / left.sum(), rtol=0.02)
+    assert (left - sharding.draw(rng, left, int(left.sum()) - 10_000)).sum() == 10_000
