@@ -1,36 +1,42 @@
-"""SentencePiece encoding and decoding as a max-plus scan.
+"""SentencePiece encoding and decoding of a public merge vocabulary, as a max-plus scan.
 
-A text (spaces become U+2581, one is put in front) is cut into vocabulary pieces
-so that the sum of the pieces' own scores is greatest; a character that no piece
-covers costs the lowest ordinary score minus ten and becomes its UTF-8 bytes.
-Of equal sums the one with the longer last piece wins, at every place from the
-end on; scores are integers, so this is exact and does not depend on chunks.
+Encoding gives the ids that the vocabulary's own merges give: spaces become
+U+2581, one is put in front, and of all neighbours the pair whose union has the
+best score is merged, leftmost first, until none is left; what no piece covers
+becomes its UTF-8 bytes.
 
-No piece has a word mark after another character, so best paths of words are
-independent; they are solved many at a time over a trie of the pieces, once per
-worker, and remembered in a bounded table. Texts of at most ``GIANT`` characters are one map.
+Merges are local, so a sequence of pieces is the encoding exactly if every two
+neighbours are the encoding of the two together. This makes encoding a best-path
+problem: a piece followed by a neighbour that it stands with scores 0, any other
+pair minus infinity, and the only path with a finite sum is the encoding. No
+piece has a word mark after another character, so words are independent; they
+are merged once and remembered in a bounded table. Texts of at most ``GIANT``
+characters are one map over their words.
 
 Longer texts are scanned in parallel. They are split into chunks; at a chunk's
-border the state is how far the piece that crosses it reaches into the next
-chunk. A chunk yields its transfer matrix between states (best sum from state to
-state). Matrices are multiplied in max-plus algebra, which is associative: first
-within blocks of ``BLOCK`` chunks, then over the blocks of a text, then from the
-known vector at a block's start to the start of each of its chunks. With that
-vector a chunk is backtraced on its own, once for every state it may end in;
-these paths soon merge, so a chunk returns one shared path, short ends and the
-state each end comes from. Chaining the states from the end picks the ends.
-
-Defined cases: a null or empty text has no tokens; repeated rows are solved once
-if giant and come back as often as they were; U+2581 in a text is a space to the
-vocabulary, so such a text decodes with spaces (SentencePiece cannot tell them
-apart), every other text decodes to itself. The vocabulary must be read by the
-driver; tasks get its pieces and scores with the job.
+border the state is the piece that begins before it and ends at or behind it, and
+both sides list the same states, because they see the same few characters. A
+chunk yields its transfer matrix between states (best sum from state to state).
+Matrices are multiplied in max-plus algebra, which is associative: first within
+blocks of ``BLOCK`` chunks, then over the blocks of a text, then from the known
+vector at a block's start to the start of each of its chunks. With that vector a
+chunk is backtraced on its own, once for every state it may end in; these paths
+soon merge, so a chunk returns one shared path, short ends and the state each end
+comes from. Chaining the states from the end picks the ends.
+
+Defined cases: a null or empty text has no tokens; an empty table gives no rows;
+repeated rows are solved once if giant and come back as often as they were;
+equal scores merge leftmost first; extra columns are ignored, whatever their
+names; U+2581 in a text is a space to the vocabulary, so such a text decodes with
+spaces (SentencePiece cannot tell them apart), every other text decodes to
+itself. The vocabulary must be read by the driver; tasks get its pieces with the
+job.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,29 +52,29 @@ GIANT = 32_768
 CHUNK = 16_384
 BLOCK = 256
 MARK = "▁"
-#: Scores below this mark pieces that are never worth taking, such as runs of spaces.
-SENTINEL = -(10**6)
-NONE = -(1 << 62)
+#: Minus infinity of the max-plus algebra; sums of two stay within 64 bits.
 DEAD = -(1 << 61)
+NO_MERGE = 1 << 30
 KNOWN_WORDS = 120_000
+KNOWN_PAIRS = 100_000
 #: Rows of an Arrow batch; a row of tokens is longer than the row counts that Spark's default is made for.
 BATCH_ROWS = 1000
 LONGEST_KNOWN = 64
-LETTERS = 127
-BORDER = re.compile(f"(?<=[^{MARK}]){MARK}")
+
+Span = tuple[int, int]
 
 
 class Vocabulary:
-    """Pieces, scores and byte pieces of a model file."""
+    """Pieces with the order of their merges, ids and byte pieces of a model file."""
 
     def __init__(self, path: str = VOCABULARY):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.scores: dict[str, tuple[int, int]] = {}
+        self.ids: dict[str, int] = {}
         self.out: list[bytes] = []
         self.bytes = [0] * 256
-        lowest = 0.0
+        scores: dict[str, float] = {}
         for k in range(model.get_piece_size()):
             piece = model.id_to_piece(k)
             text = piece.replace(MARK, " ").encode()
@@ -78,22 +84,15 @@ class Vocabulary:
             elif model.is_control(k) or model.is_unknown(k) or model.is_unused(k):
                 text = b""
             else:
-                score = round(model.get_score(k))
-                self.scores[piece] = max(score, SENTINEL), k
-                if score > SENTINEL:
-                    lowest = min(lowest, score)
+                self.ids[piece], scores[piece] = k, model.get_score(k)
             self.out.append(text)
-        self.unknown = round(lowest) - 10
-        # A character of byte pieces costs once, at its first byte.
-        self.sums = np.zeros(len(self.out), dtype=np.int64)
-        for score, k in self.scores.values():
-            self.sums[k] = score
-        for byte, k in enumerate(self.bytes):
-            self.sums[k] = 0 if 0x80 <= byte < 0xC0 else self.unknown
-        self.longest = max(map(len, self.scores))
+        order = {s: k for k, s in enumerate(sorted(set(scores.values()), reverse=True))}
+        #: Pieces by the order in which they are merged; equal scores have equal places.
+        self.order = {p: order[s] for p, s in scores.items()}
+        self.longest = max(map(len, self.ids))
         if len(self.out) > 1 << 16:
             raise ValueError("ids are kept as 16-bit numbers")
-        if any(MARK in p.lstrip(MARK) for p in self.scores):
+        if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece crosses words; words cannot be solved apart")
 
 
@@ -101,270 +100,213 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.known: dict[str, bytes] = {}
-        self._trie()
+        self.stands: dict[str, bool] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
         # A line break that no piece holds stands alone, so words at line ends are known words.
-        alone = "".join(c for c in "\n\r\t" if not any(c in p for p in vocabulary.scores))
+        alone = "".join(c for c in "\n\r\t" if not any(c in p for p in vocabulary.ids))
         self.word = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|[{alone}]" if alone else ""))
         self.reach: dict[str, int] = {}
-        for p in vocabulary.scores:
+        for p in vocabulary.ids:
             self.reach[p[:2]] = max(self.reach.get(p[:2], 0), len(p))
 
-    def _trie(self) -> None:
-        """A dense trie of the pieces that are spelled with the vocabulary's most frequent letters."""
-        count = Counter(c for p in self.v.scores for c in set(p))
-        letters = [c for c, _ in sorted(count.items(), key=lambda x: (-x[1], x[0])) if c in self.v.scores and ord(c) < 0x3000][:LETTERS]
-        self.common = frozenset(letters)
-        self.letter = np.zeros(0x3001, dtype=np.int64)  # 0 leads nowhere
-        for k, c in enumerate(letters, 1):
-            self.letter[ord(c)] = k
-        steps: list[dict[int, int]] = [{}, {}]
-        score, ids = [NONE, NONE], [0, 0]
-        for piece, (s, k) in self.v.scores.items():
-            if not self.common.issuperset(piece):
-                continue
-            node = 1
-            for c in piece:
-                to = steps[node].get(int(self.letter[ord(c)]))
-                if to is None:
-                    to = steps[node][int(self.letter[ord(c)])] = len(steps)
-                    steps.append({})
-                    score.append(NONE)
-                    ids.append(0)
-                node = to
-            score[node], ids[node] = s, k
-        self.step = np.zeros((len(steps), len(letters) + 1), dtype=np.uint16 if len(steps) < 1 << 16 else np.int32)
-        for node, to in enumerate(steps):
-            for c, k in to.items():
-                self.step[node, c] = k
-        self.node_score, self.node_id = np.array(score, dtype=np.int64), np.array(ids, dtype=np.uint16)
-
-    def edges(self, s: str, i: int) -> Iterator[tuple[int, int, int]]:
-        """(length, score, id) of the pieces that start at i; id -1 is a character of byte pieces."""
-        scores, found = self.v.scores, False
-        for n in range(1, max(1, self.reach.get(s[i : i + 2], 1)) + 1):
-            hit = scores.get(s[i : i + n])
-            if hit is not None and i + n <= len(s):
-                found |= n == 1
-                yield n, hit[0], hit[1]
-        if not found:
-            yield 1, self.v.unknown, -1
-
-    def solve(self, s: str, n: int, entry: list[int]) -> list[tuple[int, int]]:
-        """Predecessor (node, id) of every node, for pieces that start before n; node r < len(entry) may be entered at that sum."""
-        size = max(len(s), len(entry) - 1) + 1
-        best, back = [NONE] * size, [(-1, 0)] * size
-        best[: len(entry)] = entry
-        for i in range(n):
-            here = best[i]
-            if here <= DEAD:
-                continue
-            for m, score, k in self.edges(s, i):
-                if here + score > best[i + m]:
-                    best[i + m], back[i + m] = here + score, (i, k)
-        return back
-
-    def ids(self, s: str, i: int, k: int) -> list[int]:
-        return [k] if k >= 0 else [self.v.bytes[b] for b in s[i].encode("utf-8", "replace")]
-
-    def path(self, s: str) -> list[int]:
-        """Ids of the best path over a whole text; this is the inner loop, so it spells out what solve() does."""
-        n, scores, reach = len(s), self.v.scores, self.reach
-        best, back, ids = [0] + [NONE] * n, [0] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            here = best[i]
-            if here == NONE:
+    def merged(self, s: str) -> list[str]:
+        """Pieces and single characters that are left when nothing can be merged."""
+        if len(s) > LONGEST_KNOWN:
+            return self._merged_long(s)
+        get = self.v.order.get
+        parts = list(s)
+        ranks = [get(a + b, NO_MERGE) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NO_MERGE:
+                break
+            k = ranks.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = get(parts[k] + parts[k + 1], NO_MERGE)
+            if k:
+                ranks[k - 1] = get(parts[k - 1] + parts[k], NO_MERGE)
+        return parts
+
+    def _merged_long(self, s: str) -> list[str]:
+        """The same with a heap of pairs and linked neighbours."""
+        get, n = self.v.order.get, len(s)
+        parts: list[str | None] = list(s)
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, k, s[k : k + 2]) for k in range(n - 1) if (r := get(s[k : k + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, k, text = heapq.heappop(heap)
+            j = right[k]
+            if parts[k] is None or j >= n or len(parts[k]) + len(parts[j]) != len(text):
+                continue  # one of the two has been merged meanwhile
+            parts[k], parts[j] = text, None
+            right[k] = j = right[j]
+            if j < n:
+                left[j] = k
+                if (r := get(text + parts[j])) is not None:
+                    heapq.heappush(heap, (r, k, text + parts[j]))
+            if (i := left[k]) >= 0 and (r := get(parts[i] + text)) is not None:
+                heapq.heappush(heap, (r, i, parts[i] + text))
+        return [p for p in parts if p is not None]
+
+    def spelled(self, parts: list[str]) -> list[int]:
+        """Ids of pieces; a character that is none becomes its bytes."""
+        ids, out = self.v.ids, []
+        for p in parts:
+            k = ids.get(p)
+            if k is None:
+                out += [self.v.bytes[b] for b in p.encode("utf-8", "replace")]
+            else:
+                out.append(k)
+        return out
+
+    def is_piece(self, s: str) -> bool:
+        """Whether s can be a part of an encoding: a single character, or a piece that its own merges lead to."""
+        if len(s) == 1:
+            return True
+        if s not in self.v.ids:
+            return False
+        if (known := self.stands.get(s)) is None:
+            known = self.stands[s] = self.merged(s) == [s]
+        return known
+
+    def compatible(self, a: str, b: str) -> bool:
+        """Whether two pieces stand side by side; an empty one stands with any."""
+        if not a:
+            return True
+        if (known := self.pairs.get((a, b))) is None:
+            if len(self.pairs) > KNOWN_PAIRS:
+                self.pairs.clear()
+            known = self.pairs[a, b] = self.merged(a + b) == [a, b]
+        return known
+
+    def states(self, s: str, border: int) -> list[Span]:
+        """Pieces that begin before the border and end at or behind it, in an order that both sides of it agree on."""
+        most = self.v.longest
+        return [
+            (i, j)
+            for i in range(border - 1, max(-1, border - most - 1), -1)
+            for j in range(border, min(len(s), i + most) + 1)
+            if self.is_piece(s[i:j])
+        ]
+
+    def flow(self, s: str, begin: int, end: int, entry: list[Span]) -> tuple[dict[Span, Span | None], dict[Span, int]]:
+        """Pieces on paths from the entries over pieces that begin before ``end``: where each comes from, and a bit for each entry it comes from."""
+        comes: dict[Span, Span | None] = {}
+        masks: dict[Span, int] = {}
+        ending: dict[int, list[Span]] = {}
+        for r, span in enumerate(entry):
+            comes[span], masks[span] = None, 1 << r
+            ending.setdefault(span[1], []).append(span)
+        for p in range(begin, end):
+            before = ending.pop(p, None)
+            if before is None:
                 continue
-            alone = False
-            for j in range(i + 1, min(n, i + reach.get(s[i : i + 2], 1)) + 1):
-                hit = scores.get(s[i:j])
-                if hit is not None:
-                    alone |= j == i + 1
-                    total = here + hit[0]
-                    if total > best[j]:
-                        best[j], back[j], ids[j] = total, i, hit[1]
-            if not alone and here + self.v.unknown > best[i + 1]:
-                best[i + 1], back[i + 1], ids[i + 1] = here + self.v.unknown, i, -1
-        out, j = [], n
-        while j:
-            out.append(j)
-            j = back[j]
-        found: list[int] = []
-        for j in reversed(out):
-            found += self.ids(s, back[j], ids[j])
-        return found
-
-    def best(self, s: str) -> int:
-        """Sum of the best path over a text that starts and ends between words."""
-        return int(self.v.sums[self.words(s)].sum())
-
-    def forward(self, s: str, n: int, states: int) -> list[int]:
-        """Best sums from node 0 to the nodes n, n + 1, ..., for pieces that start before n."""
-        best = [0] + [NONE] * (n + states)
-        for i in range(n):
-            here = best[i]
-            if here > DEAD:
-                for m, score, _ in self.edges(s, i):
-                    if i + m < n + states and here + score > best[i + m]:
-                        best[i + m] = here + score
-        return best[n : n + states]
-
-    def backward(self, s: str) -> list[int]:
-        """Best sums from every node to the end of s."""
-        n = len(s)
-        best = [NONE] * n + [0]
-        for i in range(n - 1, -1, -1):
-            for m, score, _ in self.edges(s, i):
-                if best[i + m] > DEAD and best[i + m] + score > best[i]:
-                    best[i] = best[i + m] + score
-        return best
+            for q in range(p + 1, min(len(s), p + max(1, self.reach.get(s[p : p + 2], 1))) + 1):
+                piece = s[p:q]
+                if not self.is_piece(piece):
+                    continue
+                mask, last = 0, None
+                for i, j in before:
+                    if self.compatible(s[i:j], piece):
+                        mask, last = mask | masks[i, j], (i, j)
+                if mask:
+                    comes[p, q], masks[p, q] = last, mask
+                    ending.setdefault(q, []).append((p, q))
+        return comes, masks
 
     @staticmethod
-    def borders(chunk: str, ahead: str) -> tuple[int, int] | None:
-        """First and last place within the chunk or at its end where every path passes, between words."""
-        found = [m.start() for m in BORDER.finditer(chunk + ahead[:1])]
-        return (found[0], found[-1]) if found else None
-
-    def ends(self, chunk: str, ahead: str, entry: list[int]) -> tuple[list[int], list[int], list[list[int]]]:
+    def borders(s: str, begin: int, end: int) -> Span | None:
+        """First and last place of [begin, end) where a word begins, so that every path passes there."""
+        first = next((p for p in range(max(1, begin), end) if s[p] == MARK and s[p - 1] != MARK), None)
+        if first is None:
+            return None
+        return first, next(p for p in range(end - 1, first - 1, -1) if s[p] == MARK and s[p - 1] != MARK)
+
+    def transfer(self, before: str, chunk: str, ahead: str) -> np.ndarray:
+        """Max-plus matrix from the states at the chunk's start to those at its end."""
+        s, begin = before + chunk + ahead, len(before)
+        end = begin + len(chunk)
+        entry = self.states(s, begin) if begin else [(0, 0)]
+        out = self.states(s, end)
+        if (at := self.borders(s, begin, end)) is not None:
+            # All paths pass the borders, so the matrix is an outer sum of what lies before and after.
+            head = 0
+            for span, mask in self.flow(s, begin, at[0], entry)[1].items():
+                head |= mask if span[1] == at[0] else 0
+            reached = self.flow(s, at[1], end, [(at[1], at[1])])[0]
+            heads = np.array([0 if head >> r & 1 else DEAD for r in range(len(entry))], dtype=np.int64)
+            tails = np.array([0 if x in reached else DEAD for x in out], dtype=np.int64)
+            return np.maximum(heads[:, None] + tails[None, :], DEAD)
+        masks = self.flow(s, begin, end, entry)[1]
+        return np.array([[0 if masks.get(x, 0) >> r & 1 else DEAD for x in out] for r in range(len(entry))], dtype=np.int64)
+
+    def ends(self, before: str, chunk: str, ahead: str, vector: list[int]) -> tuple[list[int], list[int], list[list[int]]]:
         """Shared ids, and for each state at the end the state at the start and the ids after the shared ones."""
-        if (at := self.borders(chunk, ahead)) is None:
-            return self.ends_within(chunk, ahead, entry)
-        first, last = at
-        back, node, parts = self.solve(chunk[:first], first, entry[: first + 1]), first, []
-        while back[node][0] >= 0:
-            node, k = back[node]
-            parts.append(self.ids(chunk, node, k))
-        common = [k for part in reversed(parts) for k in part] + self.words(chunk[first:last]).tolist()
-        _, comes, tails = self.ends_within(chunk[last:], ahead, [0] + [NONE] * (len(entry) - 1), shared=False)
-        return common, [node if c >= 0 else -1 for c in comes], tails
-
-    def ends_within(
-        self, chunk: str, ahead: str, entry: list[int], shared: bool = True
-    ) -> tuple[list[int], list[int], list[list[int]]]:
-        """The same without regard to words."""
-        s, n = chunk + ahead, len(chunk)
-        back = self.solve(s, n, entry)
-        routes = []
-        for r in range(len(entry)):
-            at, nodes = n + r, [n + r]
-            while at < len(back) and back[at][0] >= 0:
-                at = back[at][0]
-                nodes.append(at)
-            real = at < len(entry) and at < len(back) and entry[at] > DEAD
-            routes.append(nodes[::-1] if real else [])
+        s, begin = before + chunk + ahead, len(before)
+        end = begin + len(chunk)
+        entry = self.states(s, begin) if begin else [(0, 0)]
+        alive = [x for x, v in zip(entry, vector) if v > DEAD]
+        number = {x: r for r, x in enumerate(entry)}
+        common: list[int] = []
+        start = None
+        if (at := self.borders(s, begin, end)) is not None:
+            comes = self.flow(s, begin, at[0], alive)[0]
+            node = next((x for x in reversed(comes) if x[1] == at[0]), None)
+            parts = []
+            while node is not None and comes[node] is not None:
+                parts.append(s[slice(*node)])
+                node = comes[node]
+            start = -1 if node is None else number[node]
+            common = self.spelled(parts[::-1]) + self.words(s[at[0] : at[1]]).tolist()
+            alive = [(at[1], at[1])]
+        comes = self.flow(s, at[1] if at else begin, end, alive)[0]
+        routes: list[list[Span]] = []
+        for x in self.states(s, end):
+            route = [x] if x in comes else []
+            while route and comes[route[-1]] is not None:
+                route.append(comes[route[-1]])
+            routes.append(route[::-1])
         real = [x for x in routes if x]
         same = 0
-        if shared and real and all(x[0] == real[0][0] for x in real):
+        if real and all(x[0] == real[0][0] for x in real):
             same = next((k for k, x in enumerate(zip(*real)) if len(set(x)) > 1), min(map(len, real))) - 1
-        spell = lambda nodes: [k for node in nodes for k in self.ids(s, *back[node])]
-        common = spell(real[0][1 : same + 1]) if real else []
-        return common, [x[0] if x else -1 for x in routes], [spell(x[same + 1 :]) if x else [] for x in routes]
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Make these words known; long ones are handed back instead of remembered."""
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known.clear()
-        plain = [w for w in words if len(w) <= LONGEST_KNOWN]
-        self.known.update(zip(plain, self.many(plain)))
-        return {w: np.array(self.path(w), dtype="<u2").tobytes() for w in words if len(w) > LONGEST_KNOWN}
+        spell = lambda nodes: self.spelled([s[i:j] for i, j in nodes])
+        common = common + (spell(real[0][1 : same + 1]) if real else [])
+        first = [-1 if not x else number[x[0]] if start is None else start for x in routes]
+        return common, first, [spell(x[same + 1 :]) for x in routes]
 
     def words(self, s: str) -> np.ndarray:
         """Ids of a marked text that starts and ends between words."""
         return self.texts([s])[0]
 
     def texts(self, marked: list[str]) -> list[np.ndarray]:
-        """Ids of several such texts; words that are new to any of them are solved together."""
-        lists = [self.word.findall(s) for s in marked]
-        known = self.known
-        new = {w for words in lists for w in set(words) if w not in known}
-        long_ = {}
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                new = {w for words in lists for w in words}
-            long_ = self.learn(new)
-        if long_:
-            return [np.frombuffer(b"".join([long_.get(w) or known[w] for w in words]), dtype="<u2") for words in lists]
-        return [np.frombuffer(b"".join([known[w] for w in words]), dtype="<u2") for words in lists]
-
-    def many(self, words: list[str]) -> list[bytes]:
-        """Best paths of many short words at once: one trie step or one update for all of them at a time."""
-        plain = [k for k, w in enumerate(words) if self.common.issuperset(w)]
-        out: list[bytes] = [b""] * len(words)
-        if len(plain) < 64:
-            plain = []
-        done = set(plain)
-        for k, w in enumerate(words):
-            if k not in done:
-                out[k] = np.array(self.path(w), dtype="<u2").tobytes()
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            for k, ids in zip(part, self._together([words[k] for k in part])):
-                out[k] = ids
+        """Ids of several such texts; a word that is new is merged once."""
+        out = []
+        for s in marked:
+            words, known = self.word.findall(s), self.known
+            try:
+                made = b"".join([known[w] for w in words])
+            except KeyError:
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                long_ = {}
+                for w in words:
+                    if w not in known:
+                        ids = np.array(self.spelled(self.merged(w)), dtype="<u2").tobytes()
+                        (known if len(w) <= LONGEST_KNOWN else long_)[w] = ids
+                made = b"".join([long_[w] if w in long_ else known[w] for w in words])
+            out.append(np.frombuffer(made, dtype="<u2"))
         return out
 
-    def _together(self, words: list[str]) -> Iterator[bytes]:
-        size = np.array([len(w) for w in words])
-        n, width = len(words), int(size.max())
-        raw = np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le"), dtype="<u4").reshape(n, width)
-        letter = self.letter[np.minimum(raw, len(self.letter) - 1)]
-        best = np.full((n, width + 1), NONE, dtype=np.int64)
-        best[:, 0] = 0
-        back = np.zeros((n, width + 1), dtype=np.int16)
-        ids = np.zeros((n, width + 1), dtype=np.uint16)
-        for i in range(width):
-            rows = np.flatnonzero((size > i) & (best[:, i] > NONE))
-            state = np.ones(len(rows), dtype=np.int64)
-            for j in range(i + 1, min(width, i + self.v.longest) + 1):
-                state = self.step[state, letter[rows, j - 1]]
-                alive = state > 0
-                rows, state = rows[alive], state[alive]
-                if not len(rows):
-                    break
-                total = best[rows, i] + self.node_score[state]
-                better = total > best[rows, j]
-                to = rows[better]
-                best[to, j], back[to, j], ids[to, j] = total[better], i, self.node_id[state[better]]
-        spelled = np.zeros((n, width), dtype="<u2")
-        at, col = size.copy(), np.full(n, width)
-        rows = np.arange(n)
-        while len(rows):
-            col[rows] -= 1
-            spelled[rows, col[rows]] = ids[rows, at[rows]]
-            at[rows] = back[rows, at[rows]]
-            rows = rows[at[rows] > 0]
-        for k in range(n):
-            yield spelled[k, col[k] :].tobytes()
-
     def encode(self, text: str | None) -> np.ndarray:
         return self.encode_many([text])[0]
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         return self.texts([MARK + t.replace(" ", MARK) if t else "" for t in texts])
 
-    def transfer(self, chunk: str, ahead: str, states: int) -> np.ndarray:
-        """Max-plus matrix from the states at the chunk's start to those at its end; pieces start inside the chunk."""
-        if (at := self.borders(chunk, ahead)) is not None:
-            # All paths pass the borders, so the matrix is an outer sum of what lies before and after.
-            first, last = at
-            head = np.full(states, NONE, dtype=np.int64)
-            before = self.backward(chunk[:first])[:states]
-            head[: len(before)] = before
-            tail = np.array(self.forward(chunk[last:] + ahead, len(chunk) - last, states), dtype=np.int64)
-            out = head[:, None] + (tail + self.best(chunk[first:last]))[None, :]
-            return np.where((head <= DEAD)[:, None] | (tail <= DEAD)[None, :], NONE, out)
-        s, n = chunk + ahead, len(chunk)
-        best = np.full((n + states, states), NONE, dtype=np.int64)
-        for r in range(min(states, n + len(ahead) + 1)):
-            best[r, r] = 0
-        for i in range(n):
-            row = best[i]
-            alive = row > DEAD
-            if not alive.any():
-                continue
-            for m, score, _ in self.edges(s, i):
-                to = best[i + m]
-                np.maximum(to, np.where(alive, row + score, NONE), out=to)
-        return best[n : n + states].T.copy()
-
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what a Python worker is sent at a time, for this session."""
@@ -380,11 +322,8 @@ def sliced(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
 
 
 def maxplus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Product in max-plus algebra, with its greatest entry moved to zero so that sums stay small."""
-    out = (a[:, :, None] + np.where(b > DEAD, b, NONE)[None, :, :]).max(axis=1)
-    out[out < NONE // 4] = DEAD
-    top = out.max()
-    return np.where(out > NONE // 4, out - top, DEAD) if top > NONE // 4 else out
+    """Product in max-plus algebra."""
+    return np.maximum((a[:, :, None] + b[None, :, :]).max(axis=1), DEAD)
 
 
 def prefixes(matrices: list[np.ndarray], vector: np.ndarray) -> list[np.ndarray]:
@@ -395,22 +334,14 @@ def prefixes(matrices: list[np.ndarray], vector: np.ndarray) -> list[np.ndarray]
     return out
 
 
-def _matrix(x) -> np.ndarray:
-    flat = np.frombuffer(x, dtype="<i8")
-    side = int(round(len(flat) ** 0.5))
-    return np.maximum(flat.reshape(side, side), DEAD)
-
+def packed(m: np.ndarray) -> bytes:
+    """A matrix as bytes, its number of rows first."""
+    return np.concatenate([[m.shape[0]], m.ravel()]).astype("<i8").tobytes()
 
-def shared_encoder(v: Vocabulary) -> Encoder:
-    """One encoder per Python worker, so that known words outlive a task."""
-    import builtins
 
-    store = builtins.__dict__.setdefault("_lodestack_encoders", {})
-    key = (len(v.scores), v.unknown, hash(frozenset(v.scores.items())))
-    if key not in store:
-        store.clear()
-        store[key] = Encoder(v)
-    return store[key]
+def unpacked(x: bytes) -> np.ndarray:
+    flat = np.frombuffer(x, dtype="<i8")
+    return flat[1:].reshape(int(flat[0]), -1)
 
 
 KEY = ["id", "th"]
@@ -418,48 +349,48 @@ KEY = ["id", "th"]
 
 def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> DataFrame:
     """rows(id, th, text) -> (id, th, tokens) of every distinct row."""
-    states = v.longest
+    if chunk < v.longest:
+        raise ValueError("a chunk must hold the longest piece")
     pieces = F.regexp_extract_all(F.col("marked"), F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    edge = lambda k: F.coalesce(F.get(pieces, k), F.lit(""))
     parts = F.transform(
-        pieces, lambda p, k: F.struct(p.alias("own"), F.substring(F.coalesce(F.get(pieces, k + 1), F.lit("")), 1, states).alias("ahead"))
+        pieces,
+        lambda p, k: F.struct(
+            F.right(edge(k - 1), F.lit(v.longest)).alias("before"), p.alias("own"), F.substring(edge(k + 1), 1, v.longest).alias("ahead")
+        ),
     )
     marked = rows.select(*KEY, F.concat(F.lit(MARK), F.translate("text", " ", MARK)).alias("marked"))
     chunks = (
         marked.select(*KEY, F.posexplode(parts).alias("k", "part"))
-        .select(*KEY, "k", "part.own", "part.ahead")
+        .select(*KEY, "k", "part.before", "part.own", "part.ahead")
         .dropDuplicates([*KEY, "k"])
     )
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(v)
+        encoder = Encoder(v)
         for batch in batches:
-            made = [
-                encoder.transfer(a.as_py(), b.as_py(), states).astype("<i8").tobytes() for a, b in zip(batch.column(3), batch.column(4))
-            ]
+            made = [packed(encoder.transfer(*x)) for x in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=[*KEY, "k", "m"])
 
-    key = "id long, th long"
+    key = f"id {rows.schema['id'].dataType.simpleString()}, th long"
     # A matrix is small and dear, and two plans below read it: it is written once.
     transfer = cut(chunks.mapInArrow(matrices, f"{key}, k int, m binary").withColumn("b", F.floor(F.col("k") / block).cast("int")))
 
     def product(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("k")
-        out = _matrix(p["m"].iloc[0])
+        out = unpacked(p["m"].iloc[0])
         for m in p["m"].iloc[1:]:
-            out = maxplus(out, _matrix(m))
-        return pd.DataFrame({"id": p["id"].iloc[:1], "th": p["th"].iloc[:1], "b": p["b"].iloc[:1], "m": [out.astype("<i8").tobytes()]})
+            out = maxplus(out, unpacked(m))
+        return pd.DataFrame({"id": p["id"].iloc[:1], "th": p["th"].iloc[:1], "b": p["b"].iloc[:1], "m": [packed(out)]})
 
     def borders(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("b")
-        start = np.full((1, states), DEAD, dtype=np.int64)
-        start[0, 0] = 0
-        made = [x.tobytes() for x in prefixes([_matrix(m) for m in p["m"]], start)]
+        made = [packed(x) for x in prefixes([unpacked(m) for m in p["m"]], np.zeros((1, 1), dtype=np.int64))]
         return pd.DataFrame({"id": p["id"], "th": p["th"], "b": p["b"], "entry": made})
 
     def inner(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("k")
-        start = np.frombuffer(p["entry"].iloc[0], dtype="<i8").reshape(1, -1)
-        made = [x.tobytes() for x in prefixes([_matrix(m) for m in p["m"]], start)]
+        made = [packed(x) for x in prefixes([unpacked(m) for m in p["m"]], unpacked(p["entry"].iloc[0]))]
         return pd.DataFrame({"id": p["id"], "th": p["th"], "k": p["k"], "entry": made})
 
     by_block = [*KEY, "b"]
@@ -479,17 +410,18 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
     )
 
     def backtrace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(v)
+        encoder = Encoder(v)
         for batch in batches:
-            own, ahead, entry = (batch.column(k).to_pylist() for k in (3, 4, 5))
-            made = [encoder.ends(a, b, np.frombuffer(e, dtype="<i8").tolist()) for a, b, e in zip(own, ahead, entry)]
+            before, own, ahead, entry = (batch.column(k).to_pylist() for k in (3, 4, 5, 6))
+            made = [encoder.ends(*x, unpacked(e)[0].tolist()) for *x, e in zip(before, own, ahead, entry)]
             kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())))
             columns = [pa.array([m[k] for m in made], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=[*KEY, "k", "common", "comes", "tails"])
 
     def chain(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("k", ascending=False)
-        state, parts = 0, []
+        # Of the pieces that end with the text, one is on a path.
+        state, parts = int(np.argmax(np.asarray(p["comes"].iloc[0]) >= 0)), []
         for common, comes, tails in zip(p["common"], p["comes"], p["tails"]):
             parts += [tails[state], common]
             state = int(comes[state])
@@ -507,11 +439,11 @@ def encode(
     """(id, th, tokens array<int>) of every row; th is a hash of the text that tells repeated ids apart."""
     v = Vocabulary(vocabulary)
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     is_giant = F.coalesce(F.length("text") > giant, F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(v)
+        encoder = Encoder(v)
         for batch in batches:
             for part in sliced(batch):
                 made = encoder.encode_many(part.column(2).to_pylist())
@@ -520,7 +452,7 @@ def encode(
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], tokens], names=[*KEY, "tokens"])
 
-    plain = rows.filter(~is_giant).mapInArrow(run, "id long, th long, tokens array<int>")
+    plain = rows.filter(~is_giant).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, th long, tokens array<int>")
     giants = rows.filter(is_giant)
     copies = giants.groupBy(*KEY).count()
     solved = _giant_tokens(giants, v, chunk, block)
