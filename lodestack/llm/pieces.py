@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ MARK = "▁"
 #: Minus infinity of the max-plus algebra; sums of two stay within 64 bits.
 DEAD = -(1 << 61)
 NO_MERGE = 1 << 30
-KNOWN_WORDS = 120_000
+KNOWN_WORDS = 250_000
 KNOWN_PAIRS = 100_000
 #: Rows of an Arrow batch; a row of tokens is longer than the row counts that Spark's default is made for.
 BATCH_ROWS = 1000
@@ -295,10 +296,10 @@ class Encoder:
                 long_ = {}
                 for w in words:
                     if w not in known:
-                        ids = np.array(self.spelled(self.merged(w)), dtype="<u2").tobytes()
+                        ids = array("H", self.spelled(self.merged(w))).tobytes()
                         (known if len(w) <= LONGEST_KNOWN else long_)[w] = ids
                 made = b"".join([long_[w] if w in long_ else known[w] for w in words])
-            out.append(np.frombuffer(made, dtype="<u2"))
+            out.append(np.frombuffer(made, dtype=np.uint16))
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
