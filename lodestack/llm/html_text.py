@@ -7,20 +7,23 @@ for its length and commas to its parent, half of them to its grandparent and
 less further up; a container's points are discounted by its link density. The
 best container is kept with all of the declared article around it that is not
 cut. Without one, all of ``main`` or else of its parent stays if links are few in
-the rest; otherwise lists of links go and what reads like a continuation stays.
+the rest; otherwise lists of links go and blocks of prose beside it stay. A header
+inside an article is the article's own and stays; a page header goes.
 
 Spark maps pages to rows in Arrow batches; a page needs only itself, so there is
 no shuffle, and a task's memory is one batch. Defined cases: a null or empty
 page gives an empty text; markup cut off in the middle is closed at the end of
 the page; a page without any paragraph gives the text that is left of its body;
-rows that repeat a page repeat its text; extra columns pass through.
+of equally good containers the last one in the page is best; rows that repeat a
+page repeat its text; extra columns pass through, but one that is called
+``main_text`` is replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,8 +54,8 @@ OTHER = frozenset(
     "discussion social share sharing related recommended recommendations pagination pager login search searchbox form toolbar "
     "complementary contentinfo skip print hidden paywall".split()
 )
-#: Siblings of the best container that stay, whatever their points, if links are few.
-BLOCKS = frozenset("p h3 h4 h5 h6 ul ol dl blockquote pre table figure".split())
+#: Blocks of prose: what holds one and few links stays beside the best container.
+BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure".split())
 KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?(?:[A-Za-z][^<]*)?\Z", re.S
@@ -63,16 +66,19 @@ SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "inside", "cut", "size", "linked", "commas", "points", "marked", "prose")
+    __slots__ = ("tag", "up", "inside", "cut", "size", "linked", "commas", "points", "marked", "holds", "article")
 
     def __init__(self, tag: str, up: "Node | None"):
         self.tag, self.up, self.inside, self.cut, self.marked = tag, up, [], False, False
-        self.size = self.linked = self.commas = self.prose = 0
+        self.size = self.linked = self.commas = 0
+        self.holds = False
         self.points = 0.0
+        self.article = tag == "article" or (up is not None and up.article)
 
 
-def _marked(attributes: str) -> tuple[bool, bool]:
-    """Whether names say that the part is no article text, and whether it is hidden."""
+def _marked(attributes: str, article: bool) -> tuple[bool, bool]:
+    """Whether names say that the part is no article text, and whether it is hidden; an article may have a header."""
+    other = OTHER - {"header"} if article else OTHER
     named = hidden = False
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
@@ -80,7 +86,7 @@ def _marked(attributes: str) -> tuple[bool, bool]:
             for name in value.split():
                 parts = NAME_PART.findall(name)
                 # has-sidebar, with-comments and no-ads describe a layout, not the part itself
-                named |= bool(parts) and parts[0] not in ("has", "with", "no", "without", "js") and not OTHER.isdisjoint(parts)
+                named |= bool(parts) and parts[0] not in ("has", "with", "no", "without", "js") and not other.isdisjoint(parts)
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
             hidden = True
         elif key == "style":
@@ -126,9 +132,9 @@ def tree(page: str) -> Node:
         child = Node(tag, node)
         node.inside.append(child)
         if m[3]:
-            named, hidden = _marked(m[3])
+            named, hidden = _marked(m[3], child.article)
             child.marked, child.cut = named and tag not in KEPT_WHOLE, hidden
-        child.cut |= tag in CUT
+        child.cut |= tag in CUT and not (tag == "header" and child.article)
         if tag in RAW:
             raw = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
             at = raw.start() if raw else len(page)
@@ -153,7 +159,8 @@ def _walk(root: Node) -> list[Node]:
 
 def _measure(nodes: list[Node]) -> None:
     for node in nodes:
-        node.size = node.linked = node.commas = node.prose = 0
+        node.size = node.linked = node.commas = 0
+        node.holds = node.tag in ("article", "main", "h1")
     for node in reversed(nodes):
         for x in node.inside:
             if isinstance(x, str):
@@ -161,13 +168,11 @@ def _measure(nodes: list[Node]) -> None:
                 node.commas += x.count(",")
         if node.tag == "a":
             node.linked = node.size
-        if node.tag == "p":
-            node.prose = node.size
         if node.up is not None:
             node.up.size += node.size
             node.up.linked += node.linked
             node.up.commas += node.commas
-            node.up.prose += node.prose
+            node.up.holds |= node.holds
 
 
 def text_of(root: Node) -> str:
@@ -198,8 +203,9 @@ def main_text(page: str | None) -> str:
     nodes = _walk(root)
     _measure(nodes)
     for node in nodes:
-        # A marked part that holds most of the page's paragraphs is a layout, not a sidebar.
-        node.cut |= node.marked and 2 * node.prose <= root.prose
+        # A marked part is a layout, not a sidebar, if it holds most of the prose with an article or title, or nearly all of a page without.
+        most = 2.0 if node.holds else 1.1
+        node.cut |= node.marked and (node.holds < root.holds or most * (node.size - node.linked) <= root.size - root.linked)
     nodes = _walk(root)
     _measure(nodes)
     for node in nodes:
@@ -243,12 +249,12 @@ def _around(best: Node) -> list[Node]:
         return [whole]
     if whole.tag == "main":
         # Lists of links beside the article go; everything else that main declares stays.
-        return _text_blocks(whole, best)
-    least = 0.2 * best.points
-    return [x for x in holder.inside if isinstance(x, Node) and not x.cut and (x is best or _continues(x, best, least))]
+        return _text_blocks(whole, best, lambda x: _density(x) < 0.33)
+    return _text_blocks(holder, best, _continues)
 
 
-def _text_blocks(whole: Node, best: Node) -> list[Node]:
+def _text_blocks(whole: Node, best: Node, stays: Callable[[Node], bool]) -> list[Node]:
+    """A copy of ``whole`` with the blocks around the best one that stay; text between blocks stays, lone links go."""
     line = {best}
     while (up := best.up) is not whole:
         line.add(best := up)
@@ -256,29 +262,25 @@ def _text_blocks(whole: Node, best: Node) -> list[Node]:
 
     def fill(node: Node, copy: Node) -> None:
         for x in node.inside:
-            if isinstance(x, str) or x.tag in INLINE:
+            if isinstance(x, str) or (x.tag in INLINE and _density(x) < 0.5):
                 copy.inside.append(x)
             elif x in line and x.inside and any(y in line for y in x.inside if isinstance(y, Node)):
                 copy.inside.append(part := Node(x.tag, copy))
                 fill(x, part)
-            elif not x.cut and (x in line or _density(x) < 0.33):
+            elif not x.cut and (x in line or stays(x)):
                 copy.inside.append(x)
 
     fill(whole, shell)
     return [shell]
 
 
-def _continues(x: Node, best: Node, least: float) -> bool:
-    if x.tag in ("h1", "h2"):
-        return True
-    if x.points >= max(least, 3.0) and _density(x) < 0.33:
-        return True
-    return x.tag in BLOCKS and x.size > 0 and _density(x) < 0.25
+def _continues(x: Node) -> bool:
+    return x.size > 0 and _density(x) < 0.33 and any(n.tag in BLOCKS and n.size for n in _walk(x))
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """All columns of ``pages`` but the html, plus ``main_text`` string."""
-    keep = [c for c in pages.columns if c != html_col]
+    keep = [c for c in pages.columns if c not in (html_col, "main_text")]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in keep] + ["main_text string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

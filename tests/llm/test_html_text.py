@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from lodestack.llm import html_text
 from lodestack.llm.html_text import main_text
 
@@ -36,6 +40,60 @@ def test_one_long_section_and_short_ones():
     assert main_text(page) == f"{long} {BESIDE}"
 
 
+def test_siblings_of_the_best_container_in_a_body():
+    long = main_text(LONG)
+    page = f"<body><nav><a>x</a></nav><div>{LONG}</div><ul><li>First point.<li>Second point.</ul><div><p>Short end.</div><ul><li><a>a</a></ul></body>"
+    assert main_text(page) == f"{long} First point. Second point. Short end."
+    page = f"<body><div>{LONG}</div><h3>Sub</h3><div><p>one paragraph</div><table><tr><td>cell</table><blockquote>Quote me.</blockquote>Loose.<p><a>menu</a></p></body>"
+    assert main_text(page) == f"{long} Sub one paragraph cell Quote me. Loose."
+    page = f"<header>Site</header><article><header class='entry-header'><h1>The Title</h1></header>{LONG}<footer>f</footer></article>"
+    assert main_text(page) == f"The Title {long}"
+
+
+WORDS = "stone river, amber house walked over the; quiet (old) bridge and then, later on, came back.".split()
+
+
+def _page(rng):
+    """A page and the text of its article: known blocks of every kind among everything that must go."""
+    say = lambda a, b: " ".join(rng.choice(WORDS) for _ in range(rng.randint(a, b)))
+    blocks, texts = [], []
+    for k in range(rng.randint(3, 12)):
+        kind = rng.choice(["p", "p", "p", "h2", "h3", "h4", "h5", "ul", "ol", "blockquote", "pre", "table", "dl"]) if k else "p"
+        x, y = say(30, 60) if k == 0 else say(2, 50), say(1, 9)
+        if kind == "ul" or kind == "ol":
+            blocks.append(f"<{kind}><li>{x}<li>{y}</{kind}>")
+        elif kind == "table":
+            blocks.append(f"<table><tr><th>{x}<td>{y}</table>")
+        elif kind == "dl":
+            blocks.append(f"<dl><dt>{x}<dd>{y}</dl>")
+        else:
+            blocks.append(f"<{kind}>{x} <i>{y}</i></{kind}>")
+        texts.append(f"{x} {y}")
+        if rng.random() < 0.3:
+            blocks.append(rng.choice(['<script>var t = "<p>no</p>";</script>', f"<aside>{say(3, 9)}</aside>", f"<form>{say(2, 4)}<input></form>", "<!-- no -->"]))
+    inner = "".join(blocks)
+    if rng.random() < 0.5:
+        at = rng.randint(1, len(blocks))
+        inner = f"<section>{''.join(blocks[:at])}</section>" + "".join(blocks[at:])
+    holder = rng.choice(["article", "main", "div id=content", "section"])
+    junk = [
+        f"<header><h1>{say(2, 4)}</h1></header>", "<nav><ul>" + "".join(f"<li><a href=x>{say(1, 2)}</a>" for _ in range(6)) + "</ul></nav>",
+        f'<div class="side-bar sidebar"><p>{say(20, 60)}</p></div>', f'<div class="cookie-notice">{say(5, 20)}</div>', f'<div class="ad">{say(5, 25)}</div>',
+        f"<form>{say(3, 6)}</form>",
+    ]
+    after = [f'<div class="comments"><p>{say(20, 60)}</p></div>', f"<footer>{say(3, 9)}</footer>", f"<style>p {{}}</style><div id=related><p>{say(9, 20)}</p></div>"]
+    rng.shuffle(junk)
+    rng.shuffle(after)
+    page = f"<html><head><title>t</title></head><body>{''.join(junk[: rng.randint(0, 6)])}<{holder}>{inner}</{holder.split()[0]}>{''.join(after)}</body></html>"
+    return page, " ".join(texts)
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_generated_pages_give_their_article(seed):
+    page, text = _page(random.Random(seed))
+    assert main_text(page) == text
+
+
 def test_cut_off_and_odd_markup():
     assert main_text("<p>open and cut <b>here</") == "open and cut here"
     assert main_text("plain 1 < 2 & more") == "plain 1 < 2 & more"
@@ -51,3 +109,5 @@ def test_rows(spark):
     got = sorted((str(r.page_id), r.main_text) for r in html_text.extract(pages).collect())
     assert got == sorted([("1", main_text(PAGE))] * 2 + [("None", ""), ("2", "")])
     assert html_text.extract(pages.filter("false")).count() == 0
+    clash = pages.withColumnRenamed("main", "main_text")
+    assert html_text.extract(clash).columns == ["page_id", "url", "main_text"]
