@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -38,3 +39,23 @@ def test_against_brute_force(odd, odd_rows):
 
 def test_empty(empty):
     assert line_dedup.drop_repeated_lines(empty).select(F.col("line_dedup.kept")).count() == 0
+
+
+def test_hot_and_other_lines_join_alike(odd):
+    whole = line_dedup.drop_repeated_lines(odd, min_chars=5, min_docs=2)
+    split = line_dedup.drop_repeated_lines(odd, min_chars=5, min_docs=2, most_hot=2)
+    rows = lambda df: sorted(map(str, df.select("doc_id", "line_dedup").collect()))
+    assert rows(whole) == rows(split)
+
+
+def test_many_lines_are_put_together_in_linear_time(spark):
+    shared = "A license line that several documents share, word for word."
+    many = "\n".join([shared, *(f"line {k}" for k in range(300_000)), shared])
+    rows = [(k, shared) for k in range(5)] + [(9, shared), (3, many), (4, shared + "\n" + many)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("line_dedup", F.lit(1))
+    began = time.monotonic()
+    got = {(r.doc_id, r.line_dedup.n_lines): r.line_dedup for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert time.monotonic() - began < 30
+    x = got[4, 300_003]
+    assert x.n_dropped == 3 and x.kept == "\n".join(f"line {k}" for k in range(300_000))
+    assert got[9, 1].kept == shared and got[0, 1].kept == ""
