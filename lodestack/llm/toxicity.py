@@ -12,14 +12,19 @@ turns a passage into -log of its expected count by chance. A document's evidence
 is the sum over its significant passages; a logistic fit maps it to 0..1.
 
 Fitting uses at most ``SAMPLE`` labelled documents, those with the smallest hash
-of their id (a documented bound), and keeps at most ``FEATURES`` prefixes. Four
-in five of them give the token counts, the others the calibration. Scoring is
-one map over all whole texts with the model as a broadcast of bounded size.
+of their id (a documented bound), whole texts; the model has the prefixes that
+``LEAST`` of them hold, so its size follows the sample, not the corpus. Four in
+five of them give the token counts, the others the calibration: the Gumbel scale
+from all their clean tokens, its location from the best passage of every clean
+one, the logistic fit from the same evidence that scoring sums up. If one class is
+missing there, all of the sample calibrates. Scoring is one map over all whole
+texts with the model as a broadcast.
 
 Defined cases: null and empty texts have no passage and get the score of no
-evidence; unlabelled rows and rows whose label is null are scored but not
-learned from; with no positive or no negative training label every score is the
-share of positive labels. Repeated rows get equal scores.
+evidence; an empty table gives no rows; unlabelled rows and rows whose label is
+null are scored but not learned from; of several labels of one id the greatest
+counts; with no positive or no negative training label every score is the share
+of positive labels. Repeated rows get equal scores. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestack.session import cut
+
 SAMPLE = 20_000
-FEATURES = 200_000
 #: Texts that a prefix's parent counts for, and the least texts of a prefix that is kept.
 PRIOR = 4.0
 LEAST = 4
@@ -44,6 +50,8 @@ LEAST = 4
 COST = 0.7
 CAP = 6.0
 LONGEST_PREFIX = 16
+#: Width of a cell of token scores in the calibration.
+CELL = 0.01
 KNOWN_WORDS = 400_000
 WORDS = re.compile(r"[^\W_]+")
 THRESHOLD = 0.3
@@ -70,8 +78,10 @@ class Scorer:
 
     def token(self, word: str) -> float:
         scores = self.model.scores
+        if (s := scores.get(word + "$")) is not None:
+            return s - COST
         for k in range(min(len(word), LONGEST_PREFIX), 0, -1):
-            if (s := scores.get(word[:k] if k < len(word) else word + "$" if word + "$" in scores else word)) is not None:
+            if (s := scores.get(word[:k])) is not None:
                 return s - COST
         return -COST
 
@@ -90,40 +100,43 @@ class Scorer:
     def passages(self, words: list[str]) -> list[tuple[int, int, float]]:
         """Every maximal scoring passage as (first word, end, evidence), significant ones only."""
         scores = self.scores(words)
-        n = max(1, len(words))
+        log_n = math.log(max(1, len(words)))
         out = []
         for a, b, s in maximal_segments(scores):
-            evidence = self.model.scale * s - self.model.log_k - math.log(n)
+            evidence = self.model.scale * s - self.model.log_k - log_n
             if evidence > 0:
                 out.append((a, b, evidence))
         return out
 
     def document(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
         found = self.passages(tokens_of(text))
-        x = self.model.slope * math.log1p(sum(e for _, _, e in found)) + self.model.shift
+        x = self.model.slope * evidence_of(found) + self.model.shift
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, x)))), found
 
 
+def evidence_of(passages: list[tuple[int, int, float]]) -> float:
+    return math.log1p(sum(e for _, _, e in passages))
+
+
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring subsequences in linear time: (start, end, score)."""
-    stack: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum through
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum through, nearest earlier one that starts lower
     total = 0.0
     for k, s in enumerate(scores):
         before, total = total, total + s
         if s <= 0:
             continue
-        start, left, right = k, before, total
-        while stack:
-            # the nearest earlier segment that starts lower
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= left:
-                j -= 1
-            if j < 0 or stack[j][3] >= right:
+        start, left, at = k, before, len(found) - 1
+        while True:
+            while at >= 0 and found[at][2] >= left:
+                at = found[at][4]
+            if at < 0 or found[at][3] >= total:
                 break
-            start, left = stack[j][0], stack[j][2]
-            del stack[j:]
-        stack.append((start, k + 1, left, right))
-    return [(a, b, r - l) for a, b, l, r in stack]
+            start, _, left, _, lower = found[at]
+            del found[at:]
+            at = lower
+        found.append((start, k + 1, left, total, at))
+    return [(a, b, r - l) for a, b, l, r, _ in found]
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -165,16 +178,17 @@ def log_odds(counts: list[tuple[str, int, int]], other: int, toxic: int) -> dict
     return out
 
 
-def gumbel(scores: np.ndarray) -> float:
+def gumbel(values: np.ndarray, counts: np.ndarray) -> float:
     """The positive scale that solves mean(exp(scale * s)) = 1, for scores whose mean is negative."""
-    if not len(scores) or scores.mean() >= 0 or scores.max() <= 0:
+    if not counts.sum() or (values * counts).sum() >= 0 or values[counts > 0].max() <= 0:
         return 1.0
+    mean = lambda scale: float(np.average(np.exp(np.minimum(scale * values, 50)), weights=counts))
     lo, hi = 1e-3, 1.0
-    while np.exp(np.minimum(hi * scores, 50)).mean() < 1 and hi < 50:
+    while mean(hi) < 1 and hi < 50:
         hi *= 2
     for _ in range(50):
         mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if np.exp(np.minimum(mid * scores, 50)).mean() < 1 else (lo, mid)
+        lo, hi = (mid, hi) if mean(mid) < 1 else (lo, mid)
     return hi
 
 
@@ -199,19 +213,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null")
+    # The sample's texts are read by five passes, so they are written once.
     part = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(5))
-    learn, check = rows.filter(part != 0).select("text", "toxic"), rows.filter(part == 0).select("text", "toxic")
+    rows = cut(docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null").select("text", "toxic", part.alias("part")))
     model = Model()
     features = (
-        learn.mapInArrow(_counts, "feature string, other long, toxic long")
+        rows.filter("part != 0").select("text", "toxic").mapInArrow(_counts, "feature string, other long, toxic long")
         .groupBy("feature")
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-    )
-    kept = features.filter(F.col("other") + F.col("toxic") >= LEAST).orderBy(
-        (F.col("toxic") + F.col("other")).desc(), "feature"
-    )
-    counts = [tuple(r) for r in kept.limit(FEATURES).collect()]  # bounded by FEATURES
+    )
+    # What LEAST of the sampled documents hold: bounded by the sample.
+    counts = [tuple(r) for r in features.filter(F.col("other") + F.col("toxic") >= LEAST).collect()]
     other, toxic = (sum(c[k] for c in counts if c[0].endswith("$")) for k in (1, 2))
     if not other or not toxic:
         share = chosen.agg(F.avg("toxic")).first()[0] or 0.0
@@ -219,40 +231,52 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return model
     model.base = toxic / (toxic + other)
     model.scores = log_odds(counts, other, toxic)
+    check = rows.filter("part = 0").select("text", "toxic")
+    if check.agg(F.count_distinct("toxic")).first()[0] < 2:
+        check = rows.select("text", "toxic")
+    tokens, best, evidence = _calibrators(model)
+    clean = check.filter("toxic = 0").select("text")
+    cells = clean.mapInArrow(tokens, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most one per cell
+    model.scale = gumbel(np.array([r["cell"] * CELL for r in cells]), np.array([r["n"] for r in cells], dtype=float))
+    # Mean of a Gumbel law: log K plus Euler's constant.
+    mean = clean.mapInArrow(best, "best double, log_n double").agg(F.avg(F.lit(model.scale) * F.col("best") - F.col("log_n"))).first()[0]
+    model.log_k = (mean or 0.0) - 0.5772156649
+    seen = check.mapInArrow(evidence, "x double, y double").collect()  # two numbers a calibrating document
+    model.slope, model.shift = logistic(np.array([r["x"] for r in seen]), np.array([r["y"] for r in seen]))
+    return model
+
 
-    def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _calibrators(model: Model) -> tuple:
+    """Maps over calibrating texts: token scores in cells, the best passage of each text, and its evidence."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            out: list[tuple] = []
-            for text, label in zip(batch.column(0), batch.column(1)):
-                scores = scorer.scores(tokens_of(text.as_py()))
-                segments = [s for _, _, s in maximal_segments(scores)]
-                out.append((label.as_py(), len(scores), sorted(segments)[-64:], scores[:64]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int32(), pa.int64(), *[pa.list_(pa.float64())] * 2))],
-                names=["toxic", "n", "segments", "tokens"],
-            )
+            found: Counter = Counter()
+            for text in batch.column(0):
+                found.update([round(s / CELL) for s in scorer.scores(tokens_of(text.as_py()))])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], names=["cell", "n"])
 
-    # A fifth of the sample: a label, a length and at most 128 numbers a row.
-    seen = check.mapInArrow(calibrate, "toxic int, n long, segments array<double>, tokens array<double>").collect()
-    clean = [r for r in seen if r["toxic"] == 0 and r["n"]]
-    model.scale = gumbel(np.array([s for r in clean for s in r["tokens"]]))
-    best = np.array([model.scale * max(r["segments"], default=0.0) - math.log(r["n"]) for r in clean])
-    # Mean of a Gumbel law: log K plus Euler's constant.
-    model.log_k = float(best.mean() - 0.5772156649) if len(best) else 0.0
-    x, y = [], []
-    for r in seen:
-        n = math.log(max(1, r["n"]))
-        x.append(math.log1p(sum(max(0.0, model.scale * s - model.log_k - n) for s in r["segments"])))
-        y.append(r["toxic"])
-    if len(set(y)) == 2:
-        model.slope, model.shift = logistic(np.array(x), np.array(y, dtype=float))
-    return model
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            texts = [scorer.scores(w) for t in batch.column(0) if (w := tokens_of(t.as_py()))]
+            top = [max((s for _, _, s in maximal_segments(x)), default=0.0) for x in texts]
+            sizes = [math.log(len(x)) for x in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(top, pa.float64()), pa.array(sizes, pa.float64())], names=["best", "log_n"])
+
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            x = [evidence_of(scorer.passages(tokens_of(t.as_py()))) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1).cast(pa.float64())], names=["x", "y"])
+
+    return tokens, best, evidence
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, passages): passages are array<struct<first_word, end_word, evidence>>."""
-    shared = docs.sparkSession.sparkContext.broadcast(asdict(model))  # at most FEATURES entries
+    shared = docs.sparkSession.sparkContext.broadcast(asdict(model))  # as large as the sample makes it
     passage = pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32()), ("evidence", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,6 +289,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 names=["doc_id", "score", "passages"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, score double, passages array<struct<first_word:int,end_word:int,evidence:double>>"
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(
+        run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, passages array<struct<first_word:int,end_word:int,evidence:double>>"
     )

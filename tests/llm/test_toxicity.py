@@ -1,4 +1,6 @@
+import math
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -27,9 +29,55 @@ def test_maximal_segments(scores):
 def test_scale():
     import numpy as np
 
-    s = np.array([1.0, -1.0, -1.0])
-    x = toxicity.gumbel(s)
-    assert np.exp(x * s).mean() == pytest.approx(1, abs=1e-6)
+    s, n = np.array([1.0, -1.0]), np.array([1.0, 2.0])
+    x = toxicity.gumbel(s, n)
+    assert np.average(np.exp(x * s), weights=n) == pytest.approx(1, abs=1e-6)
+
+
+def test_long_texts_of_many_segments_take_linear_time():
+    falling = [1.0, -2.0] * 300_000
+    nested = [100.0] + [-1.0] * 50 + [0.5, -1.0] * 300_000
+    began = time.monotonic()
+    assert len(toxicity.maximal_segments(falling)) == 300_000
+    assert toxicity.maximal_segments(nested)[0] == (0, 1, 100.0)
+    assert time.monotonic() - began < 20
+
+
+def test_whole_words_of_any_length_are_looked_up():
+    long = "unverantwortungsvollerweise"
+    scorer = toxicity.Scorer(toxicity.Model(scores={long + "$": 3.0, long[:16]: 1.0, "u": -1.0}))
+    assert scorer.token(long) == 3.0 - toxicity.COST and scorer.token(long + "r") == 1.0 - toxicity.COST and scorer.token("ux") == -1.0 - toxicity.COST
+
+
+@pytest.mark.parametrize("one", [0, 1])
+def test_calibration_part_of_one_class(spark, one):
+    rows = [(k, ("good words here " if k % 3 else "viledung viles here ") * 5, int(k % 3 == 0)) for k in range(60)]
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows] + [(100, ""), (101, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    part = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(5))
+    model = toxicity.fit(docs, labels.filter((part != 0) | (F.col("toxic") == one)))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert got[100] == got[101] < toxicity.THRESHOLD and got[1] < toxicity.THRESHOLD < got[0]
+
+
+def test_score_by_the_definition():
+    """Evidence by all ways to cut a text into maximal segments, against the scan."""
+    rng = random.Random(2)
+    model = toxicity.Model(scores={"a": 2.0, "b": 0.3, "c": -1.0}, scale=0.7, log_k=-0.5, slope=1.3, shift=-1.0)
+    for _ in range(200):
+        words = [rng.choice("abcd") for _ in range(rng.randint(0, 12))]
+        s = [model.scores.get(w, 0.0) - toxicity.COST for w in words]
+        passages, rest = [], [(0, len(s))]
+        while rest:  # the best segment of a stretch is maximal; what is left and right of it is cut again
+            lo, hi = rest.pop()
+            best = max(((sum(s[a:b]), a - b, -a) for a in range(lo, hi) for b in range(a + 1, hi + 1)), default=(0, 0, 0))
+            if best[0] > 1e-12:
+                a, b = -best[2], -best[2] - best[1]
+                passages.append(best[0])
+                rest += [(lo, a), (b, hi)]
+        evidence = sum(max(0.0, model.scale * x - model.log_k - math.log(max(1, len(s)))) for x in passages)
+        want = 1 / (1 + math.exp(-(model.slope * math.log1p(evidence) + model.shift)))
+        assert toxicity.Scorer(model).document(" ".join(words))[0] == pytest.approx(want, abs=1e-9)
 
 
 def test_learns_and_leaves_clean(spark):
