@@ -91,12 +91,31 @@ class Vocabulary:
         #: Pieces by the order in which they are merged; equal scores have equal places.
         self.order = {p: order[s] for p, s in scores.items()}
         self.longest = max(map(len, self.ids))
+        self._tables()
         if len(self.out) > 1 << 16:
             raise ValueError("ids are kept as 16-bit numbers")
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece crosses words; words cannot be solved apart")
 
 
+    def _tables(self) -> None:
+        """The same as arrays: ids of characters, and of pairs of pieces the piece they merge to."""
+        self.char = np.zeros(0x10000, dtype=np.int32)  # 0: no piece
+        for p, k in self.ids.items():
+            if len(p) == 1 and ord(p) < len(self.char):
+                self.char[ord(p)] = k
+        of, pairs = self.ids, {}
+        for p, k in of.items():
+            for i in range(1, len(p)):
+                if (a := of.get(p[:i])) is not None and (b := of.get(p[i:])) is not None:
+                    pairs[a << 16 | b] = k
+        self.pair = np.array(sorted(pairs), dtype=np.uint32)
+        self.pair_to = np.array([pairs[x] for x in self.pair.tolist()], dtype=np.int32)
+        self.rank = np.full(len(self.out) + 1, NO_MERGE, dtype=np.int32)  # the last one for no piece
+        for p, k in of.items():
+            self.rank[k] = self.order[p]
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
@@ -152,6 +171,69 @@ class Encoder:
                 heapq.heappush(heap, (r, i, parts[i] + text))
         return [p for p in parts if p is not None]
 
+    def merged_together(self, words: list[str]) -> list[bytes]:
+        """Ids of many words whose characters are all pieces: in each round every word merges its best pair."""
+        v, none = self.v, len(self.v.out)
+        raw = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
+        s, of = v.char[raw], np.repeat(np.arange(len(words)), [len(w) for w in words])
+
+        def union(at: np.ndarray) -> np.ndarray:
+            """What the symbols at these places merge to with the next one of their word."""
+            key = (s[at].astype(np.uint32) << np.uint32(16)) | s[at + 1].astype(np.uint32)
+            k = np.searchsorted(v.pair, key)
+            k[k == len(v.pair)] = 0
+            return np.where((v.pair[k] == key) & (of[at] == of[at + 1]), v.pair_to[k], none)
+
+        to = np.full(len(s), none)
+        to[:-1] = union(np.arange(len(s) - 1))
+        rank = v.rank[to]
+        ended: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(s):
+            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            sizes = np.diff(np.append(starts, len(s)))
+            best = np.repeat(np.minimum.reduceat(rank, starts), sizes)
+            live = best < NO_MERGE
+            if not live.all():
+                ended.append((of[~live], s[~live]))
+                s, of, to, rank, best = s[live], of[live], to[live], rank[live], best[live]
+                if not len(s):
+                    break
+            at = np.flatnonzero(rank == best)
+            at = at[np.concatenate(([True], of[at[1:]] != of[at[:-1]]))]
+            s[at] = to[at]
+            stay = np.ones(len(s), dtype=bool)
+            stay[at + 1] = False
+            s, of, to, rank = s[stay], of[stay], to[stay], rank[stay]
+            at -= np.arange(len(at))
+            near = np.concatenate((at, at[at > 0] - 1))
+            last = near == len(s) - 1
+            to[near[last]] = none
+            to[near[~last]] = union(near[~last])
+            rank[near] = v.rank[to[near]]
+        word, ids = (np.concatenate([x[k] for x in ended]) for k in (0, 1))
+        data = ids[np.argsort(word, kind="stable")].astype("<u2").tobytes()
+        ends = (2 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, those of short ones remembered."""
+        known, char = self.known, self.v.char
+        if len(known) + len(words) > KNOWN_WORDS:
+            known.clear()
+        made: dict[str, bytes] = {}
+        short = [w for w in words if len(w) <= LONGEST_KNOWN]
+        raw = np.minimum(np.frombuffer("".join(short).encode("utf-32-le"), dtype="<u4"), len(char) - 1)
+        ends = np.cumsum([len(w) for w in short])
+        covered = np.add.reduceat(char[raw] == 0, np.concatenate(([0], ends[:-1]))) == 0 if short else []
+        plain = [w for w, x in zip(short, covered) if x]
+        if plain:
+            made.update(zip(plain, self.merged_together(plain)))
+        for w in words:
+            if w not in made:
+                made[w] = array("H", self.spelled(self.merged(w))).tobytes()
+        known.update((w, made[w]) for w in short)
+        return made
+
     def spelled(self, parts: list[str]) -> list[int]:
         """Ids of pieces; a character that is none becomes its bytes."""
         ids, out = self.v.ids, []
@@ -284,23 +366,18 @@ class Encoder:
         return self.texts([s])[0]
 
     def texts(self, marked: list[str]) -> list[np.ndarray]:
-        """Ids of several such texts; a word that is new is merged once."""
-        out = []
-        for s in marked:
-            words, known = self.word.findall(s), self.known
-            try:
-                made = b"".join([known[w] for w in words])
-            except KeyError:
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
-                long_ = {}
-                for w in words:
-                    if w not in known:
-                        ids = array("H", self.spelled(self.merged(w))).tobytes()
-                        (known if len(w) <= LONGEST_KNOWN else long_)[w] = ids
-                made = b"".join([long_[w] if w in long_ else known[w] for w in words])
-            out.append(np.frombuffer(made, dtype=np.uint16))
-        return out
+        """Ids of several such texts; words that are new to any of them are merged together, once."""
+        lists = [self.word.findall(s) for s in marked]
+        known = self.known
+        new = list({w for words in lists for w in set(words) if w not in known})
+        if new:
+            if len(known) + len(new) > KNOWN_WORDS:
+                new = list({w for words in lists for w in words})
+            made = self.learn(new)
+            long_ = {w: x for w, x in made.items() if len(w) > LONGEST_KNOWN}
+            if long_:
+                return [np.frombuffer(b"".join([long_.get(w) or known[w] for w in words]), dtype=np.uint16) for words in lists]
+        return [np.frombuffer(b"".join([known[w] for w in words]), dtype=np.uint16) for words in lists]
 
     def encode(self, text: str | None) -> np.ndarray:
         return self.encode_many([text])[0]
