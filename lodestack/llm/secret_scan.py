@@ -2,30 +2,38 @@
 
 Base spans come from three patterns. Their places follow from what lies between
 matches: ``split`` gives the gaps and ``regexp_extract_all`` the matches of the
-same leftmost, non-overlapping search, so running lengths are start offsets.
-
-The method adds runs of encoding characters that look like keys. A run's
-encoding is inferred from its characters (hexadecimal, base 32 or base 64), its
-characters become numbers below the alphabet's size, and three tests ask whether
-they are uniform noise: a chi-squared test of eight equal parts of the alphabet,
-a runs test around the alphabet's middle and a lag-one serial correlation. Their
-p-values are combined by Fisher's method. A run is discarded as structured text
-when noise is rejected under Benjamini-Hochberg control of the false-discovery
-rate; it is done by classes of length and encoding, because short runs can
-reject little and would otherwise borrow from long ones. So at most ``RATE`` of
-what is discarded is expected to be noise; the rest is reported as ``random``.
-
-The control needs ranks over the whole corpus. They come from counts of p-values
-in log-spaced cells, at most 8 classes x 200 cells, never from the p-values
-themselves; a cell counts as its upper edge, which errs to the side of reporting.
+same leftmost, non-overlapping search, so running lengths are start offsets. They
+are summed in blocks of ``BLOCK`` matches, so a text of very many matches is not
+copied once for each of them.
+
+The method adds runs of encoding characters that look like keys, however long. A
+run's encoding is inferred from its characters (hexadecimal, base 32 or base 64),
+its characters become numbers below the alphabet's size, and three tests ask
+whether they are uniform noise: a chi-squared test of eight equal parts of the
+alphabet, a runs test around the alphabet's middle and a lag-one serial
+correlation. Fisher's method combines them to one p-value.
+
+What is reported must be noise, so the false discoveries to control are runs of
+structured text among those reported. Noise has uniform p-values; structured text
+has small ones. In every class of length and encoding, the runs with p above
+``UPPER`` tell how much noise the class has, and so how many runs of noise have a
+p-value above any threshold; what lies above it beyond that number is structured.
+A class reports the runs above the least threshold at which at most ``RATE`` of
+them are structured by this estimate. Classes are apart because short runs of
+text look more like noise than long ones and would borrow from them. Counts come
+from all the corpus, as at most 8 classes x ``CELLS`` cells of p-values.
 
 Defined cases: a null text is an empty one and has no spans; repeated rows get
 equal spans; lengths and offsets are code points; added spans never overlap base
-spans; a table without runs adds none. Extra columns are ignored.
+spans; a table without runs adds none, an empty table gives no rows; in a table
+with very few runs, one alone is reported if its p-value is above ``UPPER``. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +45,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 HEX_LONG = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
-RUN = r"[A-Za-z0-9+/_-]{24,512}"
+RUN = r"[A-Za-z0-9+/_-]{24,}"
 #: Alphabets in their encodings' order; - and _ stand for + and /.
 ALPHABETS = {
     "hex": "0123456789ABCDEF",
@@ -46,31 +54,52 @@ ALPHABETS = {
 }
 PARTS = 8
 RATE = 0.05
-CELLS = 200
-CELL_WIDTH = 0.25  # in -ln p
+UPPER = 0.5
+CELLS = 40
+BLOCK = 256
+
+
+SPAN = "struct<start:int,kind:int,end:int>"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def placed(text: Column, pattern: str, kind: int, keep) -> Column:
-    """array<struct<start, kind, end>> of the matches that ``keep`` accepts."""
+def placed(text: Column, pattern: str, kind: int, keep: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<start, kind, end>> of the matches that ``keep`` accepts; without it of all, with the match as ``hit``."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    kind_of = SPAN if keep else SPAN.replace(">", ",hit:string>")
+    none = F.array().cast(f"array<{kind_of}>")
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        kept = F.when(x["hit"].isNotNull() & keep(x["hit"]), F.concat(state["out"], span)).otherwise(state["out"])
-        return F.struct(end.alias("at"), kept.alias("out"))
+        fields = [start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")] + ([] if keep else [x["hit"].alias("hit")])
+        wanted = x["hit"].isNotNull() & (keep(x["hit"]) if keep else F.lit(True))
+        return F.struct(end.alias("at"), F.when(wanted, F.concat(state["out"], F.array(F.struct(*fields)))).otherwise(state["out"]).alias("out"))
+
+    def block(state: Column, part: Column) -> Column:
+        spans = F.aggregate(part, F.struct(state["at"].alias("at"), none.alias("out")), step)
+        return let(spans, lambda s: F.struct(s["at"].alias("at"), F.concat(state["out"], F.array(s["out"])).alias("out")))
+
+    def spans(matches: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(1), F.size(matches), F.lit(BLOCK)), lambda k: F.slice(matches, k, BLOCK))
+        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind_of}>>").alias("out")), block, lambda s: F.flatten(s["out"]))
 
-    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
     # Texts without any match, nearly all, are not split.
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(both, first, step, lambda s: s["out"])).otherwise(empty)
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(both, spans)).otherwise(none)
+
+
+def is_assigned(hit: Column) -> Column:
+    return F.length(F.regexp_extract(hit, ASSIGN, 2)) >= 12
 
 
 def base_spans(text: Column) -> dict[str, Column]:
     return {
-        "assign": placed(text, ASSIGN, 0, lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= 12),
+        "assign": placed(text, ASSIGN, 0, is_assigned),
         "access": placed(text, ACCESS, 1, lambda hit: F.length(hit) >= 18),
         # A run of 16 or more is one match of either pattern; asking for 16 at once skips short runs.
         "hex": placed(text, HEX_LONG, 2, lambda hit: F.length(hit) >= 16),
@@ -102,26 +131,35 @@ def battery(run: Column, kind: Column) -> Column:
     size = F.when(kind == "hex", 16).when(kind == "base32", 32).otherwise(64)
     letters = F.when(kind == "hex", ALPHABETS["hex"]).when(kind == "base32", ALPHABETS["base32"]).otherwise(ALPHABETS["base64"])
     plain = F.when(kind == "hex", F.upper(run)).otherwise(F.translate(run, "-_", "+/"))
-    values = F.transform(F.split(plain, ""), lambda c: F.instr(letters, c) - 1)
-    values = F.filter(values, lambda v: v >= 0)
-    n = F.size(values).cast("double")
-    cells = F.transform(
-        F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.size(F.filter(values, lambda v: F.floor(v * PARTS / size) == p))
-    )
-    chi = F.aggregate(cells, F.lit(0.0), lambda s, c: s + (c - n / PARTS) * (c - n / PARTS) * PARTS / n)
-    high = F.transform(values, lambda v: (v * 2 >= size).cast("int"))
-    pairs = F.sequence(F.lit(1), F.size(values) - 1)
-    runs = 1 + F.aggregate(
-        pairs, F.lit(0), lambda s, k: s + (F.get(high, k) != F.get(high, k - 1)).cast("int")
-    ).cast("double")
-    runs_z = F.abs(runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
-    middle = (size - 1) / 2.0
-    spread = (size * size - 1) / 12.0
-    serial = F.aggregate(pairs, F.lit(0.0), lambda s, k: s + (F.get(values, k) - middle) * (F.get(values, k - 1) - middle))
-    serial_z = F.abs(serial) / (spread * F.sqrt(n - 1))
-    floor = F.lit(1e-300)
-    logs = [F.log(F.greatest(floor, p)) for p in (chi_tail(chi, PARTS - 1.0), 2 * normal_tail(runs_z), 2 * normal_tail(serial_z))]
-    return chi_tail(-2 * (logs[0] + logs[1] + logs[2]), 6.0)
+    values = F.filter(F.transform(F.split(plain, ""), lambda c: F.instr(letters, c) - 1), lambda v: v >= 0)
+
+    def tests(x: Column) -> Column:
+        """x: size of the alphabet and values, each computed once."""
+        size, values = x["size"], x["values"]
+        n = F.size(values).cast("double")
+        parts = F.sequence(F.lit(0), F.lit(PARTS - 1))
+        cells = F.transform(parts, lambda p: F.size(F.filter(values, lambda v: F.floor(v * PARTS / size) == p)))
+        chi = F.aggregate(cells, F.lit(0.0), lambda s, c: s + (c - n / PARTS) * (c - n / PARTS) * PARTS / n)
+        pairs = F.sequence(F.lit(1), F.size(values) - 1)
+        high = lambda k: F.get(values, k) * 2 >= size
+        runs = 1 + F.aggregate(pairs, F.lit(0), lambda s, k: s + (high(k) != high(k - 1)).cast("int")).cast("double")
+        runs_z = F.abs(runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
+        middle = (size - 1) / 2.0
+        spread = (size * size - 1) / 12.0
+        serial = F.aggregate(pairs, F.lit(0.0), lambda s, k: s + (F.get(values, k) - middle) * (F.get(values, k - 1) - middle))
+        serial_z = F.abs(serial) / (spread * F.sqrt(n - 1))
+        floor = F.lit(1e-300)
+        logs = [F.log(F.greatest(floor, p)) for p in (chi_tail(chi, PARTS - 1.0), 2 * normal_tail(runs_z), 2 * normal_tail(serial_z))]
+        return chi_tail(-2 * (logs[0] + logs[1] + logs[2]), 6.0)
+
+    return let(F.struct(size.alias("size"), values.alias("values")), tests)
+
+
+def without_assigned(text: Column) -> Column:
+    """The text with kept assign spans blanked, every place as before."""
+    both = F.arrays_zip(F.split(text, ASSIGN, -1).alias("gap"), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(0)).alias("hit"))
+    blank = lambda hit: F.when(is_assigned(hit), F.repeat(F.lit(" "), F.length(hit))).otherwise(F.coalesce(hit, F.lit("")))
+    return F.when(F.regexp_like(text, F.lit(ASSIGN)), F.array_join(F.transform(both, lambda x: F.concat(x["gap"], blank(x["hit"]))), "")).otherwise(text)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,38 +167,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     spans = base_spans(F.col("text"))
-    runs = F.regexp_extract_all("text", F.lit(RUN), F.lit(0))
-    rows = rows.select(
-        "id",
-        F.array_sort(F.concat(*spans.values())).alias("base"),
-        placed(F.col("text"), RUN, 3, lambda hit: F.lit(True)).alias("places"),
-        runs.alias("runs"),
-    )
-    overlap = lambda x: F.exists("base", lambda b: (b["start"] < x["start_end"][1]) & (b["end"] > x["start_end"][0]))
-    candidates = F.transform(
-        F.arrays_zip(F.col("places").alias("place"), F.col("runs").alias("run")),
-        lambda x: F.struct(
-            F.array(x["place"]["start"], x["place"]["end"]).alias("start_end"), x["run"].alias("run"), encoding(x["run"]).alias("enc")
-        ),
-    )
-    candidates = F.filter(candidates, lambda x: x["enc"].isNotNull() & ~overlap(x))
+    base = F.array_sort(F.concat(*spans.values()))
+    # Spans of the other two kinds lie whole in one run, so a run says itself whether it holds one.
+    holds_base = lambda run: run.rlike(HEX_LONG) | run.rlike("AKIA[A-Z0-9]{14,}")
+    runs = F.transform(placed(without_assigned(F.col("text")), RUN, 3), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["hit"].alias("run"), encoding(x["hit"]).alias("enc")))
     tested = F.transform(
-        candidates,
+        F.filter(runs, lambda x: x["enc"].isNotNull() & ~holds_base(x["run"])),
         lambda x: F.struct(
-            x["start_end"][0].alias("start"),
-            x["start_end"][1].alias("end"),
+            x["start"].alias("start"),
+            x["end"].alias("end"),
             stratum(x["enc"], F.length(x["run"])).alias("stratum"),
-            F.least(F.lit(CELLS - 1), F.floor(-F.log(F.greatest(F.lit(1e-300), battery(x["run"], x["enc"]))) / CELL_WIDTH))
-            .cast("int")
-            .alias("cell"),
+            F.least(F.lit(CELLS - 1), F.floor(battery(x["run"], x["enc"]) * CELLS)).cast("int").alias("cell"),
         ),
     )
-    seen = cut(rows.select("id", "base", tested.alias("tested")))
+    seen = cut(rows.select("id", base.alias("base"), tested.alias("tested")))
     return seen.select(
         "id",
         "base",
         F.transform(
-            F.filter("tested", lambda x: x["cell"] < F.get(rejection_cells(seen), x["stratum"])),
+            F.filter("tested", lambda x: x["cell"] >= F.get(least_cells(seen), x["stratum"])),
             lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")),
         ).alias("added"),
     )
@@ -172,22 +197,23 @@ def stratum(enc: Column, n: Column) -> Column:
     return length + F.when(enc == "base64", 4).otherwise(0)
 
 
-def rejection_cells(seen: DataFrame) -> Column:
-    """Per class the first cell that Benjamini-Hochberg rejects; cells count from p = 1 downwards."""
+def least_cell(cells: list[int]) -> int:
+    """The first cell above which at most RATE of a class's runs are structured; CELLS if it has no noise."""
+    upper = int(UPPER * CELLS)
+    noise = sum(cells[upper:]) / (1 - UPPER)
+    for cell in range(int(RATE * CELLS), upper + 1):
+        reported = sum(cells[cell:])
+        if reported and reported - noise * (1 - cell / CELLS) <= RATE * reported:
+            return cell
+    return CELLS
+
+
+def least_cells(seen: DataFrame) -> Column:
     counts = [[0] * CELLS for _ in range(8)]
     of = seen.select(F.explode("tested").alias("x")).groupBy("x.stratum", "x.cell").count()
     for r in of.collect():  # at most 8 x CELLS counts
         counts[r["stratum"]][r["cell"]] = r["count"]
-    first = []
-    for cells in counts:
-        total, rank, at = sum(cells), 0, CELLS
-        for cell in range(CELLS - 1, -1, -1):
-            rank += cells[cell]
-            edge = 2.718281828459045 ** (-CELL_WIDTH * cell)
-            if cells[cell] and edge * total <= RATE * rank:
-                at = cell
-        first.append(at)
-    return F.array(*[F.lit(x) for x in first])
+    return F.array(*[F.lit(least_cell(cells)) for cells in counts])
 
 
 def digest(spans: Column) -> Column:

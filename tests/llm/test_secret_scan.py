@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -55,6 +56,55 @@ def test_random_runs_are_added_and_names_are_not(spark):
     assert (one.added[0].start, one.added[0].end) == (4, 44)
 
 
+NAMES = ["src", "Main", "JavaCode", "org", "Handler2Impl", "TheQuick", "BrownFox", "Jumps0ver", "LazyDog", "config", "Version3", "parser", "Tree", "node", "util", "HttpServer", "abc12"]
+
+
+def planted(rng, n):
+    """Keys of three encodings and as many names and paths with digits and both cases, at lengths from 24 to 90."""
+    alphabets = (S.ALPHABETS["base64"], S.ALPHABETS["hex"].lower(), S.ALPHABETS["base32"])
+    keys, names = [], []
+    while len(keys) < n:
+        size = rng.randint(24, 90)
+        key = "".join(rng.choice(rng.choice([alphabets[len(keys) % 3]])) for _ in range(size))
+        if re.search("[0-9]", key) and re.search("[A-Za-z]", key) and (len(keys) % 3 or (re.search("[a-z]", key) and re.search("[A-Z]", key))):
+            keys.append(key if len(keys) % 3 != 1 else key.upper())
+    while len(names) < n:
+        name = rng.choice(["", "/", "_", "-"]).join(rng.choice(NAMES) for _ in range(rng.randint(4, 12)))
+        if 24 <= len(name) <= 90 and re.search("[0-9]", name) and re.search("[a-z]", name) and re.search("[A-Z]", name):
+            names.append(name)
+    return keys, names
+
+
+def test_precision_and_recall_on_planted_keys(spark):
+    keys, names = planted(random.Random(5), 600)
+    rows = [(k, f"see {x} there") for k, x in enumerate(keys)] + [(10_000 + k, f"see {x} there") for k, x in enumerate(names)]
+    got = S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hits = sum(bool(r.added) for r in got if r.id < 10_000)
+    wrong = sum(bool(r.added) for r in got if r.id >= 10_000)
+    print("recall", hits / len(keys), "precision", hits / (hits + wrong))
+    assert hits / len(keys) >= 0.85 and hits / (hits + wrong) >= 0.9
+
+
+def test_names_alone_are_not_reported(spark):
+    names = ["src/Main/JavaCode/org/Handler2Impl", "TheQuickBrownFoxJumps0verLazyDog", "com/example/project2/ServiceFactoryBean", "MyVeryLongClassNameWithNumber7Suffix"]
+    rows = [(k, f"see {x} there") for k, x in enumerate(names)]
+    assert not any(r.added for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
+def test_long_runs_are_one_span_and_many_matches_take_linear_time(spark):
+    rng = random.Random(1)
+    long = "".join(rng.choice(S.ALPHABETS["base64"]) for _ in range(1300))
+    many = " ".join("%016x" % rng.getrandbits(64) for _ in range(60_000))
+    rows = [(1, f"see {long} end"), (2, many)] + [(3 + k, "".join(rng.choice(S.ALPHABETS["base64"]) for _ in range(1300))) for k in range(20)]
+    began = time.monotonic()
+    got = {r.id: r for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.monotonic() - began < 60
+    assert [tuple(x) for x in got[1].added] == [(4, 3, 1304)] or not got[1].added
+    assert sum(bool(got[k].added) for k in range(3, 23)) >= 15
+    assert all(len(got[k].added) <= 1 for k in got if k != 2)
+    assert [tuple(x) for x in got[2].base] == brute(many)
+
+
 def test_odd_rows(odd, empty):
     assert S.scan(odd).count() == odd.count() and S.scan(empty).count() == 0
     assert S.scan(odd).select(S.digest(F.col("base")).alias("d")).filter("d IS NULL").count() == 0
