@@ -1,10 +1,11 @@
 """Quality rules with tokeniser fertility.
 
 Base counts (words, symbols, repeated lines, repeated three-word windows) and
-three figures of a public byte-fallback vocabulary are taken from every whole
-text in one pass: characters per token, share of byte-fallback tokens and token
-entropy in bits, the last as a share of what that many tokens could have at
-most. A language's band around its own median follows from the spread of all
+figures of two public vocabularies are taken from every whole text in one pass.
+One, a merge vocabulary with byte fallback, measures characters per token, the
+share of byte-fallback tokens and token entropy in bits, the last as a share of
+what that many tokens could have at most; the other, a byte-level vocabulary for
+many languages, measures characters per token again. A language's band around its own median follows from the spread of all
 its documents that pass the base rules: the deviation a document may have is
 ``BAND`` robust standard deviations of a text with that many tokens (short texts
 vary more), and never less than the least half-width of the figure. A document
@@ -12,14 +13,21 @@ outside any band is rejected. Languages with fewer than ``MIN_BAND_DOCS``
 documents share one band.
 
 The vocabulary's pieces never cross white space, so a text's tokens are its
-words' tokens; words are encoded once per worker and remembered in a bounded
-table. Defined cases: a null or empty text has no words, fails the base rules
-and is not kept; null languages form a language of their own.
+words' tokens; words are encoded once per task and remembered in a bounded table.
+The driver reads the vocabularies; tasks get them with the job. Bands are one row
+per language: up to ``MOST_BROADCAST`` of them (counted) are broadcast, so no task
+receives a language. Defined cases: a null or empty text has no words, fails the
+base rules and is not kept; null languages form a language of their own; rows
+that repeat each other get equal verdicts, each of its own; a figure on the edge
+of its band is inside; an empty table gives no rows; extra columns are ignored,
+and keep_good() passes them through.
 """
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +37,23 @@ from pyspark.sql import functions as F
 from lodestack.session import cut
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+MANY_LANGUAGES = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: Fixed value: how the byte-level vocabulary cuts a word before it merges bytes.
+WORD_PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 #: Half-width of a band in scaled deviations, and the least half-width of each figure.
 BAND = 5.0
-LEAST = {"chars_per_token": 0.06, "byte_share": 0.05, "entropy_share": 0.25}
+LEAST = {"chars_per_token": 0.06, "chars_per_token_multi": 0.06, "byte_share": 0.05, "entropy_share": 0.25}
 MIN_BAND_DOCS = 100
 MOST_BROADCAST = 10_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 LONGEST_KNOWN = 64
 
 STATS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_tokens long, n_byte_tokens long, entropy double"
+    "n_tokens long, n_byte_tokens long, entropy double, n_tokens_multi long"
 )
 
 
@@ -66,31 +77,50 @@ def repeat_words(ids: np.ndarray, kinds: int) -> int:
     return int(cover.sum())
 
 
+@dataclass
+class Vocabularies:
+    """What the driver reads and tasks get: a model's bytes, and ranks of byte strings."""
+
+    pieces: bytes
+    ranks: dict[bytes, int]
+
+    @classmethod
+    def read(cls, pieces: str = VOCABULARY, many: str = MANY_LANGUAGES) -> Vocabularies:
+        with open(pieces, "rb") as f:
+            model = f.read()
+        with open(many, "rb") as f:
+            return cls(model, {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+
+
 class WordTokens:
-    """Token ids of words, as bytes of 16-bit numbers, remembered up to a bound."""
+    """Token ids of words, as bytes of 16-bit numbers, and their number in the second vocabulary; remembered up to a bound."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabularies: Vocabularies):
         import sentencepiece
+        import tiktoken
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.pieces)
+        self.many = tiktoken.Encoding("many languages", pat_str=WORD_PARTS, mergeable_ranks=vocabularies.ranks, special_tokens={})
         first = self.model.piece_to_id("<0x00>")
         self.bytes = (first, first + 255) if self.model.is_byte(first) else (1, 0)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, tuple[bytes, int]] = {}
 
-    def of(self, words: list[bytes]) -> list[bytes]:
-        """Tokens of each of these distinct words."""
+    def of(self, words: list[bytes]) -> list[tuple[bytes, int]]:
+        """Both of each of these distinct words."""
         known = self.known
         new = [w for w in words if w not in known]
         if not new:
             return [known[w] for w in words]
-        found = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-        made = {w: np.array(x, dtype="<u2").tobytes() for w, x in zip(new, found)}
+        texts = [w.decode("utf-8", "replace") for w in new]
+        found, many = self.model.encode(texts, num_threads=1), self.many.encode_ordinary
+        made = {w: (np.array(x, dtype="<u2").tobytes(), len(many(" " + t))) for w, x, t in zip(new, found, texts)}
         out = [made[w] if w in made else known[w] for w in words]
         if len(known) + len(made) > KNOWN_WORDS:
             known.clear()
         known.update((w, x) for w, x in made.items() if len(w) <= LONGEST_KNOWN)
         return out
 
+
 def stats_of(text: str | None, tokens: WordTokens) -> tuple:
     raw = (text or "").encode("utf-8", "replace")
     words = raw.split()
@@ -103,9 +133,11 @@ def stats_of(text: str | None, tokens: WordTokens) -> tuple:
             repeated += 1
         elif line and not line.isspace():
             seen.add(line)
-    each = tokens.of(list(index))
+    both = tokens.of(list(index))
+    each = [x for x, _ in both]
+    often = np.bincount(ids, minlength=len(index))
     got = np.frombuffer(b"".join(each), dtype="<u2")
-    times = np.repeat(np.bincount(ids, minlength=len(index)), [len(x) // 2 for x in each]) if words else ids
+    times = np.repeat(often, [len(x) // 2 for x in each]) if words else ids
     n_tokens, entropy = int(times.sum()), 0.0
     if n_tokens:
         share = np.bincount(got, weights=times)
@@ -121,17 +153,19 @@ def stats_of(text: str | None, tokens: WordTokens) -> tuple:
         n_tokens,
         int(times[(got >= lo) & (got <= hi)].sum()),
         entropy,
+        int((often * np.array([n for _, n in both], dtype=np.int64)).sum()),
     )
 
 
-def text_stats(rows: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+def text_stats(rows: DataFrame, text_col: str = "text", vocabularies: Vocabularies | None = None) -> DataFrame:
     """All columns of ``rows`` but the text, plus the columns of ``STATS``."""
+    vocabularies = vocabularies or Vocabularies.read()
     keep = [c for c in rows.columns if c != text_col]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep] + [STATS])
     names = [x.split()[0] for x in STATS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(vocabulary)
+        tokens = WordTokens(vocabularies)
         for batch in batches:
             rows = [stats_of(t.as_py(), tokens) for t in batch.column(len(keep))]
             made = [
@@ -147,16 +181,17 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-#: The three figures, as SQL over the counts.
+#: The figures, as SQL over the counts.
 FIGURES = {
     "chars_per_token": "word_chars / n_tokens",
+    "chars_per_token_multi": "word_chars / n_tokens_multi",
     "byte_share": "n_byte_tokens / n_tokens",
     "entropy_share": "entropy / log2(n_tokens)",
 }
 
 
 def verdicts(stats: DataFrame) -> DataFrame:
-    """stats(lang, ...) plus base_failed, kept and the three figures. ``stats`` is read thrice: pass a checkpointed table."""
+    """stats(lang, ...) plus base_failed, kept and the figures. ``stats`` is read four times: pass a checkpointed table."""
     stats = stats.withColumns(
         {name: F.when(F.col("n_tokens") > 1, F.expr(rule)) for name, rule in FIGURES.items()}
         | {"base_failed": base_failed()}
@@ -171,7 +206,12 @@ def verdicts(stats: DataFrame) -> DataFrame:
         own = F.coalesce("own", F.lit(False))
         return rows.withColumn("band", F.when(own, F.concat(F.lit("lang:"), F.coalesce("lang", F.lit("")))).otherwise("rest"))
 
-    middle = named(good).groupBy("band").agg(*[F.percentile_approx(n, 0.5, 10_000).alias(f"mid_{n}") for n in FIGURES])
+    def small(bands: DataFrame) -> DataFrame:
+        """One row per language; a corpus with more languages than fit a broadcast joins by shuffle."""
+        bands = cut(bands)
+        return F.broadcast(bands) if bands.count() <= MOST_BROADCAST else bands
+
+    middle = small(named(good).groupBy("band").agg(*[F.percentile_approx(n, 0.5, 10_000).alias(f"mid_{n}") for n in FIGURES]))
     off = {n: F.abs(F.col(n) - F.col(f"mid_{n}")) for n in FIGURES}
     spread = (
         named(good)
@@ -179,9 +219,7 @@ def verdicts(stats: DataFrame) -> DataFrame:
         .groupBy("band")
         .agg(*[F.percentile_approx(off[n] * F.sqrt("n_tokens"), 0.5, 10_000).alias(f"mad_{n}") for n in FIGURES])
     )
-    bands = cut(middle.join(spread, "band"))
-    # One row per language; a corpus with more languages than fit a broadcast joins by shuffle.
-    bands = F.broadcast(bands) if bands.count() <= MOST_BROADCAST else bands
+    bands = small(middle.join(spread, "band"))
     rows = named(stats).join(bands, "band", "left")
     inside = F.lit(True)
     for n in FIGURES:

@@ -41,9 +41,15 @@ def test_repeat_words_exactly():
 
 
 def test_tokens_are_the_whole_texts(odd_rows):
-    tokens = quality.WordTokens(quality.VOCABULARY)
+    tokens = quality.WordTokens(quality.Vocabularies.read())
     for text in ("The quick brown fox, twice: quick!", "漢字 💩 x"):
-        assert quality.stats_of(text, tokens)[5] == len(tokens.model.encode(text))
+        got = quality.stats_of(text, tokens)
+        assert got[5] == len(tokens.model.encode(text)) and got[8] == len(tokens.many.encode_ordinary(" " + text))
+
+
+def test_repeated_rows_share_their_verdict(odd):
+    twice = [(r.id, r.th, r.kept) for r in quality.quality(odd.union(odd)).collect()]
+    assert all(n % 2 == 0 for n in Counter(twice).values())
 
 
 def test_bands_keep_clean_and_reject_noise(spark):
