@@ -12,14 +12,25 @@ value within five bits finds all items within the radius. Candidates are then
 verified on the words themselves. Only windows that share a shingle with an item
 of their size are fingerprinted: others have similarity zero.
 
-Items are taken in blocks of ``ITEM_BLOCK`` rows, ordered by a hash; a block is
-what a task holds, so memory does not follow the benchmark, and a benchmark of
-many blocks is as many passes over the documents. Documents are never shuffled;
-a pass is one map with matches as its only output.
+Documents are scanned once, whatever the size of the benchmark. One of up to
+``SMALL_BENCHMARK`` bytes (measured) goes to every task and documents are matched
+where they are read. A larger one is dealt into blocks of about ``BLOCK_BYTES``;
+its shingles, with their blocks, are an index. Up to ``MOST_SHINGLES`` of them
+(counted) go to every task, so the scan emits a document once for each block that
+it shares a shingle with; beyond that the scan has a bitmap of 2^27 bits, and the
+hits that pass it meet the index in a shuffle join. Documents of a block then meet
+its items in tasks of about ``DOCS`` documents, each with a copy of the block, so
+an item that a third of all documents hold fills no task.
+
+Fingerprints of windows of similarity 0.8 lie within the radius with a probability
+of about 0.999 (a bit differs with probability arccos(0.8) / pi), above 0.8 with
+more; tests/llm measures it.
 
 Defined cases: null or empty texts and items match nothing; an item of fewer
-than five words is one shingle of that length; repeated items report each under
-its own id; null ids are carried as they are; extra columns are ignored.
+than five words is one shingle of that length; repeated rows of an item report
+once, equal texts under different ids each under its own; of equally similar
+windows the first is named; null ids are carried as they are; empty tables give
+no rows; extra columns are ignored, and keep_clean() passes them through.
 """
 
 from __future__ import annotations
@@ -33,13 +44,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from lodestack.session import cut, shuffle_partitions
 
 WORDS = re.compile(r"[^\W_]+")
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS = 4
-ITEM_BLOCK = 512
+SMALL_BENCHMARK = 4 << 20
+BLOCK_BYTES = 1 << 20
+MOST_SHINGLES = 4_000_000
+BITMAP = 1 << 27
+DOCS = 5_000
 KNOWN_WORDS = 500_000
 #: Fixed value: an odd multiplier for rolling shingle hashes.
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -182,17 +200,139 @@ def _zones(places: list[int], width: int, end: int) -> Iterator[tuple[int, int]]
         yield lo, hi
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    small: int | None = None, most_shingles: int | None = None,
+) -> DataFrame:
     """(doc_id, text_hash, item_id, similarity, first_word): every document and item that match, at their best window."""
-    items = benchmark.select("item_id", "text").filter("text is not null")
-    n_blocks = max(1, -(-items.count() // ITEM_BLOCK))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    out = None
-    for k in range(n_blocks):
-        rows = [(r["item_id"], r["text"]) for r in items.filter(block == k).collect()]  # one block of the query set
-        found = _pass(docs, rows, id_col, text_col)
-        out = found if out is None else out.union(found)
-    return out
+    small = SMALL_BENCHMARK if small is None else small
+    most_shingles = MOST_SHINGLES if most_shingles is None else most_shingles
+    items = benchmark.select("item_id", "text").filter("text is not null").distinct()
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    types = (source.schema["id"].dataType, items.schema["item_id"].dataType)
+    kinds = [t.simpleString() for t in types]
+    found = f"doc_id {kinds[0]}, text_hash long, item_id {kinds[1]}, similarity double, first_word long"
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size <= small:
+        rows = [(r["item_id"], r["text"]) for r in items.collect()]  # up to SMALL_BENCHMARK bytes
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = Items(rows)
+            for batch in batches:
+                yield _matched(block, batch.column(0), batch.column(1), batch.column(2).to_pylist(), types)
+
+        return source.mapInArrow(run, found)
+    n_blocks = -(-size // BLOCK_BYTES)
+    items = cut(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)).cast("int")))
+    index = cut(items.select("block", "text").mapInArrow(_item_shingles, "h long, block int, size int").distinct())
+    sizes = [r["size"] for r in index.select("size").distinct().collect()]  # at most SHINGLE
+    near = cut(_near(source, index, sizes, most_shingles))
+    parts = near.groupBy("block").agg(F.ceil(F.count("*") / DOCS).cast("int").alias("of"))
+    part = F.pmod(F.xxhash64("th", F.lit("part")), F.col("of")).cast("int")
+    asked = near.join(F.broadcast(parts), "block") if n_blocks <= DOCS else near.join(parts, "block")
+    asked = asked.select("block", part.alias("part"), F.lit(1).alias("kind"), "id", "th", "text", F.lit(None).cast(kinds[1]).alias("item"))
+    copies = items.join(parts, "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast(kinds[0]).alias("id"),
+        F.lit(0).cast("long").alias("th"), "text", F.col("item_id").alias("item"),
+    )
+    dealt = asked.union(copies).repartition(shuffle_partitions(docs.sparkSession), "block", "part").sortWithinPartitions("block", "part", "kind")
+    return dealt.mapInArrow(lambda batches: _by_block(batches, types), found)
+
+
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, text) -> (h, block, size): shingle hashes of items."""
+    for batch in batches:
+        words = Items([])
+        found = [(block, x, shingle_hashes(words.hashed(x), min(SHINGLE, len(x)))) for block, t in zip(batch.column(0).to_pylist(), batch.column(1)) if (x := words_of(t.as_py()))]
+        h = np.concatenate([hs for _, _, hs in found] or [np.zeros(0, dtype=np.uint64)]).view(np.int64)
+        columns = [np.repeat(np.array(values, dtype=np.int32), [len(hs) for _, _, hs in found]) for values in ([b for b, _, _ in found], [min(SHINGLE, len(x)) for _, x, _ in found])]
+        yield pa.RecordBatch.from_arrays([pa.array(h), *map(pa.array, columns)], names=["h", "block", "size"])
+
+
+def _near(source: DataFrame, index: DataFrame, sizes: list[int], most: int) -> DataFrame:
+    """(id, th, text, block) for every block that a document shares a shingle with."""
+    kind = source.schema["id"].dataType.simpleString()
+    if index.count() <= most:
+        rows = index.select("h", "block").toPandas().sort_values("h")  # up to MOST_SHINGLES rows of 12 bytes
+        shared = source.sparkSession.sparkContext.broadcast((rows["h"].to_numpy(), rows["block"].to_numpy()))
+
+        def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, of = shared.value
+            words = Items([])
+            for batch in batches:
+                made = []
+                for t in batch.column(2):
+                    hs = _all_shingles(words, t.as_py(), sizes)
+                    lo, hi = np.searchsorted(keys, hs, "left"), np.searchsorted(keys, hs, "right")
+                    made.append(sorted({int(b) for a, z in zip(lo[hi > lo], hi[hi > lo]) for b in of[a:z]}))
+                yield _with_list(batch, made, pa.int32(), "blocks")
+
+        found = source.mapInArrow(blocks, f"id {kind}, th long, text string, blocks array<int>")
+        return found.select("id", "th", "text", F.explode("blocks").alias("block"))
+    spot = F.pmod("h", F.lit(BITMAP))
+    bits = index.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number(F.col("spot") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("spot") + 1)).alias("bits"))
+    wide = np.zeros((BITMAP >> 15, 4096), dtype=np.uint8)
+    for r in bits.collect():  # 2^27 bits at most
+        wide[r["bucket"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
+    filled = source.sparkSession.sparkContext.broadcast(wide.ravel())
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, bitmap = Items([]), filled.value
+        for batch in batches:
+            made = []
+            for t in batch.column(2):
+                hs = np.unique(_all_shingles(words, t.as_py(), sizes))
+                at = hs % BITMAP
+                made.append(hs[bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1].tolist())
+            yield _with_list(batch, made, pa.int64(), "hs")
+
+    found = cut(source.mapInArrow(hits, f"id {kind}, th long, text string, hs array<long>"))
+    met = found.select("id", "th", F.explode("hs").alias("h")).join(index, "h").select(F.col("id").alias("i"), F.col("th").alias("t"), "block").distinct()
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))
+    return found.join(met, same).select("id", "th", "text", "block")
+
+
+def _all_shingles(words: Items, text: str | None, sizes: list[int]) -> np.ndarray:
+    hashed = words.hashed(words_of(text))
+    return np.concatenate([shingle_hashes(hashed, n) for n in sizes] or [np.zeros(0, dtype=np.uint64)]).view(np.int64)
+
+
+def _with_list(batch: pa.RecordBatch, made: list[list[int]], kind: pa.DataType, name: str) -> pa.RecordBatch:
+    """The rows whose list is not empty, with the list."""
+    take = pa.array([k for k, x in enumerate(made) if x], pa.int64())
+    lists = pa.array([x for x in made if x], pa.list_(kind))
+    return pa.RecordBatch.from_arrays([*(c.take(take) for c in batch.columns), lists], names=["id", "th", "text", name])
+
+
+def _matched(block: Items, ids: pa.Array, hashes: pa.Array, texts: list[str | None], types: tuple) -> pa.RecordBatch:
+    made = [(k, item, s, at) for k, text in enumerate(texts) for item, (s, at) in block.matches(text).items()]
+    take = pa.array([m[0] for m in made], pa.int64())
+    columns = [
+        ids.take(take), hashes.take(take), pa.array([block.ids[m[1]] for m in made], to_arrow_type(types[1])),
+        pa.array([m[2] for m in made], pa.float64()), pa.array([m[3] for m in made], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "item_id", "similarity", "first_word"])
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], types: tuple) -> Iterator[pa.RecordBatch]:
+    """Rows (block, part, kind, id, th, text, item) sorted so that a block's items come before its documents."""
+    group, rows, block = None, [], None
+    for batch in batches:
+        keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+        texts, items = batch.column(5).to_pylist(), batch.column(6).to_pylist()
+        at = 0
+        while at < len(keys):
+            end = next((k for k in range(at, len(keys)) if keys[k] != keys[at]), len(keys))
+            if keys[at][2] == 0:
+                if keys[at][:2] != group:
+                    group, rows = keys[at][:2], []
+                rows += zip(items[at:end], texts[at:end])
+                block = None
+            else:
+                block = block or Items(rows)
+                part = batch.slice(at, end - at)
+                yield _matched(block, part.column(3), part.column(4), texts[at:end], types)
+            at = end
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,22 +341,3 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).alias("r")
     same = [F.col("r.row")[id_col].eqNullSafe(F.col("f.doc_id")), F.xxhash64(F.col("r.row")[text_col]) == F.col("f.text_hash")]
     return rows.join(found.alias("f"), same, "left_anti").select("row.*")
-
-
-def _pass(docs: DataFrame, rows: list[tuple[int | None, str]], id_col: str, text_col: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(rows)
-        for batch in batches:
-            made: list[tuple] = []
-            for doc, th, text in zip(batch.column(0), batch.column(1), batch.column(2)):
-                for k, (s, at) in items.matches(text.as_py()).items():
-                    made.append((doc.as_py(), th.as_py(), items.ids[k], s, at))
-            columns = list(zip(*made)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)],
-                names=["doc_id", "text_hash", "item_id", "similarity", "first_word"],
-            )
-
-    source = docs.select(F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(text_col))
-    return source.mapInArrow(run, "doc_id long, text_hash long, item_id long, similarity double, first_word long")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from lodestack.llm import decontaminate as D
 
@@ -57,12 +58,44 @@ def test_rows(spark, odd, empty):
     assert D.keep_clean(odd, bench).columns == odd.columns
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(D, "ITEM_BLOCK", 3)
-    items = [(k, t) for k, t in enumerate(texts(6, 10, 20))]
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_large_benchmarks_are_dealt_and_documents_scanned_once(spark, monkeypatch, odd, most):
+    monkeypatch.setattr(D, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(D, "DOCS", 7)
+    items = [(k, t) for k, t in enumerate(texts(6, 10, 20))] + [(3, "x y"), (3, "x y"), (None, "three short words"), (11, None), (12, "")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    docs = spark.createDataFrame([(k, "before " + t + " after") for k, t in items], "doc_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()} == {(k, k) for k in range(10)}
+    rows = [(k, "before " + t + " after") for k, t in items[:10]] * 3 + [(50 + k, items[0][1]) for k in range(40)] + [(None, "Three short, words"), (99, "x y"), (98, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda **kw: sorted(map(str, D.leaks(docs, bench, **kw).collect()))
+    want = found()
+    assert len(want) == 30 + 40 + 2
+    assert found(small=0, most_shingles=most) == want
+    assert D.leaks(odd, bench, small=0, most_shingles=most).count() == 0
+
+
+def test_ids_may_be_strings(spark):
+    bench = spark.createDataFrame([("i", "one two three four five six")], "item_id string, text string")
+    docs = spark.createDataFrame([("d", "so one two three four five six it is"), ("e", "no")], "doc_id string, text string")
+    for small in (1 << 20, 0):
+        assert [(r.doc_id, r.item_id, r.first_word) for r in D.leaks(docs, bench, small=small).collect()] == [("d", "i", 1)]
+
+
+def test_fingerprints_of_similar_windows_lie_within_the_radius():
+    rng = random.Random(4)
+    block, near, seen = D.Items([]), 0, 0
+    while seen < 2000:
+        n = rng.randint(20, 200)
+        a = [f"w{rng.randrange(3000)}" for _ in range(n)]
+        b = list(a)
+        for _ in range(max(1, round(n * 0.2 / D.SHINGLE))):
+            b[rng.randrange(n)] = f"v{rng.randrange(3000)}"
+        if not D.SIMILARITY <= D.overlap(a, b, D.SHINGLE) < 0.85:
+            continue
+        seen += 1
+        x, y = (D.simhashes(h, len(h))[0] for h in (D.shingle_hashes(block.hashed(w), D.SHINGLE) for w in (a, b)))
+        near += int(x ^ y).bit_count() <= D.RADIUS
+    print("within the radius at similarity 0.80 to 0.85:", near / seen)
+    assert near / seen > 0.99
 
 
 def test_item_without_its_last_word():
