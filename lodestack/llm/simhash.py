@@ -8,13 +8,17 @@ segment variants, equal variants meet in a shuffle, and pairs are verified on
 all 64 bits. A pair is reported by exactly one of the variants it shares.
 
 Copies collapse first: only distinct fingerprints are indexed. A bucket reports
-links along a spanning search, never all of its pairs, and a bucket of more than
-``BLOCK`` fingerprints is split into pairs of blocks that are compared in tasks
-of their own, so no task holds an unbounded group.
+links along a spanning search, never all of its pairs. A frequent-items sketch,
+made without a shuffle, names every bucket with more than 1 in ``MOST_HOT`` of all
+rows; such a bucket is split into pairs of blocks that are compared in tasks of
+their own, so no task holds an unbounded group. Splitting never changes results.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like
 any other; rows with a null id take part and can only be named by other rows of
-their group; repeated rows are copies of each other.
+their group; repeated rows are copies of each other; an empty table gives no
+rows; extra columns are ignored, and keep_one() passes them through; of rows with
+equal ids and texts keep_one() keeps one, and of equal ids the least text hash
+comes first.
 """
 
 from __future__ import annotations
@@ -38,6 +42,9 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 FOUR_SEGMENTS = ((0, 16), (16, 16), (32, 16), (48, 16))
 Segments = tuple[tuple[int, int], ...]
 BLOCK = 4096
+#: Keys are hot if they have more than this share of the rows; there are fewer of them.
+MOST_HOT = 1000
+SALTS = 256
 SMALL = 48
 STEP = 1 << 15
 #: Bands of min-hashes: a pair of similarity 0.8 shares none with probability (1 - 0.8 ** 4) ** 32, less than 5 in 10^8.
@@ -104,10 +111,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "id long, th long, fp long" + (", marks array<long>" if marked else ""))
 
 
+def hot_keys(rows: DataFrame, key: str, least: int) -> list[tuple[int, int]]:
+    """(key, rows) of every key with more than 1 in MOST_HOT of the rows, and more than ``least``; the counts are not below the true ones."""
+    found = rows.agg(F.expr(f"approx_top_k({key}, {MOST_HOT}, {4 * MOST_HOT})").alias("top"), F.count("*").alias("n")).first()
+    return [(x["item"], x["count"]) for x in found["top"] or [] if x["item"] is not None and x["count"] > max(least, found["n"] // MOST_HOT)]
+
+
 def marked_links(rows: DataFrame) -> DataFrame:
-    """rows(fp, marks) -> links (a, b) from each fingerprint to the least one that shares a mark with it."""
-    met = rows.select(F.explode("marks").alias("mark"), "fp").selectExpr("fp AS b", "min(fp) OVER (PARTITION BY mark) AS a")
-    return met.filter("a != b").select("a", "b").distinct()
+    """rows(fp, marks) -> links (a, b) from each fingerprint to the least one that shares a mark with it.
+
+    Holders of a hot mark link to the least one of their salt, and those to the least one of the mark.
+    """
+    met = rows.select(F.explode("marks").alias("mark"), "fp")
+    hot = [k for k, _ in hot_keys(met, "mark", BLOCK)]
+    salt = F.when(F.col("mark").isin(hot), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(F.lit(0)) if hot else F.lit(0)
+    links = met.withColumn("salt", salt).selectExpr("fp AS b", "min(fp) OVER (PARTITION BY mark, salt) AS a")
+    if hot:
+        first = met.filter(F.col("mark").isin(hot)).groupBy("mark", salt.alias("salt")).agg(F.min("fp").alias("fp"))
+        links = links.union(first.selectExpr("fp AS b", "min(fp) OVER (PARTITION BY mark) AS a"))
+    return links.filter("a != b").select("a", "b").distinct()
 
 
 def _first_shared(x: np.ndarray, segments: Segments) -> np.ndarray:
@@ -205,20 +227,22 @@ def near_links(fps: DataFrame, radius: int = RADIUS, segments: Segments = SEGMEN
             F.expr("shiftleft(cast(bit AS long), 22) | (segment & ~shiftleft(1L, cast(wild AS int)))").alias("key"), "fp"
         )
     )
-    met = keys.selectExpr("key", "fp", "count(*) OVER (PARTITION BY key) AS n").filter("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    hot = hot_keys(keys, "key", block)
+    sizes = F.lit(None)
+    for k in sorted({-(-n // block) for _, n in hot}):
+        sizes = F.when(F.col("key").isin([x for x, n in hot if -(-n // block) == k]), F.lit(k)).otherwise(sizes)
+    blocks = sizes.cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    pairs = F.when(F.col("n") <= block, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
+    pairs = F.when(blocks.isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(
             F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j"))
         )
     )
-    spread = met.select("key", "fp", F.explode(pairs).alias("p")).select("key", "p.i", "p.j", "fp")
-    return (
-        spread.repartition(shuffle_partitions(fps.sparkSession), "key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(lambda it: _compare(it, radius, segments), "a long, b long")
-    )
+    spread = keys.select("key", "fp", F.explode(pairs).alias("p")).select("key", "p.i", "p.j", "fp")
+    dealt = spread.repartition(shuffle_partitions(fps.sparkSession), "key", "i", "j")
+    # Fingerprints alone in their bucket stay in the JVM; the count keeps to the partitions at hand.
+    met = dealt.selectExpr("key", "i", "j", "fp", "count(*) OVER (PARTITION BY key, i, j) AS n").filter("n > 1").drop("n")
+    return met.sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: _compare(it, radius, segments), "a long, b long")
 
 
 def near_groups(
@@ -236,8 +260,17 @@ def near_groups(
     named = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "id", F.coalesce("root", "fp").alias("root")
     )
-    component = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(named.join(component, "root").select("fp", "component_id"), "fp").select("id", "th", "fp", "component_id")
+    component = named.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
+    large = cut(component.filter(F.col("n") > BLOCK))
+    total = large.agg(F.sum("n")).first()[0]
+    if total is None:
+        named = named.join(component, "root")
+    else:  # at most MOST_HOT roots hold more than that share of the fingerprints in large groups
+        hot = F.broadcast(large.filter(F.col("n") * MOST_HOT > total).select("root", F.col("component_id").alias("hot_id"), F.lit(True).alias("hot")))
+        told = named.join(hot, "root", "left")
+        rest = told.filter("hot IS NULL").join(component, "root").select("fp", "component_id")
+        named = told.filter("hot").select("fp", F.col("hot_id").alias("component_id")).union(rest)
+    return rows.join(named.select("fp", "component_id"), "fp").select("id", "th", "fp", "component_id")
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -298,8 +331,9 @@ def _greedy(batches: Iterator[pa.RecordBatch], size: int, similarity: float) ->
         yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(stay, pa.int64())) for c in (0, 1)], names=["id", "th"])
 
 
-#: Groups of at most so many texts are settled by one task each.
+#: Groups of at most so many texts are settled by one task each, and the largest head of a larger group.
 SMALL_GROUP = 512
+LARGEST_HEAD = 16_384
 
 
 def keep_one(
@@ -317,7 +351,9 @@ def keep_one(
     to ``small_group`` texts are settled in one pass over sorted rows. Of larger
     ones the first ``small_group`` rows are settled so; the others are dealt into
     parts that each meet a copy of the rows that stay, go if one is similar, and
-    the next round has what is left, until groups are small.
+    the next round has what is left, until groups are small. A head is twice as
+    large each round, up to ``LARGEST_HEAD``, so a group of N texts that are all
+    unlike takes about N / LARGEST_HEAD rounds.
     Null ids come last.
     """
     small_group = small_group or SMALL_GROUP
@@ -341,6 +377,7 @@ def keep_one(
         order = rows.repartition(parts, *group).sortWithinPartitions(*group, "rank")
         return cut(order.select("id", "th", "text", *group).mapInArrow(lambda it: _greedy(it, size, similarity), "id long, th long"))
 
+    head_size = small_group
     while True:
         sizes = pending.groupBy(*group).count()
         small = pending.join(sizes.filter(F.col("count") <= small_group).select(*group), group, "left_semi")
@@ -348,12 +385,18 @@ def keep_one(
         large = cut(pending.join(sizes.filter(F.col("count") > small_group).select(*group), group, "left_semi"))
         if large.isEmpty():
             break
-        place = F.row_number().over(Window.partitionBy(*group).orderBy("rank"))
-        head = cut(large.withColumn("place", place).filter(F.col("place") <= small_group).drop("place"))
+        # The first rows of each part of a group hold the first of the group; texts are not sorted.
+        parts_of = sizes.select(*group, F.ceil(F.col("count") / (16 * head_size)).cast("int").alias("of"))
+        order = large.select(*group, "rank", "id", "th").join(parts_of, group)
+        order = order.withColumn("part", F.pmod(F.xxhash64("id", "th"), F.col("of")).cast("int"))
+        for keys in ([*group, "part"], group):
+            order = order.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("rank"))).filter(F.col("place") <= head_size)
+        last = cut(order.groupBy(*group).agg(F.max("rank").alias("last")))
+        head = cut(large.join(F.broadcast(last) if last.count() <= MOST_HOT else last, group).filter(F.col("rank") <= F.col("last")).drop("last"))
+        head_size = min(2 * head_size, LARGEST_HEAD)
         stay = settled(head)
         chosen = chosen.union(stay)
         kept = head.alias("a").join(stay.alias("b"), same("a", "b"), "left_semi").select("a.*")
-        last = head.groupBy(*group).agg(F.max("rank").alias("last"))
         tail = large.join(last, group).filter(F.col("rank") > F.col("last")).drop("last")
         # The rest of a group is dealt into parts of about small_group rows, each with a copy of the rows that stay.
         parts_of = sizes.select(*group, F.ceil(F.col("count") / small_group).cast("int").alias("of"))

@@ -141,3 +141,20 @@ def test_scattered_edits_are_found(spark):
     want = greedy(rows, 5, 0.8)
     assert pairs > 100 and len(want) == len(rows) - pairs
     assert {r.doc_id for r in simhash.keep_one(df).collect()} == want
+
+
+def test_hot_marks_and_large_components_give_the_same_groups(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(500)}" for _ in range(200)]
+    rows = []
+    for k in range(120):
+        words = list(base)
+        words[rng.randrange(200)] = f"v{k}"
+        rows.append((k, " ".join(words)))
+    rows += [(200 + k, " ".join(f"u{rng.randrange(9000)}" for _ in range(80))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = lambda: sorted(tuple(r) for r in simhash.near_groups(docs, size=5, radius=7, segments=simhash.FOUR_SEGMENTS, marked=True).collect())
+    want = groups()
+    monkeypatch.setattr(simhash, "BLOCK", 3)
+    monkeypatch.setattr(simhash, "SALTS", 5)
+    assert groups() == want and {x[3] for x in want if x[0] < 200} == {0}
