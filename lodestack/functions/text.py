@@ -4,26 +4,47 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: What readers should not see, in order of precedence.
+#: What readers should not see, in order of precedence; an identifier is a token with an inner underscore or capital.
 JARGON = {
-    "path": r"[A-Za-z0-9_./-]+/[A-Za-z0-9_.-]+",
-    "raw_float": r"[0-9]+\.[0-9]{4,}",
-    "hex": r"[0-9a-f]{16,}",
+    "path": r"(?iU)(?<!\w)bundles/[^\s,;)}\]]+|::serialized|(?<![\w.])(?:[\w.-]+[/\\])*[\w.-]+\.[A-Za-z][A-Za-z0-9]{0,7}(?!\w)",
+    "raw_float": r"(?U)(?<![\w.])[+-]?(?:\d+)?\.\d{5,}(?![\w.])",
+    "hex": r"(?i)(?<![A-Za-z0-9])(?:e-)?(?=[0-9a-f]*[a-f])[0-9a-f]{8,}(?![A-Za-z0-9])|(?<![A-Za-z0-9])e-[0-9a-f]+(?![A-Za-z0-9])",
+    "identifier": r"[A-Za-z0-9_]+",
 }
+CODE = r"^_+[A-Za-z0-9]|[A-Za-z0-9]_[A-Za-z0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]"
+#: Where words of a name part, and tokens that name a file rather than a thing.
+HUMPS = r"([a-z0-9])([A-Z])|([A-Z])([A-Z][a-z])"
+SEPARATORS = r"[_/\\-]+"
+FILE_TOKENS = ("sm", "prefab")
 
 
-def humanize(name: Column) -> Column:
-    """camelCase and digits apart; the first word capitalized, the others in lower case."""
-    spaced = F.regexp_replace(F.regexp_replace(name, "([a-z0-9])([A-Z])", "$1 $2"), "([A-Za-z])([0-9])", "$1 $2")
-    low = F.lower(F.trim(F.regexp_replace(spaced, "[_ ]+", " ")))
-    return F.concat(F.upper(F.substring(low, 1, 1)), F.substring(low, 2, 1 << 20))
+def words_in(text: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(text, SEPARATORS, " "), r"\s+"), lambda w: w != "")
+
+
+def humanize(name: Column, scenery: bool = False) -> Column:
+    """Words of an identifier: split at humps and separators, a last "hit set" dropped; only the first letter is a capital.
+
+    Scenery names also lose a last "$2", model tokens and a last level of detail, before and after the split.
+    """
+
+    def without_file_tokens(words: Column) -> Column:
+        kept = F.filter(words, lambda w: ~F.lower(w).isin(*FILE_TOKENS))
+        return F.when(F.element_at(F.concat(F.array(F.lit("")), kept), -1).rlike(r"(?i)^lod\d+$"), F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+
+    if scenery:
+        name = F.array_join(without_file_tokens(words_in(F.regexp_replace(name, r"\$\d+$", ""))), " ")
+    words = words_in(F.regexp_replace(name, HUMPS, "$1$3 $2$4"))
+    last = F.lower(F.array_join(F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2), " "))
+    words = F.when(last == "hit set", F.slice(words, F.lit(1), F.size(words) - 2)).otherwise(words)
+    low = F.lower(F.array_join(without_file_tokens(words) if scenery else words, " "))
+    return F.when(low == "", "Unnamed record").otherwise(F.concat(F.upper(F.substring(low, 1, 1)), F.substring(low, 2, 1 << 20)))
 
 
 def word_subset(a: Column, b: Column) -> Column:
@@ -77,20 +98,47 @@ def fold(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-def jargon_spans(rows: DataFrame) -> DataFrame:
-    """rows(id, text) -> (id, rule, start, end)."""
-    rules = [(name, re.compile(rule)) for name, rule in JARGON.items()]
+@F.pandas_udf(StringType())
+def search_form(text: pd.Series) -> pd.Series:
+    """Lower case, compatibility decomposition, accents stripped; SQL has no normal forms."""
+    return text.map(lambda s: None if s is None else re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFKD", s.lower())))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for key, text in zip(batch["id"], batch["text"]):
-                found = sorted((m.start(), -m.end(), k, name) for k, (name, rule) in enumerate(rules) for m in rule.finditer(text or ""))
-                end = -1
-                for start, stop, _, name in found:
-                    if -stop > end:
-                        out.append((key, name, start, -stop))
-                        end = -stop
-            yield pd.DataFrame(out, columns=["id", "rule", "start", "end"])
 
-    return rows.mapInPandas(run, "id long, rule string, start long, end long")
+@F.pandas_udf(StringType())
+def title_key(text: pd.Series) -> pd.Series:
+    """Compatibility composition, underscores and white space to one space, case folded."""
+    return text.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).replace("_", " ").split()).casefold())
+
+
+def _spans(text: Column, rule: str) -> Column:
+    """array<struct<start, end, rule, match>> of a rule's matches: their places follow from the gaps between them."""
+    found = F.regexp_extract_all(text, F.lit(JARGON[rule]), F.lit(0))
+    both = F.arrays_zip(F.split(text, JARGON[rule], -1).alias("gap"), found.alias("hit"))
+    none = F.array().cast("array<struct<start:int,end:int,rule:string,match:string>>")
+
+    def step(state: Column, x: Column) -> Column:
+        start = state["at"] + F.length(x["gap"])
+        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rule).alias("rule"), x["hit"].alias("match")))
+        wanted = x["hit"].isNotNull() & (x["hit"].rlike(CODE) if rule == "identifier" else F.lit(True))
+        return F.struct(end.alias("at"), F.when(wanted, F.concat(state["out"], span)).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+
+def jargon_spans(rows: DataFrame, coded: Column | None = None) -> DataFrame:
+    """rows(id, text) -> (id, rule, start, end, match): a finding that overlaps one of an earlier rule is suppressed.
+
+    A whole text that is a bare integer is a raw enum where ``coded`` says that the field holds codes.
+    """
+    first, *others = JARGON
+    spans = rows.select("id", "text", _spans(F.coalesce("text", F.lit("")), first).alias("spans"), (coded if coded is not None else F.lit(False)).alias("coded"))
+    for rule in others:
+        # A projection of its own: the spans so far are one column to the next rule.
+        spans = spans.withColumn("more", _spans(F.coalesce("text", F.lit("")), rule))
+        free = F.filter("more", lambda x: ~F.exists("spans", lambda s: (x["start"] < s["end"]) & (s["start"] < x["end"])))
+        spans = spans.withColumn("spans", F.concat("spans", free)).drop("more")
+    enum = F.struct(F.lit(0).alias("start"), F.length("text").alias("end"), F.lit("raw_enum").alias("rule"), F.trim("text").alias("match"))
+    bare = F.col("coded") & F.coalesce(F.col("text").rlike(r"^\s*[+-]?\d+\s*$"), F.lit(False))
+    spans = spans.withColumn("spans", F.when(bare, F.concat("spans", F.array(enum))).otherwise(F.col("spans")))
+    return spans.select("id", F.explode("spans").alias("x")).select("id", "x.rule", F.col("x.start").cast("long").alias("start"), F.col("x.end").cast("long").alias("end"), "x.match")

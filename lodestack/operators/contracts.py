@@ -79,3 +79,27 @@ def drift(df: DataFrame, json: str, contract: Contract, keys: list[str]) -> Data
         lambda k: F.struct(F.lit("new-field").alias("code"), k.alias("field")),
     )
     return rows.select(*keys, F.explode(F.concat(F.array_compact(F.array(*single)), new)).alias("_i")).select(*keys, "_i.code", "_i.field")
+
+
+def sentinel_number(value: Column) -> Column:
+    """struct<value double, marker string> of a VARIANT: a number, or the name of a special value spelled {"float": name}."""
+    kind = F.schema_of_variant(value)
+    number = kind.isin(*NUMBERS) | kind.startswith("DECIMAL")
+    return F.struct(F.when(number, F.try_variant_get(value, "$", "double")).alias("value"), F.try_variant_get(value, "$['float']", "string").alias("marker"))
+
+
+def definition_issues(
+    df: DataFrame, json: str, keys: list[str], required: tuple[str, ...], kinds: tuple[str, ...], lists: dict[str, tuple[int, int]]
+) -> DataFrame:
+    """keys plus (code): what is wrong with definitions that have these keys and no others, an owned kind, and lists within bounds."""
+    rows = df.select(*keys, parsed(F.col(json)).alias("_v"), F.coalesce(F.json_object_keys(F.col(json)), F.array().cast("array<string>")).alias("_k"))
+    wanted = F.array(*[F.lit(k) for k in required])
+    issues = [
+        F.when(F.size(F.array_except(wanted, F.col("_k"))) > 0, "missing-field"),
+        F.when(F.size(F.array_except(F.col("_k"), wanted)) > 0, "new-field"),
+        F.when(~F.try_variant_get("_v", "$.kind", "string").isin(*kinds), "unowned-kind"),
+    ]
+    for name, (low, high) in lists.items():
+        n = F.size(F.try_variant_get("_v", f"$['{name}']", "array<variant>"))
+        issues.append(F.when(n < low, "too-few").when(n > high, "too-many"))
+    return rows.select(*keys, F.explode(F.array_compact(F.array(*issues))).alias("code"))

@@ -35,3 +35,16 @@ def fields(old: DataFrame, new: DataFrame, keys: list[str], names: list[str]) ->
 def append_new(log: DataFrame, entry: DataFrame, snapshot_col: str) -> DataFrame:
     """Append an entry unless its snapshot is in the log already."""
     return log.unionByName(entry.join(log.select(snapshot_col).distinct(), snapshot_col, "left_anti"))
+
+
+def detail(runs: DataFrame, retained: DataFrame) -> DataFrame:
+    """runs(run, base), retained(run, artifact) -> (run, detail): without the base's state an initial entry, without its models no fields."""
+    kept = retained.groupBy(F.col("run").alias("base")).agg(F.bool_or(F.col("artifact") == "state").alias("state"), F.bool_or(F.col("artifact") == "models").alias("models"))
+    there = lambda name: F.coalesce(name, F.lit(False))
+    told = F.when(~there("state"), "initial entry").when(~there("models"), "no field detail").otherwise("full")
+    return runs.join(kept, "base", "left").select("run", told.alias("detail"))
+
+
+def identity(rows: DataFrame, names: list[str]) -> tuple:
+    """Number of rows and a sum of their hashes: equal for equal inventories in any order."""
+    return tuple(rows.agg(F.count("*"), F.sum(F.xxhash64(*names).cast("decimal(38,0)"))).first())

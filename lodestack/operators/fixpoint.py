@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,26 +15,72 @@ def horn(seeds: DataFrame, bodies: DataFrame, heads: DataFrame, add: int = 0, ma
 
     seeds(item, value), bodies(rule, item), heads(rule, item): a rule whose body
     items all have values gives its head their greatest value plus ``add``; an
-    item takes its least value. Rows are only added and values only fall, so an
-    unchanged count and sum prove the fixed point.
+    item takes its least value. A round looks only at rules with an item that has
+    changed; values only fall, so the loop ends when nothing changes.
     """
-    state = cut(seeds.groupBy("item").agg(F.min("value").alias("value")))
+    bodies, heads = cut(bodies.select("rule", "item").distinct()), cut(heads.select("rule", "item").distinct())
     sizes = cut(bodies.groupBy("rule").agg(F.count("*").alias("needed")))
-    seen = None
+    state = changed = cut(seeds.groupBy("item").agg(F.min("value").alias("value")))
     for _ in range(max_rounds):
-        met = bodies.join(state, "item").groupBy("rule").agg(F.count("*").alias("met"), F.max("value").alias("value"))
+        touched = bodies.join(changed.select("item"), "item").select("rule").distinct()
+        met = bodies.join(touched, "rule").join(state, "item").groupBy("rule").agg(F.count("*").alias("met"), F.max("value").alias("value"))
         ready = met.join(sizes, "rule").filter("met = needed").select("rule", (F.col("value") + add).alias("value"))
-        made = ready.join(heads, "rule").select("item", "value")
-        state = cut(state.union(made).groupBy("item").agg(F.min("value").alias("value")))
-        now = tuple(state.agg(F.count("*"), F.sum("value")).first())
-        if now == seen:
+        made = ready.join(heads, "rule").groupBy("item").agg(F.min("value").alias("value"))
+        known = state.withColumnRenamed("value", "before")
+        changed = cut(made.join(known, "item", "left").filter("before IS NULL OR value < before").select("item", "value"))
+        if changed.isEmpty():
             return state
-        seen = now
+        state = cut(state.union(changed).groupBy("item").agg(F.min("value").alias("value")))
     raise RuntimeError(f"no fixed point in {max_rounds} rounds")
 
 
+def reachable_rings(
+    recipes: DataFrame, ingredients: DataFrame, benches: DataFrame, sources: DataFrame, best_mining: DataFrame
+) -> DataFrame:
+    """(kind, key, earliest_ring, main_ring) of every item, recipe and bench that is reached.
+
+    recipes(recipe, output, bench, complete), ingredients(recipe, item), benches(bench, construction_item, hand),
+    sources(item, type, via, ring) and best_mining(item, ring). A complete recipe needs its ingredients and its
+    bench; hand benches are there from ring 0, others when their construction item is. Crafted items follow their
+    recipe, dismantled ones their donor, all others the ring of their place; for the main ring, of all mining
+    places only the best one of an item counts.
+    """
+    node = lambda kind, key: F.concat(F.lit(kind), F.lit(":"), F.col(key)).alias("item")
+    rule = lambda kind, *keys: F.concat_ws(":", F.lit(kind), *keys).alias("rule")
+    complete = recipes.filter("complete")
+    made = complete.select("recipe", "output", "bench")
+    need = [
+        ingredients.join(made.select("recipe"), "recipe", "left_semi").select(rule("recipe", "recipe"), node("item", "item")),
+        made.filter("bench IS NOT NULL").select(rule("recipe", "recipe"), node("bench", "bench")),
+        benches.filter("NOT hand AND construction_item IS NOT NULL").select(rule("bench", "bench"), node("item", "construction_item")),
+        sources.filter("type = 'crafted'").select(rule("crafted", "item", "via"), node("recipe", "via")),
+        sources.filter("type = 'dismantled'").select(rule("dismantled", "item", "via"), node("item", "via")),
+    ]
+    give = [
+        made.select(rule("recipe", "recipe"), node("recipe", "recipe")),
+        benches.filter("NOT hand AND construction_item IS NOT NULL").select(rule("bench", "bench"), node("bench", "bench")),
+        *(sources.filter(F.col("type") == kind).select(rule(kind, "item", "via"), node("item", "item")) for kind in ("crafted", "dismantled")),
+    ]
+    bodies, heads = reduce(DataFrame.union, need), reduce(DataFrame.union, give)
+    value = lambda column: F.col(column).cast("long").alias("value")
+    free = made.filter("bench IS NULL").join(ingredients.select("recipe").distinct(), "recipe", "left_anti")
+    start = benches.filter("hand").select(node("bench", "bench"), F.lit(0).cast("long").alias("value"))
+    start = start.union(free.select(node("recipe", "recipe"), F.lit(0).cast("long").alias("value")))
+    placed = sources.filter("type NOT IN ('crafted', 'dismantled') AND ring IS NOT NULL")
+    found = []
+    for field in ("earliest_ring", "main_ring"):
+        rows = placed if field == "earliest_ring" else placed.filter("type != 'mined'")
+        seeds = start.union(rows.select(node("item", "item"), value("ring")))
+        if field == "main_ring":
+            seeds = seeds.union(best_mining.select(node("item", "item"), value("ring")))
+        found.append(horn(seeds, bodies, heads).withColumnRenamed("value", field))
+    both = found[0].join(found[1], "item", "full")
+    return both.select(F.substring_index("item", ":", 1).alias("kind"), F.substring_index("item", ":", -1).alias("key"), "earliest_ring", "main_ring")
+
+
 def walk(seeds: DataFrame, edges: DataFrame, max_steps: int) -> DataFrame:
     """Nodes reached from seeds(node) over edges(src, dst), with the least number of steps; cycles are safe."""
+    edges = cut(edges.select("src", "dst").distinct())
     seen = frontier = cut(seeds.select("node").distinct().withColumn("step", F.lit(0)))
     for k in range(1, max_steps + 1):
         step = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()

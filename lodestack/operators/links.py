@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestack.functions.text import title_key
 from lodestack.session import cut
 
 
@@ -52,16 +53,16 @@ def propagate(seeds: DataFrame, edges: DataFrame, steps: int) -> DataFrame:
 def follow_redirects(keys: DataFrame, redirects: DataFrame, most: int) -> DataFrame:
     """(key, destination, hops) along redirects(key, to) for at most ``most`` hops.
 
-    Redirects are doubled: after round k a row knows where 2^k hops lead, so
-    the number of joins grows with the logarithm of the chain, and a cycle ends
-    with the hop limit.
+    Redirects are doubled: after round k a row knows where 2^k hops lead. Each
+    power is written once, so the number of joins grows with the logarithm of the
+    chain, and a cycle ends with the hop limit.
     """
     at = keys.select("key", F.col("key").alias("destination"), F.lit(0).alias("hops"))
     jump = redirects.select(F.col("key").alias("k"), F.col("to").alias("to"))
-    powers = [jump]
+    powers = [cut(jump)]
     while 2 ** len(powers) <= most:
         a, b = powers[-1].alias("a"), powers[-1].alias("b")
-        powers.append(a.join(b, F.col("a.to") == F.col("b.k")).select("a.k", "b.to"))
+        powers.append(cut(a.join(b, F.col("a.to") == F.col("b.k")).select("a.k", "b.to")))
     # The whole jumps are taken from the longest to the shortest that still fits the limit.
     for p in reversed(range(len(powers))):
         fits = F.col("hops") + 2**p <= most
@@ -72,6 +73,53 @@ def follow_redirects(keys: DataFrame, redirects: DataFrame, most: int) -> DataFr
     return at
 
 
+def require(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """rows joined with known(key, ...); a key that is missing there, or there twice, fails the job."""
+    counts = rows.select(key).distinct().join(known.groupBy(key).agg(F.count("*").alias("n")), key, "left")
+    wrong = counts.filter(F.coalesce("n", F.lit(0)) != 1).limit(5).collect()
+    if wrong:
+        raise ValueError(f"evidence is missing or ambiguous: {[r[key] for r in wrong]}")
+    return rows.join(known, key)
+
+
+def title_match(entities: DataFrame, titles: DataFrame, prefixes: list[str], complete: bool = True) -> DataFrame:
+    """entities(id, name), titles(title) -> (id, status, reason, title) by the normalized last part of titles under one of the prefixes.
+
+    One candidate of a complete inventory matches; several are ambiguous, none is missing, and an incomplete
+    inventory decides nothing. Names are normalized once each, and candidates counted before the join.
+    """
+    under = F.lit(False)
+    for p in prefixes:
+        under |= F.startswith("title", F.lit(p + "/"))
+    leaf = F.element_at(F.split(F.regexp_replace("title", "^[^:]*:", ""), "/"), -1)
+    known = titles.filter(under).select(title_key(leaf).alias("k"), "title").groupBy("k").agg(F.count_distinct("title").alias("n"), F.min("title").alias("title"))
+    names = entities.select("name").distinct().withColumn("k", title_key("name")).join(known, "k", "left")
+    n = F.coalesce("n", F.lit(0))
+    if not complete:
+        status, reason = F.lit("unavailable"), F.lit("incomplete-index")
+    else:
+        status = F.when(n == 0, "missing").when(n == 1, "matched").otherwise("unavailable")
+        reason = F.when(n == 0, "no-exact-title").when(n == 1, "exact-title").otherwise("ambiguous-title")
+    told = names.select("name", status.alias("status"), reason.alias("reason"), F.when(F.lit(complete) & (n == 1), F.col("title")).alias("title"))
+    return entities.join(told, entities["name"].eqNullSafe(told["name"])).select("id", "status", "reason", "title")
+
+
+def nearest_ancestor(runs: DataFrame, most: int = 1 << 16) -> DataFrame:
+    """runs(run, parent, snapshot) -> (run, base, state): the nearest ancestor of another snapshot, none, or a cycle on the way.
+
+    Parents of the same snapshot are followed by doubling to the last of them; its parent is the base.
+    """
+    up = runs.select(F.col("run").alias("parent"), F.col("snapshot").alias("above"))
+    known = cut(runs.join(up, "parent", "left"))
+    same = known.filter("above = snapshot").select(F.col("run").alias("key"), F.col("parent").alias("to"))
+    ends = follow_redirects(runs.select(F.col("run").alias("key")), same, most)
+    last = known.select(F.col("run").alias("destination"), "parent", (F.col("above") == F.col("snapshot")).alias("loops"), F.col("above").isNotNull().alias("there"))
+    found = ends.join(last, "destination")
+    loops = F.coalesce("loops", F.lit(False))
+    state = F.when(loops, "cycle").when(F.col("there"), "base").otherwise("none")
+    return found.select(F.col("key").alias("run"), F.when(~loops & F.col("there"), F.col("parent")).alias("base"), state.alias("state"))
+
+
 def range_lookup(keys: DataFrame, directory: DataFrame, width: int) -> DataFrame:
     """keys(key) inside directory ranges [first, last]: ranges are listed under every bucket they touch, so rows meet by equality."""
     buckets = F.sequence(F.floor(F.col("first") / width), F.floor(F.col("last") / width))

@@ -35,6 +35,62 @@ def prefix_packs(rows: DataFrame, limit: int, most_depth: int = 12) -> DataFrame
     return packs
 
 
+def prefix_pages(rows: DataFrame, limit: int, most_depth: int = 12) -> DataFrame:
+    """rows(key, size, ...) with the ``pack`` that prefix_packs() puts them in."""
+    rest, out = rows, None
+    for depth in range(most_depth + 1):
+        named = rest.withColumn("pack", F.substring("key", 1, depth) if depth else F.lit(""))
+        totals = named.groupBy("pack").agg(F.sum("size").alias("bytes"), F.count("*").alias("count"))
+        fits = totals.filter((F.col("bytes") <= limit) | (F.col("count") == 1) | F.lit(depth == most_depth)).select("pack")
+        done = cut(named.join(fits, "pack", "left_semi"))
+        out = done if out is None else out.unionByName(done)
+        rest = cut(named.join(fits, "pack", "left_anti").drop("pack"))
+        if rest.isEmpty():
+            break
+    return out
+
+
+def directory(rows: DataFrame, limit: int, page_limit: int, entry_bytes: int, most_levels: int = 32) -> DataFrame:
+    """rows(key, size) -> (level, pack, first, last, count, entries): packs at level 0 and directory pages over them above.
+
+    Pages split by prefixes of their packs' first keys, as packs split by prefixes of theirs, so a level is made by
+    aggregates alone and an inserted key changes one pack and the pages above it. Levels end when one page holds all.
+    """
+    names = ["pack", "first", "last", "count", "entries"]
+    below = cut(prefix_packs(rows, limit).withColumn("entries", F.col("count")).select(*names))
+    out, size = below.withColumn("level", F.lit(0)), below.count()
+    for level in range(1, most_levels + 1):
+        if size <= 1:
+            break
+        entries = below.select(F.col("first").alias("key"), F.lit(entry_bytes).alias("size"), "first", "last", "count")
+        pages = prefix_pages(entries, page_limit).groupBy("pack")
+        below = cut(pages.agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("count").alias("count"), F.count("*").alias("entries")).select(*names))
+        out = out.unionByName(below.withColumn("level", F.lit(level)))
+        before, size = size, below.count()
+        if size == before:
+            break
+    return out.select("level", *names)
+
+
+def place_levels(leaves: DataFrame, budget: int, entry_bytes: int) -> DataFrame:
+    """leaves(topic, key, size) -> (level, topic, key, bin): leaves into bins, one index entry per bin into bins, and so for the configuration."""
+    out, rows = None, leaves.withColumn("key", F.col("key").cast("string"))
+    for level in ("leaf", "index", "configuration"):
+        placed = cut(bin_pack_ffd(rows, budget).select(F.lit(level).alias("level"), "topic", "key", "bin"))
+        out = placed if out is None else out.union(placed)
+        rows = placed.select("topic", "bin").distinct().select("topic", F.concat(F.lit(f"{level}-"), "bin").alias("key"), F.lit(entry_bytes).alias("size"))
+    return out
+
+
+def reuse(rows: DataFrame, signed: DataFrame, stored: DataFrame, group: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Results per group: stored(group, signature, ...) where signed(group, signature) agrees, else build() over the other groups' rows."""
+    signed = cut(signed)
+    kept = stored.join(signed, [group, "signature"]).withColumn("reused", F.lit(True))
+    moved = signed.join(stored.select(group, "signature"), [group, "signature"], "left_anti")
+    fresh = build(rows.join(moved.select(group), group, "left_semi")).join(moved, group).withColumn("reused", F.lit(False))
+    return kept.unionByName(fresh)
+
+
 def batch_chunks(rows: DataFrame, group: str, most_rows: int, most_bytes: int) -> DataFrame:
     """rows(group, key, size) -> (group, key, batch): consecutive rows of a group until a batch is full.
 

@@ -34,23 +34,26 @@ def under(pointer: Column, prefix: str) -> Column:
 
 
 def leaves(rows: DataFrame, keys: list[str], value: str, depth: int, arrays: bool = True) -> DataFrame:
-    """keys plus (pointer, leaf as JSON text). Each level of the value is one variant_explode; ``depth`` bounds the levels."""
-    done = None
+    """keys plus (pointer, leaf as JSON text). Each level of the value is one variant_explode; ``depth`` bounds the levels.
+
+    Finished leaves travel along as rows that a level does not open, so every level is computed once. Empty
+    objects and lists are leaves.
+    """
     level = rows.select(*keys, F.lit("").alias("pointer"), F.col(value).alias("v"))
     opens = ["OBJECT", "ARRAY"] if arrays else ["OBJECT"]
-    for step in range(depth + 1):
+    for _ in range(depth):
         kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
-        more = F.coalesce(kind.isin(*opens), F.lit(False)) if step < depth else F.lit(False)
-        leaf = level.filter(~more).select(*keys, "pointer", F.to_json("v").alias("leaf"))
-        done = leaf if done is None else done.unionByName(leaf)
-        if step == depth:
-            break
-        level = level.filter(more).lateralJoin(
-            rows.sparkSession.tvf.variant_explode(F.col("v").outer()).select(F.col("pos"), F.col("key"), F.col("value"))
+        more = F.coalesce(kind.isin(*opens) & ~F.to_json("v").isin("{}", "[]"), F.lit(False))
+        level = level.withColumn("more", more).withColumn("open", F.when(F.col("more"), F.col("v")))
+        level = level.lateralJoin(
+            rows.sparkSession.tvf.variant_explode_outer(F.col("open").outer()).select(F.col("pos"), F.col("key").alias("name"), F.col("value").alias("inner"))
+        )
+        name = F.replace(F.replace(F.col("name"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+        longer = F.concat("pointer", F.lit("/"), F.coalesce(name, F.col("pos").cast("string")))
+        level = level.select(
+            *keys, F.when(F.col("more"), longer).otherwise(F.col("pointer")).alias("pointer"), F.when(F.col("more"), F.col("inner")).otherwise(F.col("v")).alias("v")
         )
-        name = F.replace(F.replace(F.col("key"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
-        level = level.select(*keys, F.concat("pointer", F.lit("/"), F.coalesce(name, F.col("pos").cast("string"))).alias("pointer"), F.col("value").alias("v"))
-    return done
+    return level.select(*keys, "pointer", F.to_json("v").alias("leaf"))
 
 
 def truncate_or_hash(text: Column, most: int) -> Column:

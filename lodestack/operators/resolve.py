@@ -55,6 +55,30 @@ def ledger(prior: DataFrame, current: DataFrame, snapshot: int) -> DataFrame:
     )
 
 
+def absence(states: DataFrame, kinds: DataFrame, scopes: DataFrame, anchors: DataFrame, objects: DataFrame) -> DataFrame:
+    """states(key, kind, summary, source_object, scope, anchor) without a row in a capture -> (key, status).
+
+    uncaptured: the capture has nothing of the kind, or of the scope of an object inside one; not-present: it would
+    have been seen; unresolved: its anchor, or without one its object, is still there. A summary is never unresolved.
+    """
+    seen = lambda df, name: df.select(F.col(df.columns[0]).alias(name)).distinct().withColumn(f"has_{name}", F.lit(True))
+    rows = states
+    for df, name in ((kinds, "kind"), (scopes, "scope"), (anchors, "anchor"), (objects, "source_object")):
+        rows = rows.join(seen(df, name), name, "left")
+    has = lambda name: F.coalesce(f"has_{name}", F.lit(False))
+    there = F.when(F.col("anchor").isNotNull(), has("anchor")).otherwise(has("source_object"))
+    status = (
+        F.when(~has("kind"), "uncaptured").when(F.col("summary"), "not-present")
+        .when(F.contains("source_object", F.lit("#")) & ~has("scope"), "uncaptured").when(there, "unresolved").otherwise("not-present")
+    )
+    return rows.select("key", status.alias("status"))
+
+
+def rebuild(rows: DataFrame, decisions: DataFrame) -> DataFrame:
+    """rows(row, h) and decisions(row, entity) -> (entity, digest) over the sorted content hashes of an entity's rows."""
+    return rows.join(decisions, "row").groupBy("entity").agg(F.md5(F.array_join(F.array_sort(F.collect_list("h")), ",")).alias("digest"))
+
+
 def latest(rows: DataFrame, key: str, order: list) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*order)
     return rows.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")

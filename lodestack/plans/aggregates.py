@@ -23,10 +23,10 @@ def rollup_topic_kind(t: Tables) -> DataFrame:
 
 @R.query(
     """SELECT s_nationkey, to_json(list(DISTINCT l_partkey ORDER BY l_partkey)) AS parts
-FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey <= 50 GROUP BY s_nationkey"""
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY s_nationkey"""
 )
 def collect_set_sorted(t: Tables) -> DataFrame:
-    rows = t.lineitem.filter("l_partkey <= 50").join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
+    rows = t.lineitem.join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
     return rows.groupBy("s_nationkey").agg(F.to_json(F.array_sort(F.collect_set("l_partkey"))).alias("parts"))
 
 
@@ -188,10 +188,10 @@ def dedup_bytes(t: Tables) -> DataFrame:
 
 @R.query(
     """SELECT o_orderpriority, sha256(string_agg(md5(o_orderkey || ':' || o_orderstatus), '' ORDER BY o_orderkey)) AS fingerprint
-FROM orders WHERE o_orderkey <= 5000 GROUP BY o_orderpriority"""
+FROM orders GROUP BY o_orderpriority"""
 )
 def dataset_fingerprint(t: Tables) -> DataFrame:
-    rows = t.orders.filter("o_orderkey <= 5000").select(
+    rows = t.orders.select(
         "o_orderpriority", "o_orderkey", F.md5(F.concat_ws(":", "o_orderkey", "o_orderstatus")).alias("h")
     )
     return packing.running_digest(rows, "o_orderpriority", "o_orderkey", "sha256").withColumnRenamed("digest", "fingerprint")
@@ -222,11 +222,11 @@ def phase_times(t: Tables) -> DataFrame:
 
 
 @R.query(
-    "SELECT o_orderkey AS key FROM orders WHERE o_orderkey <= 100 UNION ALL SELECT c_custkey FROM customer WHERE c_custkey <= 100"
+    "SELECT o_orderkey AS key FROM orders UNION ALL SELECT c_custkey FROM customer"
 )
 def union_all_entities(t: Tables) -> DataFrame:
-    a = t.orders.filter("o_orderkey <= 100").select(F.col("o_orderkey").alias("key"))
-    return a.unionByName(t.customer.filter("c_custkey <= 100").select(F.col("c_custkey").alias("key")))
+    a = t.orders.select(F.col("o_orderkey").alias("key"))
+    return a.unionByName(t.customer.select(F.col("c_custkey").alias("key")))
 
 
 @R.query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestack.operators import claims, diff, fixpoint, resolve
+from lodestack.operators import claims, diff, fixpoint, links, resolve
 from lodestack.plans.base import Registry, Tables
 
 R = Registry()
@@ -80,6 +80,50 @@ def gap_report(t: Tables) -> DataFrame:
     return open_.join(body, "rule").join(reached, "item", "left").groupBy(F.col("rule").alias("recipe"), "output").agg(F.count_if(F.col("ok").isNull()).alias("blocked_by"))
 
 
+_RINGS = """rec AS (SELECT o_orderkey AS recipe, output, CASE WHEN o_custkey % 3 = 0 THEN o_custkey % 40 END AS bench, o_orderstatus <> 'P' AS complete
+ FROM orders JOIN (SELECT l_orderkey, max(l_partkey) AS output FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey),
+ing AS (SELECT DISTINCT l_orderkey AS recipe, l_partkey AS item FROM lineitem JOIN rec ON recipe = l_orderkey WHERE l_partkey <> output),
+ben AS (SELECT DISTINCT o_custkey % 40 AS bench, CASE WHEN o_custkey % 40 % 9 <> 8 THEN o_custkey % 40 * 11 END AS construction_item, o_custkey % 40 % 5 = 0 AS hand FROM orders WHERE o_custkey % 3 = 0),
+pla AS (SELECT s_suppkey, CAST(n_regionkey AS BIGINT) AS ring FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+min_ AS (SELECT l_partkey AS item, ring, sum(l_quantity) AS amount FROM lineitem JOIN pla ON s_suppkey = l_suppkey WHERE l_returnflag = 'A' AND l_partkey % 10 = 0 GROUP BY 1, 2),
+bes AS (SELECT item, min(ring) AS ring FROM (SELECT *, amount = max(amount) OVER (PARTITION BY item) AS top FROM min_) WHERE top GROUP BY item),
+src AS (SELECT item, 'mined' AS type, CAST(NULL AS BIGINT) AS via, ring FROM min_
+ UNION ALL SELECT DISTINCT l_partkey, 'looted', CAST(NULL AS BIGINT), ring FROM lineitem JOIN pla ON s_suppkey = l_suppkey WHERE l_returnflag = 'R' AND l_partkey % 13 = 0
+ UNION ALL SELECT DISTINCT output, 'crafted', recipe, CAST(NULL AS BIGINT) FROM rec
+ UNION ALL SELECT p_partkey + 1, 'dismantled', p_partkey, CAST(NULL AS BIGINT) FROM part WHERE p_size > 45)"""
+
+
+def _rings_oracle(rounds: int = 16) -> str:
+    """The definition, round by round over items, recipes and benches."""
+    steps = [f"WITH {_RINGS}"]
+    for f in ("e", "m"):
+        start = "SELECT item, ring FROM src WHERE ring IS NOT NULL" if f == "e" else "SELECT item, ring FROM src WHERE ring IS NOT NULL AND type <> 'mined' UNION ALL SELECT item, ring FROM bes"
+        steps.append(f"{f}i0 AS MATERIALIZED (SELECT item, min(ring) AS v FROM ({start}) GROUP BY 1)")
+        steps.append(f"{f}b0 AS MATERIALIZED (SELECT bench, CAST(0 AS BIGINT) AS v FROM ben WHERE hand)")
+        for k in range(rounds):
+            steps.append(
+                f"{f}r{k} AS MATERIALIZED (SELECT r.recipe, r.output, greatest(coalesce(max(i.v), 0), coalesce(max(b.v), 0)) AS v FROM rec r LEFT JOIN ing USING (recipe) LEFT JOIN {f}i{k} i ON i.item = ing.item LEFT JOIN {f}b{k} b ON b.bench = r.bench"
+                " WHERE r.complete GROUP BY r.recipe, r.output, r.bench HAVING count(ing.item) = count(i.v) AND (r.bench IS NULL OR max(b.v) IS NOT NULL))"
+            )
+            steps.append(f"{f}b{k + 1} AS MATERIALIZED (SELECT bench, v FROM {f}b0 UNION ALL SELECT bench, v FROM ben JOIN {f}i{k} ON item = construction_item WHERE NOT hand)")
+            steps.append(
+                f"{f}i{k + 1} AS MATERIALIZED (SELECT item, min(v) AS v FROM (SELECT * FROM {f}i0 UNION ALL SELECT output, v FROM {f}r{k} UNION ALL SELECT s.item, i.v FROM src s JOIN {f}i{k} i ON i.item = s.via WHERE s.type = 'dismantled') GROUP BY 1)"
+            )
+    n = rounds - 1
+    side = lambda f: f"SELECT 'item' AS kind, CAST(item AS VARCHAR) AS key, v FROM {f}i{rounds} UNION ALL SELECT 'recipe', CAST(recipe AS VARCHAR), v FROM {f}r{n} UNION ALL SELECT 'bench', CAST(bench AS VARCHAR), v FROM {f}b{rounds}"
+    return ",\n".join(steps) + f" SELECT kind, key, e.v AS earliest_ring, m.v AS main_ring FROM ({side('e')}) e FULL JOIN ({side('m')}) m USING (kind, key)"
+
+
+@R.query(_rings_oracle())
+def reachable_rings(t: Tables) -> DataFrame:
+    """Earliest and main ring of items, recipes and benches: crafted, dismantled, mined and looted sources."""
+    text = "WITH " + _RINGS.replace("min_", "mined")
+    for name in ("orders", "lineitem", "supplier", "nation", "part"):
+        text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(f"JOIN {name}", f"JOIN {{{name}}}")
+    frame = lambda name: t.sql(f"{text} SELECT * FROM {name}")
+    return fixpoint.reachable_rings(frame("rec"), frame("ing"), frame("ben"), frame("src"), frame("bes"))
+
+
 @R.query(
     """WITH RECURSIVE e AS (SELECT 'c' || o_custkey AS src, 'o' || o_orderkey AS dst FROM orders UNION ALL SELECT DISTINCT 'o' || l_orderkey, 'p' || l_partkey FROM lineitem),
 w(node, step) AS (SELECT 'c' || c_custkey, 0 FROM customer WHERE c_custkey < 5 UNION SELECT dst, step + 1 FROM w JOIN e ON src = node WHERE step < 3)
@@ -143,11 +187,11 @@ SELECT key, path, depth FROM p"""
     )
 
 
-@R.query("SELECT p_partkey AS key, CAST(floor(log2(p_partkey)) AS INT) AS level FROM part WHERE p_partkey BETWEEN 1 AND 500")
+@R.query("SELECT p_partkey AS key, CAST(floor(log2(p_partkey)) AS INT) AS level FROM part WHERE p_partkey >= 1")
 def topo_levels(t: Tables) -> DataFrame:
     """Levels of a DAG: a node follows all that it needs."""
-    body = t.part.filter("p_partkey BETWEEN 2 AND 500").select(F.col("p_partkey").alias("rule"), F.expr("p_partkey div 2").alias("item"))
-    heads = t.part.filter("p_partkey BETWEEN 2 AND 500").select(F.col("p_partkey").alias("rule"), F.col("p_partkey").alias("item"))
+    body = t.part.filter("p_partkey >= 2").select(F.col("p_partkey").alias("rule"), F.expr("p_partkey div 2").alias("item"))
+    heads = t.part.filter("p_partkey >= 2").select(F.col("p_partkey").alias("rule"), F.col("p_partkey").alias("item"))
     start = t.spark.range(1, 2).select(F.col("id").alias("item"), F.lit(0).alias("value"))
     return fixpoint.horn(start, body, heads, add=1).select(F.col("item").alias("key"), F.col("value").alias("level"))
 
@@ -170,10 +214,10 @@ def capture_index(t: Tables) -> DataFrame:
     return t.part.groupBy("p_name", "p_brand").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first"))
 
 
-@R.query("SELECT l_orderkey AS key, sha256(string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_partkey)) AS descriptor FROM lineitem WHERE l_orderkey < 3000 GROUP BY 1")
+@R.query("SELECT l_orderkey AS key, sha256(string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_partkey)) AS descriptor FROM lineitem GROUP BY 1")
 def descriptor_hash(t: Tables) -> DataFrame:
     """Hash over the sorted signatures of a row's references."""
-    rows = t.lineitem.filter("l_orderkey < 3000").groupBy(F.col("l_orderkey").alias("key")).agg(F.array_sort(F.collect_list("l_partkey")).alias("refs"))
+    rows = t.lineitem.groupBy(F.col("l_orderkey").alias("key")).agg(F.array_sort(F.collect_list("l_partkey")).alias("refs"))
     return rows.select("key", F.sha2(F.array_join("refs", "|"), 256).alias("descriptor"))
 
 
@@ -227,25 +271,26 @@ def apply_corrections(t: Tables) -> DataFrame:
 
 
 
-def facts(t: Tables, cut_date: str, since: str = "1995-01-01") -> DataFrame:
-    rows = t.lineitem.filter((F.col("l_shipdate") < F.lit(cut_date).cast("timestamp")) & (F.col("l_shipdate") >= F.lit(since).cast("timestamp")))
+def facts(t: Tables, capture: str) -> DataFrame:
+    rows = t.lineitem.filter(capture)
     q = F.sum("l_quantity").cast("long")
     return rows.groupBy(F.col("l_partkey").alias("key")).agg(q.alias("quantity"), F.count("*").alias("lines"))
 
 
-def revisions(t: Tables, cut_date: str, since: str = "1995-01-01") -> DataFrame:
-    return facts(t, cut_date, since).select("key", F.sha2(F.concat_ws("|", "quantity", "lines"), 256).alias("revision"))
+def revisions(t: Tables, capture: str) -> DataFrame:
+    return facts(t, capture).select("key", F.sha2(F.concat_ws("|", "quantity", "lines"), 256).alias("revision"))
 
 
-def _rev(cut_date: str, since: str) -> str:
-    return f"(SELECT l_partkey AS key, CAST(sum(l_quantity) AS BIGINT) AS quantity, count(*) AS lines, sha256(CAST(sum(l_quantity) AS BIGINT) || '|' || count(*)) AS revision FROM lineitem WHERE l_shipdate < TIMESTAMP '{cut_date}' AND l_shipdate >= TIMESTAMP '{since}' GROUP BY 1)"
+def _rev(capture: str) -> str:
+    return f"(SELECT l_partkey AS key, CAST(sum(l_quantity) AS BIGINT) AS quantity, count(*) AS lines, sha256(CAST(sum(l_quantity) AS BIGINT) || '|' || count(*)) AS revision FROM lineitem WHERE {capture} GROUP BY 1)"
 
 
-_OLD, _NEW = ("1995-03-01", "1995-01-01"), ("1995-04-01", "1995-02-01")
+#: Three captures deal the whole table: each lacks some parts, and some lines of odd ones.
+_OLD, _NEW, _LATER = (f"(l_orderkey % 10 <> {k} OR l_partkey % 2 = 0) AND l_partkey % {m} <> 0" for k, m in ((1, 7), (2, 11), (2, 13)))
 
 
 @R.query(
-    f"""WITH o AS {_rev(*_OLD)}, n AS {_rev(*_NEW)},
+    f"""WITH o AS {_rev(_OLD)}, n AS {_rev(_NEW)},
 r AS (SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' ELSE 'changed' END AS op, coalesce(n.revision, o.revision) AS revision
  FROM o FULL JOIN n ON o.key = n.key WHERE o.revision IS DISTINCT FROM n.revision),
 k AS (SELECT *, row_number() OVER (PARTITION BY revision, op ORDER BY key) AS k FROM r WHERE op <> 'changed'),
@@ -253,19 +298,19 @@ m AS (SELECT revision, k FROM k GROUP BY 1, 2 HAVING count(*) = 2)
 SELECT key, op FROM r WHERE op = 'changed' UNION ALL SELECT key, op FROM k WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.revision = k.revision AND m.k = k.k)"""
 )
 def snapshot_diff(t: Tables) -> DataFrame:
-    return diff.snapshot(revisions(t, *_OLD), revisions(t, *_NEW))
+    return diff.snapshot(revisions(t, _OLD), revisions(t, _NEW))
 
 
 @R.query(
-    f"""WITH o AS {_rev(*_OLD)}, n AS {_rev(*_NEW)} SELECT n.key, 'quantity' AS field, CAST(o.quantity AS VARCHAR) AS old, CAST(n.quantity AS VARCHAR) AS new FROM o JOIN n USING (key) WHERE o.quantity <> n.quantity
+    f"""WITH o AS {_rev(_OLD)}, n AS {_rev(_NEW)} SELECT n.key, 'quantity' AS field, CAST(o.quantity AS VARCHAR) AS old, CAST(n.quantity AS VARCHAR) AS new FROM o JOIN n USING (key) WHERE o.quantity <> n.quantity
 UNION ALL SELECT n.key, 'lines', CAST(o.lines AS VARCHAR), CAST(n.lines AS VARCHAR) FROM o JOIN n USING (key) WHERE o.lines <> n.lines"""
 )
 def field_diff(t: Tables) -> DataFrame:
-    return diff.fields(facts(t, *_OLD), facts(t, *_NEW), ["key"], ["quantity", "lines"])
+    return diff.fields(facts(t, _OLD), facts(t, _NEW), ["key"], ["quantity", "lines"])
 
 
 @R.query(
-    f"""WITH a AS {_rev('1995-03-01', '1995-01-01')}, b AS {_rev('1995-04-01', '1995-02-01')}, c AS {_rev('1995-05-01', '1995-03-01')},
+    f"""WITH a AS {_rev(_OLD)}, b AS {_rev(_NEW)}, c AS {_rev(_LATER)},
 u AS (SELECT key FROM a UNION SELECT key FROM b UNION SELECT key FROM c)
 SELECT u.key, coalesce(c.revision, b.revision, a.revision) AS revision, CASE WHEN a.key IS NOT NULL THEN 1 WHEN b.key IS NOT NULL THEN 2 ELSE 3 END AS first_seen,
  CASE WHEN c.key IS NOT NULL THEN 3 WHEN b.key IS NOT NULL THEN 2 ELSE 1 END AS last_seen,
@@ -276,28 +321,40 @@ FROM u LEFT JOIN a ON a.key = u.key LEFT JOIN b ON b.key = u.key LEFT JOIN c ON
 def state_merge(t: Tables) -> DataFrame:
     """The ledger over three captures; each merge takes the ledger before it."""
     none = F.lit(None)
-    state = revisions(t, "1995-03-01", "1995-01-01").filter("false").select(
+    state = revisions(t, _OLD).filter("false").select(
         "key", "revision", none.cast("int").alias("first_seen"), none.cast("int").alias("last_seen"), none.cast("int").alias("last_changed")
     )
-    for k, span in enumerate((("1995-03-01", "1995-01-01"), ("1995-04-01", "1995-02-01"), ("1995-05-01", "1995-03-01")), 1):
-        state = resolve.ledger(state.drop("status"), revisions(t, *span), k)
+    for k, capture in enumerate((_OLD, _NEW, _LATER), 1):
+        state = resolve.ledger(state.drop("status"), revisions(t, capture), k)
     return state
 
 
-@R.query(f"WITH o AS {_rev(*_OLD)}, n AS {_rev(*_NEW)} SELECT o.key, CASE WHEN n.key IS NOT NULL THEN 'present' WHEN o.key % 5 = 0 THEN 'uncaptured' WHEN o.lines > 1 THEN 'unresolved' ELSE 'not-present' END AS status FROM o LEFT JOIN n USING (key)")
+_ABSENT = """WITH s AS (SELECT p_partkey AS key, p_type AS kind, p_size = 1 AS summary, CASE WHEN p_partkey % 2 = 0 THEN p_brand || '#' || p_name ELSE p_brand || '.' || p_name END AS source_object,
+ p_brand AS scope, CASE WHEN p_size >= 20 THEN p_name || p_brand END AS anchor FROM part WHERE p_partkey % 3 = 0),
+c AS (SELECT p_type AS kind, p_brand AS scope, p_name || p_brand AS anchor, CASE WHEN p_partkey % 2 = 0 THEN p_brand || '#' || p_name ELSE p_brand || '.' || p_name END AS object FROM part
+ WHERE p_partkey % 3 <> 0 AND p_type <> 'ECONOMY' AND p_brand <> 'Brand#2')"""
+
+
+@R.query(
+    _ABSENT + """ SELECT key, CASE WHEN kind NOT IN (SELECT kind FROM c) THEN 'uncaptured' WHEN summary THEN 'not-present'
+ WHEN contains(source_object, '#') AND scope NOT IN (SELECT scope FROM c) THEN 'uncaptured'
+ WHEN anchor IS NOT NULL THEN CASE WHEN anchor IN (SELECT anchor FROM c) THEN 'unresolved' ELSE 'not-present' END
+ WHEN source_object IN (SELECT object FROM c) THEN 'unresolved' ELSE 'not-present' END AS status FROM s"""
+)
 def absent_status(t: Tables) -> DataFrame:
-    now = facts(t, *_NEW).select("key", F.lit(True).alias("here"))
-    status = F.when(F.col("here"), "present").when(F.col("key") % 5 == 0, "uncaptured").when(F.col("lines") > 1, "unresolved").otherwise("not-present")
-    return facts(t, *_OLD).join(now, "key", "left").select("key", status.alias("status"))
+    """Why a known entity has no row in a capture."""
+    made = _ABSENT.replace("FROM part", "FROM {part}")
+    states, capture = t.sql(made + " SELECT * FROM s"), t.sql(made + " SELECT * FROM c")
+    return resolve.absence(states, capture.select("kind"), capture.select("scope"), capture.select("anchor"), capture.select("object"))
 
 
 @R.query(
-    "SELECT l_orderkey AS owner, array_to_string(list_sort(list_distinct(list(CASE WHEN l_partkey % 7 = 0 THEN l_partkey - 1 ELSE l_partkey END))), ',') AS targets FROM lineitem WHERE l_orderkey < 1000 GROUP BY 1"
+    "SELECT l_orderkey AS owner, array_to_string(list_sort(list_distinct(list(CASE WHEN l_partkey % 7 = 0 THEN l_partkey - 1 ELSE l_partkey END))), ',') AS targets FROM lineitem GROUP BY 1"
 )
 def rekey_links(t: Tables) -> DataFrame:
     """Recorded repairs applied to link targets."""
     fixes = t.part.filter("p_partkey % 7 = 0").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_partkey") - 1).alias("to"))
-    rows = t.lineitem.filter("l_orderkey < 1000").join(fixes, "l_partkey", "left").groupBy(F.col("l_orderkey").alias("owner"))
+    rows = t.lineitem.join(fixes, "l_partkey", "left").groupBy(F.col("l_orderkey").alias("owner"))
     return rows.agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("to", "l_partkey"))), ",").alias("targets"))
 
 
@@ -306,26 +363,26 @@ def change_counts(t: Tables) -> DataFrame:
     return t.events.groupBy(F.col("event_type").alias("topic")).agg(F.count_if(F.col("value") > 50).alias("added"), F.count_if(F.col("value") <= 50).alias("removed"))
 
 
-@R.query("SELECT o_orderpriority AS topic, o_orderkey AS snapshot_id FROM orders WHERE o_orderkey <= 700")
+@R.query("SELECT o_orderpriority AS topic, o_orderkey AS snapshot_id FROM orders WHERE o_orderkey % 4 <> 0 OR o_orderkey % 3 <> 0")
 def log_append_idempotent(t: Tables) -> DataFrame:
     """Appending a snapshot twice changes nothing."""
     rows = t.orders.select(F.col("o_orderpriority").alias("topic"), F.col("o_orderkey").alias("snapshot_id"))
-    log = rows.filter("snapshot_id <= 500")
-    entry = rows.filter("snapshot_id BETWEEN 400 AND 700")
+    log = rows.filter("snapshot_id % 4 != 0")
+    entry = rows.filter("snapshot_id % 3 != 0")
     return diff.append_new(diff.append_new(log, entry, "snapshot_id"), entry, "snapshot_id")
 
 
 @R.query(
-    f"""WITH f AS (SELECT 1 AS snapshot, key, quantity FROM {_rev(*_OLD)} UNION ALL SELECT 2, key, quantity FROM {_rev(*_NEW)}),
-c AS (SELECT p_partkey AS key, 20 AS low, 90 AS high FROM part WHERE p_partkey <= 400), s AS (SELECT * FROM c, (SELECT unnest([1, 2]) AS snapshot)),
+    f"""WITH f AS (SELECT 1 AS snapshot, key, quantity FROM {_rev(_OLD)} UNION ALL SELECT 2, key, quantity FROM {_rev(_NEW)}),
+c AS (SELECT p_partkey AS key, 500 AS low, 900 AS high FROM part), s AS (SELECT * FROM c, (SELECT unnest([1, 2]) AS snapshot)),
 e AS (SELECT s.key AS claim, s.snapshot, CASE WHEN quantity IS NULL THEN 'missing' WHEN quantity < low THEN 'below minimum' WHEN quantity > high THEN 'above maximum' END AS reason FROM s LEFT JOIN f USING (key, snapshot))
 SELECT claim, snapshot, CASE WHEN reason IS NULL THEN 'ok' ELSE 'failed' END AS status, reason, max(CASE WHEN reason IS NULL THEN snapshot END) OVER (PARTITION BY claim ORDER BY snapshot) AS last_success FROM e"""
 )
 def claims_evaluate(t: Tables) -> DataFrame:
-    found = facts(t, *_OLD).withColumn("snapshot", F.lit(1)).union(facts(t, *_NEW).withColumn("snapshot", F.lit(2)))
+    found = facts(t, _OLD).withColumn("snapshot", F.lit(1)).union(facts(t, _NEW).withColumn("snapshot", F.lit(2)))
     found = found.select("snapshot", F.col("key").alias("entity"), F.col("quantity").alias("value"))
-    made = t.part.filter("p_partkey <= 400").select(
-        F.col("p_partkey").alias("claim"), F.col("p_partkey").alias("entity"), F.lit(20).alias("low"), F.lit(90).alias("high"), F.lit(None).cast("long").alias("equals")
+    made = t.part.select(
+        F.col("p_partkey").alias("claim"), F.col("p_partkey").alias("entity"), F.lit(500).alias("low"), F.lit(900).alias("high"), F.lit(None).cast("long").alias("equals")
     )
     return claims.evaluate(made, found)
 
@@ -336,26 +393,49 @@ def hash_check(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.md5("html").alias("have")).join(expected, "page_id").select("page_id", (F.col("have") == F.col("want")).alias("same"))
 
 
-@R.query("SELECT p_partkey AS run, p_partkey // 2 AS base FROM part WHERE p_partkey <> p_partkey // 2 AND p_partkey <= 1000 AND (p_partkey // 2) IN (SELECT p_partkey FROM part)")
+@R.query(
+    """SELECT run, CASE WHEN state = 'base' THEN low - 1 END AS base, state FROM (SELECT p_partkey AS run, p_partkey // 7 * 7 AS low,
+ CASE WHEN p_partkey // 97 * 97 >= greatest(p_partkey // 7 * 7, 1) THEN 'cycle' WHEN p_partkey // 7 * 7 >= 1 THEN 'base' ELSE 'none' END AS state FROM part)"""
+)
 def base_ancestor(t: Tables) -> DataFrame:
-    """Nearest ancestor with another snapshot; here every parent (key div 2) has another one."""
-    rows = t.part.filter("p_partkey <= 1000").select(F.col("p_partkey").alias("run"), F.expr("p_partkey div 2").alias("parent"), F.col("p_partkey").alias("snapshot"))
-    up = rows.select(F.col("run").alias("parent"), F.col("snapshot").alias("parent_snapshot"))
-    return rows.join(up, "parent").filter("snapshot != parent_snapshot").select("run", F.col("parent").alias("base"))
+    """Runs follow each other, seven to a snapshot; every 97th names itself as its parent, which is a cycle for those behind it."""
+    parent = F.when(F.col("p_partkey") % 97 == 0, F.col("p_partkey")).otherwise(F.col("p_partkey") - 1)
+    rows = t.part.select(F.col("p_partkey").alias("run"), F.when(F.col("p_partkey") > 0, parent).alias("parent"), F.expr("p_partkey div 7").alias("snapshot"))
+    return links.nearest_ancestor(rows)
 
 
-@R.query("SELECT p_partkey, md5(p_name) = md5(p_name || CASE WHEN p_size = 9 THEN ' ' ELSE '' END) AS same FROM part")
+@R.query(
+    """WITH d AS (SELECT p_partkey AS row, p_partkey - p_partkey % 4 AS entity, md5(p_name || '|' || p_size) AS h FROM part)
+SELECT entity, md5(string_agg(h, ',' ORDER BY h)) AS digest, bool_or(row % 9 = 0) AS differs FROM d GROUP BY 1"""
+)
 def replay_frozen(t: Tables) -> DataFrame:
-    """Rebuilt from stored decisions, never matched again; a hash that differs is reported."""
-    frozen = t.part.select("p_partkey", F.md5(F.concat("p_name", F.when(F.col("p_size") == 9, " ").otherwise(""))).alias("stored"))
-    return t.part.join(frozen, "p_partkey").select("p_partkey", (F.md5("p_name") == F.col("stored")).alias("same"))
+    """Entities rebuilt from stored decisions, never matched again; a digest other than the recorded one is reported."""
+    decisions = t.part.select(F.col("p_partkey").alias("row"), (F.col("p_partkey") - F.col("p_partkey") % 4).alias("entity"))
+    content = lambda name: t.part.select(F.col("p_partkey").alias("row"), F.md5(F.concat_ws("|", name, "p_size")).alias("h"))
+    recorded = resolve.rebuild(content(F.concat("p_name", F.when(F.col("p_partkey") % 9 == 0, " ").otherwise(""))), decisions)
+    recorded = recorded.withColumnRenamed("digest", "recorded")
+    rebuilt = resolve.rebuild(content(F.col("p_name")), decisions)
+    return rebuilt.join(recorded, "entity").select("entity", "digest", (F.col("digest") != F.col("recorded")).alias("differs"))
 
 
-@R.query("SELECT o_orderkey AS key, CASE WHEN o_orderkey % 6 = 0 THEN 'initial entry' WHEN o_orderkey % 4 = 0 THEN 'no field detail' ELSE 'full' END AS detail FROM orders WHERE o_orderkey < 2000")
+@R.query(
+    """WITH r AS (SELECT o_orderkey AS key, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS base FROM orders)
+SELECT key, CASE WHEN base IS NULL OR base % 6 = 0 THEN 'initial entry' WHEN base % 4 = 0 THEN 'no field detail' ELSE 'full' END AS detail FROM r"""
+)
 def diff_degrade(t: Tables) -> DataFrame:
-    """Detail falls back where the older state or its models were pruned."""
-    state, models = F.col("o_orderkey") % 6 != 0, F.col("o_orderkey") % 4 != 0
-    return t.orders.filter("o_orderkey < 2000").select(F.col("o_orderkey").alias("key"), F.when(~state, "initial entry").when(~models, "no field detail").otherwise("full").alias("detail"))
+    """Detail of each run's difference, by what is retained of its base."""
+    base = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    runs = t.orders.select(F.col("o_orderkey").alias("run"), base.alias("base"))
+    kept = lambda n, artifact: t.orders.filter(f"o_orderkey % {n} != 0").select(F.col("o_orderkey").alias("run"), F.lit(artifact).alias("artifact"))
+    return diff.detail(runs, kept(6, "state").union(kept(4, "models"))).withColumnRenamed("run", "key")
+
+
+@R.query("SELECT true AS same_orders, false AS same_parts")
+def same_inputs(t: Tables) -> DataFrame:
+    """Two inventories are the same input if their identities agree, whatever the order of their rows."""
+    a, b = (diff.identity(df, ["o_orderkey", "o_orderstatus"]) for df in (t.orders, t.orders.orderBy(F.desc("o_orderkey"))))
+    c, d = (diff.identity(df, ["p_partkey", "p_name"]) for df in (t.part, t.part.filter("p_partkey > 0")))
+    return t.spark.range(1).select(F.lit(a == b).alias("same_orders"), F.lit(c == d).alias("same_parts"))
 
 
 _NAMES = "p_name, p_brand, p_type, p_size"

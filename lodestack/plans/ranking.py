@@ -11,13 +11,12 @@ R = Registry()
 
 
 @R.query(
-    """SELECT p_partkey, row_number() OVER (ORDER BY p_size NULLS LAST, p_retailprice DESC, lower(p_name), p_partkey) AS rank
-FROM part WHERE p_brand = 'Brand#11'"""
+    """SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size NULLS LAST, p_retailprice DESC, lower(p_name), p_partkey) AS rank FROM part"""
 )
 def sort_multikey(t: Tables) -> DataFrame:
-    """Total order by several keys within one brand."""
+    """Total order by several keys within each brand."""
     order = Window.partitionBy("p_brand").orderBy(F.asc_nulls_last("p_size"), F.desc("p_retailprice"), F.lower("p_name"), "p_partkey")
-    return t.part.filter("p_brand = 'Brand#11'").select("p_partkey", F.row_number().over(order).cast("long").alias("rank"))
+    return t.part.select("p_partkey", F.row_number().over(order).cast("long").alias("rank"))
 
 
 @R.query(
@@ -137,27 +136,27 @@ def alpha_index(t: Tables) -> DataFrame:
     return rows.withColumn("k", F.row_number().over(order)).filter("k <= 900").select("letter", "p_partkey")
 
 
-_REPORT = """WITH a AS (SELECT p_partkey % 300 AS id, max(p_size) AS v FROM part WHERE p_partkey <= 1200 GROUP BY 1),
-b AS (SELECT p_partkey % 350 AS id, max(p_size) AS v FROM part WHERE p_partkey > 600 AND p_partkey % 350 > 20 GROUP BY 1)
+_REPORT = """WITH a AS (SELECT p_partkey % 300 AS id, max(p_size) AS v FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1),
+b AS (SELECT p_partkey % 350 AS id, max(p_size) AS v FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 350 > 20 GROUP BY 1)
 SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'new' WHEN b.id IS NULL THEN 'resolved' WHEN a.v = b.v THEN 'unchanged' ELSE 'changed' END AS state
 FROM a FULL JOIN b ON a.id = b.id"""
 
 
 @R.query(_REPORT)
 def report_diff(t: Tables) -> DataFrame:
-    a = t.part.filter("p_partkey <= 1200").groupBy((F.col("p_partkey") % 300).alias("id")).agg(F.max("p_size").alias("a"))
-    b = t.part.filter("p_partkey > 600 AND p_partkey % 350 > 20").groupBy((F.col("p_partkey") % 350).alias("id")).agg(F.max("p_size").alias("b"))
+    a = t.part.filter("p_partkey % 3 != 0").groupBy((F.col("p_partkey") % 300).alias("id")).agg(F.max("p_size").alias("a"))
+    b = t.part.filter("p_partkey % 4 != 0 AND p_partkey % 350 > 20").groupBy((F.col("p_partkey") % 350).alias("id")).agg(F.max("p_size").alias("b"))
     state = F.when(F.col("a").isNull(), "new").when(F.col("b").isNull(), "resolved").when(F.col("a") == F.col("b"), "unchanged").otherwise("changed")
     return a.join(b, "id", "full").select("id", state.alias("state"))
 
 
 @R.query(
-    """WITH m AS (SELECT l_partkey AS item, date_trunc('year', l_shipdate) AS snap, sum(CAST(l_quantity AS DECIMAL(18,2))) AS v FROM lineitem WHERE l_partkey % 20 = 0 GROUP BY 1, 2),
+    """WITH m AS (SELECT l_partkey AS item, date_trunc('year', l_shipdate) AS snap, sum(CAST(l_quantity AS DECIMAL(18,2))) AS v FROM lineitem GROUP BY 1, 2),
 c AS (SELECT *, lag(v) OVER (PARTITION BY item ORDER BY snap) IS DISTINCT FROM v AS changed FROM m)
 SELECT item, min(snap) AS first_seen, max(snap) AS last_seen, max(snap) FILTER (WHERE changed) AS last_changed FROM c GROUP BY item"""
 )
 def seen_ledger(t: Tables) -> DataFrame:
-    months = t.lineitem.filter("l_partkey % 20 = 0").groupBy(F.col("l_partkey").alias("item"), F.date_trunc("year", "l_shipdate").alias("snap")).agg(
+    months = t.lineitem.groupBy(F.col("l_partkey").alias("item"), F.date_trunc("year", "l_shipdate").alias("snap")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("v")
     )
     before = F.lag("v").over(Window.partitionBy("item").orderBy("snap"))
@@ -301,11 +300,11 @@ def finite_filter(t: Tables) -> DataFrame:
 
 
 @R.query(
-    """SELECT p_brand, p_type, CASE WHEN count(DISTINCT p_size) = 1 AND min(p_size) > 0 THEN min(p_size) END AS v FROM part WHERE p_partkey <= 200 GROUP BY ALL"""
+    """SELECT p_name, p_brand, CASE WHEN count(DISTINCT p_size) = 1 AND min(p_size) > 0 THEN min(p_size) END AS v FROM part GROUP BY ALL"""
 )
 def single_value_fact(t: Tables) -> DataFrame:
-    rows = t.part.filter("p_partkey <= 200").groupBy("p_brand", "p_type").agg(F.min("p_size").alias("a"), F.max("p_size").alias("b"))
-    return rows.select("p_brand", "p_type", F.when((F.col("a") == F.col("b")) & (F.col("a") > 0), F.col("a")).alias("v"))
+    rows = t.part.groupBy("p_name", "p_brand").agg(F.min("p_size").alias("a"), F.max("p_size").alias("b"))
+    return rows.select("p_name", "p_brand", F.when((F.col("a") == F.col("b")) & (F.col("a") > 0), F.col("a")).alias("v"))
 
 
 @R.query("SELECT page_id, url FROM pages WHERE starts_with(url, 'https://')")

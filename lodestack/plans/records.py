@@ -13,12 +13,6 @@ R = Registry()
 PROPS = contracts.Contract((contracts.Field("k", "number"), contracts.Field("z", "text")))
 
 
-@R.query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def scan_jsonl_events(t: Tables) -> DataFrame:
-    """JSON lines with a declared schema; a malformed line fails the read."""
-    return t.events.select("event_id", F.from_json("props", "k long", {"mode": "FAILFAST"}).alias("x")).select("event_id", "x.k")
-
-
 @R.query("SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, CAST(NULL AS VARCHAR) AS z FROM events")
 def contract_project_props(t: Tables) -> DataFrame:
     return contracts.project(t.events, "props", PROPS, ["event_id"])
@@ -95,10 +89,10 @@ def truncate_or_hash(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", pointers.truncate_or_hash(F.col("text"), 240).alias("value"))
 
 
-@R.query("SELECT o_orderkey, 'orders-' || (o_orderkey % 16) AS shard, o_orderkey AS id FROM orders WHERE o_orderkey < 4000")
+@R.query("SELECT o_orderkey, 'orders-' || (o_orderkey % 16) AS shard, o_orderkey AS id FROM orders")
 def route_partition_key(t: Tables) -> DataFrame:
     """The shard is what stands before # in an id."""
-    ids = t.orders.filter("o_orderkey < 4000").select("o_orderkey", F.concat(F.lit("orders-"), F.col("o_orderkey") % 16, F.lit("#"), "o_orderkey").alias("i"))
+    ids = t.orders.select("o_orderkey", F.concat(F.lit("orders-"), F.col("o_orderkey") % 16, F.lit("#"), "o_orderkey").alias("i"))
     return ids.select("o_orderkey", F.substring_index("i", "#", 1).alias("shard"), F.substring_index("i", "#", -1).cast("long").alias("id"))
 
 
@@ -130,20 +124,20 @@ def assert_sorted_unique(t: Tables) -> DataFrame:
 
 
 @R.query(
-    """SELECT 'part' AS kind, p_partkey AS id, p_name AS name FROM part WHERE p_partkey <= 100 UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier
-UNION ALL SELECT 'customer', c_custkey, c_name FROM customer WHERE c_custkey <= 100 UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation"""
+    """SELECT 'part' AS kind, p_partkey AS id, p_name AS name FROM part UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier
+UNION ALL SELECT 'customer', c_custkey, c_name FROM customer UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation"""
 )
 def extract_union_views(t: Tables) -> DataFrame:
     view = lambda df, kind, key, name: df.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), F.col(name).alias("name"))
     return (
-        view(t.part.filter("p_partkey <= 100"), "part", "p_partkey", "p_name").unionByName(view(t.supplier, "supplier", "s_suppkey", "s_name"))
-        .unionByName(view(t.customer.filter("c_custkey <= 100"), "customer", "c_custkey", "c_name")).unionByName(view(t.nation, "nation", "n_nationkey", "n_name"))
+        view(t.part, "part", "p_partkey", "p_name").unionByName(view(t.supplier, "supplier", "s_suppkey", "s_name"))
+        .unionByName(view(t.customer, "customer", "c_custkey", "c_name")).unionByName(view(t.nation, "nation", "n_nationkey", "n_name"))
     )
 
 
-@R.query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_orderkey < 500)")
+@R.query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_discount > 0.05)")
 def referenced_semi_scan(t: Tables) -> DataFrame:
-    wanted = t.lineitem.filter("l_orderkey < 500").select(F.col("l_partkey").alias("p_partkey"))
+    wanted = t.lineitem.filter("l_returnflag = 'R' AND l_discount > 0.05").select(F.col("l_partkey").alias("p_partkey"))
     return t.part.join(wanted, "p_partkey", "left_semi").select("p_partkey", "p_name")
 
 
@@ -175,11 +169,11 @@ def unique_or_null_lang(t: Tables) -> DataFrame:
 
 @R.query(
     """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 9 = 0 THEN 'null-pointer' WHEN p_partkey IS NULL THEN 'missing-target' ELSE 'resolved' END AS status
-FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 5) ON p_partkey = l_partkey WHERE l_orderkey < 2000"""
+FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 5) ON p_partkey = l_partkey"""
 )
 def ref_status(t: Tables) -> DataFrame:
     known = t.part.filter("p_size > 5").select("p_partkey")
-    rows = t.lineitem.filter("l_orderkey < 2000").join(known, F.col("l_partkey") == F.col("p_partkey"), "left")
+    rows = t.lineitem.join(known, F.col("l_partkey") == F.col("p_partkey"), "left")
     status = F.when(F.col("l_partkey") % 9 == 0, "null-pointer").when(F.col("p_partkey").isNull(), "missing-target").otherwise("resolved")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", status.alias("status"))
 
@@ -197,13 +191,13 @@ def observation_key(t: Tables) -> DataFrame:
 
 
 @R.query(
-    """SELECT 'parent' AS kind, o_orderkey AS owner, -1 AS at, o_custkey AS target FROM orders WHERE o_orderkey < 1000
-UNION ALL SELECT 'line', o, k - 1, p FROM (SELECT l_orderkey AS o, l_partkey AS p, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem WHERE l_orderkey < 1000)"""
+    """SELECT 'parent' AS kind, o_orderkey AS owner, -1 AS at, o_custkey AS target FROM orders
+UNION ALL SELECT 'line', o, k - 1, p FROM (SELECT l_orderkey AS o, l_partkey AS p, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem)"""
 )
 def expand_order_lines(t: Tables) -> DataFrame:
     """Members of a nested array become child rows; the parent keeps the rest."""
-    lines = t.lineitem.filter("l_orderkey < 1000").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("lines"))
-    parents = t.orders.filter("o_orderkey < 1000").select(F.lit("parent").alias("kind"), F.col("o_orderkey").alias("owner"), F.lit(-1).cast("long").alias("at"), F.col("o_custkey").alias("target"))
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("lines"))
+    parents = t.orders.select(F.lit("parent").alias("kind"), F.col("o_orderkey").alias("owner"), F.lit(-1).cast("long").alias("at"), F.col("o_custkey").alias("target"))
     children = lines.select(F.col("l_orderkey").alias("owner"), F.posexplode("lines").alias("at", "x")).select(
         F.lit("line").alias("kind"), "owner", F.col("at").cast("long").alias("at"), F.col("x.l_partkey").alias("target")
     )
@@ -225,31 +219,30 @@ def search_brief(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.array_join(F.transform(first, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("brief"))
 
 
-@R.query("SELECT p_brand, coalesce(CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END, 'internal ' || p_brand) AS label FROM part WHERE p_partkey <= 60 GROUP BY p_brand")
+@R.query("SELECT p_name, coalesce(CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END, 'internal ' || p_name) AS label FROM part GROUP BY p_name")
 def label_or_internal(t: Tables) -> DataFrame:
-    rows = t.part.filter("p_partkey <= 60").groupBy("p_brand").agg(F.min("p_type").alias("a"), F.max("p_type").alias("b"))
-    return rows.select("p_brand", F.coalesce(F.when(F.col("a") == F.col("b"), F.col("a")), F.concat(F.lit("internal "), "p_brand")).alias("label"))
+    rows = t.part.groupBy("p_name").agg(F.min("p_type").alias("a"), F.max("p_type").alias("b"))
+    return rows.select("p_name", F.coalesce(F.when(F.col("a") == F.col("b"), F.col("a")), F.concat(F.lit("internal "), "p_name")).alias("label"))
 
 
 @R.query(
-    """SELECT o_orderkey, array_to_string(list_sort(list_distinct(list(x))), ' ') AS ids FROM (SELECT o_orderkey, 'customer#' || o_custkey AS x FROM orders WHERE o_orderkey < 500
-UNION ALL SELECT l_orderkey, 'part#' || l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_orderkey < 500) GROUP BY 1"""
+    """SELECT o_orderkey, array_to_string(list_sort(list_distinct(list(x))), ' ') AS ids FROM (SELECT o_orderkey, 'customer#' || o_custkey AS x FROM orders
+UNION ALL SELECT l_orderkey, 'part#' || l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey) GROUP BY 1"""
 )
 def referenced_ids(t: Tables) -> DataFrame:
     """Every id that a row names, by shape."""
-    lines = t.lineitem.filter("l_orderkey < 500").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set(F.concat(F.lit("part#"), "l_partkey")).alias("parts"))
-    rows = t.orders.filter("o_orderkey < 500").join(lines, "o_orderkey", "left")
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set(F.concat(F.lit("part#"), "l_partkey")).alias("parts"))
+    rows = t.orders.join(lines, "o_orderkey", "left")
     own = F.array(F.concat(F.lit("customer#"), "o_custkey"), "o_orderstatus")
     ids = F.filter(F.array_distinct(F.concat(own, F.coalesce("parts", F.array().cast("array<string>")))), lambda x: x.rlike(r"#-?\d+$"))
     return rows.select("o_orderkey", F.array_join(F.array_sort(ids), " ").alias("ids"))
 
 
 @R.query(
-    "SELECT conv_id, turn, pos - 1 AS run, word FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations WHERE conv_id < 50)"
+    "SELECT conv_id, turn, pos - 1 AS run, word FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations)"
 )
 def document_text_runs(t: Tables) -> DataFrame:
-    rows = t.conversations.filter("conv_id < 50")
-    return rows.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("run", "word")).withColumn("run", F.col("run").cast("long"))
+    return t.conversations.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("run", "word")).withColumn("run", F.col("run").cast("long"))
 
 
 # Sources and sinks over files

@@ -6,22 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.functions import text as X
+from lodestack.operators import search
 from lodestack.plans.base import Registry, Tables
 
 R = Registry()
 
 
+_RAW = """CASE event_id % 6 WHEN 0 THEN event_type || 'EventKind' || event_id % 7 WHEN 1 THEN 'HTTPServer_' || event_type WHEN 2 THEN 'z-' || event_type || '/M4A1Rifle'
+ WHEN 3 THEN event_type || 'HitSet' WHEN 4 THEN '_' ELSE 'JSONTo' || upper(event_type) || 'View' END"""
+
+
 @R.query(
-    """SELECT event_type || 'EventKind' || event_id % 7 AS raw, upper(event_type[1]) || event_type[2:] || ' event kind ' || event_id % 7 AS label FROM events WHERE event_id < 200"""
+    f"""WITH r AS (SELECT event_id, {_RAW} AS raw FROM events),
+w AS (SELECT event_id, raw, list_filter(string_split_regex(regexp_replace(regexp_replace(raw, '([a-z0-9])([A-Z])|([A-Z])([A-Z][a-z])', '\\1\\3 \\2\\4', 'g'), '[_/-]+', ' ', 'g'), ' +'), lambda x: x <> '') AS l FROM r),
+k AS (SELECT event_id, raw, CASE WHEN len(l) >= 2 AND lower(l[-2] || ' ' || l[-1]) = 'hit set' THEN l[1:len(l) - 2] ELSE l END AS l FROM w)
+SELECT event_id, raw, CASE WHEN len(l) = 0 THEN 'Unnamed record' ELSE upper(array_to_string(l, ' ')[1]) || lower(array_to_string(l, ' ')[2:]) END AS label FROM k"""
 )
 def humanize(t: Tables) -> DataFrame:
-    raw = F.concat("event_type", F.lit("EventKind"), F.col("event_id") % 7)
-    return t.events.filter("event_id < 200").select(raw.alias("raw"), X.humanize(raw).alias("label"))
+    return t.events.select("event_id", F.expr(_RAW).alias("raw")).select("event_id", "raw", X.humanize(F.col("raw")).alias("label"))
 
 
-@R.query("SELECT o_orderkey, lower(regexp_replace(regexp_replace(o_orderpriority, '^[0-9]-', ''), '[ _]+', ' ', 'g')) AS label FROM orders WHERE o_orderkey < 500")
+@R.query("SELECT o_orderkey, lower(regexp_replace(regexp_replace(o_orderpriority, '^[0-9]-', ''), '[ _]+', ' ', 'g')) AS label FROM orders")
 def readable_enum(t: Tables) -> DataFrame:
-    return t.orders.filter("o_orderkey < 500").select(
+    return t.orders.select(
         "o_orderkey", F.lower(F.regexp_replace(F.regexp_replace("o_orderpriority", "^[0-9]-", ""), "[ _]+", " ")).alias("label")
     )
 
@@ -49,10 +56,10 @@ def word_subset(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", (inside & (F.col("p_size") > 25)).alias("subset"))
 
 
-@R.query("SELECT l_orderkey, l_linenumber, l_partkey, round(CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(l_discount AS DECIMAL(18,4)) AS DECIMAL(18,4)), 2)::DOUBLE AS v FROM lineitem WHERE l_orderkey < 2000")
+@R.query("SELECT l_orderkey, l_linenumber, l_partkey, round(CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(l_discount AS DECIMAL(18,4)) AS DECIMAL(18,4)), 2)::DOUBLE AS v FROM lineitem")
 def round_half_up(t: Tables) -> DataFrame:
     v = (F.col("l_extendedprice").cast("decimal(18,4)") * F.col("l_discount").cast("decimal(18,4)")).cast("decimal(18,4)")
-    return t.lineitem.filter("l_orderkey < 2000").select("l_orderkey", "l_linenumber", "l_partkey", F.round(v, 2).cast("double").alias("v"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.round(v, 2).cast("double").alias("v"))
 
 
 @R.query(
@@ -74,18 +81,18 @@ def format_distance(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.when(F.col("p_size") * 100 >= 1000, F.concat(km, F.lit(" km"))).otherwise(F.concat(F.col("p_size") * 100, F.lit(" m"))).alias("distance"))
 
 
-@R.query("SELECT l_orderkey, l_linenumber, l_partkey, CAST((CAST(1 + l_discount AS DECIMAL(18,4)) - 1) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * 100 AS DOUBLE) AS effect FROM lineitem WHERE l_orderkey < 1000")
+@R.query("SELECT l_orderkey, l_linenumber, l_partkey, CAST((CAST(1 + l_discount AS DECIMAL(18,4)) - 1) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * 100 AS DOUBLE) AS effect FROM lineitem")
 def effect_percent(t: Tables) -> DataFrame:
     """(factor - neutral) * direction * 100, in decimals."""
     direction = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     effect = ((1 + F.col("l_discount")).cast("decimal(18,4)") - 1) * direction * 100
-    return t.lineitem.filter("l_orderkey < 1000").select("l_orderkey", "l_linenumber", "l_partkey", effect.cast("double").alias("effect"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", effect.cast("double").alias("effect"))
 
 
-@R.query("SELECT l_orderkey AS recipe, coalesce(p_name, 'unknown') AS name, CAST(l_quantity AS BIGINT) AS count, p_partkey AS target, p_partkey IS NULL AS gap FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = l_partkey WHERE l_orderkey < 1000")
+@R.query("SELECT l_orderkey AS recipe, coalesce(p_name, 'unknown') AS name, CAST(l_quantity AS BIGINT) AS count, p_partkey AS target, p_partkey IS NULL AS gap FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = l_partkey")
 def ingredient_rows(t: Tables) -> DataFrame:
     known = t.part.filter("p_size > 10").select("p_partkey", "p_name")
-    rows = t.lineitem.filter("l_orderkey < 1000").join(known, F.col("p_partkey") == F.col("l_partkey"), "left")
+    rows = t.lineitem.join(known, F.col("p_partkey") == F.col("l_partkey"), "left")
     return rows.select(
         F.col("l_orderkey").alias("recipe"), F.coalesce("p_name", F.lit("unknown")).alias("name"), F.col("l_quantity").cast("long").alias("count"),
         F.col("p_partkey").alias("target"), F.col("p_partkey").isNull().alias("gap"),
@@ -124,10 +131,10 @@ def ttl_age(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.when(age < 3 * day, "fresh").when((F.col("event_type") == "error") & (age < 10 * day), "retry").otherwise("stale").alias("state"))
 
 
-@R.query("SELECT p_brand, CASE WHEN count(DISTINCT p_type) = 1 AND count(*) = count(p_type) THEN min(p_type) END AS label FROM part WHERE p_partkey < 80 GROUP BY 1")
+@R.query("SELECT p_name, CASE WHEN count(DISTINCT p_type) = 1 AND count(*) = count(p_type) THEN min(p_type) END AS label FROM part GROUP BY 1")
 def unique_label(t: Tables) -> DataFrame:
     one = (F.min("p_type") == F.max("p_type")) & (F.count("*") == F.count("p_type"))
-    return t.part.filter("p_partkey < 80").groupBy("p_brand").agg(F.when(one, F.min("p_type")).alias("label"))
+    return t.part.groupBy("p_name").agg(F.when(one, F.min("p_type")).alias("label"))
 
 
 @R.query("SELECT p_partkey, coalesce(n_name, 'Unresolved code (' || p_size || ')') AS label FROM part LEFT JOIN nation ON n_nationkey = p_size")
@@ -153,19 +160,58 @@ def ring_label(t: Tables) -> DataFrame:
     return t.nation.groupBy("n_regionkey").agg(names.alias("l")).select("n_regionkey", F.concat(F.lit("Ring "), F.col("n_regionkey") + 1, F.lit(": "), "l").alias("label"))
 
 
-@R.query(
-    """SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_./-]+/[A-Za-z0-9_.-]+')) AS path, len(regexp_extract_all(text, '[0-9]+\\.[0-9]{4,}')) AS raw_float, len(regexp_extract_all(text, '[0-9a-f]{16,}')) AS hex FROM documents"""
-)
+def _findings(t: Tables) -> DataFrame:
+    return X.jargon_spans(t.documents.select(F.col("doc_id").alias("id"), "text"))
+
+
+@R.query()
 def jargon_findings(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", *[F.size(F.regexp_extract_all("text", F.lit(rule), F.lit(0))).cast("long").alias(name) for name, rule in X.JARGON.items()])
+    """Findings of each rule per document."""
+    return _findings(t).groupBy(F.col("id").alias("doc_id")).agg(*[F.count_if(F.col("rule") == rule).alias(rule) for rule in X.JARGON])
+
+
+@R.query()
+def jargon_by_source(t: Tables) -> DataFrame:
+    found = _findings(t).groupBy(F.col("id").alias("doc_id")).agg(F.count("*").alias("n"))
+    rows = t.documents.select("doc_id", "source").join(found, "doc_id", "left")
+    return rows.groupBy("source").agg(F.sum(F.coalesce("n", F.lit(0))).alias("findings"), F.count("n").alias("affected"), F.count("*").alias("docs"))
 
 
 @R.query(
-    """SELECT source, sum(len(regexp_extract_all(text, '[0-9a-f]{16,}')))::BIGINT AS hex, count(*) AS docs FROM documents GROUP BY source"""
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CASE event_type WHEN 'click' THEN 1 ELSE 2 END || ' ' ELSE event_type END AS text, event_id % 3 = 0 AS raw_enum FROM events"""
 )
-def jargon_by_source(t: Tables) -> DataFrame:
-    hits = F.size(F.regexp_extract_all("text", F.lit(X.JARGON["hex"]), F.lit(0)))
-    return t.documents.groupBy("source").agg(F.sum(hits).alias("hex"), F.count("*").alias("docs"))
+def jargon_raw_enum(t: Tables) -> DataFrame:
+    """A bare integer where a field holds codes is a finding of its own."""
+    text = F.when(F.col("event_id") % 3 == 0, F.concat(F.when(F.col("event_type") == "click", 1).otherwise(2).cast("string"), F.lit(" "))).otherwise(F.col("event_type"))
+    rows = t.events.select(F.col("event_id").alias("id"), text.alias("text"))
+    found = X.jargon_spans(rows, coded=F.lit(True)).filter("rule = 'raw_enum'").select("id", F.lit(True).alias("hit"))
+    return rows.join(found, "id", "left").select(F.col("id").alias("event_id"), "text", F.coalesce("hit", F.lit(False)).alias("raw_enum"))
+
+
+@R.query("SELECT p_partkey, regexp_extract('bundles/' || lower(p_brand) || '.bundle#' || p_partkey, '([^/#]+)\\.bundle', 1) AS bundle FROM part")
+def bundle_name(t: Tables) -> DataFrame:
+    """Name of the bundle in an id."""
+    source = F.concat(F.lit("bundles/"), F.lower("p_brand"), F.lit(".bundle#"), "p_partkey")
+    return t.part.select("p_partkey", F.regexp_extract(source, r"([^/#]+)\.bundle", 1).alias("bundle"))
+
+
+@R.query("SELECT p_partkey, rtrim(rtrim(p_name || ' : '), ':') AS label FROM part")
+def strip_colon(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", F.regexp_replace(F.rtrim(F.concat("p_name", F.lit(" : "))), ":+$", "").alias("label"))
+
+
+@R.query("SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) AS seconds, TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE '' END || o_orderkey AS BIGINT) AS build, o_orderkey > 9 AND o_orderkey % 5 <> 0 AS newer_than_9 FROM orders")
+def build_ids(t: Tables) -> DataFrame:
+    """Unix times as integers; build ids are digits compared as numbers, anything else is none."""
+    build = F.concat(F.when(F.col("o_orderkey") % 5 == 0, "x").otherwise(""), "o_orderkey").try_cast("long")
+    return t.orders.select("o_orderkey", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("seconds"), build.alias("build"), F.coalesce(build > 9, F.lit(False)).alias("newer_than_9"))
+
+
+@R.query("SELECT p_partkey, regexp_replace(p_name, '(red|old|small)', '[\\1]', 'g') AS marked FROM part")
+def highlight(t: Tables) -> DataFrame:
+    """Names with the matches of a search in brackets."""
+    rows = t.part.withColumn("form", X.search_form("p_name"))
+    return rows.select("p_partkey", search.highlighted(F.col("p_name"), F.col("form"), "red old small").alias("marked"))
 
 
 @R.query()
@@ -176,8 +222,8 @@ def article_state_pages(t: Tables) -> DataFrame:
 
 @R.query()
 def jargon_spans(t: Tables) -> DataFrame:
-    """Findings with places; a finding inside an earlier, longer one is suppressed."""
-    return X.jargon_spans(t.documents.select(F.col("doc_id").alias("id"), "text"))
+    """Findings with places; one that overlaps a finding of an earlier rule is suppressed."""
+    return _findings(t)
 
 
 @R.query()

@@ -33,6 +33,17 @@ def verified(spark: SparkSession, root: str, pattern: str, manifest: DataFrame)
     return manifest.join(there, "path", "left").select("path", F.when(F.col("h").isNull(), "missing").when(same, "same").otherwise("changed").alias("state"))
 
 
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """One canonical JSON object per line: keys sorted, nulls kept, no white space."""
+    columns = [F.col(c) for c in sorted(df.columns)]
+    df.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+
+
+def json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Whole-file JSON documents, one row each or one per element of a list."""
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
+
 MOST_DEPTH = 32
 
 
