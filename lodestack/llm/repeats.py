@@ -18,13 +18,16 @@ repeats. Every interval that goes on has fixed a row, so the work is linear.
 
 Scale. Documents cross the network once, for the text of the segments that must
 be compared and for the final removal; other shuffles carry fixed-width numbers.
-A name with more than ``HOT`` different segments is split: its windows are
-counted by a 128-bit hash of their own, with map-side sums, so a passage that a
-third of all documents share with different surroundings fills no task.
+A name whose different segments hold more than ``HOT_BYTES`` bytes would be one
+transform too large for a task: its windows are counted by a 128-bit hash of their
+own instead, with map-side sums, so a passage that a third of all documents share
+with different surroundings fills no task. Joins salt the names and segments that
+hold more than 1 in ``MOST_HOT`` of the rows; there are fewer than that many.
 
 Defined cases: a null text is an empty one; texts below 200 bytes lose nothing;
-rows that repeat each other are copies; a null id is carried as it is; an empty
-table gives no rows. Extra columns are ignored.
+rows that repeat each other are copies, and ties need no choice, as every copy
+goes; a null id is carried as it is; an empty table gives no rows. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +47,9 @@ LENGTH = 200
 GRAM = 48
 #: Windows a segment has at most; longer runs, as in periodic text, are cut.
 LONGEST = 512
-HOT = 20_000
+HOT_BYTES = 2 << 20
+MOST_HOT = 1000
+SALTS = 64
 SLICE = 1 << 20
 BATCH_BYTES = 1 << 20
 #: Odd multipliers of the gram hash and its mixer.
@@ -335,7 +340,19 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def _salted(rows: DataFrame, small: DataFrame, keys: list[str], hot_key: str, most: int) -> DataFrame:
+    """rows joined with small(keys..., c), c rows to a key: those of hot keys are dealt over salts, each with a copy of its small row."""
+    total = small.agg(F.sum("c")).first()[0] or 0
+    hot = [r[0] for r in small.filter(F.col("c") * most > total).select(hot_key).distinct().collect()]  # fewer than ``most``
+    if not hot:
+        return rows.join(small.drop("c"), keys)
+    is_hot = F.col(hot_key).isin(hot)
+    rows = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("id", "th", "first"), F.lit(SALTS))).otherwise(0).cast("int"))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.join(small.drop("c").withColumn("salt", F.explode(salts)), [*keys, "salt"]).drop("salt")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_BYTES, most: int = MOST_HOT) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept binary) of every row."""
     spark = docs.sparkSession
     rows = docs.select(
@@ -346,10 +363,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found.groupBy("name")
         .agg(F.count("*").alias("c"), F.max("again").alias("again"), F.min("sh").alias("lo"), F.max("sh").alias("hi"))
         .filter("c > 1 or again = 1")
-        .select("name", F.expr("lo != hi or c = 1").alias("mixed"))
+        .select("name", F.expr("lo != hi or c = 1").alias("mixed"), "c")
     )
     # Segments of repeated names, a share of all: numbers only.
-    known = cut(found.join(names, "name").select("id", "th", "name", "sh", "first", "n", "mixed"))
+    known = cut(_salted(found, cut(names), ["name"], "name", most).select("id", "th", "name", "sh", "first", "n", "mixed"))
     mixed = known.filter("mixed")
     distinct = mixed.groupBy("name", "sh").agg(
         F.count("*").alias("c"), F.min(F.struct("id", "th", "first", "n")).alias("at")
@@ -360,7 +377,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in ("id", "th")]
     texts = rows.alias("d").join(wanted.hint("shuffle_hash").alias("w"), same("d", "w")).select("d.text", "w.wanted")
     raw = texts.mapInArrow(_cut_out, "name long, sh long, raw binary")
-    crowded = distinct.groupBy("name").count().filter(F.col("count") > hot).select("name")
+    crowded = distinct.groupBy("name").agg(F.sum(F.col("at.n") + LENGTH - 1).alias("bytes")).filter(F.col("bytes") > hot).select("name")
     calm = raw.join(crowded, "name", "left_anti")
     compared = (
         calm.repartition(shuffle_partitions(spark), "name")
@@ -375,13 +392,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     runs = compared.unionByName(single).alias("r")
     of = distinct.alias("x").join(runs, [F.col("x.name") == F.col("r.name"), F.col("x.sh") == F.col("r.sh")], "left")
-    of = of.select("x.name", "x.sh", F.col("x.c").alias("c"), "r.runs").filter("c > 1 or runs is not null").alias("o")
+    of = cut(of.select("x.name", "x.sh", "x.c", "r.runs").filter("c > 1 or runs is not null").withColumn("copied", F.col("c") > 1))
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b")))
-    partly = (
-        mixed.alias("m")
-        .join(of, [F.col("m.name") == F.col("o.name"), F.col("m.sh") == F.col("o.sh")])
-        .select("m.id", "m.th", "m.first", F.when(F.col("o.c") > 1, F.array(F.struct(F.lit(0).alias("a"), F.col("m.n").alias("b")))).otherwise(F.col("o.runs")).alias("runs"))
-    )
+    partly = _salted(mixed, of, ["name", "sh"], "sh", most).select("id", "th", "first", F.when(F.col("copied"), whole).otherwise(F.col("runs")).alias("runs"))
     marks = known.filter("not mixed").select("id", "th", "first", whole.alias("runs")).union(partly)
     ranges = (
         marks.select("id", "th", "first", F.explode("runs").alias("r"))

@@ -45,6 +45,8 @@ BLOCK = 4096
 #: Keys are hot if they have more than this share of the rows; there are fewer of them.
 MOST_HOT = 1000
 SALTS = 256
+#: Components of so many fingerprints may be hot.
+LARGE_ROOT = 256
 SMALL = 48
 STEP = 1 << 15
 #: Bands of min-hashes: a pair of similarity 0.8 shares none with probability (1 - 0.8 ** 4) ** 32, less than 5 in 10^8.
@@ -261,7 +263,7 @@ def near_groups(
         "fp", "id", F.coalesce("root", "fp").alias("root")
     )
     component = named.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
-    large = cut(component.filter(F.col("n") > BLOCK))
+    large = cut(component.filter(F.col("n") > LARGE_ROOT))
     total = large.agg(F.sum("n")).first()[0]
     if total is None:
         named = named.join(component, "root")

@@ -57,10 +57,10 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
-def test_against_brute_force(spark, rows, hot):
+@pytest.mark.parametrize("hot,most", [(R.HOT_BYTES, R.MOST_HOT), (900, 1), (R.HOT_BYTES, 30)])
+def test_against_brute_force(spark, rows, hot, most):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert run(df, hot=hot) == brute(rows)
+    assert run(df, hot=hot, most=most) == brute(rows)
 
 
 def test_slices_do_not_lose_windows(spark, rows, monkeypatch):

@@ -156,5 +156,6 @@ def test_hot_marks_and_large_components_give_the_same_groups(spark, monkeypatch)
     groups = lambda: sorted(tuple(r) for r in simhash.near_groups(docs, size=5, radius=7, segments=simhash.FOUR_SEGMENTS, marked=True).collect())
     want = groups()
     monkeypatch.setattr(simhash, "BLOCK", 3)
+    monkeypatch.setattr(simhash, "LARGE_ROOT", 3)
     monkeypatch.setattr(simhash, "SALTS", 5)
     assert groups() == want and {x[3] for x in want if x[0] < 200} == {0}
