@@ -3,18 +3,22 @@
 Every stage takes (spark, docs, sf_dir); run() writes each result as Parquet to
 the shared folder (``spark.checkpoint.dir``) and reads it back for the next, so
 a lost executor never costs more than the stage at work.
+
+Defined cases: an empty table gives no rows; rows with null texts go with the
+first stage, as their words are too few; repeated rows are near duplicates, of
+which one stays; other columns than those of ``documents`` pass all stages but
+the last.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.llm import decontaminate, line_dedup, pieces, quality, simhash
-from lodestack.session import table
+from lodestack.session import remove, shared_folder, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -59,10 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpus-pipeline-")
+    """Rows of the last stage; the tables of the stages before it are deleted once the next one is written."""
+    home = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{shared}/corpus-{uuid.uuid4().hex}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{home}/{k}")
+        docs = spark.read.parquet(f"{home}/{k}")
+        if k:
+            remove(spark, f"{home}/{k - 1}")
     return docs
