@@ -35,40 +35,32 @@ def prefix_packs(rows: DataFrame, limit: int, most_depth: int = 12) -> DataFrame
     return packs
 
 
-def prefix_pages(rows: DataFrame, limit: int, most_depth: int = 12) -> DataFrame:
-    """rows(key, size, ...) with the ``pack`` that prefix_packs() puts them in."""
-    rest, out = rows, None
-    for depth in range(most_depth + 1):
-        named = rest.withColumn("pack", F.substring("key", 1, depth) if depth else F.lit(""))
-        totals = named.groupBy("pack").agg(F.sum("size").alias("bytes"), F.count("*").alias("count"))
-        fits = totals.filter((F.col("bytes") <= limit) | (F.col("count") == 1) | F.lit(depth == most_depth)).select("pack")
-        done = cut(named.join(fits, "pack", "left_semi"))
-        out = done if out is None else out.unionByName(done)
-        rest = cut(named.join(fits, "pack", "left_anti").drop("pack"))
-        if rest.isEmpty():
-            break
-    return out
+def ranked(rows: DataFrame, key: str) -> DataFrame:
+    """rows with ``rank`` from 0 in the order of a unique key: places in sorted ranges and the counts of the ranges before."""
+    parts = shuffle_partitions(rows.sparkSession)
+    ranged = cut(rows.repartitionByRange(parts, key).withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranged.groupBy("range").count().select("range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    local = F.row_number().over(Window.partitionBy("range").orderBy(key)) - 1
+    return ranged.withColumn("local", local).join(F.broadcast(offsets), "range").withColumn("rank", F.col("before") + F.col("local")).drop("range", "local", "before")
 
 
 def directory(rows: DataFrame, limit: int, page_limit: int, entry_bytes: int, most_levels: int = 32) -> DataFrame:
     """rows(key, size) -> (level, pack, first, last, count, entries): packs at level 0 and directory pages over them above.
 
-    Pages split by prefixes of their packs' first keys, as packs split by prefixes of theirs, so a level is made by
-    aggregates alone and an inserted key changes one pack and the pages above it. Levels end when one page holds all.
+    Pages take packs in the order of their keys until they are full; levels end when one page holds all. A page is
+    named by its first key.
     """
     names = ["pack", "first", "last", "count", "entries"]
     below = cut(prefix_packs(rows, limit).withColumn("entries", F.col("count")).select(*names))
-    out, size = below.withColumn("level", F.lit(0)), below.count()
+    out, size, each = below.withColumn("level", F.lit(0)), below.count(), max(2, page_limit // entry_bytes)
     for level in range(1, most_levels + 1):
         if size <= 1:
             break
-        entries = below.select(F.col("first").alias("key"), F.lit(entry_bytes).alias("size"), "first", "last", "count")
-        pages = prefix_pages(entries, page_limit).groupBy("pack")
-        below = cut(pages.agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("count").alias("count"), F.count("*").alias("entries")).select(*names))
-        out = out.unionByName(below.withColumn("level", F.lit(level)))
-        before, size = size, below.count()
-        if size == before:
-            break
+        pages = ranked(below.select("first", "last", "count"), "first").groupBy(F.floor(F.col("rank") / each).alias("page"))
+        made = pages.agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("count").alias("count"), F.count("*").alias("entries"))
+        below = cut(made.withColumn("pack", F.col("first")).select(*names))
+        out, size = out.unionByName(below.withColumn("level", F.lit(level))), below.count()
     return out.select("level", *names)
 
 

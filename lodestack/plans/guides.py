@@ -298,25 +298,23 @@ def prefix_packs(t: Tables) -> DataFrame:
     return packing.prefix_packs(rows, limit=60_000)
 
 
-def _directory_oracle(limit: int, page: int, entry: int, levels: int, depth: int = 6) -> str:
-    steps = [f"p0 AS MATERIALIZED (SELECT pack, first, last, count FROM ({_prefix_oracle(limit, depth)}))"]
+def _directory_oracle(limit: int, each: int, levels: int) -> str:
+    steps = [f"p0 AS MATERIALIZED (SELECT pack, first, last, count FROM ({_prefix_oracle(limit, 6)}))"]
     out = ["SELECT 0 AS level, pack, first, last, count, count AS entries FROM p0"]
     for level in range(1, levels + 1):
-        steps.append(f"y{level}_0 AS (SELECT first, last, count FROM p{level - 1})")
-        for d in range(depth):
-            y, u = f"y{level}_{d}", f"u{level}_{d}"
-            steps.append(f"{u} AS (SELECT substr(first, 1, {d}) AS pack, min(first) AS first, max(last) AS last, CAST(sum(count) AS BIGINT) AS count, count(*) AS entries FROM {y} GROUP BY 1 HAVING count(*) * {entry} <= {page} OR count(*) = 1)")
-            steps.append(f"y{level}_{d + 1} AS (SELECT * FROM {y} WHERE substr(first, 1, {d}) NOT IN (SELECT pack FROM {u}))")
-        steps.append(f"p{level} AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM u{level}_{d}" for d in range(depth)) + ")")
+        steps.append(
+            f"p{level} AS MATERIALIZED (SELECT min(first) AS pack, min(first) AS first, max(last) AS last, CAST(sum(count) AS BIGINT) AS count, count(*) AS entries"
+            f" FROM (SELECT *, (row_number() OVER (ORDER BY first) - 1) // {each} AS page FROM p{level - 1}) WHERE (SELECT count(*) FROM p{level - 1}) > 1 GROUP BY page)"
+        )
         out.append(f"SELECT {level}, pack, first, last, count, entries FROM p{level}")
     return "WITH " + ",\n".join(steps) + " " + " UNION ALL ".join(out)
 
 
-@R.query(_directory_oracle(60_000, 3_000, 200, 1))
+@R.query(_directory_oracle(60_000, 15, 5))
 def pack_directory(t: Tables) -> DataFrame:
     """Packs and the directory pages over them, each within its size; a page lists its packs' first and last key and count."""
     rows = t.documents.select(F.md5(F.col("doc_id").cast("string")).alias("key"), F.col("n_chars").alias("size"))
-    return packing.directory(rows, limit=60_000, page_limit=3_000, entry_bytes=200, most_levels=1)
+    return packing.directory(rows, limit=60_000, page_limit=3_000, entry_bytes=200)
 
 
 @R.query(
