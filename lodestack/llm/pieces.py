@@ -56,8 +56,8 @@ MARK = "▁"
 #: Minus infinity of the max-plus algebra; sums of two stay within 64 bits.
 DEAD = -(1 << 61)
 NO_MERGE = 1 << 30
-KNOWN_WORDS = 250_000
-KNOWN_PAIRS = 100_000
+KNOWN_WORDS = 120_000
+KNOWN_PAIRS = 50_000
 #: Rows of an Arrow batch; a row of tokens is longer than the row counts that Spark's default is made for.
 BATCH_ROWS = 1000
 LONGEST_KNOWN = 64
@@ -393,7 +393,7 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
-def sliced(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+def sliced(batch: pa.RecordBatch, rows: int = 250) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what a task makes at a time stays small."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
@@ -438,7 +438,8 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
         ),
     )
     marked = rows.select(*KEY, F.concat(F.lit(MARK), F.translate("text", " ", MARK)).alias("marked"))
-    chunks = (
+    # Two plans below read the chunks, so they are written once.
+    chunks = cut(
         marked.select(*KEY, F.posexplode(parts).alias("k", "part"))
         .select(*KEY, "k", "part.before", "part.own", "part.ahead")
         .dropDuplicates([*KEY, "k"])
@@ -447,8 +448,9 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v)
         for batch in batches:
-            made = [packed(encoder.transfer(*x)) for x in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=[*KEY, "k", "m"])
+            for part in sliced(batch, 100):
+                made = [packed(encoder.transfer(*x)) for x in zip(*(part.column(k).to_pylist() for k in (3, 4, 5)))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(made, pa.binary())], names=[*KEY, "k", "m"])
 
     key = f"id {rows.schema['id'].dataType.simpleString()}, th long"
     # A matrix is small and dear, and two plans below read it: it is written once.
@@ -489,12 +491,13 @@ def _giant_tokens(rows: DataFrame, v: Vocabulary, chunk: int, block: int) -> Dat
 
     def backtrace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v)
+        kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())))
         for batch in batches:
-            before, own, ahead, entry = (batch.column(k).to_pylist() for k in (3, 4, 5, 6))
-            made = [encoder.ends(*x, unpacked(e)[0].tolist()) for *x, e in zip(before, own, ahead, entry)]
-            kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())))
-            columns = [pa.array([m[k] for m in made], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=[*KEY, "k", "common", "comes", "tails"])
+            for part in sliced(batch, 40):
+                before, own, ahead, entry = (part.column(k).to_pylist() for k in (3, 4, 5, 6))
+                made = [encoder.ends(*x, unpacked(e)[0].tolist()) for *x, e in zip(before, own, ahead, entry)]
+                columns = [pa.array([m[k] for m in made], t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=[*KEY, "k", "common", "comes", "tails"])
 
     def chain(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("k", ascending=False)
