@@ -193,12 +193,12 @@ def join_four_hop(t: Tables) -> DataFrame:
 
 
 @R.query(
-    """WITH c AS (SELECT DISTINCT l_partkey AS claim, l_suppkey AS owner FROM lineitem)
+    """WITH c AS (SELECT DISTINCT l_orderkey AS claim, l_partkey AS owner FROM lineitem)
 SELECT claim, owner FROM (SELECT *, count(*) OVER (PARTITION BY claim) AS a, count(*) OVER (PARTITION BY owner) AS b FROM c) WHERE a = 1 AND b <= 60"""
 )
 def claims_unique(t: Tables) -> DataFrame:
     """Claims that one owner makes, of owners with few claims."""
-    c = t.lineitem.select(F.col("l_partkey").alias("claim"), F.col("l_suppkey").alias("owner")).distinct()
+    c = t.lineitem.select(F.col("l_orderkey").alias("claim"), F.col("l_partkey").alias("owner")).distinct()
     counted = c.withColumns({"a": F.count("*").over(Window.partitionBy("claim")), "b": F.count("*").over(Window.partitionBy("owner"))})
     return counted.filter("a = 1 AND b <= 60").select("claim", "owner")
 
