@@ -340,16 +340,14 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=names)
 
 
-def _salted(rows: DataFrame, small: DataFrame, keys: list[str], hot_key: str, most: int) -> DataFrame:
-    """rows joined with small(keys..., c), c rows to a key: those of hot keys are dealt over salts, each with a copy of its small row."""
-    total = small.agg(F.sum("c")).first()[0] or 0
-    hot = [r[0] for r in small.filter(F.col("c") * most > total).select(hot_key).distinct().collect()]  # fewer than ``most``
+def _salted(rows: DataFrame, small: DataFrame, keys: list[str], hot_key: str, hot: list[int]) -> DataFrame:
+    """rows joined with small(keys...): those of hot keys are dealt over salts, each with a copy of its small row."""
     if not hot:
-        return rows.join(small.drop("c"), keys)
+        return rows.join(small, keys)
     is_hot = F.col(hot_key).isin(hot)
     rows = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("id", "th", "first"), F.lit(SALTS))).otherwise(0).cast("int"))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return rows.join(small.drop("c").withColumn("salt", F.explode(salts)), [*keys, "salt"]).drop("salt")
+    return rows.join(small.withColumn("salt", F.explode(salts)), [*keys, "salt"]).drop("salt")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_BYTES, most: int = MOST_HOT) -> DataFrame:
@@ -366,8 +364,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("name", F.expr("lo != hi or c = 1").alias("mixed"), "c")
     )
     # Segments of repeated names, a share of all: numbers only.
-    known = cut(_salted(found, cut(names), ["name"], "name", most).select("id", "th", "name", "sh", "first", "n", "mixed"))
+    names = cut(names)
+    total = names.agg(F.sum("c")).first()[0] or 0
+    hot_names = [r["name"] for r in names.filter(F.col("c") * most > total).select("name").collect()]  # fewer than ``most``
+    known = cut(_salted(found, names.drop("c"), ["name"], "name", hot_names).select("id", "th", "name", "sh", "first", "n", "mixed"))
     mixed = known.filter("mixed")
+    # A sketch over the written numbers names every segment with more than 1 in ``most`` of the rows.
+    top = mixed.agg(F.expr(f"approx_top_k(sh, {most}, {4 * most})").alias("top"), F.count("*").alias("n")).first()
+    hot_segments = [x["item"] for x in top["top"] or [] if x["count"] * most > top["n"]]
     distinct = mixed.groupBy("name", "sh").agg(
         F.count("*").alias("c"), F.min(F.struct("id", "th", "first", "n")).alias("at")
     )
@@ -392,9 +396,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     runs = compared.unionByName(single).alias("r")
     of = distinct.alias("x").join(runs, [F.col("x.name") == F.col("r.name"), F.col("x.sh") == F.col("r.sh")], "left")
-    of = cut(of.select("x.name", "x.sh", "x.c", "r.runs").filter("c > 1 or runs is not null").withColumn("copied", F.col("c") > 1))
+    of = of.select("x.name", "x.sh", "x.c", "r.runs").filter("c > 1 or runs is not null").select("name", "sh", F.expr("c > 1").alias("copied"), "runs")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b")))
-    partly = _salted(mixed, of, ["name", "sh"], "sh", most).select("id", "th", "first", F.when(F.col("copied"), whole).otherwise(F.col("runs")).alias("runs"))
+    partly = _salted(mixed, of, ["name", "sh"], "sh", hot_segments).select("id", "th", "first", F.when(F.col("copied"), whole).otherwise(F.col("runs")).alias("runs"))
     marks = known.filter("not mixed").select("id", "th", "first", whole.alias("runs")).union(partly)
     ranges = (
         marks.select("id", "th", "first", F.explode("runs").alias("r"))
