@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm import decontaminate, html_text, line_dedup, pieces, quality, repeats, secret_scan, sharding, simhash, toxicity
+from lodestack.llm import (
+    decontaminate, html_text, line_dedup, merkle, packing, pieces, quality, repeats, secret_scan, sharding, simhash, spelling, toxicity,
+)
 from lodestack.session import table
 
 
@@ -105,6 +107,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "first_word")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    told = {c: F.col(c) for c in fields}
+    # Wide enough for one more than the largest long.
+    more = told | {"n_chars": F.col("n_chars").cast("decimal(38,0)") + 1}
+    is_tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    tampered = F.when(is_tampered, merkle.leaf(*more.values()))
+    n_chars_null = F.col("n_chars").isNull()
+    carry = {"doc_id": F.col("doc_id"), "tampered": F.when(~n_chars_null, tampered)}
+    made = merkle.manifest(table(spark, sf_dir, "documents"), merkle.leaf(*told.values()), F.col("lang"), F.col("doc_id"), carry)
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    proof = F.sha2(merkle.proof_text(F.col("path")), 256)
+    out = made.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"))
+    return spelling.variants(words, shortest=spelling.MIN_CHARS)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces_of(packing.pack(table(spark, sf_dir, "documents")))
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_html_extraction": op2_html_extraction,
@@ -116,6 +144,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
+    "op13_packing": op13_packing,
 }
 
 _KEY = (
