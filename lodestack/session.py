@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,11 +42,29 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="lodestack-")
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, deleted when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place, system = _place(spark, path)
+    system.mkdirs(place)  # only what is there is marked
+    system.deleteOnExit(place)
+    return path
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    place, system = _place(spark, path)
+    system.delete(place, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
