@@ -25,97 +25,120 @@ document of any length is cut; its ids are held by one task while it is packed.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestack.session import shared_folder
+from lodestack.llm.pieces import small_batches
+from lodestack.session import scratch
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 OPEN = 32
 MERGED = 256
-#: Rows encoded together, bytes of a slice of a long text, and of an Arrow batch that goes out.
-ROWS = 500
-SLICE = 1 << 20
+#: Bytes of texts that are encoded together, and of an Arrow batch that goes out.
+SLICE = 3 << 20
 OUT_BYTES = 4 << 20
-KNOWN = 400_000
+#: Words remembered.
+KNOWN = 500_000
 LONGEST_KNOWN = 64
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
 #: What stands behind a letter or digit, and cannot belong to its piece.
-TAIL = b".,;:!?"
+TAIL = ".,;:!?"
 
 PIECES = "array<struct<id:{},start:long,length:long,offset:long,doc_tokens:long>>"
 
 
+def _gather(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``order`` of those that lie end to end in ``flat``, and where each of them ends, after a first 0."""
+    each = sizes[order]
+    ends = np.zeros(len(each) + 1, dtype=np.int32)
+    np.cumsum(each, out=ends[1:])
+    # Entry t of a list that begins at place e of the output stands at place first + t - e of ``flat``.
+    first = np.cumsum(sizes, dtype=np.int32) - sizes
+    shift = np.repeat(first[order] - ends[:-1], each)
+    shift += np.arange(len(shift), dtype=np.int32)
+    return flat[shift], ends
+
+
+def _lists(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(ids), dtype="<u4"), np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
+
+
 class WordIds:
-    """Ids of texts as bytes of little-endian 32-bit numbers; words are remembered up to a bound."""
+    """Ids of texts as arrays of 32-bit numbers; words are remembered up to a bound."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_str(vocabulary)
-        self.known: dict[bytes, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.ends = np.zeros(self.model.get_vocab_size(), dtype=bool)
         self.ends[[k for p, k in self.model.get_vocab().items() if p.endswith("</w>")]] = True
-
-    def _each(self, words: list[str]) -> list[bytes]:
-        found = self.model.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters alone: they are encoded as one text, in which a piece with a word's end closes each."""
-        ids = np.array(self.model.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
-        cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        if len(cuts) != len(words):  # a letter that lower-cases to a letter and a mark
-            return self._each(words)
-        raw, out, at = ids.tobytes(), [], 0
-        for to in cuts.tolist():
-            out.append(raw[at:to])
-            at = to
+        # For words that are letters of U+00FF at most, in lower case: nothing to normalize, and no rule splits them.
+        self.letters = Tokenizer(self.model.model)
+        apart = [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(apart)
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words: many are encoded as one text, in which a piece with a word's end closes each."""
+        out = []
+        texts = [" ".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+        for x in self.letters.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(x.ids, dtype="<u4")
+            raw, at = ids.tobytes(), 0
+            for to in ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist():
+                out.append(raw[at:to])
+                at = to
         return out
 
-    def _learn(self, new: list[bytes]) -> None:
-        split, other, plain = [], [], self.plain
-        for word in new:
-            core = word.rstrip(TAIL)
-            text = core.decode()
-            if text.isalpha():
-                split.append((word, text.lower() if core.isascii() else text, word[len(core) :].decode()))
+    def _of(self, words: list[str], is_plain: list[bool]) -> list[bytes]:
+        """Ids of different words."""
+        out = list(map(self.known.get, words))
+        new = [k for k, x in enumerate(out) if x is None]
+        for kind in (True, False):
+            at = [k for k in new if is_plain[k] == kind]
+            names = [words[k] for k in at]
+            if kind:
+                found = self._plain(names)
             else:
-                other.append(word)
-        cores = list({x for _, core, tail in split for x in (core, tail) if x and x not in plain})
-        letters, tails = [x for x in cores if x.isalpha()], [x for x in cores if not x.isalpha()]
-        for k in range(0, len(letters), 1000):
-            plain.update(zip(letters[k : k + 1000], self._letters(letters[k : k + 1000])))
-        plain.update(zip(tails, self._each(tails)))
-        self.known.update((word, plain[core] + plain[tail] if tail else plain[core]) for word, core, tail in split)
-        self.known.update(zip(other, self._each([w.decode() for w in other])))
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each of these texts."""
-        words = [t.split() for t in texts]
-        new = [w for w in set().union(*words) if w not in self.known]
+                found = [np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast(names, add_special_tokens=False)]
+            for k, ids in zip(at, found):
+                out[k] = ids
         if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list(set().union(*words))
-        if len(self.plain) + len(new) > KNOWN:
-            self.plain.clear()
-        if new:
-            self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
-        for w in new:
-            if len(w) > LONGEST_KNOWN:
-                del self.known[w]
+            self.known = {"": b""}
+        self.known.update((words[k], out[k]) for k in new if len(words[k]) <= LONGEST_KNOWN)
         return out
 
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's begin, with the end of the last."""
+        index = lambda coded: coded.indices.to_numpy(zero_copy_only=False)
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        # Behind letters, what stands at the end is a piece of its own; up to U+00FF a letter and its lower case are
+        # one character each, which no composition changes.
+        core = pc.utf8_rtrim(words.dictionary, characters=TAIL)
+        is_plain = pc.and_(pc.utf8_is_alpha(core), pc.match_substring_regex(core, "^[\\x{00}-\\x{ff}]*$"))
+        tail = pc.if_else(is_plain, pc.replace_substring_regex(words.dictionary, f"^.*[^{TAIL}]", ""), "")
+        cores = pc.if_else(is_plain, pc.utf8_lower(core), words.dictionary).dictionary_encode()
+        tails = tail.dictionary_encode()
+        plain = np.zeros(len(cores.dictionary), dtype=bool)
+        plain[index(cores)] = is_plain.to_numpy(zero_copy_only=False)
+        ids = self._of(cores.dictionary.to_pylist(), plain.tolist())
+        ends_of = tails.dictionary.to_pylist()
+        flat, sizes = _lists(ids + self._of(ends_of, [False] * len(ends_of)))
+        both = np.stack([index(cores), index(tails) + len(ids)], axis=1).reshape(-1)
+        flat, ends = _gather(flat, sizes, both)
+        flat, ends = _gather(flat, ends[2::2] - ends[:-1:2], index(words))
+        bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        return flat, ends[bounds]
+
 
 def slices(raw: bytes, most: int = SLICE) -> Iterator[bytes]:
     """A text in parts that end before white space."""
@@ -246,16 +269,32 @@ def _model(vocabulary: str) -> WordIds:
     return _models[key]
 
 
-def encoded(texts: list[str | None], model: WordIds, end_id: int = END_ID) -> list[bytes]:
-    """Ids of texts with the end id, as bytes."""
-    raws = [(t or "").encode() for t in texts]
+def encoded(texts: pa.Array, model: WordIds, end_id: int = END_ID) -> Iterator[bytes]:
+    """Ids of each text with the end id, as bytes; texts are taken together up to ``SLICE`` bytes, longer ones in parts."""
+    texts = texts.fill_null("")
     end = int(end_id).to_bytes(4, "little")
-    short = [k for k, r in enumerate(raws) if len(r) <= SLICE]
-    out = dict(zip(short, model.of([raws[k] for k in short])))
-    for k, raw in enumerate(raws):
-        if k not in out:
-            out[k] = b"".join(model.of([part])[0] for part in slices(raw))
-    return [out[k] + end for k in range(len(raws))]
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = sizes[at - 1] if at else 0
+        many = int(np.searchsorted(sizes, before + SLICE, side="right")) - at
+        if many:
+            ids, ends = model.of(texts.slice(at, many))
+            for k in range(many):
+                yield ids[ends[k] : ends[k + 1]].tobytes() + end
+        else:
+            many = 1
+            yield b"".join(model.of(pa.array([part.decode()]))[0].tobytes() for part in slices(texts[at].as_py().encode())) + end
+        at += many
+
+
+def vocabulary_text(path: str | None = None) -> str:
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+    with open(path, encoding="utf-8") as f:
+        return f.read()
 
 
 def _merging(level: int, last: bool, merged: int, size: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -279,15 +318,6 @@ def _merging(level: int, last: bool, merged: int, size: int) -> Callable[[pd.Dat
     return merge
 
 
-def vocabulary_text(path: str | None = None) -> str:
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path(VOCABULARY)
-    with open(path, encoding="utf-8") as f:
-        return f.read()
-
-
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID,
     size: int = WINDOW, most_open: int = OPEN, merged: int = MERGED, folder: str | None = None,
@@ -295,7 +325,7 @@ def pack(
     """(sequence_id, n_tokens, ids binary of little-endian 32-bit numbers, pieces array<struct<id, start, length, offset, doc_tokens>>).
 
     The sequences are written to ``folder``, the training set; the default is a new
-    folder under the shared one.
+    folder under the shared one, which lasts as long as the driver.
     """
     spark = docs.sparkSession
     kind = docs.select(id_col).schema[0].dataType
@@ -310,20 +340,18 @@ def pack(
         model, packer, rows = _model(shipped.value), Packer(size, most_open), None
         for batch in batches:
             rows = rows or _Rows(batch.column(0).type, task << 32, size)
-            ids = batch.column(0).to_pylist()
-            for k in range(0, len(ids), ROWS):
-                texts = batch.column(1).slice(k, ROWS).to_pylist()
-                for doc, tokens in zip(ids[k : k + ROWS], encoded(texts, model, end_id)):
-                    for window in packer.add(doc, tokens):
-                        rows.put(window, task, True)
-                        if rows.held >= OUT_BYTES:
-                            yield rows.batch()
+            for doc, tokens in zip(batch.column(0).to_pylist(), encoded(batch.column(1), model, end_id)):
+                for window in packer.add(doc, tokens):
+                    rows.put(window, task, True)
+                    if rows.held >= OUT_BYTES:
+                        yield rows.batch()
         if rows:
             for window in packer.close():
                 rows.put(window, task, window.used == size)
             yield rows.batch()
 
-    home = folder or f"{shared_folder(spark)}/packed-{uuid.uuid4().hex}"
+    small_batches(spark)
+    home = folder or scratch(spark, "packed")
     packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(first, schema)
     write = lambda df, level: df.write.option("compression", "zstd").parquet(f"{home}/level={level}")
     write(packed, 0)

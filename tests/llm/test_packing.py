@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,7 +88,7 @@ def test_ids_are_the_library_s(model):
     ]
     own = packing.WordIds(packing.vocabulary_text())
     for part in (texts, texts, [t[::-1] for t in texts]):
-        got = packing.encoded(part, own)
+        got = packing.encoded(pa.array(part), own)
         assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [ids_of(model, t) for t in part]
 
 
@@ -96,7 +97,7 @@ def test_long_texts_and_a_full_memory(model, monkeypatch):
     monkeypatch.setattr(packing, "KNOWN", 20)
     own = packing.WordIds(packing.vocabulary_text())
     text = " ".join(f"word{k}, and \n more" for k in range(200)) + "y" * 300
-    assert [np.frombuffer(x, dtype="<u4").tolist() for x in packing.encoded([text, None, ""], own)] == [ids_of(model, text), [2], [2]]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in packing.encoded(pa.array([text, None, "", "short"]), own)] == [ids_of(model, t) for t in (text, "", "", "short")]
 
 
 def test_powers_of_two():
