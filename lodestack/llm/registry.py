@@ -154,7 +154,53 @@ _KEY = (
     " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
 
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    bits = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda a, b: {bits}), 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    values = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+
+_TREE = """SELECT g, lv + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY i)) FROM {0} WHERE n > 1 GROUP BY g, lv, i // 2"""
+_STEPS = """SELECT {1}.r, {2} + x.lv AS k, x.i % 2 AS slot, coalesce(y.h, '') AS h FROM {1} JOIN {0} x ON x.g = {1}.g AND x.i = {1}.p >> x.lv AND x.n > 1
+ LEFT JOIN {0} y ON y.g = x.g AND y.lv = x.lv AND y.i = xor(x.i, 1)"""
+
 ORACLES = {
+    "op11_merkle": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('1' || lang, '0') AS g, {_leaf("n_chars")} AS leaf,
+ CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf("(CAST(n_chars AS HUGEINT) + 1)")} END AS tampered FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM d),
+t(g, lv, i, n, h) AS (SELECT g, 0, p, n, leaf FROM p UNION ALL {_TREE.format("t")}),
+s AS (SELECT g AS name, '' AS g, h, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM t WHERE n = 1),
+u(g, lv, i, n, h) AS (SELECT g, 0, p, n, h FROM s UNION ALL {_TREE.format("u")}),
+q AS (SELECT p.r, s.g, s.p FROM p JOIN s ON s.name = p.g),
+e AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY k) AS step FROM ({_STEPS.format("t", "p", 0)} UNION ALL {_STEPS.format("u", "q", 1000)})),
+f(r, step, h) AS (SELECT r, CAST(0 AS BIGINT), coalesce(tampered, leaf) FROM p
+ UNION ALL SELECT f.r, e.step, sha256(CASE e.slot WHEN 0 THEN f.h || e.h ELSE e.h || f.h END) FROM f JOIN e ON e.r = f.r AND e.step = f.step + 1),
+z AS (SELECT r, arg_max(h, step) AS folded_root FROM f GROUP BY r), w AS (SELECT r, sha256(string_agg(h, '' ORDER BY step)) AS proof FROM e GROUP BY r), o AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM p JOIN s ON s.name = p.g JOIN z USING (r) LEFT JOIN w USING (r), o""",
+    "op12_spelling": f"""
+WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+each AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY 1, 2),
+h AS (SELECT run, times, {_crc32("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM each),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM words WHERE length(word) >= 7 GROUP BY 1 HAVING sum(times) >= 2),
+k AS (SELECT word, n, unnest(range(length(word))) AS i FROM v),
+less AS (SELECT DISTINCT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM k),
+pairs AS (SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+ UNION SELECT l.word, v.word FROM less l JOIN v ON v.word = l.rest UNION SELECT v.word, l.word FROM less l JOIN v ON v.word = l.rest),
+near AS (SELECT a AS word, count(*) AS n_near, min(struct_pack(down := -v.n, word := b)) AS best FROM pairs JOIN v ON v.word = b GROUP BY a),
+x AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.down >= 10 * v.n THEN best.word END AS form, CASE WHEN -best.down >= 10 * v.n THEN -best.down END AS form_n FROM v LEFT JOIN near USING (word)),
+c(word, root, hop) AS (SELECT word, word, 0 FROM x UNION ALL SELECT c.word, x.form, hop + 1 FROM c JOIN x ON x.word = c.root WHERE x.form IS NOT NULL),
+r AS (SELECT word, arg_max(root, hop) AS root FROM c GROUP BY 1)
+SELECT word, form, root, n, n_near, form_n FROM x JOIN r USING (word)""",
     "op4_line_dedup": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 e AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
