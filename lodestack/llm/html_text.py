@@ -6,7 +6,11 @@ sidebar, notice, advert or comments) are cut. Every paragraph then passes points
 for its length and commas to its parent, half of them to its grandparent and
 less further up; a container's points are discounted by its link density. The
 best container is kept with all of the declared article around it that is not
-cut. Without one, all of ``main`` or else of its parent stays if links are few in
+cut, and so are the page's other articles that are no teasers (short texts whose
+heading is a link). Inside a declared article names say less: headings, paragraphs
+and ids never count, a class or role counts only if all its parts are names of
+page furniture, and then a container goes if it is for adverts, comments or
+notices to subscribe, or else if it holds forms or mostly links. Without an article, all of ``main`` or else of its parent stays if links are few in
 the rest; otherwise lists of links go and blocks of prose beside it stay. A header
 inside an article is the article's own and stays; a page header goes.
 
@@ -54,6 +58,23 @@ OTHER = frozenset(
     "discussion social share sharing related recommended recommendations pagination pager login search searchbox form toolbar "
     "complementary contentinfo skip print hidden paywall".split()
 )
+#: Inside an article these mark a container on their own; the other names need links or forms in it.
+FURNITURE = frozenset(
+    "sidebar sidenav cookie cookies consent gdpr newsletter subscribe subscription signup promo promotion sponsor sponsored advert adverts "
+    "advertisement advertising ad ads adsense adbox comment comments commentlist disqus reply replies respond".split()
+)
+#: What stands beside such names in the name of a piece of furniture.
+LAYOUT = frozenset(
+    "area bar block bottom box btn button buttons container content count entry extra group heading icons inline inner item items left level line "
+    "link links list main mid outer page panel post posts right row section side single slot sticky text thread title top unit wrap wrapper".split()
+)
+CONTAINERS = frozenset("div section ul ol dl table details figure article fieldset".split())
+#: Ids that no section of an article has.
+COMMENT_IDS = frozenset(("comments", "disqus_thread"))
+CONTROLS = frozenset("form input button select textarea label".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Text of a teaser, at most.
+TEASER = 400
 #: Blocks of prose: what holds one and few links stays beside the best container.
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure".split())
 KEPT_WHOLE = frozenset(("html", "body", "article", "main"))
@@ -66,12 +87,12 @@ SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "inside", "cut", "size", "linked", "commas", "points", "marked", "holds", "article")
+    __slots__ = ("tag", "up", "inside", "cut", "size", "linked", "commas", "points", "marked", "holds", "article", "sure", "controls")
 
     def __init__(self, tag: str, up: "Node | None"):
         self.tag, self.up, self.inside, self.cut, self.marked = tag, up, [], False, False
         self.size = self.linked = self.commas = 0
-        self.holds = False
+        self.holds = self.sure = self.controls = False
         self.points = 0.0
         self.article = tag == "article" or (up is not None and up.article)
 
@@ -94,6 +115,23 @@ def _marked(attributes: str, article: bool) -> tuple[bool, bool]:
     return named, hidden
 
 
+def _furniture(tag: str, attributes: str) -> int:
+    """Inside an article: 2 if names mark a container whatever it holds, 1 if they do with links or forms in it, else 0."""
+    if tag not in CONTAINERS:
+        return 0
+    found = 0
+    for key, value in ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key == "id":
+            found = max(found, 2 * (value in COMMENT_IDS))
+        elif key in ("class", "role"):
+            for name in value.split():
+                parts = {x for x in NAME_PART.findall(name) if len(x) > 1}
+                if parts & OTHER and parts <= OTHER | LAYOUT:
+                    found = max(found, 2 if parts & FURNITURE else 1)
+    return found
+
+
 def tree(page: str) -> Node:
     root = node = Node("#page", None)
     at, raw = 0, None
@@ -133,7 +171,12 @@ def tree(page: str) -> Node:
         node.inside.append(child)
         if m[3]:
             named, hidden = _marked(m[3], child.article)
-            child.marked, child.cut = named and tag not in KEPT_WHOLE, hidden
+            if child.article:
+                found = _furniture(tag, m[3])
+                # An article in or beside another may be a reader's.
+                child.marked = named = found > (1 if tag == "article" else 0)
+                child.sure = found == 2
+            child.marked, child.cut = named and (tag not in KEPT_WHOLE or child.article), hidden
         child.cut |= tag in CUT and not (tag == "header" and child.article)
         if tag in RAW:
             raw = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
@@ -161,6 +204,7 @@ def _measure(nodes: list[Node]) -> None:
     for node in nodes:
         node.size = node.linked = node.commas = 0
         node.holds = node.tag in ("article", "main", "h1")
+        node.controls = any(isinstance(x, Node) and x.tag in CONTROLS for x in node.inside)
     for node in reversed(nodes):
         for x in node.inside:
             if isinstance(x, str):
@@ -173,6 +217,7 @@ def _measure(nodes: list[Node]) -> None:
             node.up.linked += node.linked
             node.up.commas += node.commas
             node.up.holds |= node.holds
+            node.up.controls |= node.controls
 
 
 def text_of(root: Node) -> str:
@@ -204,6 +249,9 @@ def main_text(page: str | None) -> str:
     _measure(nodes)
     for node in nodes:
         # A marked part is a layout, not a sidebar, if it holds most of the prose with an article or title, or nearly all of a page without.
+        if node.article:
+            node.cut |= node.marked and (node.sure or node.controls or _density(node) > 0.5)
+            continue
         most = 2.0 if node.holds else 1.1
         node.cut |= node.marked and (node.holds < root.holds or most * (node.size - node.linked) <= root.size - root.linked)
     nodes = _walk(root)
@@ -218,7 +266,12 @@ def main_text(page: str | None) -> str:
                     break
                 up.points += points * share
                 up = up.up
-    # Declared articles win over equal containers around them.
+    articles = _articles(nodes)
+    told = [a for a in articles if not _is_teaser(a)]
+    # Declared articles win over equal containers around them; teasers are none beside an article.
+    for a in articles:
+        a.cut |= bool(told) and a not in told
+    nodes = _walk(root)
     best = max(
         (n for n in nodes if n.points), key=lambda n: n.points * (1 - _density(n)) * (1.25 if n.tag in ("article", "main") else 1.0),
         default=None,
@@ -228,9 +281,25 @@ def main_text(page: str | None) -> str:
     while best.up is not None and best.tag in PARAGRAPHS | INLINE:
         best = best.up
     keep = [best] if best.tag in KEPT_WHOLE else _around(best)
+    if len(told) > 1 and len(keep) == 1 and keep[0].tag == "article":
+        keep = told
     return " ".join(t for t in map(text_of, keep) if t)
 
 
+def _articles(nodes: list[Node]) -> list[Node]:
+    """Articles that lie in no other one, in the order of the page; nodes are walked from its end."""
+    return [n for n in reversed(nodes) if n.tag == "article" and not (n.up and n.up.article)]
+
+
+def _is_teaser(article: Node) -> bool:
+    """A short text under a heading that is a link, or mostly links."""
+    if _density(article) > 0.5:
+        return True
+    linked = any(n.tag in HEADINGS and n.size and _density(n) > 0.9 for n in _walk(article))
+    linked |= any(n.tag == "a" and any(isinstance(x, Node) and x.tag in HEADINGS for x in _walk(n)) for n in _walk(article))
+    return linked and article.size <= TEASER
+
+
 def _around(best: Node) -> list[Node]:
     """The declared article around the best container; else the container that continues it, or siblings that do."""
     above, up = [], best.up

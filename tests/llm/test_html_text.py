@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -50,6 +51,41 @@ def test_siblings_of_the_best_container_in_a_body():
     assert main_text(page) == f"The Title {long}"
 
 
+INSIDE = [
+    '<section id="discussion"><h2>Discussion</h2><p>What it means.</p></section>', '<h2 id="related-work">Related work</h2><p>Others.</p>', '<h3 id="print">Print</h3>', '<h2 id="search">Search</h2>',
+    '<p class="social-impact">On society.</p>', '<div class="ad-hoc-analysis"><p>By hand.</p></div>', '<section class="notice">A notice of law.</section>', '<div class="menu-of-the-day"><p>Soup.</p></div>',
+    '<ul class="related"><li>a related thing<li>another</ul>', '<table class="comment-statistics"><tr><td>7</table>', '<figure class="popup"><figcaption>A figure.</figcaption></figure>', '<div role="search">How we searched.</div>',
+]
+FURNITURE = [
+    '<div class="ad">Buy this.</div>', '<div class="advert-box top"><p>Buy, more, now.</p></div>', '<section class="comments"><p>I disagree.</p></section>', '<div id="comments"><p>So do I.</p></div>',
+    '<article class="comment"><p>Me too.</p></article>', '<ul class="share-buttons"><li><a href="x">Share</a></ul>', '<div class="related-posts"><a href="x">Another story</a></div>', '<div class="newsletter"><p>Our letter.</p></div>',
+    '<div class="search-box"><label>Find</label> <input> it</div>', '<aside>Aside.</aside>', '<nav><a>n</a></nav>', '<form>Your name <input></form>', '<footer>f</footer>',
+]
+
+
+@pytest.mark.parametrize("part", INSIDE)
+def test_names_of_parts_of_an_article_do_not_cut_them(part):
+    page = f"<nav><a>x</a></nav><article><h1>T</h1>{LONG}{part}<p>End.</p></article><footer>f</footer>"
+    assert main_text(page) == main_text(f"<article><h1>T</h1>{LONG}{re.sub('(id|class|role)=.[^>]*', '', part)}<p>End.</p></article>")
+    assert all(w in main_text(page) for w in re.sub("<[^>]*>", " ", part).split())
+
+
+@pytest.mark.parametrize("part", FURNITURE)
+def test_furniture_in_an_article_goes(part):
+    assert main_text(f"<article><h1>T</h1>{LONG}{part}<p>End.</p></article>") == f"T {main_text(LONG)} End."
+
+
+def test_all_articles_but_teasers():
+    card = "<article><h2><a href='x'>Another story</a></h2><p>Short, and, sweet.</p></article>"
+    linked = "<article><a href='x'><h3>A third story</h3></a><p>Read, it.</p></article>"
+    story = "<article><h2>Part {0}</h2><p>It is short.</p></article>"
+    long = main_text(LONG)
+    assert main_text(f"<body>{card}<article><h1>T</h1>{LONG}</article>{card}{linked}</body>") == f"T {long}"
+    assert main_text(f"<main>{story.format(1)}<div>{story.format(2)}</div>{card}</main>") == "Part 1 It is short. Part 2 It is short."
+    assert main_text(f"<article><h1>T</h1><p>Short.</p></article>{card}") == "T Short."
+    assert main_text(f"<article><h2>A</h2>{LONG}</article><article><h2>B</h2><p>b.</p></article>") == f"A {long} B b."
+
+
 WORDS = "stone river, amber house walked over the; quiet (old) bridge and then, later on, came back.".split()
 
 
