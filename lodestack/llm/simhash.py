@@ -8,9 +8,8 @@ segment variants, equal variants meet in a shuffle, and pairs are verified on
 all 64 bits. A pair is reported by exactly one of the variants it shares.
 
 Copies collapse first: only distinct fingerprints are indexed. A bucket reports
-links along a spanning search, never all of its pairs. A frequent-items sketch,
-made without a shuffle, names every bucket with more than 1 in ``MOST_HOT`` of all
-rows; such a bucket is split into pairs of blocks that are compared in tasks of
+links along a spanning search, never all of its pairs. Buckets are counted with
+map-side sums, and one of more than ``BLOCK`` rows, whatever its share, is split into pairs of blocks that are compared in tasks of
 their own, so no task holds an unbounded group. Splitting never changes results.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like
@@ -42,9 +41,10 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 FOUR_SEGMENTS = ((0, 16), (16, 16), (32, 16), (48, 16))
 Segments = tuple[tuple[int, int], ...]
 BLOCK = 4096
-#: Keys are hot if they have more than this share of the rows; there are fewer of them.
+#: Roots are hot if they have more than this share of the rows; there are fewer of them.
 MOST_HOT = 1000
-SALTS = 256
+#: Names of large buckets that are broadcast at most, 12 bytes each; more are joined by a shuffle.
+MOST_NAMED = 100_000
 #: Components of so many fingerprints may be hot.
 LARGE_ROOT = 256
 SMALL = 48
@@ -113,25 +113,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "id long, th long, fp long" + (", marks array<long>" if marked else ""))
 
 
-def hot_keys(rows: DataFrame, key: str, least: int) -> list[tuple[int, int]]:
-    """(key, rows) of every key with more than 1 in MOST_HOT of the rows, and more than ``least``; the counts are not below the true ones."""
-    found = rows.agg(F.expr(f"approx_top_k({key}, {MOST_HOT}, {4 * MOST_HOT})").alias("top"), F.count("*").alias("n")).first()
-    return [(x["item"], x["count"]) for x in found["top"] or [] if x["item"] is not None and x["count"] > max(least, found["n"] // MOST_HOT)]
+def large_buckets(keys: DataFrame, block: int) -> DataFrame:
+    """keys(key) -> (key, blocks): the buckets of more than ``block`` rows, counted with map-side sums, and the blocks that they make."""
+    found = cut(keys.groupBy("key").count().filter(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
+    return F.broadcast(found) if found.count() <= MOST_NAMED else found
 
 
 def marked_links(rows: DataFrame) -> DataFrame:
     """rows(fp, marks) -> links (a, b) from each fingerprint to the least one that shares a mark with it.
 
-    Holders of a hot mark link to the least one of their salt, and those to the least one of the mark.
+    The least one is a map-side minimum, one row per mark; a mark that many share gathers nowhere.
     """
     met = rows.select(F.explode("marks").alias("mark"), "fp")
-    hot = [k for k, _ in hot_keys(met, "mark", BLOCK)]
-    salt = F.when(F.col("mark").isin(hot), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(F.lit(0)) if hot else F.lit(0)
-    links = met.withColumn("salt", salt).selectExpr("fp AS b", "min(fp) OVER (PARTITION BY mark, salt) AS a")
-    if hot:
-        first = met.filter(F.col("mark").isin(hot)).groupBy("mark", salt.alias("salt")).agg(F.min("fp").alias("fp"))
-        links = links.union(first.selectExpr("fp AS b", "min(fp) OVER (PARTITION BY mark) AS a"))
-    return links.filter("a != b").select("a", "b").distinct()
+    least = met.groupBy("mark").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a != z").select("mark", "a")
+    return met.join(least, "mark").select("a", F.col("fp").alias("b")).filter("a != b").distinct()
 
 
 def _first_shared(x: np.ndarray, segments: Segments) -> np.ndarray:
@@ -229,11 +224,8 @@ def near_links(fps: DataFrame, radius: int = RADIUS, segments: Segments = SEGMEN
             F.expr("shiftleft(cast(bit AS long), 22) | (segment & ~shiftleft(1L, cast(wild AS int)))").alias("key"), "fp"
         )
     )
-    hot = hot_keys(keys, "key", block)
-    sizes = F.lit(None)
-    for k in sorted({-(-n // block) for _, n in hot}):
-        sizes = F.when(F.col("key").isin([x for x, n in hot if -(-n // block) == k]), F.lit(k)).otherwise(sizes)
-    blocks = sizes.cast("int")
+    keys = keys.join(large_buckets(keys, block), "key", "left")
+    blocks = F.col("blocks")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     pairs = F.when(blocks.isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(

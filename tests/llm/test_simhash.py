@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -157,5 +158,19 @@ def test_hot_marks_and_large_components_give_the_same_groups(spark, monkeypatch)
     want = groups()
     monkeypatch.setattr(simhash, "BLOCK", 3)
     monkeypatch.setattr(simhash, "LARGE_ROOT", 3)
-    monkeypatch.setattr(simhash, "SALTS", 5)
+    monkeypatch.setattr(simhash, "MOST_NAMED", 2)
     assert groups() == want and {x[3] for x in want if x[0] < 200} == {0}
+
+
+def test_a_bucket_of_three_in_a_hundred_is_split(spark):
+    rng = random.Random(2)
+    shared = rng.getrandbits(21)
+    fps = {(rng.getrandbits(43) << 21 | shared) - (1 << 63) for _ in range(6000)} | {rng.getrandbits(64) - (1 << 63) for _ in range(194_000)}
+    df = spark.createDataFrame(pd.DataFrame({"fp": sorted(fps)}))
+    named = {r.key: r.blocks for r in simhash.large_buckets(df.select(F.col("fp").bitwiseAND(31).alias("key")), 6000).collect()}
+    assert sorted(set(named.values())) == [2, 3] and len(named) > 15
+    links = simhash.near_links(df)
+    sizes = [r[0] for r in df.select((F.col("fp").bitwiseAND((1 << 21) - 1)).alias("key")).groupBy("key").count().select("count").collect()]
+    assert max(sizes) >= 6000 > simhash.BLOCK  # the bucket, and each of its 21 variants, is above a block
+    got = {tuple(sorted((r.a, r.b))) for r in links.collect()}
+    assert all(0 < (a ^ b).bit_count() <= 4 for a, b in got)
