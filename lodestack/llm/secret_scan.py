@@ -8,10 +8,11 @@ copied once for each of them.
 
 The method adds runs of encoding characters that look like keys, however long. A
 run's encoding is inferred from its characters (hexadecimal, base 32 or base 64),
-its characters become numbers below the alphabet's size, and three tests ask
+its characters become numbers below the alphabet's size, and four tests ask
 whether they are uniform noise: a chi-squared test of eight equal parts of the
-alphabet, a runs test around the alphabet's middle and a lag-one serial
-correlation. Fisher's method combines them to one p-value.
+alphabet, a runs test around the alphabet's middle, a runs test of character
+classes (capitals, small letters, digits, signs: names keep to one for long) and a
+lag-one serial correlation. Fisher's method combines them to one p-value.
 
 What is reported must be noise, so the false discoveries to control are runs of
 structured text among those reported. Noise has uniform p-values; structured text
@@ -52,6 +53,8 @@ ALPHABETS = {
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+#: First value of each character class but the first.
+CLASSES = {"hex": (10,), "base32": (26,), "base64": (26, 52, 62)}
 PARTS = 8
 RATE = 0.05
 UPPER = 0.5
@@ -133,8 +136,19 @@ def battery(run: Column, kind: Column) -> Column:
     plain = F.when(kind == "hex", F.upper(run)).otherwise(F.translate(run, "-_", "+/"))
     values = F.filter(F.transform(F.split(plain, ""), lambda c: F.instr(letters, c) - 1), lambda v: v >= 0)
 
+    def of_kind(value: Callable[[str], float]) -> Column:
+        return F.when(kind == "hex", value("hex")).when(kind == "base32", value("base32")).otherwise(value("base64"))
+
+    def power_sum(name: str, power: int) -> float:
+        """Of the shares of the classes: the chance that so many characters are of one class."""
+        ends = (0, *CLASSES[name], len(ALPHABETS[name]))
+        return sum(((b - a) / ends[-1]) ** power for a, b in zip(ends, ends[1:]))
+
+    starts = [of_kind(lambda name, i=i: (CLASSES[name] + (99, 99))[i]) for i in range(3)]
+    class_of = lambda v: sum(((v >= s).cast("int") for s in starts), F.lit(0))
+
     def tests(x: Column) -> Column:
-        """x: size of the alphabet and values, each computed once."""
+        """x: size of the alphabet, values and their classes, each computed once."""
         size, values = x["size"], x["values"]
         n = F.size(values).cast("double")
         parts = F.sequence(F.lit(0), F.lit(PARTS - 1))
@@ -144,15 +158,20 @@ def battery(run: Column, kind: Column) -> Column:
         high = lambda k: F.get(values, k) * 2 >= size
         runs = 1 + F.aggregate(pairs, F.lit(0), lambda s, k: s + (high(k) != high(k - 1)).cast("int")).cast("double")
         runs_z = F.abs(runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
+        alike = F.aggregate(pairs, F.lit(0), lambda s, k: s + (F.get(x["classes"], k) == F.get(x["classes"], k - 1)).cast("int")).cast("double")
+        two, three = x["two"], x["three"]
+        alike_z = F.abs(alike - (n - 1) * two) / F.sqrt((n - 1) * two * (1 - two) + 2 * (n - 2) * (three - two * two))
         middle = (size - 1) / 2.0
         spread = (size * size - 1) / 12.0
         serial = F.aggregate(pairs, F.lit(0.0), lambda s, k: s + (F.get(values, k) - middle) * (F.get(values, k - 1) - middle))
         serial_z = F.abs(serial) / (spread * F.sqrt(n - 1))
         floor = F.lit(1e-300)
-        logs = [F.log(F.greatest(floor, p)) for p in (chi_tail(chi, PARTS - 1.0), 2 * normal_tail(runs_z), 2 * normal_tail(serial_z))]
-        return chi_tail(-2 * (logs[0] + logs[1] + logs[2]), 6.0)
+        found = (chi_tail(chi, PARTS - 1.0), 2 * normal_tail(runs_z), 2 * normal_tail(alike_z), 2 * normal_tail(serial_z))
+        logs = [F.log(F.greatest(floor, p)) for p in found]
+        return chi_tail(-2 * sum(logs[1:], logs[0]), 2.0 * len(logs))
 
-    return let(F.struct(size.alias("size"), values.alias("values")), tests)
+    told = lambda vs: F.struct(size.alias("size"), vs.alias("values"), F.transform(vs, class_of).alias("classes"), of_kind(lambda k: power_sum(k, 2)).alias("two"), of_kind(lambda k: power_sum(k, 3)).alias("three"))
+    return let(let(values, told), tests)
 
 
 def without_assigned(text: Column) -> Column:
