@@ -12,7 +12,8 @@ turns a passage into -log of its expected count by chance. A document's evidence
 is the sum over its significant passages; a logistic fit maps it to 0..1.
 
 Fitting uses at most ``SAMPLE`` labelled documents, those with the smallest hash
-of their id (a documented bound), whole texts; the model has the prefixes that
+of their id, and of these the first ones that have at most ``SAMPLE_BYTES``
+together (documented bounds), whole texts; the model has the prefixes that
 ``LEAST`` of them hold, so its size follows the sample, not the corpus. Four in
 five of them give the token counts, the others the calibration: the Gumbel scale
 from all their clean tokens, its location from the best passage of every clean
@@ -23,8 +24,10 @@ texts with the model as a broadcast.
 Defined cases: null and empty texts have no passage and get the score of no
 evidence; an empty table gives no rows; unlabelled rows and rows whose label is
 null are scored but not learned from; of several labels of one id the greatest
-counts; with no positive or no negative training label every score is the share
-of positive labels. Repeated rows get equal scores. Extra columns are ignored.
+counts; with no positive or no negative training label, or without any word in
+the texts of one of the two, every score is the share of positive labels. If the
+sample is so small that no word is in ``LEAST`` texts of a class, every word of all
+its texts counts. Repeated rows get equal scores. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,12 +40,15 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestack.session import cut
 
 SAMPLE = 20_000
+SAMPLE_BYTES = 256 << 20
+#: Below so many texts, every word may count.
+SMALL_SAMPLE = 200
 #: Texts that a prefix's parent counts for, and the least texts of a prefix that is kept.
 PRIOR = 4.0
 LEAST = 4
@@ -204,7 +210,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model:
     """docs(doc_id, text), labels(doc_id, toxic); labels that are held out must have been removed."""
     chosen = (
         labels.filter("toxic in (0, 1)")
@@ -215,16 +221,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     # The sample's texts are read by five passes, so they are written once.
     part = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(5))
-    rows = cut(docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null").select("text", "toxic", part.alias("part")))
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null")
+    rows = cut(rows.select("text", "toxic", part.alias("part"), F.xxhash64("doc_id").alias("turn"), F.octet_length("text").alias("bytes")))
+    total = rows.agg(F.sum("bytes")).first()[0] or 0
+    if total > most_bytes:  # at most SAMPLE rows of sizes
+        sizes = rows.groupBy("turn").agg(F.sum("bytes").alias("bytes"))
+        running = sizes.withColumn("so_far", F.sum("bytes").over(Window.orderBy("turn")))
+        last = running.filter(F.col("so_far") <= most_bytes).agg(F.max("turn")).first()[0]
+        rows = rows.filter(F.col("turn") <= last) if last is not None else rows.filter("false")
     model = Model()
-    features = (
-        rows.filter("part != 0").select("text", "toxic").mapInArrow(_counts, "feature string, other long, toxic long")
-        .groupBy("feature")
-        .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-    )
-    # What LEAST of the sampled documents hold: bounded by the sample.
-    counts = [tuple(r) for r in features.filter(F.col("other") + F.col("toxic") >= LEAST).collect()]
-    other, toxic = (sum(c[k] for c in counts if c[0].endswith("$")) for k in (1, 2))
+
+    def counted(of: DataFrame, least: int) -> tuple[list[tuple], int, int]:
+        features = (
+            of.select("text", "toxic").mapInArrow(_counts, "feature string, other long, toxic long")
+            .groupBy("feature")
+            .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+        )
+        # What so many of the sampled documents hold: bounded by the sample.
+        counts = [tuple(r) for r in features.filter(F.col("other") + F.col("toxic") >= least).collect()]
+        return counts, *(sum(c[k] for c in counts if c[0].endswith("$")) for k in (1, 2))
+
+    counts, other, toxic = counted(rows.filter("part != 0"), LEAST)
+    if (not other or not toxic) and rows.count() < SMALL_SAMPLE:
+        counts, other, toxic = counted(rows, 1)
     if not other or not toxic:
         share = chosen.agg(F.avg("toxic")).first()[0] or 0.0
         model.shift = math.log((share + 1e-6) / (1 - share + 1e-6))

@@ -118,3 +118,18 @@ def test_held_out_accuracy(spark):
     good = [r.score for r in got if not r.toxic]
     above = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
     assert above > 0.95
+
+
+def test_a_tiny_sample_still_tells_classes_apart(spark):
+    rows = [(0, "awful nasty swine", 1), (1, "horrid vile rat", 1), (2, "beastly foul toad", 1), (3, "gentle summer rain", 0), (4, "quiet morning light", 0), (5, "green garden path", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert min(got[k] for k in (0, 1, 2)) > max(got[k] for k in (3, 4, 5))
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(k, f"{'bad' if k % 2 else 'good'} word{k % 7} " * 20) for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
+    whole, part, none = (toxicity.fit(docs, labels, most_bytes=n) for n in (1 << 20, 20_000, 10))
+    assert part.scores and whole.scores != part.scores and not none.scores
