@@ -32,6 +32,14 @@ def fields(old: DataFrame, new: DataFrame, keys: list[str], names: list[str]) ->
     return rows.select(*keys, "x.field", "x.old", "x.new")
 
 
+def topic_counts(changes: DataFrame, topics: DataFrame) -> DataFrame:
+    """changes(key, op, topic), topics(topic, comparable) -> (topic, new, changed, removed); nulls for a topic without an earlier capture."""
+    n = lambda op: F.count_if(F.col("op") == op)
+    counted = changes.groupBy("topic").agg(n("added").alias("new"), n("changed").alias("changed"), n("removed").alias("removed"))
+    told = lambda c: F.when(F.col("comparable"), F.coalesce(c, F.lit(0))).alias(c)
+    return topics.join(counted, "topic", "left").select("topic", *(told(c) for c in ("new", "changed", "removed")))
+
+
 def append_new(log: DataFrame, entry: DataFrame, snapshot_col: str) -> DataFrame:
     """Append an entry unless its snapshot is in the log already."""
     return log.unionByName(entry.join(log.select(snapshot_col).distinct(), snapshot_col, "left_anti"))

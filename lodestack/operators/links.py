@@ -73,6 +73,47 @@ def follow_redirects(keys: DataFrame, redirects: DataFrame, most: int) -> DataFr
     return at
 
 
+def chain_ends(keys: DataFrame, redirects: DataFrame) -> DataFrame:
+    """(key, destination, hops) at the end of redirects(key, to), however long the chain; on or before a cycle there is no end: nulls.
+
+    A row that knows where 2^k hops lead takes over what the row there knows. A
+    round that ends no row is the last one, as only cycles are left then.
+    """
+    jumps = redirects.select(F.col("key").alias("k"), "to")
+    stops = jumps.select(F.col("k").alias("to"), F.lit(True).alias("goes_on"))
+    state = cut(jumps.join(stops, "to", "left").select("k", "to", F.lit(1).cast("long").alias("hops"), F.col("goes_on").isNotNull().alias("open")))
+    done, rest = state.filter("NOT open"), state.filter("open")
+    while True:
+        there = done.union(rest).select(F.col("k").alias("to"), F.col("to").alias("next"), F.col("hops").alias("more"), F.col("open").alias("still"))
+        step = cut(rest.join(there, "to").select("k", F.col("next").alias("to"), (F.col("hops") + F.col("more")).alias("hops"), F.col("still").alias("open")))
+        ended = step.filter("NOT open")
+        if ended.isEmpty():
+            break
+        done, rest = cut(done.union(ended)), step.filter("open")
+    known = done.union(rest.select("k", F.lit(None).cast(dict(done.dtypes)["to"]).alias("to"), F.lit(None).cast("long").alias("hops"), "open"))
+    found = keys.select("key").join(known.withColumn("has", F.lit(True)), F.col("key") == F.col("k"), "left")
+    at = lambda c, own: F.when(F.col("has"), F.col(c)).otherwise(own).alias("destination" if c == "to" else c)
+    return found.select("key", at("to", F.col("key")), at("hops", F.lit(0)))
+
+
+def longest_token(names: DataFrame, tokens: DataFrame) -> DataFrame:
+    """names(name), tokens(token) -> (name, token): the longest token that stands anywhere in a name, of equally long ones the first.
+
+    A name's parts of the lengths that tokens have meet tokens by equality, so no name is compared with every token.
+    """
+    tokens = tokens.select("token").filter("length(token) > 0").distinct()
+    sizes = [r[0] for r in tokens.select(F.length("token")).distinct().collect()]  # lengths, not tokens
+    each = names.select("name").distinct()
+    parts = [
+        each.filter(F.length("name") >= n).select("name", F.explode(F.transform(F.sequence(F.lit(1), F.length("name") - n + 1), lambda i: F.substring("name", i, F.lit(n)))).alias("token"))
+        for n in sizes
+    ]
+    if not parts:
+        return each.select("name", F.lit(None).cast("string").alias("token")).filter("false")
+    met = union_all(parts).distinct().join(tokens, "token")
+    return met.groupBy("name").agg(F.min(F.struct((-F.length("token")).alias("n"), "token")).alias("best")).select("name", F.col("best.token").alias("token"))
+
+
 def require(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """rows joined with known(key, ...); a key that is missing there, or there twice, fails the job."""
     counts = rows.select(key).distinct().join(known.groupBy(key).agg(F.count("*").alias("n")), key, "left")

@@ -10,29 +10,34 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestack.session import cut, shuffle_partitions
+from lodestack.session import cut, exists, shuffle_partitions
 
 
-def prefix_packs(rows: DataFrame, limit: int, most_depth: int = 12) -> DataFrame:
+def prefix_packs(rows: DataFrame, limit: int) -> DataFrame:
     """rows(key, size) -> (pack, first, last, bytes, count): keys split by longer and longer prefixes until a pack fits.
 
-    Each depth is one aggregate over what did not fit yet; single keys above the
-    limit stand alone. Packs depend on their own keys only, so inserting a key
-    changes one pack.
+    A pack that does not fit is split at once behind what all its keys have in
+    common, so long common prefixes cost no rounds. Rows of one key cannot be split:
+    a single row above the limit stands alone, several of one key fail the job.
+    Packs depend on their own keys only, so inserting a key changes one pack.
     """
-    rest, packs = rows, None
-    for depth in range(most_depth + 1):
-        named = rest.withColumn("pack", F.substring("key", 1, depth) if depth else F.lit(""))
-        totals = named.groupBy("pack").agg(
+    rest, packs = rows.select("key", "size", F.lit(0).alias("depth")), None
+    alike = "aggregate(sequence(1, greatest(least(length(first), length(last)), 1)), 0, (n, i) -> IF(n = i - 1 AND length(first) >= i AND substring(first, i, 1) = substring(last, i, 1), i, n))"
+    while True:
+        named = rest.withColumn("pack", F.expr("substring(key, 1, depth)"))
+        totals = named.groupBy("pack", "depth").agg(
             F.min("key").alias("first"), F.max("key").alias("last"), F.sum("size").alias("bytes"), F.count("*").alias("count")
         )
-        fits = (F.col("bytes") <= limit) | (F.col("count") == 1)
-        done = cut(totals.filter(fits if depth < most_depth else F.lit(True)))
+        totals = cut(totals.withColumn("fits", (F.col("bytes") <= limit) | (F.col("count") == 1)))
+        stuck = [r["first"] for r in totals.filter("NOT fits AND first = last").limit(3).collect()]
+        if stuck:
+            raise ValueError(f"rows of one key exceed a pack: {stuck}")
+        done = totals.filter("fits").select("pack", "first", "last", "bytes", "count")
         packs = done if packs is None else packs.union(done)
-        rest = cut(named.join(done.select("pack"), "pack", "left_anti").drop("pack"))
+        wide = totals.filter("NOT fits").select("pack", "depth", (F.expr(alike) + 1).alias("next"))
+        rest = cut(named.join(wide, ["pack", "depth"]).select("key", "size", F.greatest("next", F.col("depth") + 1).cast("int").alias("depth")))
         if rest.isEmpty():
-            break
-    return packs
+            return packs
 
 
 def ranked(rows: DataFrame, key: str) -> DataFrame:
@@ -45,6 +50,25 @@ def ranked(rows: DataFrame, key: str) -> DataFrame:
     return ranged.withColumn("local", local).join(F.broadcast(offsets), "range").withColumn("rank", F.col("before") + F.col("local")).drop("range", "local", "before")
 
 
+def ordered(rows: DataFrame, order: list, name: str = "rank", group: tuple[str, ...] = ()) -> DataFrame:
+    """rows with their place from 0 in the order of columns, within a group if one is named; ties get different places.
+
+    One sort by ranges and one row per range and group: a group may span any number of tasks.
+    """
+    keys = [*group, *order]
+    parts = shuffle_partitions(rows.sparkSession)
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())  # splits rows that are alike
+    ranged = tied.repartitionByRange(parts, *keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+    ranged = cut(ranged.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    own = F.struct(*group) if group else F.lit(0)
+    shares = ranged.groupBy(own.alias("_g"), "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.select("_g", "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = own.eqNullSafe(F.col("s._g")) & (F.col("r._range") == F.col("s._range"))
+    found = ranged.alias("r").join(shares.alias("s"), same)
+    return found.select("r.*", (F.col("_at") + F.col("_shift")).alias(name)).drop("_range", "_at")
+
+
 def directory(rows: DataFrame, limit: int, page_limit: int, entry_bytes: int, most_levels: int = 32) -> DataFrame:
     """rows(key, size) -> (level, pack, first, last, count, entries): packs at level 0 and directory pages over them above.
 
@@ -218,14 +242,20 @@ def running_digest(rows: DataFrame, group: str, key: str, algorithm: str) -> Dat
 
 def memoized(spark: SparkSession, inputs: DataFrame, version: str, root: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
     """The stage's stored output if inputs(path, bytes, modified) and code version are as before, else built and stored."""
-    key = inputs.agg(F.sha2(F.concat_ws("|", F.array_sort(F.collect_list(F.concat_ws(":", "path", "bytes", "modified")))), 256)).first()[0]
-    path = f"{root}/{version}-{key}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    path = f"{root}/{version}-{files_fingerprint(inputs)}"
+    there = exists(spark, f"{path}/_SUCCESS")
     if not there:
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), there
 
 
+def files_fingerprint(files: DataFrame) -> str:
+    """Of files(path, bytes, modified): a sum of hashes, so that no order and no list of all files is needed."""
+    told = F.sha2(F.concat_ws("|", "path", F.col("bytes").cast("string"), F.col("modified").cast("string")), 256)
+    part = lambda k: F.sum(F.conv(F.substring(told, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)"))
+    row = files.agg(F.count("*"), *(part(k) for k in range(4))).first()
+    return hashlib.sha256("|".join(map(str, row)).encode()).hexdigest()
+
+
 def first_per_group(rows: DataFrame, group: list[str], order: list, most: int) -> DataFrame:
     return rows.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("k") <= most)

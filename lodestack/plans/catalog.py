@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from lodestack.plans import acquisition, aggregates, guides, history, joins, publishing, ranking, records, scalars
+from lodestack.plans import acquisition, aggregates, compiled, guides, history, joins, publishing, ranking, records, scalars
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _registry in (aggregates.R, joins.R, ranking.R, records.R, history.R, scalars.R, guides.R, publishing.R):
+for _registry in (aggregates.R, joins.R, ranking.R, records.R, history.R, scalars.R, guides.R, compiled.R, publishing.R):
     QUERIES |= _registry.queries
     ORACLES |= _registry.oracles
 for _module in (acquisition,):

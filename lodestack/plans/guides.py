@@ -9,7 +9,7 @@ from lodestack.functions import text as X
 from lodestack.operators import packing, pointers, search
 from lodestack.plans import acquisition
 from lodestack.plans.base import Registry, Tables
-from lodestack.session import shared_folder
+from lodestack.session import scratch
 from lodestack.sources import files
 
 R = Registry()
@@ -190,16 +190,6 @@ def unmatched_rules(t: Tables) -> DataFrame:
     return t.part.filter(~(F.col("p_name").contains("blue") | F.col("p_name").contains("red") | F.col("p_type").startswith("STANDARD"))).select("p_partkey")
 
 
-@R.query(
-    "SELECT n_regionkey AS scope, '## Region ' || n_regionkey || chr(10) || string_agg('- ' || n_name, chr(10) ORDER BY n_name) AS section FROM nation GROUP BY 1"
-)
-def guide_render(t: Tables) -> DataFrame:
-    """One section per scope row, rendered together."""
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list("n_name")), lambda n: F.concat(F.lit("- "), n)), "\n")
-    rows = t.nation.groupBy(F.col("n_regionkey").alias("scope")).agg(lines.alias("body"))
-    return rows.select("scope", F.concat(F.lit("## Region "), "scope", F.lit("\n"), "body").alias("section"))
-
-
 @R.query(f"WITH s AS ({_BEST}), u AS (SELECT l_partkey AS p, count(DISTINCT l_orderkey) AS used FROM lineitem GROUP BY 1) SELECT p_partkey AS item, p_name AS name, ring, coalesce(used, 0) AS used FROM part LEFT JOIN s ON s.p = p_partkey LEFT JOIN u ON u.p = p_partkey")
 def player_projection(t: Tables) -> DataFrame:
     used = t.lineitem.groupBy(F.col("l_partkey").alias("p")).agg(F.count_distinct("l_orderkey").alias("used"))
@@ -334,12 +324,12 @@ def bin_pack_ffd(t: Tables) -> DataFrame:
     return packing.bin_pack_ffd(t.documents.select(F.col("source").alias("topic"), F.col("doc_id").alias("key"), F.col("n_chars").alias("size")), budget=30_000)
 
 
-@R.query()
+@R.query("SELECT n_regionkey, count(*) AS count, true AS reused FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1")
 def memo_reuse(t: Tables) -> DataFrame:
     """A stage run twice over unchanged input: the second run reads its stored output."""
-    root = shared_folder(t.spark)
-    inputs = files.inventory(t.spark, t.sf_dir, "nation.parquet")
-    build = lambda: t.nation.groupBy("n_regionkey").count()
+    root = scratch(t.spark, "memo")
+    inputs = files.inventory(t.spark, t.sf_dir, "*.parquet")
+    build = lambda: t.nation.join(t.supplier, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").count()
     packing.memoized(t.spark, inputs, "v1", root, build)
     out, reused = packing.memoized(t.spark, inputs, "v1", root, build)
     return out.withColumn("reused", F.lit(reused))

@@ -173,20 +173,6 @@ def sources_dismantled(t: Tables) -> DataFrame:
     return a.join(b, "l_orderkey").select("donor", "item").distinct()
 
 
-@R.query(
-    """WITH RECURSIVE p(key, path, depth) AS (SELECT p_partkey, CAST(p_partkey AS VARCHAR), 0 FROM part WHERE p_partkey = 1
-UNION ALL SELECT part.p_partkey, path || '/' || part.p_partkey, depth + 1 FROM p JOIN part ON part.p_partkey // 3 = p.key AND part.p_partkey <> p.key WHERE depth < 5)
-SELECT key, path, depth FROM p"""
-)
-def hierarchy_path(t: Tables) -> DataFrame:
-    """Path from the root of a tree; the depth bound also ends cycles."""
-    return t.sql(
-        """WITH RECURSIVE p(key, path, depth) AS (SELECT p_partkey, cast(p_partkey AS string), 0 FROM {part} WHERE p_partkey = 1
-UNION ALL SELECT c.p_partkey, concat(path, '/', c.p_partkey), depth + 1 FROM p JOIN {part} c ON c.p_partkey div 3 = p.key AND c.p_partkey != p.key WHERE depth < 5)
-SELECT key, path, depth FROM p"""
-    )
-
-
 @R.query("SELECT p_partkey AS key, CAST(floor(log2(p_partkey)) AS INT) AS level FROM part WHERE p_partkey >= 1")
 def topo_levels(t: Tables) -> DataFrame:
     """Levels of a DAG: a node follows all that it needs."""
@@ -358,9 +344,19 @@ def rekey_links(t: Tables) -> DataFrame:
     return rows.agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("to", "l_partkey"))), ",").alias("targets"))
 
 
-@R.query("SELECT event_type AS topic, count(*) FILTER (WHERE value > 50) AS added, count(*) FILTER (WHERE value <= 50) AS removed FROM events GROUP BY 1")
+@R.query(
+    f"""WITH d AS ({{}}), t AS (SELECT p_brand AS topic, bool_or(p_partkey IN (SELECT l_partkey FROM lineitem WHERE {_OLD}) AND p_brand <> 'Brand#5') AS comparable FROM part GROUP BY 1)
+SELECT topic, CASE WHEN comparable THEN count(*) FILTER (WHERE op = 'added') END AS new, CASE WHEN comparable THEN count(*) FILTER (WHERE op = 'changed') END AS changed,
+ CASE WHEN comparable THEN count(*) FILTER (WHERE op = 'removed') END AS removed FROM t LEFT JOIN (SELECT p_brand AS topic, op FROM d JOIN part ON p_partkey = key) USING (topic) GROUP BY topic, comparable""".format(
+        R.oracles["snapshot_diff"]
+    )
+)
 def change_counts(t: Tables) -> DataFrame:
-    return t.events.groupBy(F.col("event_type").alias("topic")).agg(F.count_if(F.col("value") > 50).alias("added"), F.count_if(F.col("value") <= 50).alias("removed"))
+    """Changes between two captures per topic; a brand that the older one lacks cannot be compared."""
+    topics = t.part.select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("topic"))
+    before = revisions(t, _OLD).join(topics, "key").filter("topic != 'Brand#5'").select("topic").distinct()
+    known = topics.select("topic").distinct().join(before.withColumn("has", F.lit(True)), "topic", "left").select("topic", F.col("has").isNotNull().alias("comparable"))
+    return diff.topic_counts(snapshot_diff(t).join(topics, "key"), known)
 
 
 @R.query("SELECT o_orderpriority AS topic, o_orderkey AS snapshot_id FROM orders WHERE o_orderkey % 4 <> 0 OR o_orderkey % 3 <> 0")

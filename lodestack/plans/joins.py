@@ -114,15 +114,15 @@ def join_casefold(t: Tables) -> DataFrame:
 
 
 @R.query(
-    """WITH t AS (SELECT unnest(['a', 'an', 'o', 'ol', 'old', 'blue', 'red', 'small']) AS token)
-SELECT p_partkey, token FROM (SELECT p_partkey, token, row_number() OVER (PARTITION BY p_partkey ORDER BY -length(token), token) AS k
-FROM part JOIN t ON contains(p_name, token)) WHERE k = 1"""
+    """WITH t AS (SELECT DISTINCT lower(unnest(string_split(p_type, ' '))) AS token FROM part UNION SELECT DISTINCT unnest(string_split(p_name, ' ')) FROM part WHERE p_partkey % 3 = 0),
+n AS (SELECT p_partkey, p_name || ' ' || lower(p_brand) || ' ' || lower(p_type) AS name FROM part)
+SELECT p_partkey, token FROM (SELECT p_partkey, token, row_number() OVER (PARTITION BY p_partkey ORDER BY -length(token), token) AS k FROM n JOIN t ON contains(name, token)) WHERE k = 1"""
 )
 def join_longest_token(t: Tables) -> DataFrame:
-    """Longest token of a fixed list that the name contains; no join is needed for a list known when planning."""
-    tokens = sorted(["a", "an", "o", "ol", "old", "blue", "red", "small"], key=lambda x: (-len(x), x))
-    found = F.coalesce(*[F.when(F.contains("p_name", F.lit(x)), F.lit(x)) for x in tokens])
-    return t.part.select("p_partkey", found.alias("token")).filter("token IS NOT NULL")
+    """The longest token of a table of tokens that a bundle's name contains."""
+    tokens = t.part.select(F.explode(F.split(F.lower("p_type"), " ")).alias("token")).union(t.part.filter("p_partkey % 3 = 0").select(F.explode(F.split("p_name", " "))))
+    named = t.part.select("p_partkey", F.concat_ws(" ", "p_name", F.lower("p_brand"), F.lower("p_type")).alias("name"))
+    return named.join(links.longest_token(named, tokens), "name").select("p_partkey", "token")
 
 
 @R.query(
@@ -226,12 +226,12 @@ def redirect_join(t: Tables) -> DataFrame:
 
 @R.query(
     """WITH RECURSIVE r AS (SELECT p_partkey AS key, p_partkey // 2 AS to_ FROM part WHERE p_partkey % 2 = 1 AND p_partkey > 1),
-w(origin, place, hops) AS (SELECT p_partkey, p_partkey, 0 FROM part UNION ALL SELECT origin, to_, hops + 1 FROM w JOIN r ON r.key = w.place WHERE hops < 20)
+w(origin, place, hops) AS (SELECT p_partkey, p_partkey, 0 FROM part UNION ALL SELECT origin, to_, hops + 1 FROM w JOIN r ON r.key = w.place)
 SELECT origin AS key, arg_max(place, hops) AS destination, max(hops) AS hops FROM w GROUP BY origin"""
 )
 def redirect_chain(t: Tables) -> DataFrame:
     redirects = t.part.filter("p_partkey % 2 = 1 AND p_partkey > 1").select(F.col("p_partkey").alias("key"), F.expr("p_partkey div 2").alias("to"))
-    return links.follow_redirects(t.part.select(F.col("p_partkey").alias("key")), redirects, most=20)
+    return links.chain_ends(t.part.select(F.col("p_partkey").alias("key")), redirects)
 
 
 @R.query(
@@ -348,8 +348,8 @@ def evidence_join(t: Tables) -> DataFrame:
 SELECT key, CASE WHEN p_size > 30 THEN place END AS holder FROM (SELECT key, arg_max(place, hops) AS place FROM w GROUP BY key) JOIN part ON p_partkey = place"""
 )
 def inherited_member(t: Tables) -> DataFrame:
-    """The nearest class at or above one that has the member itself; bases (key div 2) are followed by doubling, and a cycle ends."""
+    """The nearest class at or above one that has the member itself; bases (key div 2) are followed to their end, and a cycle has none."""
     bases = t.part.filter("p_size <= 30 AND p_partkey > 1").select(F.col("p_partkey").alias("key"), F.expr("p_partkey div 2").alias("to"))
-    ends = links.follow_redirects(t.part.select(F.col("p_partkey").alias("key")), bases, most=64)
+    ends = links.chain_ends(t.part.select(F.col("p_partkey").alias("key")), bases)
     has = t.part.filter("p_size > 30").select(F.col("p_partkey").alias("destination"), F.col("p_partkey").alias("holder"))
     return ends.join(has, "destination", "left").select("key", "holder")

@@ -2,48 +2,42 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.operators import contracts, packing
 from lodestack.plans import guides, history
 from lodestack.plans.base import Registry, Tables
-from lodestack.session import shared_folder
+from lodestack.session import scratch
 from lodestack.sources import files
 
 R = Registry()
 
 
-def _folder(t: Tables, name: str) -> str:
-    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @R.query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def scan_jsonl_events(t: Tables) -> DataFrame:
     """Canonical JSON lines, written and read back with a declared schema; a malformed line fails the read."""
-    path = _folder(t, "events")
-    files.write_json_lines(t.events.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k")), path)
-    return files.json_lines(t.spark, path, "event_id long, k long").select("event_id", "k")
+    path = scratch(t.spark, "events")
+    files.write_json_lines(t.events.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k")), f"{path}/rows")
+    return files.json_lines(t.spark, f"{path}/rows", "event_id long, k long").select("event_id", "k")
 
 
 @R.query("SELECT event_id, '{\"event_type\":\"' || event_type || '\",\"id\":' || event_id || ',\"none\":null}' AS line FROM events")
 def write_canonical_rows(t: Tables) -> DataFrame:
     """Lines as they are written: sorted keys, compact, nulls kept."""
-    path = _folder(t, "rows")
-    files.write_json_lines(t.events.select(F.col("event_id").alias("id"), "event_type", F.lit(None).cast("string").alias("none")), path)
-    lines = t.spark.read.text(path)
+    path = scratch(t.spark, "rows")
+    files.write_json_lines(t.events.select(F.col("event_id").alias("id"), "event_type", F.lit(None).cast("string").alias("none")), f"{path}/rows")
+    lines = t.spark.read.text(f"{path}/rows")
     return lines.select(F.get_json_object("value", "$.id").cast("long").alias("event_id"), F.col("value").alias("line"))
 
 
 @R.query("SELECT n_regionkey AS region, count(*) AS nations FROM nation GROUP BY 1")
 def scan_json_document(t: Tables) -> DataFrame:
     """A document of its own per file, here a list of regions with their nations."""
-    path = _folder(t, "documents")
+    path = scratch(t.spark, "documents")
     names = t.nation.groupBy(F.col("n_regionkey").alias("region")).agg(F.array_sort(F.collect_list("n_name")).alias("names"))
-    names.agg(F.to_json(F.collect_list(F.struct("names", "region"))).alias("value")).write.text(path)
-    return files.json_document(t.spark, path, "region long, names array<string>").select("region", F.size("names").cast("long").alias("nations"))
+    names.agg(F.to_json(F.collect_list(F.struct("names", "region"))).alias("value")).write.text(f"{path}/rows")
+    return files.json_document(t.spark, f"{path}/rows", "region long, names array<string>").select("region", F.size("names").cast("long").alias("nations"))
 
 
 @R.query("SELECT unnest(['nation.parquet', 'region.parquet', 'none.parquet']) AS path, unnest(['same', 'changed', 'missing']) AS state")
@@ -55,12 +49,16 @@ def verify_artifacts(t: Tables) -> DataFrame:
     return files.verified(t.spark, t.sf_dir, "{nation,region}.parquet", there.withColumn("sha256", wrong).unionByName(absent))
 
 
-@R.query(f"WITH d AS ({history.R.oracles['snapshot_diff']}) SELECT op, '## ' || upper(op[1]) || op[2:] || chr(10) || string_agg('- entry ' || key, chr(10) ORDER BY key) AS section FROM d GROUP BY op")
+@R.query(
+    f"WITH d AS (SELECT *, (row_number() OVER (PARTITION BY op ORDER BY key) - 1) // 100 AS page FROM ({history.R.oracles['snapshot_diff']})) SELECT op, page, '## ' || upper(op[1]) || op[2:]"
+    " || chr(10) || string_agg('- entry ' || key, chr(10) ORDER BY key) AS section FROM d GROUP BY op, page"
+)
 def change_log_text(t: Tables) -> DataFrame:
-    """The sections of a change log, lines in order of keys."""
+    """The sections of a change log in pages of a hundred lines, in order of keys."""
+    placed = packing.ordered(history.snapshot_diff(t), ["key"], "k", ("op",))
     lines = F.array_join(F.transform(F.array_sort(F.collect_list("key")), lambda k: F.concat(F.lit("- entry "), k)), "\n")
-    rows = history.snapshot_diff(t).groupBy("op").agg(lines.alias("body"))
-    return rows.select("op", F.concat(F.lit("## "), F.initcap("op"), F.lit("\n"), "body").alias("section"))
+    rows = placed.groupBy("op", F.expr("k div 100").alias("page")).agg(lines.alias("body"))
+    return rows.select("op", "page", F.concat(F.lit("## "), F.initcap("op"), F.lit("\n"), "body").alias("section"))
 
 
 @R.query("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(event_id AS DOUBLE) END AS value, CASE event_id % 10 WHEN 0 THEN 'nan' WHEN 5 THEN '-infinity' END AS marker FROM events")
@@ -89,9 +87,10 @@ def rename_counts(t: Tables) -> DataFrame:
     return rows.groupBy("kind").agg(F.count_if(F.col("name") != F.col("p_name")).alias("renamed"), F.count("*").alias("entries"))
 
 
-@R.query("SELECT 1 AS n, 'gathering' AS topic")
+@R.query("SELECT 1 AS n, 'gathering' AS topic FROM lineitem HAVING count(*) FILTER (WHERE l_returnflag = 'A') > 0")
 def gq_gathering_intro(t: Tables) -> DataFrame:
-    return t.spark.range(1).select(F.lit(1).alias("n"), F.lit("gathering").alias("topic"))
+    """One row of fixed words, if anything is gathered at all."""
+    return t.lineitem.agg(F.count_if(F.col("l_returnflag") == "A").alias("c")).filter("c > 0").select(F.lit(1).alias("n"), F.lit("gathering").alias("topic"))
 
 
 @R.query(f"SELECT cycle, biome, inner_edge FROM ({history.R.oracles['ring_spans']})")

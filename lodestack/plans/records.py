@@ -211,12 +211,21 @@ def semantic_project(t: Tables) -> DataFrame:
     return rows.select("p_partkey", F.sha2(F.concat_ws("|", "semantic.p_name", "semantic.p_size"), 256).alias("revision"), "provenance.source")
 
 
-@R.query("SELECT p_partkey, 'name=' || p_name || ';size=' || p_size || ';type=' || p_type AS brief FROM part")
+@R.query(
+    "SELECT p_partkey, 'name=' || p_name || ';size=' || p_size || CASE WHEN p_size % 2 = 0 THEN ';old=true' ELSE '' END || ';type=' || p_type || ';brand=' || p_brand || ';key=' || p_partkey"
+    " || CASE WHEN p_size % 2 = 0 THEN '' ELSE ';also=' || p_type END AS brief FROM part"
+)
 def search_brief(t: Tables) -> DataFrame:
-    """First primitive facts of a map, by position."""
-    facts = F.create_map(*[x for n in ("name", "size", "type", "brand") for x in (F.lit(n), F.col(f"p_{n}").cast("string"))])
-    first = F.slice(F.map_entries(facts), 1, 3)
-    return t.part.select("p_partkey", F.array_join(F.transform(first, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("brief"))
+    """The first six facts that are single values; lists, objects and nulls are passed over."""
+    shown = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('"'))
+    facts = {
+        "name": shown("p_name"), "tags": F.to_json(F.split("p_name", " ")), "size": F.col("p_size").cast("string"), "old": F.when(F.col("p_size") % 2 == 0, "true"),
+        "where": F.to_json(F.struct("p_brand")), "type": shown("p_type"), "brand": shown("p_brand"), "key": F.col("p_partkey").cast("string"), "also": shown("p_type"), "last": shown("p_name"),
+    }
+    entries = F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in facts.items()))
+    first = F.slice(F.filter(entries, lambda e: e["value"].isNotNull() & ~F.substring(e["value"], 1, 1).isin("[", "{")), 1, 6)
+    text = lambda e: F.concat(e["key"], F.lit("="), F.regexp_replace(e["value"], '^"|"$', ""))
+    return t.part.select("p_partkey", F.array_join(F.transform(first, text), ";").alias("brief"))
 
 
 @R.query("SELECT p_name, coalesce(CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END, 'internal ' || p_name) AS label FROM part GROUP BY p_name")

@@ -148,10 +148,10 @@ def url_build(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.concat(F.lit("https://example.org/wiki/"), F.url_encode("p_name"), F.lit("?rev="), "p_partkey").alias("url"))
 
 
-@R.query("SELECT doc_id, CASE WHEN strlen(text) <= 2048 THEN text ELSE 'too long' END AS body FROM documents")
+@R.query("SELECT doc_id, CASE WHEN strlen(text) <= 16384 THEN text ELSE 'too long' END AS body FROM documents")
 def render_text(t: Tables) -> DataFrame:
     """Rendered text up to a size in bytes."""
-    return t.documents.select("doc_id", F.when(F.octet_length("text") <= 2048, F.col("text")).otherwise("too long").alias("body"))
+    return t.documents.select("doc_id", F.when(F.octet_length("text") <= 16 * 1024, F.col("text")).otherwise("too long").alias("body"))
 
 
 @R.query("SELECT n_regionkey, 'Ring ' || (n_regionkey + 1) || ': ' || string_agg(n_name, ', ' ORDER BY n_name) AS label FROM nation GROUP BY 1")
