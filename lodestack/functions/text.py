@@ -24,6 +24,10 @@ SEPARATORS = r"[_/\\-]+"
 FILE_TOKENS = ("sm", "prefab")
 
 
+#: Elements that are never closed by another one's tag.
+NESTED = ("article", "section", "main", "div", "u", "code")
+
+
 def words_in(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(text, SEPARATORS, " "), r"\s+"), lambda w: w != "")
 
@@ -75,13 +79,28 @@ def escape_markdown(text: Column) -> Column:
     return out
 
 
+def balanced(page: Column, tags: tuple[str, ...]) -> Column:
+    """Whether the tags of these elements nest: a fold over the tags with the open elements as a text, the innermost first."""
+    names = "|".join(tags)
+    events = F.regexp_extract_all(F.lower(page), F.lit(f"<(/?(?:{names}))(?=[ \\t\\r\\n/>])"), F.lit(1))
+
+    def step(state: Column, tag: Column) -> Column:
+        opens = ~tag.startswith("/")
+        closed = F.concat(F.substring(tag, F.lit(2), F.length(tag)), F.lit(" "))
+        fits = state["open"].startswith(closed)
+        left = F.when(opens, F.concat(tag, F.lit(" "), state["open"])).when(fits, F.substring(state["open"], F.length(closed) + 1, F.length(state["open"]))).otherwise(state["open"])
+        return F.struct(left.alias("open"), (state["ok"] & (opens | fits)).alias("ok"))
+
+    start = F.struct(F.lit("").alias("open"), F.lit(True).alias("ok"))
+    return F.aggregate(events, start, step, lambda s: s["ok"] & (s["open"] == ""))
+
+
 def article_state(page: Column) -> Column:
     """struct<state, reason> of a page's body, by what is left without tags."""
     body = F.regexp_replace(F.regexp_replace(page, "(?s)<(script|style|nav|footer|head)[ >].*?(</\\1>|\\z)", ""), "(?s)<[^>]*>", " ")
     words = F.size(F.filter(F.split(body, r"\s+"), lambda w: F.length(w) > 0))
-    opened, closed = (F.size(F.regexp_extract_all(page, F.lit(p), F.lit(0))) for p in ("<article[ >]", "</article>"))
     state = F.when(page.isNull(), "unavailable").when(words < 5, "empty").otherwise("populated")
-    reason = F.when(page.isNull(), "no body").when(words < 5, "no text").when(opened != closed, "unbalanced tags").otherwise("text")
+    reason = F.when(page.isNull(), "no body").when(words < 5, "no text").when(~balanced(page, NESTED), "unbalanced tags").otherwise("text")
     return F.struct(state.alias("state"), reason.alias("reason"))
 
 

@@ -4,33 +4,42 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestack.session import cut
 
 
-def horn(seeds: DataFrame, bodies: DataFrame, heads: DataFrame, add: int = 0, max_rounds: int = 100) -> DataFrame:
-    """Least values of AND-OR rules.
+def horn(seeds: DataFrame, bodies: DataFrame, heads: DataFrame, add: int = 0, max_rounds: int = 100, values: tuple[str, ...] = ("value",)) -> DataFrame:
+    """Least values of AND-OR rules, for one or several independent values at once.
 
     seeds(item, value), bodies(rule, item), heads(rule, item): a rule whose body
     items all have values gives its head their greatest value plus ``add``; an
     item takes its least value. A round looks only at rules with an item that has
     changed; values only fall, so the loop ends when nothing changes.
+
+    State and news meet by a union and one sum per item, and the rules to look at by
+    semi-joins, so a round names the state in a single join: sizes that the planner
+    estimates for a join are products, and would square from round to round.
     """
     bodies, heads = cut(bodies.select("rule", "item").distinct()), cut(heads.select("rule", "item").distinct())
     sizes = cut(bodies.groupBy("rule").agg(F.count("*").alias("needed")))
-    state = changed = cut(seeds.groupBy("item").agg(F.min("value").alias("value")))
+    least = [F.min(v).alias(v) for v in values]
+    state = cut(seeds.groupBy("item").agg(*least).withColumn("moved", F.lit(True)))
     for _ in range(max_rounds):
-        touched = bodies.join(changed.select("item"), "item").select("rule").distinct()
-        met = bodies.join(touched, "rule").join(state, "item").groupBy("rule").agg(F.count("*").alias("met"), F.max("value").alias("value"))
-        ready = met.join(sizes, "rule").filter("met = needed").select("rule", (F.col("value") + add).alias("value"))
-        made = ready.join(heads, "rule").groupBy("item").agg(F.min("value").alias("value"))
-        known = state.withColumnRenamed("value", "before")
-        changed = cut(made.join(known, "item", "left").filter("before IS NULL OR value < before").select("item", "value"))
+        changed = state.filter("moved")
         if changed.isEmpty():
-            return state
-        state = cut(state.union(changed).groupBy("item").agg(F.min("value").alias("value")))
+            return state.drop("moved")
+        touched = bodies.join(changed.select("item"), "item", "left_semi").select("rule").distinct()
+        known = [x for v in values for x in (F.count(v).alias(f"n_{v}"), F.max(v).alias(v))]
+        met = bodies.join(touched, "rule", "left_semi").join(state.drop("moved"), "item").groupBy("rule").agg(*known)
+        ready = met.join(sizes, "rule").select("rule", *(F.when(F.col(f"n_{v}") == F.col("needed"), F.col(v) + add).alias(v) for v in values))
+        ready = ready.filter(reduce(Column.__or__, [F.col(v).isNotNull() for v in values]))
+        made = ready.join(heads, "rule").groupBy("item").agg(*least)
+        before = state.select("item", *(F.col(v).alias(f"was_{v}") for v in values))
+        both = before.unionByName(made, allowMissingColumns=True).groupBy("item").agg(*least, *(F.min(f"was_{v}").alias(f"was_{v}") for v in values))
+        lower = [F.coalesce(F.col(v) < F.col(f"was_{v}"), F.col(v).isNotNull()) for v in values]
+        state = cut(both.select("item", *(F.least(v, f"was_{v}").alias(v) for v in values), reduce(Column.__or__, lower).alias("moved")))
     raise RuntimeError(f"no fixed point in {max_rounds} rounds")
 
 
@@ -62,19 +71,21 @@ def reachable_rings(
         *(sources.filter(F.col("type") == kind).select(rule(kind, "item", "via"), node("item", "item")) for kind in ("crafted", "dismantled")),
     ]
     bodies, heads = reduce(DataFrame.union, need), reduce(DataFrame.union, give)
-    value = lambda column: F.col(column).cast("long").alias("value")
     free = made.filter("bench IS NULL").join(ingredients.select("recipe").distinct(), "recipe", "left_anti")
     start = benches.filter("hand").select(node("bench", "bench"), F.lit(0).cast("long").alias("value"))
     start = start.union(free.select(node("recipe", "recipe"), F.lit(0).cast("long").alias("value")))
     placed = sources.filter("type NOT IN ('crafted', 'dismantled') AND ring IS NOT NULL")
-    found = []
-    for field in ("earliest_ring", "main_ring"):
-        rows = placed if field == "earliest_ring" else placed.filter("type != 'mined'")
-        seeds = start.union(rows.select(node("item", "item"), value("ring")))
-        if field == "main_ring":
-            seeds = seeds.union(best_mining.select(node("item", "item"), value("ring")))
-        found.append(horn(seeds, bodies, heads).withColumnRenamed("value", field))
-    both = found[0].join(found[1], "item", "full")
+    ring = F.col("ring").cast("long")
+    none = F.lit(None).cast("long")
+    seeds = reduce(
+        DataFrame.union,
+        [
+            start.select("item", F.col("value").alias("earliest_ring"), F.col("value").alias("main_ring")),
+            placed.select(node("item", "item"), ring, F.when(F.col("type") != "mined", ring)),
+            best_mining.select(node("item", "item"), none, ring),
+        ],
+    )
+    both = horn(seeds, bodies, heads, values=("earliest_ring", "main_ring"))
     return both.select(F.substring_index("item", ":", 1).alias("kind"), F.substring_index("item", ":", -1).alias("key"), "earliest_ring", "main_ring")
 
 

@@ -13,31 +13,37 @@ from pyspark.sql import functions as F
 from lodestack.session import cut, exists, shuffle_partitions
 
 
-def prefix_packs(rows: DataFrame, limit: int) -> DataFrame:
-    """rows(key, size) -> (pack, first, last, bytes, count): keys split by longer and longer prefixes until a pack fits.
+def in_packs(rows: DataFrame, limit: int) -> DataFrame:
+    """rows(key, size, ...) with ``pack`` and ``depth``: keys split by longer and longer prefixes until a pack fits.
 
     A pack that does not fit is split at once behind what all its keys have in
     common, so long common prefixes cost no rounds. Rows of one key cannot be split:
     a single row above the limit stands alone, several of one key fail the job.
     Packs depend on their own keys only, so inserting a key changes one pack.
     """
-    rest, packs = rows.select("key", "size", F.lit(0).alias("depth")), None
+    rest, packed = rows.withColumn("depth", F.lit(0)), None
     alike = "aggregate(sequence(1, greatest(least(length(first), length(last)), 1)), 0, (n, i) -> IF(n = i - 1 AND length(first) >= i AND substring(first, i, 1) = substring(last, i, 1), i, n))"
     while True:
         named = rest.withColumn("pack", F.expr("substring(key, 1, depth)"))
-        totals = named.groupBy("pack", "depth").agg(
-            F.min("key").alias("first"), F.max("key").alias("last"), F.sum("size").alias("bytes"), F.count("*").alias("count")
-        )
+        totals = named.groupBy("pack", "depth").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.sum("size").alias("bytes"), F.count("*").alias("count"))
         totals = cut(totals.withColumn("fits", (F.col("bytes") <= limit) | (F.col("count") == 1)))
         stuck = [r["first"] for r in totals.filter("NOT fits AND first = last").limit(3).collect()]
         if stuck:
             raise ValueError(f"rows of one key exceed a pack: {stuck}")
-        done = totals.filter("fits").select("pack", "first", "last", "bytes", "count")
-        packs = done if packs is None else packs.union(done)
-        wide = totals.filter("NOT fits").select("pack", "depth", (F.expr(alike) + 1).alias("next"))
-        rest = cut(named.join(wide, ["pack", "depth"]).select("key", "size", F.greatest("next", F.col("depth") + 1).cast("int").alias("depth")))
+        done = cut(named.join(totals.filter("fits").select("pack", "depth"), ["pack", "depth"]))
+        packed = done if packed is None else packed.unionByName(done)
+        wide = totals.filter("NOT fits").select("pack", "depth", (F.expr(alike) + 1).cast("int").alias("next"))
+        rest = cut(named.join(wide, ["pack", "depth"]).drop("pack", "depth").withColumnRenamed("next", "depth"))
         if rest.isEmpty():
-            return packs
+            return packed
+
+
+def prefix_packs(rows: DataFrame, limit: int) -> DataFrame:
+    """rows(key, size) -> (pack, first, last, bytes, count), see ``in_packs``."""
+    return (
+        in_packs(rows.select("key", "size"), limit).groupBy("pack", "depth")
+        .agg(F.min("key").alias("first"), F.max("key").alias("last"), F.sum("size").alias("bytes"), F.count("*").alias("count")).drop("depth")
+    )
 
 
 def ranked(rows: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestack.functions import text as X
-from lodestack.operators import packing, pointers, search
+from lodestack.operators import packing, pointers, publication, receipts, search
 from lodestack.plans import acquisition
 from lodestack.plans.base import Registry, Tables
 from lodestack.session import scratch
@@ -350,10 +350,64 @@ def incremental_signature(t: Tables) -> DataFrame:
     return packing.reuse(t.documents, signed, stored, "source", build).select("source", "signature", "docs", "chars", "reused")
 
 
-@R.query("SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN 0 WHEN o_orderstatus = 'F' THEN 1 WHEN o_totalprice > 200000 THEN 2 ELSE 3 END AS group_rank FROM orders")
+_PARTS = "SELECT s_nationkey AS topic, s_suppkey AS id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS ordinal FROM supplier"
+
+
+@R.query(
+    f"""WITH p AS ({_PARTS}), n AS (SELECT topic, 100000000 + topic AS id FROM p WHERE topic % 3 = 0 GROUP BY topic)
+SELECT id, CASE WHEN topic % 3 = 0 AND ordinal = 0 THEN 2 WHEN ordinal = 0 THEN 1 ELSE 0 END AS group_rank FROM p WHERE NOT (topic = 6 AND ordinal = 0)
+UNION ALL SELECT id, CASE WHEN topic = 6 THEN 3 ELSE 1 END FROM n"""
+)
 def rank_groups(t: Tables) -> DataFrame:
-    rank = F.when(F.col("o_orderpriority").startswith("1"), 0).when(F.col("o_orderstatus") == "F", 1).when(F.col("o_totalprice") > 200000, 2).otherwise(3)
-    return t.orders.select("o_orderkey", rank.alias("group_rank"))
+    """Suppliers as partitions of their nations: every third nation gets a new entry point, and what others need is published first."""
+    order = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
+    parts = t.supplier.select(F.col("s_nationkey").alias("topic"), F.col("s_suppkey").alias("id"), (F.row_number().over(order) - 1).alias("ordinal"))
+    parts = parts.withColumns({"sealed": F.lit(False), "entrypoint": F.lit(False)})
+    wanted = parts.filter("topic % 3 = 0").select("topic").distinct()
+    rolled = publication.rollover(parts, wanted, F.lit(100000000) + F.col("topic"))
+    return publication.groups(rolled, publication.active(parts), 6).select("id", F.col("rank").alias("group_rank"))
+
+
+def _pages_oracle(limit: int, depth: int) -> str:
+    entry = """'"' || key || '":{' || CASE WHEN a THEN '"allocated":true,' ELSE '' END || '"bytes":' || n || CASE WHEN r THEN ',"retained":true' ELSE '' END || ',"sha256":"' || h || '"}'"""
+    steps = [
+        "f AS (SELECT 'site/' || md5(CAST(doc_id AS VARCHAR)) || '.json' AS key, sha256(coalesce(text, '')) AS h, coalesce(n_chars, 0) AS n, doc_id % 3 = 0 AS a, doc_id % 5 = 0 AS r FROM documents)",
+        f"x0 AS (SELECT key, {entry} AS entry, strlen({entry}) + 1 AS size FROM f)",
+    ]
+    for d in range(depth):
+        steps.append(
+            f"t{d} AS (SELECT substr(key, 1, {d}) AS pack, min(key) AS first, max(key) AS last, count(*) AS count, '{{' || string_agg(entry, ',' ORDER BY key) || '}}' AS body FROM x{d} GROUP BY 1 HAVING sum(size) <= {limit - 1} OR count(*) = 1)"
+        )
+        steps.append(f"x{d + 1} AS (SELECT * FROM x{d} WHERE substr(key, 1, {d}) NOT IN (SELECT pack FROM t{d}))")
+    return "WITH " + ",\n".join(steps) + " SELECT sha256(body) AS name, first, last, count, CAST(strlen(body) AS BIGINT) AS bytes FROM (" + " UNION ALL ".join(f"SELECT * FROM t{d}" for d in range(depth)) + ")"
+
+
+def owned(t: Tables) -> DataFrame:
+    doc = F.col("doc_id")
+    return t.documents.select(
+        F.concat(F.lit("site/"), F.md5(doc.cast("string")), F.lit(".json")).alias("path"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"),
+        F.coalesce("n_chars", F.lit(0)).alias("bytes"), (doc % 3 == 0).alias("allocated"), (doc % 5 == 0).alias("retained"),
+    )
+
+
+@R.query(_pages_oracle(6_000, 12))
+def ownership_pages(t: Tables) -> DataFrame:
+    """A receipt of all documents in pages of at most 6,000 bytes."""
+    return receipts.encode(owned(t), 6_000)[0].drop("body")
+
+
+@R.query("SELECT 'site/' || md5(CAST(doc_id AS VARCHAR)) || '.json' AS path, sha256(coalesce(text, '')) AS sha256, coalesce(n_chars, 0) AS bytes, doc_id % 3 = 0 AS allocated, doc_id % 5 = 0 AS retained FROM documents")
+def ownership_records(t: Tables) -> DataFrame:
+    """The files of a receipt, read from its pages and held against its root."""
+    return receipts.decode(*receipts.encode(owned(t), 6_000))
+
+
+@R.query(f"SELECT (k - 1) // 100 AS page, k AS place, p_partkey FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_size < 3, score DESC, lower(n), p_partkey) AS k FROM ({_FOUND}))")
+def search_pages(t: Tables) -> DataFrame:
+    """All results of a search in order, a hundred a page."""
+    rows = found(t).withColumns({"last": F.col("p_size") < 3, "down": -F.col("score")})
+    placed = packing.ordered(rows.select("last", "down", "n", "p_partkey"), ["last", "down", "n", "p_partkey"], "k")
+    return placed.select(F.expr("k div 100").alias("page"), (F.col("k") + 1).alias("place"), "p_partkey")
 
 
 @R.query("SELECT p_partkey, 'obj/' || p_partkey AS path, md5(p_name) AS sha FROM part UNION ALL SELECT p_partkey, 'obj/' || p_brand, md5(p_brand) FROM part")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestack.operators import claims, diff, fixpoint, links, resolve
+from lodestack.operators import claims, diff, fixpoint, geography, links, resolve
 from lodestack.plans.base import Registry, Tables
 
 R = Registry()
@@ -136,12 +136,12 @@ def graph_walk(t: Tables) -> DataFrame:
     return fixpoint.walk(start, a.union(b.distinct()), max_steps=3)
 
 
-@R.query("SELECT n_regionkey AS cycle, n_nationkey AS biome, 12 + (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1) * 4 AS inner_edge FROM nation")
+@R.query("SELECT n_regionkey AS layer, CASE WHEN n_nationkey <> 24 THEN n_nationkey END AS biome, 12.0 + n_regionkey * 4.5 AS inner_edge, 12.0 + (n_regionkey + 1) * 4.5 AS outer_edge FROM nation WHERE n_nationkey <> 24")
 def ring_spans(t: Tables) -> DataFrame:
-    """Layers of a cycle get consecutive rings of one width."""
-    layers = t.nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_nationkey")).alias("layers"))
-    rows = layers.select(F.col("n_regionkey").alias("cycle"), F.posexplode("layers").alias("i", "biome"))
-    return rows.select("cycle", "biome", (12 + F.col("i").cast("long") * 4).alias("inner_edge"))
+    """Two configurations that agree, of which each region is a layer; the last nation is the patch at the start."""
+    layers = t.nation.select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("config"), F.col("n_regionkey").alias("layer"), F.col("n_nationkey").alias("biome"))
+    widths = layers.select("config").distinct().withColumn("width", F.lit(1.5) * 3)
+    return geography.rings(layers, widths, t.nation.filter("n_nationkey = 24").select(F.col("n_nationkey").alias("biome")))
 
 
 @R.query(

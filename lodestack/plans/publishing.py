@@ -93,9 +93,10 @@ def gq_gathering_intro(t: Tables) -> DataFrame:
     return t.lineitem.agg(F.count_if(F.col("l_returnflag") == "A").alias("c")).filter("c > 0").select(F.lit(1).alias("n"), F.lit("gathering").alias("topic"))
 
 
-@R.query(f"SELECT cycle, biome, inner_edge FROM ({history.R.oracles['ring_spans']})")
+@R.query(f"SELECT layer AS ring, min(inner_edge) AS inner_edge, max(outer_edge) AS outer_edge, count(biome) AS biomes FROM ({history.R.oracles['ring_spans']}) GROUP BY 1")
 def gq_ring_span(t: Tables) -> DataFrame:
-    return history.ring_spans(t).select("cycle", "biome", "inner_edge")
+    """Where each ring begins and ends."""
+    return history.ring_spans(t).groupBy(F.col("layer").alias("ring")).agg(F.min("inner_edge").alias("inner_edge"), F.max("outer_edge").alias("outer_edge"), F.count("biome").alias("biomes"))
 
 
 @R.query("SELECT r_regionkey AS region, '| Nation | Key |' || chr(10) || '|-|-|' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' |', chr(10) ORDER BY n_nationkey) AS md FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1")

@@ -177,6 +177,17 @@ def jargon_by_source(t: Tables) -> DataFrame:
     return rows.groupBy("source").agg(F.sum(F.coalesce("n", F.lit(0))).alias("findings"), F.count("n").alias("affected"), F.count("*").alias("docs"))
 
 
+@R.query()
+def jargon_by_field(t: Tables) -> DataFrame:
+    """Findings per topic, kind, field and rule, with the entities affected and all there are."""
+    entities = t.documents.groupBy(F.col("source").alias("topic"), F.col("lang").alias("kind")).agg(F.count("*").alias("entities"))
+    fields = F.array(*(F.struct(F.lit(n).alias("field"), F.col(n).alias("text")) for n in ("text", "source")))
+    each = t.documents.select("doc_id", F.col("source").alias("topic"), F.col("lang").alias("kind"), F.explode(fields).alias("f"))
+    spans = X.jargon_spans(each.select(F.struct("topic", "kind", "f.field", "doc_id").alias("id"), F.col("f.text").alias("text")))
+    found = spans.groupBy("id", "rule").agg(F.count("*").alias("n")).groupBy("id.topic", "id.kind", "id.field", "rule")
+    return found.agg(F.sum("n").alias("findings"), F.count("*").alias("affected")).join(entities, ["topic", "kind"], "left")
+
+
 @R.query(
     """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CASE event_type WHEN 'click' THEN 1 ELSE 2 END || ' ' ELSE event_type END AS text, event_id % 3 = 0 AS raw_enum FROM events"""
 )

@@ -511,3 +511,104 @@ def test_counts_per_topic_need_an_earlier_capture(spark):
     changes = spark.createDataFrame([(1, "added", "a"), (2, "added", "a"), (3, "removed", "b"), (4, "changed", "new")], "key long, op string, topic string")
     topics = spark.createDataFrame([("a", True), ("b", True), ("c", True), ("new", False)], "topic string, comparable boolean")
     assert {tuple(r) for r in diff.topic_counts(changes, topics).collect()} == {("a", 2, 0, 0), ("b", 0, 0, 1), ("c", 0, 0, 0), ("new", None, None, None)}
+
+
+# Receipts, publication, rings, markup
+
+
+def owned(spark, n, more=()):
+    rows = [(f"site/{k * 7919 % 9973:05}/é{k}.json", f"h{k}", k * 10, k % 3 == 0, None if k % 2 else k % 5 == 0) for k in range(n)] + list(more)
+    return spark.createDataFrame(rows, "path string, sha256 string, bytes long, allocated boolean, retained boolean")
+
+
+def test_receipts_round_trip(spark):
+    from lodestack.operators import receipts
+
+    files = owned(spark, 600)
+    pages, root = receipts.encode(files, 2000)
+    assert pages.filter("bytes > 2000").isEmpty() and pages.count() > 10
+    back = sorted(map(tuple, receipts.decode(pages, root).collect()))
+    assert back == sorted((*r[:3], bool(r[3]), bool(r[4])) for r in files.collect())
+    more, _ = receipts.encode(owned(spark, 600, [("site/00003/new.json", "x", 1, False, False)]), 2000)
+    assert more.select("name").exceptAll(pages.select("name")).count() == 1  # an insert changes one page
+    empty, none = receipts.encode(files.filter("false"), 2000)
+    assert receipts.decode(empty, none).count() == 0
+
+
+def test_receipts_that_were_changed_fail(spark):
+    from lodestack.operators import receipts
+
+    pages, root = receipts.encode(owned(spark, 200), 2000)
+    for wrong in (pages.withColumn("body", F.replace("body", F.lit("h7"), F.lit("h8"))), pages.withColumn("count", F.col("count") + 1), pages.withColumn("last", F.lit("z"))):
+        with pytest.raises(ValueError, match="changed pages"):
+            receipts.decode(wrong, root)
+    for wrong in (pages.limit(3), pages.union(pages.limit(1))):
+        with pytest.raises(ValueError, match="root"):
+            receipts.decode(wrong, root)
+    with pytest.raises(ValueError, match="owned twice"):
+        receipts.encode(owned(spark, 5).union(owned(spark, 1)), 2000)
+
+
+def test_entry_points_roll_over(spark):
+    from lodestack.operators import publication
+
+    kind = "topic string, id string, ordinal long, sealed boolean, entrypoint boolean"
+    parts = spark.createDataFrame([("hub", "h0", 0, False, False), ("a", "a0", 0, True, False), ("a", "a1", 1, False, False), ("a", "a2", 2, False, True), ("b", "b0", 0, False, False)], kind)
+    fronts = publication.active(parts)
+    assert {tuple(r) for r in fronts.collect()} == {("hub", "h0"), ("a", "a2"), ("b", "b0")}
+    name = F.concat("topic", F.col("ordinal").cast("string"))
+    wanted = spark.createDataFrame([("hub",), ("a",)], "topic string")
+    rolled = publication.rollover(parts, wanted, name)
+    assert {r.id: (r.ordinal, r.sealed, r.entrypoint) for r in rolled.collect()} == {
+        "h0": (0, True, False), "hub1": (1, False, True), "a0": (0, True, False), "a1": (1, False, False), "a2": (2, True, True), "a3": (3, False, True), "b0": (0, False, False),
+    }
+    got = {r.id: r["rank"] for r in publication.groups(rolled, fronts, "hub").collect()}
+    assert got == {"hub1": 3, "a2": 2, "a3": 1, "b0": 1, "a0": 0, "a1": 0}
+    with pytest.raises(ValueError, match="no such topics"):
+        publication.rollover(parts, spark.createDataFrame([("x",)], "topic string"), name)
+    with pytest.raises(ValueError, match="just one"):
+        publication.active(parts.withColumn("entrypoint", F.lit(True)))
+    with pytest.raises(ValueError, match="taken"):
+        publication.rollover(parts, wanted, F.lit("b0"))
+
+
+def test_rings(spark):
+    from lodestack.operators import geography
+
+    layers = lambda rows: spark.createDataFrame(rows, "config string, layer int, biome string")
+    widths = lambda rows: spark.createDataFrame(rows, "config string, width double")
+    base = lambda *names: spark.createDataFrame([(n,) for n in names], "biome string")
+    rows = [(c, layer, b) for c in "xy" for layer, b in ((0, "wood"), (0, "start"), (1, "sand"), (2, "start"), (3, "wood"))]
+    same = widths([("x", 4.0), ("y", 4.0)])
+    got = sorted(map(tuple, geography.rings(layers(rows), same, base("start")).collect()), key=str)
+    assert got == [(0, "wood", 12.0, 16.0), (1, "sand", 16.0, 20.0), (2, None, 20.0, 24.0), (3, "wood", 24.0, 28.0)]
+    for wrong, said in (
+        ((layers(rows[:-1]), same, base()), "different layers"), ((layers(rows), widths([("x", 4.0), ("y", 5.0)]), base()), "different layers"),
+        ((layers(rows), widths([("x", 4.0), ("y", 0.0)]), base()), "positive"), ((layers(rows), same, base("a", "b")), "several"),
+    ):
+        with pytest.raises(ValueError, match=said):
+            geography.rings(*wrong)
+
+
+def test_balanced_markup_against_a_stack(spark):
+    import re
+
+    from lodestack.functions import text as X
+
+    rng = random.Random(8)
+    tags = ["<div>", "</div>", "<section class=x>", "</section>", "<article\n>", "</article>", "<p>", "<DIV/>", "<divider>", "text"]
+    pages = ["", "</article><article>", "<article></article>", "<div><section></div></section>"] + ["".join(rng.choice(tags) for _ in range(rng.randrange(7))) for _ in range(400)]
+    pages += ["<div>" * d + "x" + "</div>" * d for d in range(30)]
+
+    def nests(page):
+        stack = []
+        for m in re.finditer(r"<(/?)(article|section|div)(?=[\s/>])", page.lower()):
+            if not m[1]:
+                stack.append(m[2])
+            elif not stack or stack.pop() != m[2]:
+                return False
+        return not stack
+
+    df = spark.createDataFrame(list(enumerate(pages)), "k int, page string")
+    got = {r.k: r.ok for r in df.select("k", X.balanced(F.col("page"), ("article", "section", "div")).alias("ok")).collect()}
+    assert got == {k: nests(p) for k, p in enumerate(pages)} and 50 < sum(got.values()) < 350
