@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestack.operators import capacity, guide, hierarchy, identity, packing
 from lodestack.plans.base import Registry, Tables
 from lodestack.session import cut, scratch
-from lodestack.sources import files
+from lodestack.sources import files, ordered
 
 R = Registry()
 
@@ -246,3 +247,22 @@ def stage_graph(t: Tables) -> DataFrame:
         for name, r in hierarchy.run_stages(t.spark, stages(), changed, root).items()
     ]
     return out[0].union(out[1]).union(out[2]).union(out[3])
+
+
+# Ordered store
+
+#: What a reader asks for: fifty keys and one prefix.
+_KEYS = [str(k * 7) for k in range(50)]
+
+
+@R.query(
+    "SELECT key, doc_id, n_chars, how FROM (SELECT md5(CAST(doc_id AS VARCHAR)) AS key, doc_id, n_chars FROM documents), (VALUES ('key'), ('prefix')) v(how)"
+    f" WHERE CASE how WHEN 'key' THEN key IN ({', '.join(f"md5('{k}')" for k in _KEYS)}) ELSE starts_with(key, 'a7') END"
+)
+def store_lookup(t: Tables) -> DataFrame:
+    """Documents stored in order of their key; fifty keys and a prefix open only the files that can hold them."""
+    folder = scratch(t.spark, "store")
+    ordered.write(t.documents.select(F.md5(F.col("doc_id").cast("string")).alias("key"), "doc_id", "n_chars"), "key", folder, files=200)
+    keys = [hashlib.md5(k.encode()).hexdigest() for k in _KEYS]
+    found = ordered.by_keys(t.spark, folder, "key", keys).withColumn("how", F.lit("key"))
+    return found.unionByName(ordered.by_prefix(t.spark, folder, "key", "a7").withColumn("how", F.lit("prefix")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestack.operators import claims, diff, fixpoint, geography, links, resolve
+from lodestack.operators import claims, dependencies, diff, fixpoint, geography, links, resolve
 from lodestack.plans.base import Registry, Tables
 
 R = Registry()
@@ -383,10 +383,20 @@ def claims_evaluate(t: Tables) -> DataFrame:
     return claims.evaluate(made, found)
 
 
-@R.query("SELECT page_id, md5(html) = md5(CASE WHEN page_id % 5 = 0 THEN html || 'x' ELSE html END) AS same FROM pages")
+@R.query(
+    """WITH RECURSIVE e AS (SELECT p_partkey AS src, p_partkey // 3 AS dst FROM part WHERE p_partkey > 1 UNION SELECT p_partkey, p_partkey + 1 FROM part WHERE p_partkey % 20 = 6 UNION SELECT p_partkey + 1, p_partkey FROM part WHERE p_partkey % 20 = 6),
+w(key) AS (SELECT p_partkey FROM part WHERE p_partkey % 41 = 40 UNION SELECT src FROM w JOIN e ON dst = key)
+SELECT p_partkey AS key, p_partkey NOT IN (SELECT key FROM w) AS same FROM part"""
+)
 def hash_check(t: Tables) -> DataFrame:
-    expected = t.pages.select("page_id", F.md5(F.when(F.col("page_id") % 5 == 0, F.concat("html", F.lit("x"))).otherwise(F.col("html"))).alias("want"))
-    return t.pages.select("page_id", F.md5("html").alias("have")).join(expected, "page_id").select("page_id", (F.col("have") == F.col("want")).alias("same"))
+    """Claims whose hash over all that they depend on is as before, after some contents changed; some depend on each other."""
+    key = F.col("p_partkey")
+    pair = t.part.filter(key % 20 == 6)
+    edges = t.part.filter(key > 1).select(key.alias("src"), F.floor(key / 3).alias("dst")).union(pair.select(key, key + 1)).union(pair.select(key + 1, key))
+    now = t.part.select(key.alias("key"), F.md5("p_name").alias("content"))
+    then = now.withColumn("content", F.when(F.col("key") % 41 == 40, "other").otherwise(F.col("content")))
+    a, b = dependencies.hashes(now, edges), dependencies.hashes(then, edges).withColumnRenamed("hash", "then")
+    return a.join(b, "key").select("key", (F.col("hash") == F.col("then")).alias("same"))
 
 
 @R.query(

@@ -612,3 +612,67 @@ def test_balanced_markup_against_a_stack(spark):
     df = spark.createDataFrame(list(enumerate(pages)), "k int, page string")
     got = {r.k: r.ok for r in df.select("k", X.balanced(F.col("page"), ("article", "section", "div")).alias("ok")).collect()}
     assert got == {k: nests(p) for k, p in enumerate(pages)} and 50 < sum(got.values()) < 350
+
+
+# Dependency hashes and the ordered store
+
+
+def reach(edges, start):
+    seen, stack = {start}, [start]
+    while stack:
+        for d in edges.get(stack.pop(), ()):
+            if d not in seen:
+                seen.add(d)
+                stack.append(d)
+    return seen
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_change_marks_just_what_reaches_it(spark, seed):
+    from lodestack.operators import dependencies
+
+    rng = random.Random(seed)
+    n, edges = 40, {}
+    for k in range(n):
+        edges[k] = {rng.randrange(n) for _ in range(rng.choice((0, 0, 1, 1, 2)))}
+    edges[0] = {0, 999}  # itself, and a key that is not there
+    pairs = spark.createDataFrame([(a, b) for a, ds in edges.items() for b in ds], "src long, dst long")
+    run = lambda contents: {r.key: r.hash for r in dependencies.hashes(spark.createDataFrame(list(contents.items()), "key long, content string"), pairs).collect()}
+    before = {k: f"c{k % 7}" for k in range(n)}
+    first = run(before)
+    assert len(first) == n
+    changed = rng.randrange(n)
+    second = run(before | {changed: None})
+    assert {k for k in first if first[k] != second[k]} == {k for k in edges if changed in reach(edges, k)}
+
+
+def test_no_nodes_have_no_hashes(spark):
+    from lodestack.operators import dependencies
+
+    assert dependencies.hashes(spark.createDataFrame([], "key long, content string"), spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_lookups_open_only_files_that_can_hold_them(spark):
+    from lodestack.sources import ordered
+
+    folder = scratch(spark, "store")
+    rows = spark.range(100_000).select(F.md5(F.col("id").cast("string")).alias("key"), "id")
+    ordered.write(rows, "key", folder, 1000)
+    stored = spark.read.parquet(f"{folder}/rows")
+    assert len(stored.inputFiles()) == 1000 and stored.count() == 100_000
+    keys = [r.key for r in rows.filter("id % 2000 = 7").collect()] + ["none", None]
+    got = ordered.by_keys(spark, folder, "key", keys)
+    assert 40 < len(got.inputFiles()) <= 50 and sorted(r.id for r in got.collect()) == list(range(7, 100_000, 2000))
+    some = ordered.by_prefix(spark, folder, "key", "a7")
+    assert len(some.inputFiles()) < 10 and sorted(map(tuple, some.collect())) == sorted(map(tuple, rows.filter("key LIKE 'a7%'").collect()))
+    assert ordered.by_keys(spark, folder, "key", []).count() == 0 and ordered.by_prefix(spark, folder, "key", "zz").count() == 0
+    with pytest.raises(ValueError, match="join"):
+        ordered.by_keys(spark, folder, "key", [str(k) for k in range(1001)])
+
+
+def test_equal_keys_over_several_files(spark):
+    from lodestack.sources import ordered
+
+    folder = scratch(spark, "store")
+    ordered.write(spark.range(1000).select(F.when(F.col("id") < 900, "same").otherwise(F.col("id").cast("string")).alias("key"), "id"), "key", folder, 8)
+    assert ordered.by_keys(spark, folder, "key", ["same"]).count() == 900
