@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,38 +18,33 @@ JARGON = {
     "hex": r"(?i)(?<![A-Za-z0-9])(?:e-)?(?=[0-9a-f]*[a-f])[0-9a-f]{8,}(?![A-Za-z0-9])|(?<![A-Za-z0-9])e-[0-9a-f]+(?![A-Za-z0-9])",
     "identifier": r"[A-Za-z0-9_]+",
 }
-CODE = r"^_+[A-Za-z0-9]|[A-Za-z0-9]_[A-Za-z0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]"
-#: Where words of a name part, and tokens that name a file rather than a thing.
+UNDERSCORED = r"^_+[A-Za-z0-9]|[A-Za-z0-9]_[A-Za-z0-9]"
+HUMPED = r"[a-z][A-Z]|[A-Z][a-z]+[A-Z]"
+CODE = f"{UNDERSCORED}|{HUMPED}"
+#: Where words of a name part, and words that name a file rather than a thing.
 HUMPS = r"([a-z0-9])([A-Z])|([A-Z])([A-Z][a-z])"
 SEPARATORS = r"[_/\\-]+"
-FILE_TOKENS = ("sm", "prefab")
-
-
+FILE_WORDS = r"(?i)(?<!\S)(?:sm|prefab)(?!\S)"
+LAST_LEVEL = r"(?i)(?<!\S)lod\d+\s*$"
+LAST_HIT_SET = r"(?i)(?<!\S)hit\s+set\s*$"
+COPY_NUMBER = r"\$\d+$"
 #: Elements that are never closed by another one's tag.
 NESTED = ("article", "section", "main", "div", "u", "code")
 
 
-def words_in(text: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(text, SEPARATORS, " "), r"\s+"), lambda w: w != "")
-
-
 def humanize(name: Column, scenery: bool = False) -> Column:
-    """Words of an identifier: split at humps and separators, a last "hit set" dropped; only the first letter is a capital.
+    """An identifier as a phrase: its words in small letters, the first letter a capital.
 
-    Scenery names also lose a last "$2", model tokens and a last level of detail, before and after the split.
+    A last "hit set" says nothing. Names of scenery come from files: the number of a
+    copy, words that name the file and a last level of detail say nothing either,
+    whether they stand between separators or only between humps.
     """
-
-    def without_file_tokens(words: Column) -> Column:
-        kept = F.filter(words, lambda w: ~F.lower(w).isin(*FILE_TOKENS))
-        return F.when(F.element_at(F.concat(F.array(F.lit("")), kept), -1).rlike(r"(?i)^lod\d+$"), F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
-
-    if scenery:
-        name = F.array_join(without_file_tokens(words_in(F.regexp_replace(name, r"\$\d+$", ""))), " ")
-    words = words_in(F.regexp_replace(name, HUMPS, "$1$3 $2$4"))
-    last = F.lower(F.array_join(F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2), " "))
-    words = F.when(last == "hit set", F.slice(words, F.lit(1), F.size(words) - 2)).otherwise(words)
-    low = F.lower(F.array_join(without_file_tokens(words) if scenery else words, " "))
-    return F.when(low == "", "Unnamed record").otherwise(F.concat(F.upper(F.substring(low, 1, 1)), F.substring(low, 2, 1 << 20)))
+    without = lambda text, *patterns: reduce(lambda t, p: F.regexp_replace(t, p, ""), patterns, text)
+    phrase = F.regexp_replace(without(name, COPY_NUMBER) if scenery else name, SEPARATORS, " ")
+    said_by_files = (FILE_WORDS, LAST_LEVEL) if scenery else ()
+    phrase = F.regexp_replace(without(phrase, *said_by_files), HUMPS, "$1$3 $2$4")
+    low = F.lower(F.trim(F.regexp_replace(without(phrase, LAST_HIT_SET, *said_by_files), r"\s+", " ")))
+    return F.when(low == "", "Unnamed record").otherwise(F.concat(F.upper(F.left(low, F.lit(1))), F.substring(low, F.lit(2), F.length(low))))
 
 
 def word_subset(a: Column, b: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestack.operators import capacity, guide, hierarchy, identity, packing
 from lodestack.plans.base import Registry, Tables
 from lodestack.session import cut, scratch
-from lodestack.sources import files, ordered
+from lodestack.sources import files, ordered, postings
 
 R = Registry()
 
@@ -266,3 +266,21 @@ def store_lookup(t: Tables) -> DataFrame:
     keys = [hashlib.md5(k.encode()).hexdigest() for k in _KEYS]
     found = ordered.by_keys(t.spark, folder, "key", keys).withColumn("how", F.lit("key"))
     return found.unionByName(ordered.by_prefix(t.spark, folder, "key", "a7").withColumn("how", F.lit("prefix")))
+
+
+# Inverted index
+
+
+@R.query(
+    "SELECT p_partkey FROM (SELECT p_partkey, lower(CASE WHEN p_partkey % 10 = 3 THEN 'old small ' || p_type ELSE p_name || ' ' || p_brand || ' ' || p_type END) AS hay FROM part)"
+    " WHERE contains(hay, 'small') AND contains(hay, 'econ')"
+)
+def index_search(t: Tables) -> DataFrame:
+    """Parts that hold both words, found by postings; every tenth part was changed after the index was built."""
+    folder = scratch(t.spark, "index")
+    key = F.col("p_partkey")
+    rows = t.part.select(key.alias("id"), F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("hay"))
+    changed = t.part.filter(key % 10 == 3).select(key.alias("id"), F.lower(F.concat(F.lit("old small "), "p_type")).alias("hay"))
+    postings.build(rows, f"{folder}/0", files=32)
+    postings.build(changed, f"{folder}/1", files=8)
+    return postings.search(t.spark, [f"{folder}/0", f"{folder}/1"], ["small", "econ"]).select(F.col("id").alias("p_partkey"))

@@ -676,3 +676,23 @@ def test_equal_keys_over_several_files(spark):
     folder = scratch(spark, "store")
     ordered.write(spark.range(1000).select(F.when(F.col("id") < 900, "same").otherwise(F.col("id").cast("string")).alias("key"), "id"), "key", folder, 8)
     assert ordered.by_keys(spark, folder, "key", ["same"]).count() == 900
+
+
+def test_postings_find_what_a_scan_finds(spark):
+    from lodestack.sources import ordered, postings
+
+    rng = random.Random(3)
+    parts = ["iron", "ore", "axe", "rope", "stone", "old", "an", "äxte", "x"]
+    rows = [(k, " ".join(rng.choice(parts) for _ in range(rng.randrange(5)))) for k in range(3000)]
+    later = [(k, None if k % 2 else "a new iron axe") for k in range(0, 300, 3)]
+    folder = scratch(spark, "index")
+    kind = "id long, hay string"
+    postings.build(spark.createDataFrame(rows, kind), f"{folder}/0", 64)
+    postings.build(spark.createDataFrame(later, kind), f"{folder}/1", 4)
+    both = [f"{folder}/0", f"{folder}/1"]
+    for gens, now in ((both[:1], dict(rows)), (both, dict(rows) | dict(later))):
+        for words in (["iron", "axe"], ["stone iro", "old"], ["äxt"], ["an", "rope"], ["x"], ["none"], ["new"], ["iron", "iron"], []):
+            got = sorted(r.id for r in postings.search(spark, gens, words).collect())
+            assert got == sorted(k for k, h in now.items() if h is not None and all(w in h for w in words)), words
+    opened = ordered.by_keys(spark, f"{folder}/0/postings", "gram", postings.rarest(spark, f"{folder}/0", ["stone iro"]))
+    assert len(opened.inputFiles()) <= 3  # of 64
