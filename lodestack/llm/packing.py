@@ -12,8 +12,8 @@ partitions at a time, level by level, so no task ever holds more than
 are powers of two, which need no padding.
 
 Ids are those of a public vocabulary whose pieces do not cross white space: a text
-is split at ASCII white space, and what stands between is encoded once and
-remembered in a bounded table. The driver reads the vocabulary; tasks get it with
+is split at ASCII white space, and of the texts that are encoded together each
+different word is encoded once. The driver reads the vocabulary; tasks get it with
 the job. A partition's result depends on its rows alone, so a lost task repeats it.
 
 Defined cases: a null or empty text is the end id alone; documents that repeat each
@@ -24,6 +24,7 @@ document of any length is cut; its ids are held by one task while it is packed.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -43,11 +44,10 @@ END_ID = 2
 OPEN = 32
 MERGED = 256
 #: Bytes of texts that are encoded together, and of an Arrow batch that goes out.
-SLICE = 3 << 20
+SLICE = 8 << 20
 OUT_BYTES = 4 << 20
-#: Words remembered.
-KNOWN = 500_000
-LONGEST_KNOWN = 64
+#: Words encoded as one text.
+TOGETHER = 1000
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
 #: What stands behind a letter or digit, and cannot belong to its piece.
 TAIL = ".,;:!?"
@@ -67,18 +67,13 @@ def _gather(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.
     return flat[shift], ends
 
 
-def _lists(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(b"".join(ids), dtype="<u4"), np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
-
-
 class WordIds:
-    """Ids of texts as arrays of 32-bit numbers; words are remembered up to a bound."""
+    """Ids of texts as arrays of 32-bit numbers."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_str(vocabulary)
-        self.known: dict[str, bytes] = {"": b""}
         self.ends = np.zeros(self.model.get_vocab_size(), dtype=bool)
         self.ends[[k for p, k in self.model.get_vocab().items() if p.endswith("</w>")]] = True
         # For words that are letters of U+00FF at most, in lower case: nothing to normalize, and no rule splits them.
@@ -86,35 +81,17 @@ class WordIds:
         apart = [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(apart)
 
-    def _plain(self, words: list[str]) -> list[bytes]:
-        """Ids of plain words: many are encoded as one text, in which a piece with a word's end closes each."""
-        out = []
-        texts = [" ".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
-        for x in self.letters.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(x.ids, dtype="<u4")
-            raw, at = ids.tobytes(), 0
-            for to in ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist():
-                out.append(raw[at:to])
-                at = to
-        return out
-
-    def _of(self, words: list[str], is_plain: list[bool]) -> list[bytes]:
-        """Ids of different words."""
-        out = list(map(self.known.get, words))
-        new = [k for k, x in enumerate(out) if x is None]
-        for kind in (True, False):
-            at = [k for k in new if is_plain[k] == kind]
-            names = [words[k] for k in at]
-            if kind:
-                found = self._plain(names)
-            else:
-                found = [np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast(names, add_special_tokens=False)]
-            for k, ids in zip(at, found):
-                out[k] = ids
-        if len(self.known) + len(new) > KNOWN:
-            self.known = {"": b""}
-        self.known.update((words[k], out[k]) for k in new if len(words[k]) <= LONGEST_KNOWN)
-        return out
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, end to end, and how many each has: many are one text, in which a piece with a word's end closes each."""
+        names = words.to_pylist()
+        texts = [" ".join(names[k : k + TOGETHER]) for k in range(0, len(names), TOGETHER)]
+        found = [np.array(x.ids, dtype="<u4") for x in self.letters.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(found) if found else np.zeros(0, dtype="<u4")
+        return flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1).astype(np.int32)
+
+    def _other(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(x.ids, dtype="<u4") for x in self.model.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        return np.concatenate([*found, np.zeros(0, dtype="<u4")]), np.fromiter(map(len, found), dtype=np.int32, count=len(found))
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's begin, with the end of the last."""
@@ -125,16 +102,19 @@ class WordIds:
         # one character each, which no composition changes.
         core = pc.utf8_rtrim(words.dictionary, characters=TAIL)
         is_plain = pc.and_(pc.utf8_is_alpha(core), pc.match_substring_regex(core, "^[\\x{00}-\\x{ff}]*$"))
-        tail = pc.if_else(is_plain, pc.replace_substring_regex(words.dictionary, f"^.*[^{TAIL}]", ""), "")
-        cores = pc.if_else(is_plain, pc.utf8_lower(core), words.dictionary).dictionary_encode()
-        tails = tail.dictionary_encode()
-        plain = np.zeros(len(cores.dictionary), dtype=bool)
-        plain[index(cores)] = is_plain.to_numpy(zero_copy_only=False)
-        ids = self._of(cores.dictionary.to_pylist(), plain.tolist())
-        ends_of = tails.dictionary.to_pylist()
-        flat, sizes = _lists(ids + self._of(ends_of, [False] * len(ends_of)))
-        both = np.stack([index(cores), index(tails) + len(ids)], axis=1).reshape(-1)
-        flat, ends = _gather(flat, sizes, both)
+        plain = is_plain.to_numpy(zero_copy_only=False)
+        cores = pc.utf8_lower(core.filter(is_plain)).dictionary_encode()
+        tails = pc.replace_substring_regex(words.dictionary.filter(is_plain), f"^.*[^{TAIL}]", "").dictionary_encode()
+        others = words.dictionary.filter(pc.invert(is_plain))
+        lists = [self._plain(cores.dictionary), self._other(tails.dictionary), self._other(others)]
+        flat, sizes = (np.concatenate([x[k] for x in lists]) for k in (0, 1))
+        # Each word is two lists: letters and what stands behind them, or the word itself and nothing.
+        nothing = len(sizes)
+        both = np.full((len(plain), 2), nothing, dtype=np.int64)
+        first = len(cores.dictionary)
+        both[plain, 0], both[plain, 1] = index(cores), first + index(tails)
+        both[~plain, 0] = first + len(tails.dictionary) + np.arange(len(others))
+        flat, ends = _gather(flat, np.append(sizes, np.int32(0)), both.reshape(-1))
         flat, ends = _gather(flat, ends[2::2] - ends[:-1:2], index(words))
         bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
         return flat, ends[bounds]
@@ -261,7 +241,9 @@ _models: dict[int, WordIds] = {}
 
 
 def _model(vocabulary: str) -> WordIds:
-    """One model per worker process; it keeps the words of the tasks before."""
+    """One model per worker process."""
+    # A task has one core; threads of the library's own would only add memory.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = hash(vocabulary)
     if key not in _models:
         _models.clear()
@@ -269,6 +251,18 @@ def _model(vocabulary: str) -> WordIds:
     return _models[key]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of batches that have ``SLICE`` bytes together: the more texts, the more often their words repeat."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > SLICE:
+            yield tuple(pa.concat_arrays([b.column(k) for b in held]) for k in (0, 1))
+            held = []
+        held.append(batch)
+    if held:
+        yield tuple(pa.concat_arrays([b.column(k) for b in held]) for k in (0, 1))
+
+
 def encoded(texts: pa.Array, model: WordIds, end_id: int = END_ID) -> Iterator[bytes]:
     """Ids of each text with the end id, as bytes; texts are taken together up to ``SLICE`` bytes, longer ones in parts."""
     texts = texts.fill_null("")
@@ -338,9 +332,9 @@ def pack(
 
         task = TaskContext.get().partitionId()
         model, packer, rows = _model(shipped.value), Packer(size, most_open), None
-        for batch in batches:
-            rows = rows or _Rows(batch.column(0).type, task << 32, size)
-            for doc, tokens in zip(batch.column(0).to_pylist(), encoded(batch.column(1), model, end_id)):
+        for ids, texts in _gathered(batches):
+            rows = rows or _Rows(ids.type, task << 32, size)
+            for doc, tokens in zip(ids.to_pylist(), encoded(texts, model, end_id)):
                 for window in packer.add(doc, tokens):
                     rows.put(window, task, True)
                     if rows.held >= OUT_BYTES:

@@ -92,9 +92,9 @@ def test_ids_are_the_library_s(model):
         assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [ids_of(model, t) for t in part]
 
 
-def test_long_texts_and_a_full_memory(model, monkeypatch):
+def test_long_texts(model, monkeypatch):
     monkeypatch.setattr(packing, "SLICE", 50)
-    monkeypatch.setattr(packing, "KNOWN", 20)
+    monkeypatch.setattr(packing, "TOGETHER", 3)
     own = packing.WordIds(packing.vocabulary_text())
     text = " ".join(f"word{k}, and \n more" for k in range(200)) + "y" * 300
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in packing.encoded(pa.array([text, None, "", "short"]), own)] == [ids_of(model, t) for t in (text, "", "", "short")]
