@@ -73,3 +73,16 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, key: str, path: str) -> DataFrame:
+    """df as Parquet at a new path in the shared folder, dealt by a key: joins and groups by it need no shuffle of these rows.
+
+    The catalog knows the table only until it is read; rows that are not dealt by
+    the key into ``spark.sql.shuffle.partitions`` before give small files.
+    """
+    spark, name = df.sparkSession, f"stored_{uuid.uuid4().hex}"
+    df.write.bucketBy(shuffle_partitions(spark), key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
