@@ -170,10 +170,15 @@ def range_lookup(keys: DataFrame, directory: DataFrame, width: int) -> DataFrame
 
 
 def two_way(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:
-    """Keys that one side has and the other lacks, as (side, key)."""
-    a, b = a.distinct(), b.distinct()
-    only = lambda x, y, name: x.join(y, "key", "left_anti").select(F.lit(name).alias("side"), "key")
-    return only(a, b, a_name).union(only(b, a, b_name))
+    """Keys that one side has and the other lacks, as (side, key).
+
+    Both sides meet in one sum per key, so nothing is sorted or held but the keys
+    themselves; a null key equals none and is reported by each side that has it.
+    """
+    sides = a.select("key", F.lit(1).alias("side")).union(b.select("key", F.lit(2).alias("side"))).groupBy("key").agg(F.bit_or("side").alias("sides"))
+    told = lambda bit, name: F.when(F.col("sides").bitwiseAND(bit) > 0, F.lit(name))
+    lone = sides.filter("sides != 3 OR key IS NULL").select(F.explode(F.array(told(1, a_name), told(2, b_name))).alias("side"), "key")
+    return lone.filter("side IS NOT NULL")
 
 
 def mutual_unique(candidates: DataFrame, left: str, right: str) -> DataFrame:

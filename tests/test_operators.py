@@ -67,6 +67,14 @@ def test_state_and_bodies_stay_dealt(spark):
     assert rows(out.filter("item IN ('i0', 'i17', 'i30')")) == [("i0", 1), ("i17", 18), ("i30", 31)]
 
 
+def test_two_way_meets_in_one_sum(spark):
+    a, b = (spark.createDataFrame(x, "key long") for x in ([(1,), (1,), (2,), (None,)], [(2,), (3,), (3,), (None,), (None,)]))
+    out = links.two_way(a, "a", b, "b")
+    assert sorted((r.side, r.key) for r in out.collect() if r.key is not None) == [("a", 1), ("b", 3)]
+    assert sorted(r.side for r in out.collect() if r.key is None) == ["a", "b"]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_levels_keep_ambiguity(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 1)], "old_id long, n string, s long")
     new = spark.createDataFrame([(11, "a", 1), (12, "b", 9), (13, "c", 1)], "new_id long, n string, s long")
