@@ -21,6 +21,8 @@ JARGON = {
 UNDERSCORED = r"^_+[A-Za-z0-9]|[A-Za-z0-9]_[A-Za-z0-9]"
 HUMPED = r"[a-z][A-Z]|[A-Z][a-z]+[A-Z]"
 CODE = f"{UNDERSCORED}|{HUMPED}"
+#: An identifier as one pattern: only tokens that are code match, so prose gives no matches to look through.
+CODED = r"(?<![A-Za-z0-9_])(?=_+[A-Za-z0-9]|[A-Za-z0-9_]*?(?:[A-Za-z0-9]_[A-Za-z0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]))[A-Za-z0-9_]+"
 #: Where words of a name part, and words that name a file rather than a thing.
 HUMPS = r"([a-z0-9])([A-Z])|([A-Z])([A-Z][a-z])"
 SEPARATORS = r"[_/\\-]+"
@@ -125,20 +127,26 @@ def title_key(text: pd.Series) -> pd.Series:
     return text.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).replace("_", " ").split()).casefold())
 
 
-def _spans(text: Column, rule: str) -> Column:
+NO_SPANS = "array<struct<start:int,end:int,rule:string,match:string>>"
+
+
+def _hits(text: Column, rule: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(CODED if rule == "identifier" else JARGON[rule]), F.lit(0))
+
+
+def _spans(text: Column, hits: Column, rule: str) -> Column:
     """array<struct<start, end, rule, match>> of a rule's matches: their places follow from the gaps between them."""
-    found = F.regexp_extract_all(text, F.lit(JARGON[rule]), F.lit(0))
-    both = F.arrays_zip(F.split(text, JARGON[rule], -1).alias("gap"), found.alias("hit"))
-    none = F.array().cast("array<struct<start:int,end:int,rule:string,match:string>>")
+    both = F.arrays_zip(F.split(text, CODED if rule == "identifier" else JARGON[rule], -1).alias("gap"), hits.alias("hit"))
+    none = F.array().cast(NO_SPANS)
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
         span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rule).alias("rule"), x["hit"].alias("match")))
-        wanted = x["hit"].isNotNull() & (x["hit"].rlike(CODE) if rule == "identifier" else F.lit(True))
-        return F.struct(end.alias("at"), F.when(wanted, F.concat(state["out"], span)).otherwise(state["out"]).alias("out"))
+        return F.struct(end.alias("at"), F.when(x["hit"].isNotNull(), F.concat(state["out"], span)).otherwise(state["out"]).alias("out"))
 
-    return F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    found = F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    return F.when(F.size(hits) == 0, none).otherwise(found)
 
 
 def jargon_spans(rows: DataFrame, coded: Column | None = None) -> DataFrame:
@@ -146,13 +154,13 @@ def jargon_spans(rows: DataFrame, coded: Column | None = None) -> DataFrame:
 
     A whole text that is a bare integer is a raw enum where ``coded`` says that the field holds codes.
     """
-    first, *others = JARGON
-    spans = rows.select("id", "text", _spans(F.coalesce("text", F.lit("")), first).alias("spans"), (coded if coded is not None else F.lit(False)).alias("coded"))
-    for rule in others:
-        # A projection of its own: the spans so far are one column to the next rule.
-        spans = spans.withColumn("more", _spans(F.coalesce("text", F.lit("")), rule))
+    text = F.coalesce("text", F.lit(""))
+    spans = rows.select("id", "text", F.array().cast(NO_SPANS).alias("spans"), (coded if coded is not None else F.lit(False)).alias("coded"))
+    for rule in JARGON:
+        # Projections of their own: hits and the spans so far are one column each to what follows, and texts without hits are not split.
+        spans = spans.withColumn("hits", _hits(text, rule)).withColumn("more", _spans(text, F.col("hits"), rule))
         free = F.filter("more", lambda x: ~F.exists("spans", lambda s: (x["start"] < s["end"]) & (s["start"] < x["end"])))
-        spans = spans.withColumn("spans", F.concat("spans", free)).drop("more")
+        spans = spans.withColumn("spans", F.concat("spans", free)).drop("more", "hits")
     enum = F.struct(F.lit(0).alias("start"), F.length("text").alias("end"), F.lit("raw_enum").alias("rule"), F.trim("text").alias("match"))
     bare = F.col("coded") & F.coalesce(F.col("text").rlike(r"^\s*[+-]?\d+\s*$"), F.lit(False))
     spans = spans.withColumn("spans", F.when(bare, F.concat("spans", F.array(enum))).otherwise(F.col("spans")))
