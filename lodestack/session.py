@@ -86,3 +86,9 @@ def stored(df: DataFrame, key: str, path: str) -> DataFrame:
     out = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return out
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as Parquet at a new path in the shared folder, computed once and read back with its own schema."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
